@@ -72,39 +72,39 @@ def qualified_tables(stmt: Column) -> Column:
     return F.array_except(kept, F.coalesce(ctes, F.array().cast("array<string>")))
 
 
-def tables_referenced(stmt: Column) -> Column:
+def table_names(qualified: Column) -> Column:
     """Distinct table names without qualifier, first-seen order."""
-    return F.array_distinct(
-        F.transform(qualified_tables(stmt), lambda x: F.regexp_extract(x, r"([^.]*)$", 1))
-    )
+    return F.array_distinct(F.transform(qualified, lambda x: F.regexp_extract(x, r"([^.]*)$", 1)))
 
 
-def schema_name(stmt: Column) -> Column:
+def first_schema(qualified: Column) -> Column:
     """Qualifier of the first qualified table name, null if none is qualified."""
-    qualified = F.filter(qualified_tables(stmt), lambda x: F.contains(x, F.lit(".")))
-    return F.substring_index(F.get(qualified, F.lit(0)), ".", 1)
+    dotted = F.filter(qualified, lambda x: F.contains(x, F.lit(".")))
+    return F.substring_index(F.get(dotted, F.lit(0)), ".", 1)
 
 
 def format_query(stmt: Column) -> Column:
     """Key words upper, other names lower, a line break before each clause; quotes and comments kept."""
-    parts = F.regexp_extract_all(stmt, F.lit(TOKEN), F.lit(0))
-
-    def breaks(i: Column) -> Column:
-        # a join is broken before its first word: LEFT OUTER JOIN stays together
-        word, before = F.upper(F.get(parts, i)), F.upper(F.get(parts, i - 2))
-        joined = (word == "JOIN") & F.coalesce(before.isin(JOIN_WORDS), F.lit(False))
-        return F.coalesce(word.isin(CLAUSES) & ~joined, F.lit(False))
-
-    def show(part: Column, i: Column) -> Column:
-        blank = part.rlike(r"^\s+$")
-        word = part.rlike(r"^\w+$")
-        return (
-            F.when(blank & breaks(i + 1), "")
-            .when(blank, F.when(F.contains(part, F.lit("\n")), "\n").otherwise(" "))
-            .when(word & breaks(i), F.concat(F.lit("\n"), F.upper(part)))
-            .when(word & F.upper(part).isin(KEYWORDS), F.upper(part))
-            .when(word, F.lower(part))
-            .otherwise(part)
-        )
-
-    return strip(F.array_join(F.transform(parts, show), ""))
+    def shown(parts: Column) -> Column:
+        def breaks(i: Column) -> Column:
+            # a join is broken before its first word: LEFT OUTER JOIN stays together
+            word, before = F.upper(F.get(parts, i)), F.upper(F.get(parts, i - 2))
+            joined = (word == "JOIN") & F.coalesce(before.isin(JOIN_WORDS), F.lit(False))
+            return F.coalesce(word.isin(CLAUSES) & ~joined, F.lit(False))
+
+        def show(part: Column, i: Column) -> Column:
+            blank = F.trim(F.translate(part, "\t\r\n", "   ")) == ""
+            return (
+                F.when(blank & breaks(i + 1), "")
+                .when(blank, F.when(F.contains(part, F.lit("\n")), "\n").otherwise(" "))
+                .when(~part.rlike(r"^\w"), part)
+                .when(breaks(i), F.concat(F.lit("\n"), F.upper(part)))
+                .when(F.upper(part).isin(KEYWORDS), F.upper(part))
+                .otherwise(F.lower(part))
+            )
+
+        return F.array_join(F.transform(parts, show), "")
+
+    # bound once: the token list is looked at from every token
+    tokens = F.array(F.regexp_extract_all(stmt, F.lit(TOKEN), F.lit(0)))
+    return strip(F.transform(tokens, shown)[0])

@@ -10,8 +10,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from logloom.functions import sqltext
+from logloom.functions.paths import file_name
 from logloom.functions.text import is_blank, preview, strip
 from logloom.functions.timeparse import iso_text, parse_timestamp, time_filter
+from logloom.operators.columns import evaluated
 from logloom.operators.errors import apply_policy, rejected
 from logloom.operators.prefix import running, with_position
 
@@ -31,14 +33,22 @@ DELIMITERS = [",", ";", "\t", "|"]
 
 LINE_KEYS = ["source_file"]
 
-# One statement: strings, quoted names, comments and dollar-quoted bodies may hold
-# a semicolon. Comments on the line of the semicolon belong to the statement before.
-_QUOTED = r"""'(?:[^'\\]++|\\(?s:.))*+'|"[^"]*+"|`[^`]*+`"""
-_BODY = (
-    rf"(?:{_QUOTED}|--[^\n]*+|/\*(?s:.*?)\*/|\$((?:[A-Za-z_]\w*+)?)\$(?s:.*?)\$\1\$"
-    r"""|[^;'"`/$-]++|[^;])*+"""
-)
-STATEMENT = rf"(?:{_BODY};(?:[ \t]++|--[^\n]*+(?:\n|\z))*+)|(?:{_BODY}(?<=[^;])\z)"
+# Text in which a semicolon means nothing. What is never closed runs to the end.
+_TAG_BODY = r"\$([A-Za-z_]\w*+)\$(?s:.*?)\$\1\$"
+
+
+def _protected(end: str) -> str:
+    return (
+        rf"""'(?:[^'\\]++|\\(?s:.))*+(?:'{end})|"[^"]*+(?:"{end})|--[^\n]*+|/\*(?s:.*?)(?:\*/{end})"""
+        rf"|\$\$(?s:.*?)(?:\$\${end})|{_TAG_BODY}"
+    )
+
+
+_BODY = rf"""(?:{_protected(r"|\z")}|[^;'"/$-]++|[^;])*+"""
+# One statement; a comment on the line of the semicolon belongs to the statement before.
+STATEMENT = rf"(?:{_BODY};[ \t]*+(?:--[^\n]*+)?)|(?:(?!\z){_BODY}\z)"
+# The longest start of a text after which nothing is open.
+CLOSED_PART = rf"""^(?:{_protected("")}|[^'"/$-]++|/(?!\*)|\$(?!\$)|-)*+"""
 
 
 # --- SQL -------------------------------------------------------------------
@@ -66,20 +76,24 @@ def sql_entries(
 ) -> DataFrame:
     """``source_file, entry_index, statement`` -> typed SQL entries."""
     stmt = F.col("statement")
-    dated = statements.withColumn(
-        "timestamp", parse_timestamp(sqltext.comment_timestamp_text(stmt), formats)
+    found = statements.withColumn("__text", sqltext.comment_timestamp_text(stmt))
+    dated = evaluated(
+        found.withColumn("timestamp", parse_timestamp(F.col("__text"), formats)), "timestamp"
     ).where(time_filter(F.col("timestamp"), start, end, keep_undated))
-    return dated.select(
+    named = dated.withColumn("__names", sqltext.qualified_tables(stmt)).withColumn(
+        "tables", sqltext.table_names(F.col("__names"))
+    )
+    return named.select(
         "source_file",
         F.lit("sql").alias("source_format"),
         sqltext.statement_type(stmt).alias("log_type"),
         "timestamp",
         stmt.alias("raw_content"),
         sqltext.format_query(stmt).alias("formatted_query"),
-        sqltext.tables_referenced(stmt).alias("tables"),
-        sqltext.schema_name(stmt).alias("schema"),
+        "tables",
+        sqltext.first_schema(F.col("__names")).alias("schema"),
         F.length(stmt).cast("bigint").alias("query_length"),
-        F.size(sqltext.tables_referenced(stmt)).cast("bigint").alias("tables_count"),
+        F.size("tables").cast("bigint").alias("tables_count"),
         "entry_index",
         F.when(F.col("timestamp").isNotNull(), "comment").alias("timestamp_source"),
     )
@@ -88,12 +102,16 @@ def sql_entries(
 # --- JSON ------------------------------------------------------------------
 
 
-def _json_object(line: Column) -> Column:
-    """The line as ``map<string,variant>``; null unless it is exactly one JSON object.
+def _json_items(line: Column) -> Column:
+    """The line as a list of ``map<string,variant>``; a good line gives one map.
 
     Parsed inside brackets, so text after the object makes the line invalid.
     """
-    items = F.from_json(F.concat(F.lit("["), line, F.lit("]")), "array<map<string,variant>>")
+    return F.from_json(F.concat(F.lit("["), line, F.lit("]")), "array<map<string,variant>>")
+
+
+def _json_object(line: Column) -> Column:
+    items = _json_items(line)
     return F.when(F.size(items) == 1, items[0])
 
 
@@ -112,18 +130,16 @@ def _first_dated(pairs: list[tuple[str, Column]], formats: list[str] | None) ->
     return F.get(F.filter(parsed, lambda s: s["ts"].isNotNull()), F.lit(0))
 
 
-def _truthy_text(value: Column) -> Column:
-    """Text of a JSON value, null for null, false, zero, and empty strings, lists and objects."""
-    as_json = F.to_json(value)
-    empty = as_json.isin("null", "false", '""', "[]", "{}") | as_json.rlike(r"^-?0(?:\.0*)?(?:[eE][+-]?\d+)?$")
-    text = F.when(as_json == "true", "True").otherwise(value.cast("string"))
-    return F.when(~empty, text)
-
-
-def json_records(lines: DataFrame) -> DataFrame:
-    """Non-blank lines with ``ok`` and their position among the readable lines of the file."""
-    marked = lines.where(~is_blank(F.col("line"))).withColumn("ok", _json_object(F.col("line")).isNotNull())
-    return with_position(marked, LINE_KEYS, "chunk", ["seq"], "entry_index", counted=F.col("ok"))
+def _first_truthy(values: list[Column]) -> Column:
+    """Text of the first JSON value that is not null, false, zero or an empty string, list or object."""
+    shown = F.transform(F.array(*values), lambda v: F.struct(F.to_json(v).alias("json"), v.cast("string").alias("text")))
+    full = F.filter(
+        shown,
+        lambda s: ~s["json"].isin("null", "false", '""', "[]", "{}")
+        & ~s["json"].rlike(r"^-?0(?:\.0*)?(?:[eE][+-]?\d+)?$"),
+    )
+    first = F.get(full, F.lit(0))
+    return F.when(first["json"] == "true", "True").otherwise(first["text"])
 
 
 def json_entries(
@@ -136,19 +152,24 @@ def json_entries(
 ) -> DataFrame:
     """Line table -> typed JSON entries, one per readable line."""
     record = F.col("__record")
-    parsed = lines.where(~is_blank(F.col("line"))).withColumn("__record", _json_object(F.col("line")))
+    filled = lines.where(~is_blank(F.col("line")))
+    parsed = evaluated(filled.withColumn("__record", _json_items(F.col("line"))), "__record").withColumn(
+        "__record", F.when(F.size("__record") == 1, record[0])
+    )
     found = _first_dated([(n, F.element_at(record, n).cast("string")) for n in TIME_FIELDS], formats)
     typed = parsed.select(
         *[c for c in lines.columns if c != "line"],
         F.substr("line", F.lit(1), F.lit(100)).alias("__head"),
         record.isNotNull().alias("__ok"),
         found.alias("__found"),
-        F.coalesce(*[_truthy_text(F.element_at(record, n)) for n in TYPE_FIELDS], F.lit("JSON")).alias("log_type"),
+        F.coalesce(_first_truthy([F.element_at(record, n) for n in TYPE_FIELDS]), F.lit("JSON")).alias("log_type"),
         F.to_json(record).alias("raw_content"),
         F.size(F.array_distinct(F.map_keys(record))).cast("bigint").alias("field_count"),
         F.exists(F.map_values(record), lambda v: F.startswith(F.to_json(v), F.lit("{"))).alias("has_nested_objects"),
     )
-    indexed = with_position(typed, LINE_KEYS, "chunk", ["seq"], "entry_index", counted=F.col("__ok"))
+    indexed = evaluated(
+        with_position(typed, LINE_KEYS, "chunk", ["seq"], "entry_index", counted=F.col("__ok")), "__found"
+    )
     good = apply_policy(
         indexed, F.col("__ok"), policy, F.concat(F.lit("cannot read JSON line: "), preview(F.col("__head")))
     )
@@ -229,14 +250,16 @@ def csv_records(lines: DataFrame) -> DataFrame:
         __pos=("sum", F.lit(1).cast("bigint")),
         __header=("first", F.struct("chunk", "seq", "line")),
     )
-    header = F.col("__header.line")
-    delimiter = detect_delimiter(header)
-    return carried.where("__pos > 0").select(
+    delimited = evaluated(
+        carried.where("__pos > 0").withColumn("__delimiter", detect_delimiter(F.col("__header.line"))), "__delimiter"
+    )
+    fields = delimited.select(
         *[c for c in lines.columns if c != "line"],
         (F.col("__pos") - 1).alias("entry_index"),
-        csv_fields(header, delimiter).alias("columns"),
-        csv_fields(F.col("line"), delimiter).alias("__raw"),
-    ).withColumn("ok", F.size("__raw") <= F.size("columns"))
+        csv_fields(F.col("__header.line"), F.col("__delimiter")).alias("columns"),
+        csv_fields(F.col("line"), F.col("__delimiter")).alias("__raw"),
+    )
+    return evaluated(fields, "columns", "__raw").withColumn("ok", F.size("__raw") <= F.size("columns"))
 
 
 def csv_entries(
@@ -253,7 +276,9 @@ def csv_entries(
         F.col("columns"),
         lambda _, i: F.when(~F.coalesce(F.get("__raw", i), F.lit("")).isin(MISSING), F.get("__raw", i)),
     )
-    rows = records.withColumn("values", padded).withColumn("payload", F.map_from_arrays("columns", "values"))
+    rows = evaluated(records.withColumn("values", padded), "values").withColumn(
+        "payload", F.map_from_arrays("columns", "values")
+    )
 
     def value(name: str) -> Column:
         return F.get("values", (F.array_position("columns", F.lit(name)) - 1).cast("int"))
@@ -263,7 +288,7 @@ def csv_entries(
         return F.when((x != "") & ~zero, x)
 
     found = _first_dated([(n, value(n)) for n in CSV_TIME_FIELDS], formats)
-    dated = rows.withColumn("__found", found).where(time_filter(F.col("__found.ts"), start, end, keep_undated))
+    dated = evaluated(rows.withColumn("__found", found), "__found").where(time_filter(F.col("__found.ts"), start, end, keep_undated))
     return dated.select(
         "source_file",
         F.lit("csv").alias("source_format"),
@@ -307,7 +332,7 @@ def to_log_entry(entries: DataFrame, source_format: str) -> DataFrame:
     else:
         raise ValueError(f"unsupported format: {source_format}")
     return entries.select(
-        "source_file",
+        file_name(F.col("source_file")).alias("source_file"),
         "source_format",
         "log_type",
         "timestamp",

@@ -2,28 +2,33 @@
 
 A *line table* has ``source_file, chunk, seq, line``: ``(chunk, seq)`` orders the
 lines of a file and a chunk is one file split, so no step needs a whole file.
+``source_file`` is the full path here; entries show its last part.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from logloom.functions.paths import file_name, suffix
+from logloom.functions.paths import suffix
 from logloom.session import stage
 
 LOG_GLOB = "*.*"
 
 
-def read_lines(spark: SparkSession, path: str, glob: str = LOG_GLOB, staged: bool = True) -> DataFrame:
+def read_lines(
+    spark: SparkSession, path: str | list[str], glob: str = LOG_GLOB, staged: bool = True, min_bytes: int | None = None
+) -> DataFrame:
     """Lines of all files, split across tasks. Names without a dot and hidden names are not read.
 
     Staged by default: positions depend on the file splits, and two reads of the
     same folder may be split differently when executors come and go.
     """
     raw = spark.read.text(path, pathGlobFilter=glob)
+    if min_bytes is not None:
+        raw = raw.where(F.col("_metadata.file_size") >= min_bytes)
     lines = raw.select(
-        file_name(F.col("_metadata.file_path")).alias("source_file"),
+        F.col("_metadata.file_path").alias("source_file"),
         F.col("_metadata.file_block_start").alias("chunk"),
         F.monotonically_increasing_id().alias("seq"),
         F.regexp_replace("value", "\r$", "").alias("line"),
@@ -32,19 +37,24 @@ def read_lines(spark: SparkSession, path: str, glob: str = LOG_GLOB, staged: boo
 
 
 def read_whole(
-    spark: SparkSession, path: str, glob: str = LOG_GLOB, max_bytes: int | None = None
+    spark: SparkSession, path: str | list[str], glob: str = LOG_GLOB, max_bytes: int | None = None
 ) -> DataFrame:
     """One row per file (``source_file, text``); ``max_bytes`` leaves larger files unread."""
     raw = spark.read.text(path, wholetext=True, pathGlobFilter=glob)
     if max_bytes is not None:
         raw = raw.where(F.col("_metadata.file_size") <= max_bytes)
-    return raw.select(file_name(F.col("_metadata.file_path")).alias("source_file"), F.col("value").alias("text"))
+    return raw.select(F.col("_metadata.file_path").alias("source_file"), F.col("value").alias("text"))
+
 
+def has_files_above(spark: SparkSession, path: str | list[str], size: int, glob: str = LOG_GLOB) -> bool:
+    """Whether the folder holds a file larger than ``size``; contents are not read."""
+    return not list_files(spark, path, glob).where(F.col("size") > size).isEmpty()
 
-def list_files(spark: SparkSession, path: str, glob: str = LOG_GLOB) -> DataFrame:
+
+def list_files(spark: SparkSession, path: str | list[str], glob: str = LOG_GLOB) -> DataFrame:
     """``source_file, size`` of the files a log run looks at; contents are not read."""
     raw = spark.read.format("binaryFile").option("pathGlobFilter", glob).load(path)
-    return raw.select(file_name(F.col("path")).alias("source_file"), F.col("length").alias("size"))
+    return raw.select(F.col("path").alias("source_file"), F.col("length").alias("size"))
 
 
 # File suffixes and content patterns of the three formats.
@@ -72,10 +82,8 @@ def detect_format(name: Column, head: Column) -> Column:
 
 
 def file_formats(lines: DataFrame) -> DataFrame:
-    """``source_file, source_format, header, first_char`` from the first five lines of every file."""
-    # five smallest (chunk, seq) per file; the limit runs before the shuffle
-    from pyspark.sql import Window
-
+    """``source_file, source_format, header`` from the first five lines of every file."""
+    # the rank limit runs before the shuffle, so a long file sends five lines per task
     first = Window.partitionBy("source_file").orderBy("chunk", "seq")
     head = (
         lines.withColumn("__n", F.row_number().over(first))

@@ -96,7 +96,7 @@ def test_sql_golden(spark):
         ("f $$ a; b $$; g $t$ x; $$ $t$;", ["f $$ a; b $$;", "g $t$ x; $$ $t$;"]),
         ('select ";" ; x', ['select ";" ;', "x"]),
         ("select 'it\\'s; ok'; y", ["select 'it\\'s; ok';", "y"]),
-        ("a 'open; b", ["a 'open;", "b"]),
+        ("a 'open; b", ["a 'open; b"]),
         ("", []),
         (" \n ", []),
         ("a-b; c/d; $1;", ["a-b;", "c/d;", "$1;"]),
