@@ -142,22 +142,15 @@ def _first_truthy(values: list[Column]) -> Column:
     return F.when(first["json"] == "true", "True").otherwise(first["text"])
 
 
-def json_entries(
-    lines: DataFrame,
-    start: str | None = None,
-    end: str | None = None,
-    keep_undated: bool = True,
-    policy: str = "skip",
-    formats: list[str] | None = None,
-) -> DataFrame:
-    """Line table -> typed JSON entries, one per readable line."""
+def json_columns(lines: DataFrame, formats: list[str] | None = None) -> DataFrame:
+    """Filled lines with ``__ok, __found`` and the typed columns; works on streams as well."""
     record = F.col("__record")
     filled = lines.where(~is_blank(F.col("line")))
     parsed = evaluated(filled.withColumn("__record", _json_items(F.col("line"))), "__record").withColumn(
         "__record", F.when(F.size("__record") == 1, record[0])
     )
     found = _first_dated([(n, F.element_at(record, n).cast("string")) for n in TIME_FIELDS], formats)
-    typed = parsed.select(
+    return parsed.select(
         *[c for c in lines.columns if c != "line"],
         F.substr("line", F.lit(1), F.lit(100)).alias("__head"),
         record.isNotNull().alias("__ok"),
@@ -167,6 +160,18 @@ def json_entries(
         F.size(F.array_distinct(F.map_keys(record))).cast("bigint").alias("field_count"),
         F.exists(F.map_values(record), lambda v: F.startswith(F.to_json(v), F.lit("{"))).alias("has_nested_objects"),
     )
+
+
+def json_entries(
+    lines: DataFrame,
+    start: str | None = None,
+    end: str | None = None,
+    keep_undated: bool = True,
+    policy: str = "skip",
+    formats: list[str] | None = None,
+) -> DataFrame:
+    """Line table -> typed JSON entries, one per readable line."""
+    typed = json_columns(lines, formats)
     indexed = evaluated(
         with_position(typed, LINE_KEYS, "chunk", ["seq"], "entry_index", counted=F.col("__ok")), "__found"
     )
