@@ -343,7 +343,7 @@ def _(t):
       max(n) AS max_tokens FROM (SELECT *, len({_toks('text')})::BIGINT AS n FROM documents) GROUP BY ALL""",
 )
 def _(t):
-    stats = D.text_statistics(t.documents, ["source", "lang"])
+    stats = D.text_statistics(t.wide("documents"), ["source", "lang"])
     return stats.withColumn("mean_tokens", F.round("mean_tokens", 6))
 
 
@@ -356,4 +356,4 @@ _NORM = "trim(regexp_replace(regexp_replace(lower(text), '[^\\p{L}\\p{N}_\\s'']'
       min(doc_id) OVER (PARTITION BY h) AS kept FROM (SELECT doc_id, md5({_NORM}) AS h FROM documents))""",
 )
 def _(t):
-    return D.duplicate_flags(t.documents, "doc_id")
+    return D.duplicate_flags(t.wide("documents"), "doc_id")

@@ -47,7 +47,7 @@ texts AS (SELECT page_id, url, list_filter(list_transform(regexp_extract_all(m,
     f"WITH {_PAGES_SQL} SELECT page_id, len(paragraphs)::BIGINT AS paragraph_count, array_to_string(paragraphs, chr(10) || chr(10)) AS full_text FROM texts",
 )
 def _(t):
-    docs = H.html_documents(t.pages)
+    docs = H.html_documents(t.wide("pages"))
     return docs.select("page_id", F.size("paragraphs").cast("bigint").alias("paragraph_count"), "full_text")
 
 
@@ -56,7 +56,7 @@ def _(t):
     f"WITH {_PAGES_SQL} SELECT page_id FROM texts WHERE length(array_to_string(paragraphs, chr(10) || chr(10))) >= 1500",
 )
 def _(t):
-    return H.long_enough(H.html_documents(t.pages, extract_tables=False), 1500).select("page_id")
+    return H.long_enough(H.html_documents(t.wide("pages"), extract_tables=False), 1500).select("page_id")
 
 
 def order_pages(t) -> DataFrame:
@@ -131,7 +131,7 @@ def word_package(texts: pd.Series, titles: pd.Series) -> pd.Series:
 
 def word_files(t) -> DataFrame:
     """One Word file per document; every 50th is a damaged package and every 50th after 25 is HTML."""
-    d = t.documents
+    d = t.wide("documents")
     k = F.col("doc_id") % 50
     html = F.concat(F.lit("<html><p>"), F.replace(F.replace("source", F.lit("&"), F.lit("&amp;")), F.lit("<"), F.lit("&lt;")), F.lit("</p></html>"))
     package = word_package(F.when(k != 0, F.col("text")), F.col("source"))
@@ -195,7 +195,7 @@ def _(t):
 )
 def _(t):
     path = new_path(t.spark, "entries")
-    K.write_entries(L.to_log_entry(L.json_entries(rendered.event_lines(t.events)), "json"), path)
+    K.write_entries(L.to_log_entry(L.json_entries(rendered.event_lines(t.wide("events"))), "json"), path)
     back = t.spark.read.text(path)
     parsed = back.withColumn("v", F.parse_json("value"))
     return parsed.groupBy("source_file", F.variant_get("v", "$.log_type", "string").alias("log_type")).agg(
@@ -299,7 +299,7 @@ def _(t):
 )
 def _(t):
     source, out, state = (new_path(t.spark, x) for x in ("stream-in", "stream-out", "stream-state"))
-    rendered.event_lines(t.events).select("line").write.text(source)
+    rendered.event_lines(t.wide("events")).select("line").write.text(source)
     log_stream.run_to_end(log_stream.stream_entries(log_stream.stream_lines(t.spark, source)), out, state)
     back = t.spark.read.parquet(out)
     return back.groupBy("log_type").agg(

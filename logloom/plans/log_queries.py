@@ -31,7 +31,7 @@ _JSON_COLUMNS = "source_file, entry_index, log_type, \"timestamp\", timestamp_fi
 
 @query("json_log_entries", f"WITH {EVENT_SQL} SELECT {_JSON_COLUMNS} FROM entries")
 def _(t):
-    return L.json_entries(rendered.event_lines(t.events)).drop("source_format", "raw_content")
+    return L.json_entries(rendered.event_lines(t.wide("events"))).drop("source_format", "raw_content")
 
 
 @query(
@@ -40,7 +40,7 @@ def _(t):
     f"WHERE \"timestamp\" IS NULL OR (\"timestamp\" >= '2024-01-05' AND \"timestamp\" < '2024-01-21')",
 )
 def _(t):
-    return L.json_entries(rendered.event_lines(t.events), START, END).drop("source_format", "raw_content")
+    return L.json_entries(rendered.event_lines(t.wide("events")), START, END).drop("source_format", "raw_content")
 
 
 @query(
@@ -49,18 +49,19 @@ def _(t):
     "FROM events WHERE event_id % 97 = 0 GROUP BY ALL",
 )
 def _(t):
-    bad = L.json_errors(rendered.event_lines(t.events))
+    bad = L.json_errors(rendered.event_lines(t.wide("events")))
     return bad.groupBy("source_file").agg(F.count("*").alias("errors"), F.min("seq").alias("first_seq"))
 
 
 @query(
     "json_log_error_preview",
     "SELECT event_type || '.jsonl' AS source_file, event_id AS seq, left(CASE WHEN event_id % 5 > 0 THEN '{\"type\":\"\",' ELSE '{' END"
-    " || '\"' || list_extract(['type','event','level','severity','category'], (event_id % 5 + 1)::INT) || '\":\"' || event_type || '\",\"timestamp\"', 20)"
+    " || '\"' || list_extract(['type','event','level','severity','category'], (event_id % 5 + 1)::INT) || '\":\"' || event_type || '\",\"' ||"
+    " list_extract(['timestamp','time','date','created_at','datetime','createdAt','created','eventTime','logTime','@timestamp'], (event_id % 10 + 1)::INT), 20)"
     " || '...' AS error FROM events WHERE event_id % 97 = 0",
 )
 def _(t):
-    return L.json_errors(rendered.event_lines(t.events))
+    return L.json_errors(rendered.event_lines(t.wide("events")))
 
 
 @query(
@@ -71,7 +72,7 @@ def _(t):
 )
 def daily_types(t):
     """Read, parse, filter, normalise and count: the whole log path in one query."""
-    entries = L.json_entries(rendered.event_lines(t.events), START, END)
+    entries = L.json_entries(rendered.event_lines(t.wide("events")), START, END)
     return entries.groupBy(F.to_date("timestamp").alias("log_day"), "log_type").agg(
         F.count("*").alias("entries"), F.sum("field_count").alias("fields")
     )
@@ -135,7 +136,7 @@ def _(t):
     FROM orders""",
 )
 def _(t):
-    statements = rendered.order_statements(t.orders)
+    statements = rendered.order_statements(t.wide("orders"))
     return L.sql_entries(statements.withColumnRenamed("pos", "entry_index")).select(
         F.col("entry_index").alias("o_orderkey"), "formatted_query"
     )
@@ -158,7 +159,7 @@ def _(t):
         .when(flag == "N", F.concat(F.lit("DELETE FROM lineitem WHERE note = 'from x' AND id = "), key))
         .otherwise(F.concat(F.lit("MERGE INTO stock USING (VALUES ("), key, F.lit(")) v ON true WHEN MATCHED THEN DELETE")))
     )
-    statements = t.lineitem.select(
+    statements = t.wide("lineitem").select(
         F.lit("lineitem.sql").alias("source_file"),
         F.col("l_orderkey").alias("entry_index"),
         F.concat(F.lit("-- "), F.date_format("l_shipdate", "yyyy-MM-dd'T'HH:mm:ss"), F.lit("\n"), body).alias("statement"),
@@ -180,7 +181,7 @@ def _(t):
     "status FROM csv_rows",
 )
 def _(t):
-    entries = L.csv_entries(rendered.customer_lines(t.customer))
+    entries = L.csv_entries(rendered.customer_lines(t.wide("customer")))
     return entries.withColumn("status", F.col("payload")["status"]).withColumn("columns", _joined("columns")).drop(
         "payload", "source_format"
     )
@@ -192,7 +193,7 @@ def _(t):
     "WHERE \"timestamp\" IS NULL OR (\"timestamp\" >= '2024-01-05' AND \"timestamp\" < '2024-01-21')",
 )
 def _(t):
-    entries = L.csv_entries(rendered.customer_lines(t.customer), START, END)
+    entries = L.csv_entries(rendered.customer_lines(t.wide("customer")), START, END)
     return entries.select("source_file", "entry_index", "log_type", "timestamp")
 
 
@@ -226,8 +227,8 @@ def _(t):
 def _all_formats(t) -> dict[str, DataFrame]:
     return {
         "sql": L.sql_entries(L.sql_statements(rendered.order_scripts(t.orders))),
-        "json": L.json_entries(rendered.event_lines(t.events)),
-        "csv": L.csv_entries(rendered.customer_lines(t.customer)),
+        "json": L.json_entries(rendered.event_lines(t.wide("events"))),
+        "csv": L.csv_entries(rendered.customer_lines(t.wide("customer"))),
     }
 
 
@@ -288,7 +289,7 @@ def _(t):
     parts = _all_formats(t)
     files = (
         parts["sql"].select("source_file")
-        .unionByName(rendered.event_lines(t.events).select("source_file"))
+        .unionByName(rendered.event_lines(t.wide("events")).select("source_file"))
         .unionByName(parts["csv"].select("source_file"))
         .distinct()
     )
@@ -375,7 +376,7 @@ def _(t):
     f"WITH {EVENT_SQL} SELECT source_file, entry_index, log_type FROM entries WHERE lower(log_type) NOT IN ('error', 'view')",
 )
 def _(t):
-    entries = L.json_entries(rendered.event_lines(t.events))
+    entries = L.json_entries(rendered.event_lines(t.wide("events")))
     return R.drop_types(entries, ["ERROR", "view"]).select("source_file", "entry_index", "log_type")
 
 
@@ -409,7 +410,7 @@ def _(t):
 )
 def _(t):
     path = new_path(t.spark, "json-log")
-    rendered.event_lines(t.events).select("line").write.text(path)
+    rendered.event_lines(t.wide("events")).select("line").write.text(path)
     entries = L.json_entries(S.read_lines(t.spark, path))
     return entries.groupBy("log_type").agg(
         F.count("*").alias("entries"), F.count("timestamp").alias("dated"), F.sum("field_count").alias("fields")
@@ -437,7 +438,7 @@ def _(t):
 )
 def _(t):
     path = new_path(t.spark, "csv-log")
-    lines = rendered.customer_lines(t.customer)
+    lines = rendered.customer_lines(t.wide("customer"))
     lines.repartition("source_file").sortWithinPartitions("source_file", "seq").select(
         F.col("source_file").alias("part"), "line"
     ).write.partitionBy("part").text(path)
@@ -454,8 +455,8 @@ def _(t):
 def _(t):
     path = new_path(t.spark, "mixed-log")
     rendered.order_scripts(t.orders).select("text").write.text(path)
-    rendered.event_lines(t.events).select("line").write.mode("append").text(path)
-    lines = rendered.customer_lines(t.customer, comma_only=True)
+    rendered.event_lines(t.wide("events")).select("line").write.mode("append").text(path)
+    lines = rendered.customer_lines(t.wide("customer"), comma_only=True)
     lines.repartition("source_file").sortWithinPartitions("source_file", "seq").select(
         F.col("source_file").alias("part"), "line"
     ).write.partitionBy("part").text(f"{path}/csv")

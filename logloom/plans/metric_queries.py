@@ -12,7 +12,7 @@ from logloom.plans.registry import query
 
 def turn_pairs(t) -> DataFrame:
     """Assistant turn = prediction, the turn before it = reference."""
-    turns = t.conversations
+    turns = t.wide("conversations")
     answers = turns.where("role = 'assistant'").select(
         "conv_id", (F.col("turn") - 1).alias("turn"), F.col("text").alias("prediction")
     )
@@ -35,7 +35,7 @@ def edited_pairs(t) -> DataFrame:
         .when(kind == 2, F.array_join(F.slice(F.split("text", " "), 2, 1000000), " "))
         .otherwise(F.col("lang"))
     )
-    return t.documents.select(F.col("doc_id").alias("example_id"), edited.alias("prediction"), F.col("text").alias("reference"))
+    return t.wide("documents").select(F.col("doc_id").alias("example_id"), edited.alias("prediction"), F.col("text").alias("reference"))
 
 
 EDITED_SQL = """pairs AS (SELECT doc_id AS example_id, text AS reference, CASE doc_id % 4 WHEN 0 THEN replace(text, ' ', ' - ') || '!?' WHEN 1 THEN text
@@ -297,9 +297,9 @@ def _(t):
     return rounded(bleu.bleu_score(turn_pairs(t), "word", "none"))
 
 
-@query("bleu_13a", _bleu_sql(EDITED_SQL, _words_13a, "exp"))
+@query("bleu_13a", _bleu_sql(TURN_SQL, _words_13a, "exp"))
 def _(t):
-    return rounded(bleu.bleu_score(edited_pairs(t)))
+    return rounded(bleu.bleu_score(turn_pairs(t)))
 
 
 # --- perplexity: one event = one batch with a loss and a token count ---

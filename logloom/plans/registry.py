@@ -24,7 +24,16 @@ class Tables:
         table = self.spark.read.parquet(f"{self.folder}/{name}.parquet")
         # times without a zone are UTC
         naive = [f.name for f in table.schema if isinstance(f.dataType, TimestampNTZType)]
-        return table.withColumns({c: F.col(c).cast("timestamp") for c in naive})
+        return table.withColumns({c: F.col(c).cast("timestamp") for c in naive}) if naive else table
+
+    def wide(self, name: str) -> DataFrame:
+        """A table whose rows cost much work each, spread over all cores.
+
+        Only a scan with fewer partitions than cores (one small file) is shuffled;
+        a table of many files is already spread and stays as it is.
+        """
+        table, cores = getattr(self, name), self.spark.sparkContext.defaultParallelism
+        return table.repartition(cores) if table.rdd.getNumPartitions() < cores else table
 
 
 def query(name: str, sql: str | None = None):
