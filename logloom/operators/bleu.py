@@ -48,18 +48,26 @@ def bleu_score(pairs: DataFrame, tokenizer: str = "13a", smoothing: str = "exp")
         bleu_words(F.col("prediction"), tokenizer).alias("hyp"),
         F.transform(refs, lambda r: bleu_words(r, tokenizer)).alias("refs"),
     )
-    # the reference length closest to the hypothesis, the shorter one on a tie
-    closest = F.array_min(
-        F.transform("refs", lambda r: F.struct(F.abs(F.size(r) - F.size("hyp")).alias("d"), F.size(r).alias("n")))
-    )["n"]
-    lengths = words.agg(F.sum(F.size("hyp")).alias("sys_len"), F.sum(closest).alias("ref_len"))
     counts = clipped_counts(words, F.col("hyp"), F.col("refs"), tuple(range(1, ORDER + 1)))
     orders = range(1, ORDER + 1)
-    totals = counts.agg(
-        *[F.coalesce(F.sum(F.when(F.col("n") == n, F.col("matched"))), F.lit(0)).alias(f"m{n}") for n in orders],
-        *[F.coalesce(F.sum(F.when(F.col("n") == n, F.col("in_hypothesis"))), F.lit(0)).alias(f"t{n}") for n in orders],
+
+    def total(column: str, n: int) -> Column:
+        return F.coalesce(F.sum(F.when(F.col("n") == n, F.col(column))), F.lit(0))
+
+    row = counts.agg(
+        *[total("matched", n).alias(f"m{n}") for n in orders],
+        *[total("in_hypothesis", n).alias(f"t{n}") for n in orders],
+        # single words are the lengths; with one reference no second pass is needed
+        total("in_hypothesis", 1).alias("sys_len"),
+        total("in_reference", 1).alias("ref_len"),
     )
-    row = totals.withColumn("one", F.lit(1)).join(lengths.withColumn("one", F.lit(1)), "one")
+    if "references" in pairs.columns:
+        # the reference length closest to the hypothesis, the shorter one on a tie
+        closest = F.array_min(
+            F.transform("refs", lambda r: F.struct(F.abs(F.size(r) - F.size("hyp")).alias("d"), F.size(r).alias("n")))
+        )["n"]
+        lengths = words.agg(F.sum(closest).alias("ref_len"), F.lit(1).alias("one"))
+        row = row.drop("ref_len").withColumn("one", F.lit(1)).join(lengths, "one")
     return long_table(
         _finish(row, smoothing), {"bleu": ("bleu", "bleu"), **{f"p{n}": ("bleu", f"precision_{n}") for n in orders}}
     )

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from logloom.functions.text import normalize_text, render_template, token_count, truncate_tokens
 from logloom.operators.prefix import with_position
+from logloom.session import stage
 
 SPLITS = {"train": 0.8, "val": 0.1, "test": 0.1}
 SEED = 42
@@ -189,7 +190,8 @@ def duplicate_flags(df: DataFrame, key: str, text: str = "text") -> DataFrame:
     each ``SALTS`` times, and the rows are joined on (hash, salt): a text that is
     a third of the table is spread over many tasks.
     """
-    hashed = df.select(key, F.md5(normalize_text(F.col(text))).alias("__hash"))
+    # key and hash are written once, so the texts are read and normalised once
+    hashed = stage(df.select(key, F.md5(normalize_text(F.col(text))).alias("__hash")), "text-hashes")
     groups = hashed.groupBy("__hash").agg(F.count("*").alias("copies"), F.min(key).alias("kept")).where("copies > 1")
     salted = groups.withColumn("__salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
     rows = hashed.withColumn("__salt", F.pmod(F.xxhash64(key), F.lit(SALTS)).cast("int"))

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from logloom.functions.text import is_blank, strip
 from logloom.operators.prefix import running
+from logloom.session import stage
 
 
 def json_layout(first_line: Column) -> Column:
@@ -41,8 +42,10 @@ def json_values(lines: DataFrame, layout: str) -> DataFrame:
         between = (F.col("__after") == 0) | ((F.col("__after") == 1) & F.endswith(strip(F.col("line")), F.lit(",")))
     else:
         between = F.col("__after") == 0
+    # written once: the second prefix reads these rows twice
+    marked = stage(deep.withColumn("__cut", between.cast("bigint")), "json-depths")
     grouped = running(
-        deep.withColumn("__cut", between.cast("bigint")), keys, "chunk", ["seq"], __group=("sum", F.col("__cut"))
+        marked, keys, "chunk", ["seq"], __group=("sum", F.col("__cut"))
     )
     # the group may cross a chunk border, so the chunk of its first line is kept
     texts = (

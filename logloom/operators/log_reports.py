@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from logloom.operators.prefix import running
+from logloom.session import stage
 
 FORMATS = ("sql", "json", "csv")
 
@@ -65,7 +66,9 @@ def sessions(df: DataFrame, key: str, ts: str, tie: str, gap_seconds: int, chunk
     previous = running(cut, [key], "__chunk", [ts, tie], __before=("max", F.col(ts)))
     gap = F.unix_micros(ts) - F.unix_micros("__before")
     fresh = F.coalesce((gap > gap_seconds * 1_000_000).cast("bigint"), F.lit(0).cast("bigint"))
+    # written once: the second prefix reads these rows twice
+    marked = stage(previous.withColumn("__fresh", fresh).drop("__before"), "session-marks")
     numbered = running(
-        previous.withColumn("__fresh", fresh), [key], "__chunk", [ts, tie], include_current=True, session=("sum", F.col("__fresh"))
+        marked, [key], "__chunk", [ts, tie], include_current=True, session=("sum", F.col("__fresh"))
     )
-    return numbered.drop("__chunk", "__before", "__fresh")
+    return numbered.drop("__chunk", "__fresh")

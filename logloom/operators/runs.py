@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from logloom.operators.prefix import running
+from logloom.session import stage
 
 # --- checkpoint catalogue --------------------------------------------------
 
@@ -61,7 +62,8 @@ def early_stop(
     )
     gain = F.round(F.col("__best") - F.col("value"), digits)
     improved = F.col("__best").isNull() | (gain > threshold)
-    marked = best.withColumn("__at", F.when(improved, F.col("__index")))
+    # written once: the second prefix reads these rows twice
+    marked = stage(best.select(run, "step", "__chunk", "__index", F.when(improved, F.col("__index")).alias("__at")), "evaluations")
     since = running(marked, [run], "__chunk", ["step"], include_current=True, __last=("max", F.col("__at")))
     streak = F.col("__index") - F.col("__last")
     return since.where(streak >= patience).groupBy(run).agg(F.min("step").alias("stop_step"))
