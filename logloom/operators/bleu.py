@@ -54,20 +54,25 @@ def bleu_score(pairs: DataFrame, tokenizer: str = "13a", smoothing: str = "exp")
     def total(column: str, n: int) -> Column:
         return F.coalesce(F.sum(F.when(F.col("n") == n, F.col(column))), F.lit(0))
 
+    # single words are the lengths; with one reference no second pass is needed
+    reference_order = 1
+    if "references" in pairs.columns:
+        # the reference length closest to the hypothesis, the shorter one on a tie; sent along as order 0
+        closest = F.array_min(
+            F.transform("refs", lambda r: F.struct(F.abs(F.size(r) - F.size("hyp")).alias("d"), F.size(r).alias("n")))
+        )["n"]
+        zero = F.lit(0).cast("bigint")
+        lengths = words.agg(F.sum(closest).alias("in_reference")).select(
+            F.lit(0).alias("n"), zero.alias("matched"), zero.alias("in_hypothesis"), "in_reference"
+        )
+        counts = counts.drop("example_id").unionByName(lengths)
+        reference_order = 0
     row = counts.agg(
         *[total("matched", n).alias(f"m{n}") for n in orders],
         *[total("in_hypothesis", n).alias(f"t{n}") for n in orders],
-        # single words are the lengths; with one reference no second pass is needed
         total("in_hypothesis", 1).alias("sys_len"),
-        total("in_reference", 1).alias("ref_len"),
+        total("in_reference", reference_order).alias("ref_len"),
     )
-    if "references" in pairs.columns:
-        # the reference length closest to the hypothesis, the shorter one on a tie
-        closest = F.array_min(
-            F.transform("refs", lambda r: F.struct(F.abs(F.size(r) - F.size("hyp")).alias("d"), F.size(r).alias("n")))
-        )["n"]
-        lengths = words.agg(F.sum(closest).alias("ref_len"), F.lit(1).alias("one"))
-        row = row.drop("ref_len").withColumn("one", F.lit(1)).join(lengths, "one")
     return long_table(
         _finish(row, smoothing), {"bleu": ("bleu", "bleu"), **{f"p{n}": ("bleu", f"precision_{n}") for n in orders}}
     )

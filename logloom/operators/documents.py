@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from html import unescape
 from html.parser import HTMLParser
 
 import pandas as pd
@@ -19,7 +20,10 @@ BLOCKS = (
     "td tfoot th thead title tr ul"
 ).split()
 # Named character references that are resolved.
-ENTITIES = {"lt": "<", "gt": ">", "quot": '"', "apos": "'", "nbsp": " ", "amp": "&"}
+ENTITIES = {"lt": "<", "gt": ">", "quot": '"', "apos": "'", "nbsp": "\u00a0", "amp": "&"}
+_OTHER_REFERENCE = (
+    rf"&(?!(?:{'|'.join(ENTITIES)});)(?:#[0-9]+|#[xX][0-9a-fA-F]+|[A-Za-z][A-Za-z0-9]*);"
+)
 
 _START, _END = "\u0001", "\u0002"
 TABLES = "array<array<array<string>>>"
@@ -33,21 +37,44 @@ def visible_html(html: Column) -> Column:
     return F.regexp_replace(html, r"(?is)<!--.*?-->|<script\b.*?</script\s*>|<style\b.*?</style\s*>", "")
 
 
+def without_tags(html: Column) -> Column:
+    return F.regexp_replace(html, r"<[^>]*>", "")
+
+
 def plain_text(html: Column) -> Column:
     """Tags removed, common character references resolved (the ampersand last)."""
-    text = F.regexp_replace(html, r"<[^>]*>", "")
+    return _resolved(without_tags(html))
+
+
+def _resolved(text: Column) -> Column:
     for name, character in ENTITIES.items():
         text = F.replace(text, F.lit(f"&{name};"), F.lit(character))
     return text
 
 
+@F.pandas_udf(T.ArrayType(T.StringType()))
+def _resolved_all(texts: pd.Series) -> pd.Series:
+    return texts.map(lambda xs: None if xs is None else [unescape(x) for x in xs])
+
+
 def html_paragraphs(visible: Column) -> Column:
-    """Texts of all ``<p>``; one ends at its end tag or at the next block element."""
+    """Texts of all ``<p>`` without tags; one ends at its end tag or at the next block element."""
     names = "|".join(b for b in BLOCKS)
     marked = F.regexp_replace(visible, r"(?i)<p(?:\s[^>]*)?>", _START)
     marked = F.regexp_replace(marked, rf"(?i)</?(?:{names})(?:\s[^>]*)?/?>", _END)
     pieces = F.regexp_extract_all(marked, F.lit(f"{_START}([^{_START}{_END}]*)"), F.lit(1))
-    return F.filter(F.transform(pieces, plain_text), lambda x: ~is_blank(x))
+    return F.transform(pieces, without_tags)
+
+
+def resolved_paragraphs(raw: Column) -> Column:
+    """Character references resolved and blank paragraphs dropped.
+
+    Only rows with a reference outside the common few go to Python, the others
+    send null.
+    """
+    rare = F.exists(raw, lambda x: x.rlike(_OTHER_REFERENCE))
+    texts = F.coalesce(_resolved_all(F.when(rare, raw)), F.transform(raw, _resolved))
+    return F.filter(texts, lambda x: ~is_blank(x))
 
 
 def html_tables(visible: Column) -> Column:
@@ -66,35 +93,40 @@ def html_tables(visible: Column) -> Column:
 
 
 class _TableParser(HTMLParser):
-    """Tables with tables inside: every row and cell belongs to all tables around it."""
+    """Tables inside tables: a row belongs to every table around it, a cell to every open row."""
 
     def __init__(self):
         super().__init__(convert_charrefs=True)
-        self.tables, self.open, self.cells = [], [], []
+        self.tables, self.open = [], []
 
     def handle_starttag(self, tag, attrs):
         if tag == "table":
             self.tables.append([])
-            self.open.append(self.tables[-1])
-        elif tag == "tr":
-            for table in self.open:
-                table.append([])
+            self.open.append({"table": self.tables[-1], "row": None, "cell": None})
+        elif tag == "tr" and self.open:
+            row = []
+            self.open[-1].update(row=row, cell=None)
+            for level in self.open:
+                level["table"].append(row)
         elif tag in ("td", "th") and self.open:
             cell = []
-            self.cells.append(cell)
-            for table in self.open:
-                if table:
-                    table[-1].append(cell)
+            self.open[-1]["cell"] = cell
+            for level in self.open:
+                if level["row"] is not None:
+                    level["row"].append(cell)
 
     def handle_endtag(self, tag):
         if tag == "table" and self.open:
             self.open.pop()
-        elif tag in ("td", "th") and self.cells:
-            self.cells.pop()
+        elif tag == "tr" and self.open:
+            self.open[-1].update(row=None, cell=None)
+        elif tag in ("td", "th") and self.open:
+            self.open[-1]["cell"] = None
 
     def handle_data(self, data):
-        for cell in self.cells:
-            cell.append(data)
+        for level in self.open:
+            if level["cell"] is not None:
+                level["cell"].append(data)
 
 
 @F.pandas_udf(T.ArrayType(T.ArrayType(T.ArrayType(T.StringType()))))
@@ -135,7 +167,8 @@ def html_documents(
     """Adds ``paragraphs, tables, images, full_text`` (and ``raw_html``) to a table of pages."""
     keep = [c for c in pages.columns if c != html]
     df = pages.withColumn("__visible", visible_html(F.col(html)))
-    df = df.withColumn("paragraphs", html_paragraphs(F.col("__visible")))
+    df = df.withColumn("__raw", html_paragraphs(F.col("__visible")))
+    df = df.withColumn("paragraphs", resolved_paragraphs(F.col("__raw")))
     tables = F.array().cast(TABLES)
     if extract_tables:
         # only pages with a table inside a table go to the parser, the others send null

@@ -79,15 +79,14 @@ def rouge_score(pairs: DataFrame, types: tuple[str, ...] = TYPES, stem: bool = F
     """Plain means over all pairs; a pair without any n-gram of an order counts as zero."""
     scores = rouge_per_example(pairs, types, stem)
     sums = scores.groupBy("rouge_type").agg(*[F.sum(p).alias(p) for p in PARTS])
-    row = sums.agg(
-        *[
-            F.coalesce(F.sum(F.when(F.col("rouge_type") == t, F.col(p))), F.lit(0.0)).alias(f"{t}_{p}")
-            for t in types
-            for p in PARTS
-        ]
+    # the number of pairs travels as one more row, so two one-row tables need no join
+    count = pairs.agg(F.count("*").cast("double").alias("precision")).select(
+        F.lit("pairs").alias("rouge_type"), "precision", F.lit(0.0).alias("recall"), F.lit(0.0).alias("fmeasure")
     )
-    n = pairs.agg(F.count("*").alias("pairs"))
-    # both sides are one row
-    joined = row.withColumn("one", F.lit(1)).join(n.withColumn("one", F.lit(1)), "one")
-    means = joined.select(*[(F.col(f"{t}_{p}") / F.col("pairs")).alias(f"{t}_{p}") for t in types for p in PARTS])
+
+    def total(kind: str, part: str) -> Column:
+        return F.coalesce(F.sum(F.when(F.col("rouge_type") == kind, F.col(part))), F.lit(0.0))
+
+    n = F.nullif(total("pairs", "precision"), F.lit(0.0))
+    means = sums.unionByName(count).agg(*[(total(t, p) / n).alias(f"{t}_{p}") for t in types for p in PARTS])
     return long_table(means, {f"{t}_{p}": (t, p) for t in types for p in PARTS})

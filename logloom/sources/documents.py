@@ -173,7 +173,7 @@ def extract_documents(
     parsed = docx_documents(with_text)
     both = html_documents(parsed.withColumnsRenamed({"paragraphs": "__p", "tables": "__t", "images": "__i"}), "__html", separator, extract_tables, extract_images)
     is_docx = F.col("error").isNull()
-    is_html = ~is_docx & (F.size("paragraphs") > 0)
+    is_html = ~is_docx & F.coalesce(F.size("paragraphs") > 0, F.lit(False))
     none = F.array().cast("array<string>")
     docx_images = F.transform(
         "__i",
