@@ -187,16 +187,17 @@ def _(t):
 
 @query(
     "overwrite_known_keys",
-    f"""WITH {_VECTORS}, base AS (SELECT key, pos, max(value) AS value FROM v WHERE label % 2 = 0 GROUP BY key, pos)
+    f"""WITH {_VECTORS}, base AS (SELECT key, pos, max(value) AS value FROM v WHERE NOT ends_with(key, '.bias') GROUP BY key, pos)
     SELECT base.key, base.pos, round(coalesce(m.value, base.value), 6) AS value FROM base LEFT JOIN m USING (key, pos)""",
 )
 def _(t):
     all_vectors = vectors(t)
-    each = t.embeddings.where("label % 2 = 0").join(
-        all_vectors.select("key").distinct().withColumn("label", F.regexp_extract("key", r"(\d+)", 1).cast("int")), "label"
-    )
-    base = each.select("key", F.posexplode("embedding").alias("pos", "v")).groupBy("key", "pos").agg(
-        F.max(F.col("v").cast("double")).alias("value")
+    # a base without biases: the merged biases are left out, its scales stay as they are
+    base = (
+        all_vectors.where(~F.endswith("key", F.lit(".bias")))
+        .select("key", F.posexplode("vector").alias("pos", "v"))
+        .groupBy("key", "pos")
+        .agg(F.max("v").alias("value"))
     )
     merged = R.weighted_merge(all_vectors, [0, 1, 2], [0.5, 0.25, 0.25])
     done = R.overwrite_known(base, merged, ["key", "pos"])

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from logloom.functions.paths import file_name
 from logloom.operators import log_entries as L
+from logloom.operators.csv_quotes import join_quoted_lines
 from logloom.operators.json_texts import json_layout, json_values
 from logloom.operators.log_reports import FORMATS, union_formats
 from logloom.operators.sql_scripts import statements_from_lines
@@ -55,7 +56,7 @@ def log_entries(lines: DataFrame, source_format: str = "auto", start=None, end=N
     return {
         "sql": L.sql_entries(statements_from_lines(lines_of("source_format = 'sql'")), start, end),
         "json": json,
-        "csv": L.csv_entries(lines_of("source_format = 'csv'"), start, end, policy=policy),
+        "csv": L.csv_entries(join_quoted_lines(lines_of("source_format = 'csv'")), start, end, policy=policy),
     }
 
 

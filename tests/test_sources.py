@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 from logloom.operators import log_entries as L
 from logloom.operators import log_reports as R
 from logloom.operators import sql_scripts
+from logloom.operators.csv_quotes import join_quoted_lines
 from logloom.operators.json_texts import json_layout, json_values
 from logloom.sources import lines as S
 from logloom.sources import logs as G
@@ -100,3 +101,30 @@ def test_json_layout(spark):
     cases = {"[": "array", '[{"a":1}]': "array", "{": "object", '{"a":': "lines", '{"a": {': "object", '{"a":1}': "lines", "{bad": "lines"}
     df = spark.createDataFrame([(x,) for x in cases], "x string")
     assert {r.x: r.l for r in df.select("x", json_layout(F.col("x")).alias("l")).collect()} == cases
+
+
+def test_quoted_line_breaks(spark):
+    import csv
+    import io
+    import random
+
+    rng = random.Random(5)
+    values = ["a", 'say "x"', "two\nlines", "c,d", "", "\n", 'q"', "e;f"]
+    files = {}
+    for f in range(12):
+        out = io.StringIO()
+        rows = [[rng.choice(values) for _ in range(3)] for _ in range(rng.randint(1, 25))]
+        csv.writer(out, lineterminator="\n").writerows([["x", "y", "z"], *rows])
+        files[f"f{f}.csv"] = (out.getvalue(), rows)
+    table = [
+        (name, (i // 4) * 4, i, line) for name, (text, _) in files.items() for i, line in enumerate(text.rstrip("\n").split("\n"))
+    ]
+    lines = spark.createDataFrame(table, "source_file string, chunk bigint, seq bigint, line string")
+    got = {}
+    for r in L.csv_records(join_quoted_lines(lines)).orderBy("source_file", "entry_index").collect():
+        got.setdefault(r.source_file, []).append(r["__raw"])
+    for name, (text, rows) in files.items():
+        # a row of three empty fields is ",,", never a blank line
+        assert got.get(name, []) == rows, name
+    odd = lines_of(spark, {"a.csv": 'x,y\n5" pipe,1\nz,2'})
+    assert join_quoted_lines(odd).count() == 3
