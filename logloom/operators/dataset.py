@@ -103,13 +103,19 @@ def first_rows(df: DataFrame, n: int, order: list[str], chunk: Column | None = N
     """The first ``n`` rows; ``n <= 0`` keeps all.
 
     Small caps are a top-k. Large ones are counted per ``chunk`` (which follows
-    the order) and cut by position, so no task sorts or holds ``n`` rows.
+    the order) and cut by position, so no task sorts or holds ``n`` rows. Without
+    a chunk column the ranges of a distributed sort are used, written once so
+    that they stay the same.
     """
     if n <= 0:
         return df
-    if n <= TOP_LIMIT or chunk is None:
+    if n <= TOP_LIMIT:
         return df.orderBy(*order).limit(n)
-    placed = with_position(df.withColumn("__chunk", chunk), [], "__chunk", order, "__position")
+    if chunk is None:
+        cut = stage(df.orderBy(*order).withColumn("__chunk", F.spark_partition_id()), "sorted-rows")
+    else:
+        cut = df.withColumn("__chunk", chunk)
+    placed = with_position(cut, [], "__chunk", order, "__position")
     return placed.where(F.col("__position") < n).select(*df.columns)
 
 

@@ -132,14 +132,19 @@ def _first_dated(pairs: list[tuple[str, Column]], formats: list[str] | None) ->
 
 def _first_truthy(values: list[Column]) -> Column:
     """Text of the first JSON value that is not null, false, zero or an empty string, list or object."""
-    shown = F.transform(F.array(*values), lambda v: F.struct(F.to_json(v).alias("json"), v.cast("string").alias("text")))
+    shown = F.transform(
+        F.filter(F.array(*values), lambda v: v.isNotNull()),
+        lambda v: F.struct(F.schema_of_variant(v).alias("kind"), v.cast("string").alias("text")),
+    )
+    empty = ["false", "[]", "{}"]
     full = F.filter(
         shown,
-        lambda s: ~s["json"].isin("null", "false", '""', "[]", "{}")
-        & ~s["json"].rlike(r"^-?0(?:\.0*)?(?:[eE][+-]?\d+)?$"),
+        lambda s: F.when(s["kind"] == "STRING", s["text"] != "").otherwise(
+            ~s["text"].isin(empty) & ~s["text"].rlike(r"^-?0(?:\.0*)?(?:[eE][+-]?\d+)?$")
+        ),
     )
     first = F.get(full, F.lit(0))
-    return F.when(first["json"] == "true", "True").otherwise(first["text"])
+    return F.when(first["kind"] == "BOOLEAN", "True").otherwise(first["text"])
 
 
 def json_columns(lines: DataFrame, formats: list[str] | None = None) -> DataFrame:
@@ -158,7 +163,7 @@ def json_columns(lines: DataFrame, formats: list[str] | None = None) -> DataFram
         F.coalesce(_first_truthy([F.element_at(record, n) for n in TYPE_FIELDS]), F.lit("JSON")).alias("log_type"),
         F.to_json(record).alias("raw_content"),
         F.size(F.array_distinct(F.map_keys(record))).cast("bigint").alias("field_count"),
-        F.exists(F.map_values(record), lambda v: F.startswith(F.to_json(v), F.lit("{"))).alias("has_nested_objects"),
+        F.exists(F.map_values(record), lambda v: F.startswith(F.schema_of_variant(v), F.lit("OBJECT"))).alias("has_nested_objects"),
     )
 
 

@@ -57,7 +57,7 @@ def processing_stats(files: DataFrame, entries: DataFrame) -> DataFrame:
     )
 
 
-def sessions(df: DataFrame, key: str, ts: str, tie: str, gap_seconds: int, chunk: str = "day") -> DataFrame:
+def sessions(df: DataFrame, key: str, ts: str, tie: str, gap_seconds: int, chunk: str = "hour") -> DataFrame:
     """Session number per key: a pause longer than ``gap_seconds`` starts the next one.
 
     Cut by calendar unit so a very busy key spreads over many tasks.

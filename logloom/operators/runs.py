@@ -8,6 +8,8 @@ from pyspark.sql import functions as F
 from logloom.operators.prefix import running
 from logloom.session import stage
 
+STEPS_PER_CHUNK = 100_000
+
 # --- checkpoint catalogue --------------------------------------------------
 
 
@@ -55,7 +57,8 @@ def early_stop(
     An evaluation improves if it is the first or beats the best before it by more
     than ``threshold``. ``evaluations`` has ``step`` and ``value`` (lower is better).
     """
-    cut = evaluations.select(run, "step", "value", (chunk if chunk is not None else F.lit(0)).alias("__chunk"))
+    steps = F.col("step") - F.col("step") % STEPS_PER_CHUNK
+    cut = evaluations.select(run, "step", "value", (chunk if chunk is not None else steps).alias("__chunk"))
     best = running(
         cut, [run], "__chunk", ["step"],
         __best=("min", F.col("value")), __index=("sum", F.lit(1).cast("bigint")),

@@ -12,6 +12,7 @@ DEFAULTS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    "spark.sql.execution.arrow.maxBytesPerBatch": str(64 * 1024 * 1024),
 }
 
 
@@ -31,6 +32,14 @@ def use_utc(spark: SparkSession) -> SparkSession:
     return spark
 
 
+def bound_arrow_batches(spark: SparkSession, size: int = 64 * 1024 * 1024) -> None:
+    """Batches of file contents are limited by bytes, not only by rows."""
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    current = int(spark.conf.get(key))
+    if current <= 0 or current > size:
+        spark.conf.set(key, str(size))
+
+
 def shared_folder(spark: SparkSession) -> str:
     """The folder all executors can read and write: ``spark.checkpoint.dir``.
 

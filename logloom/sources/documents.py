@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import io
 import posixpath
+import re
 import xml.etree.ElementTree as ET
 import zipfile
 from collections.abc import Iterator
@@ -12,8 +13,9 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from logloom.operators.dataset import first_rows
+from logloom.operators.dataset import TOP_LIMIT, first_rows
 from logloom.operators.documents import html_documents
+from logloom.session import bound_arrow_batches
 
 EXTENSIONS = (".docx", ".doc")
 
@@ -40,6 +42,7 @@ def find_documents(
     spark: SparkSession, path: str, recursive: bool = True, extensions: tuple[str, ...] = EXTENSIONS, max_documents: int = -1
 ) -> DataFrame:
     """``path, length, content``; a cap is taken in extension order, then by path, before any file is read."""
+    bound_arrow_batches(spark)
     glob = "*{" + ",".join(extensions) + "}"
     reader = spark.read.format("binaryFile").option("recursiveFileLookup", recursive)
     files = reader.option("pathGlobFilter", glob).load(path)
@@ -49,6 +52,10 @@ def find_documents(
     for i, extension in enumerate(extensions):
         rank = F.when(F.endswith("path", F.lit(extension)), i).otherwise(rank)
     chosen = first_rows(files.select("path", rank.alias("rank")), max_documents, ["rank", "path"])
+    if max_documents <= TOP_LIMIT:
+        # a bounded list of names, so that only these files are opened
+        names = [re.sub(r"([\[\]{}*?\\])", r"\\\1", r.path) for r in chosen.select("path").collect()]
+        return reader.load(names).select("path", "length", "content") if names else files.limit(0).select("path", "length", "content")
     return files.join(chosen.select("path"), "path", "left_semi").select("path", "length", "content")
 
 
@@ -138,6 +145,7 @@ def docx_documents(files: DataFrame) -> DataFrame:
 
     The bytes go in and do not come out again.
     """
+    bound_arrow_batches(files.sparkSession)
     keep = [f"`{f.name}` {f.dataType.simpleString()}" for f in files.schema if f.name != "content"]
     names = [f.name for f in files.schema if f.name != "content"]
     fields = ["paragraphs", "tables", "images", "headers", "footers", "properties", "error"]

@@ -49,6 +49,11 @@ FULL = package(
 def test_word_folder(spark, tmp_path):
     (tmp_path / "sub").mkdir()
     (tmp_path / "full.docx").write_bytes(FULL)
+    odd = tmp_path / "odd"
+    odd.mkdir()
+    (odd / "a [1] {x}.docx").write_bytes(FULL)
+    assert S.find_documents(spark, str(odd), max_documents=3).count() == 1
+    (odd / "a [1] {x}.docx").unlink()
     (tmp_path / "sub" / "short.docx").write_bytes(package(p("tiny")))
     (tmp_path / "sub" / "web.doc").write_bytes("<html><p>Ünï &amp; code</p></html>".encode())
     (tmp_path / "sub" / "old.doc").write_bytes(b"\xd0\xcf\x11\xe0\xa1\xb1\x1a\xe1")

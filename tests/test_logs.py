@@ -228,3 +228,13 @@ def test_entry_json(spark):
         '"processed_content":{"n":{"x":null},"type":"é"},'
         '"metadata":{"field_count":2,"has_nested_objects":true},"processing_info":{"index":0,"timestamp_field":null}}'
     )
+
+
+def test_json_truthiness(spark):
+    cases = {
+        '{"type":"0"}': "0", '{"type":"false"}': "false", '{"type":false,"level":"x"}': "x", '{"type":[],"event":{},"level":null,"severity":0.0,"category":"c"}': "c",
+        '{"type":[1]}': "[1]", '{"type":{"a":1}}': '{"a":1}', '{"type":7}': "7", '{"type":null}': "JSON", '{"type":" "}': " ",
+    }
+    lines = lines_of(spark, {"a": "\n".join(cases)})
+    got = [r.log_type for r in L.json_entries(lines).orderBy("entry_index").collect()]
+    assert got == list(cases.values())

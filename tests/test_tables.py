@@ -48,6 +48,8 @@ def test_caps(spark):
     assert [r.id for r in D.first_rows(df, 3, ["id"]).collect()] == [0, 1, 2]
     big = D.first_rows(df, 12345, ["id"], F.col("c"))
     assert (big.count(), big.agg(F.max("id")).first()[0]) == (12345, 12344)
+    by_sort = D.first_rows(df.select("id").repartition(5), 12345, ["id"])
+    assert (by_sort.count(), by_sort.agg(F.max("id")).first()[0]) == (12345, 12344)
     assert D.random_rows(df, 12000, "id").distinct().count() == 12000
 
 
