@@ -1,4 +1,4 @@
-"""Stemming of word lists after Porter (1980), as a vectorised helper."""
+"""Stemming of word lists after Porter (1980), with the usual later additions, as a vectorised helper."""
 
 from __future__ import annotations
 
@@ -13,9 +13,15 @@ from pyspark.sql import types as T
 STEP2 = {
     "ational": "ate", "tional": "tion", "enci": "ence", "anci": "ance", "izer": "ize", "bli": "ble", "alli": "al",
     "entli": "ent", "eli": "e", "ousli": "ous", "ization": "ize", "ation": "ate", "ator": "ate", "alism": "al",
-    "iveness": "ive", "fulness": "ful", "ousness": "ous", "aliti": "al", "iviti": "ive", "biliti": "ble", "logi": "log",
+    "iveness": "ive", "fulness": "ful", "ousness": "ous", "aliti": "al", "iviti": "ive", "biliti": "ble", "fulli": "ful",
 }
 STEP3 = {"icate": "ic", "ative": "", "alize": "al", "iciti": "ic", "ical": "ic", "ful": "", "ness": ""}
+# Words with a stem of their own.
+IRREGULAR = {
+    "skies": "sky", "sky": "sky", "dying": "die", "lying": "lie", "tying": "tie", "news": "news", "innings": "inning", "inning": "inning",
+    "outings": "outing", "outing": "outing", "cannings": "canning", "canning": "canning", "howe": "howe", "proceed": "proceed",
+    "exceed": "exceed", "succeed": "succeed",
+}
 STEP4 = (
     "al ance ence er ic able ible ant ement ment ent sion tion ou ism ate iti ous ive ize"
 ).split()
@@ -35,8 +41,9 @@ def _measure(stem: str) -> int:
 
 
 def _short_end(stem: str) -> bool:
-    """consonant-vowel-consonant, the last one not w, x or y"""
-    return _shape(stem).endswith("cvc") and stem[-1] not in "wxy"
+    """consonant-vowel-consonant, the last one not w, x or y; or just vowel-consonant"""
+    shape = _shape(stem)
+    return (shape.endswith("cvc") and stem[-1] not in "wxy") or shape == "vc"
 
 
 def _replace(word: str, table: dict[str, str], least: int) -> str:
@@ -50,16 +57,22 @@ def _replace(word: str, table: dict[str, str], least: int) -> str:
 @lru_cache(maxsize=200_000)
 def stem(word: str) -> str:
     """Porter's algorithm; words of up to two letters stay."""
+    if word in IRREGULAR:
+        return IRREGULAR[word]
     if len(word) <= 2:
         return word
     # 1a plurals
-    if word.endswith("sses") or word.endswith("ies"):
+    if word.endswith("ies"):
+        word = word[:-1] if len(word) == 4 else word[:-2]
+    elif word.endswith("sses"):
         word = word[:-2]
     elif word.endswith("s") and not word.endswith("ss"):
         word = word[:-1]
     # 1b past and progressive
     ending = re.search("(eed|ed|ing)$", word)
-    if ending:
+    if word.endswith("ied"):
+        word = word[:-1] if len(word) == 4 else word[:-2]
+    elif ending:
         base = word[: ending.start()]
         if ending.group() == "eed":
             word = base + "ee" if _measure(base) > 0 else word
@@ -72,9 +85,15 @@ def stem(word: str) -> str:
             elif _measure(word) == 1 and _short_end(word):
                 word += "e"
     # 1c final y
-    if word.endswith("y") and "v" in _shape(word[:-1]):
+    if word.endswith("y") and len(word) > 2 and _shape(word[:-1])[-1] == "c":
         word = word[:-1] + "i"
-    word = _replace(word, STEP2, 1)
+    # 2: -alli is cut first and the rest looked at again; -logi keeps its l when measured
+    if word.endswith("alli") and _measure(word[:-4]) > 0:
+        word = word[:-2]
+    if word.endswith("logi"):
+        word = word[:-1] if _measure(word[:-3]) > 0 else word
+    else:
+        word = _replace(word, STEP2, 1)
     word = _replace(word, STEP3, 1)
     # 4: -ion needs s or t before it
     for suffix in sorted((s for s in STEP4 if word.endswith(s)), key=len, reverse=True)[:1]:

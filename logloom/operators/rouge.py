@@ -52,7 +52,7 @@ def _parts(matched: Column, in_hypothesis: Column, in_reference: Column) -> list
     ]
 
 
-def rouge_per_example(pairs: DataFrame, types: tuple[str, ...] = TYPES, stem: bool = False) -> DataFrame:
+def rouge_per_example(pairs: DataFrame, types: tuple[str, ...] = TYPES, stem: bool = True) -> DataFrame:
     """``example_id, rouge_type, precision, recall, fmeasure``."""
     words = pairs.select(
         "example_id", rouge_words(F.col("prediction"), stem).alias("hyp"), rouge_words(F.col("reference"), stem).alias("ref")
@@ -75,7 +75,7 @@ def rouge_per_example(pairs: DataFrame, types: tuple[str, ...] = TYPES, stem: bo
     return reduce(DataFrame.unionByName, parts)
 
 
-def rouge_score(pairs: DataFrame, types: tuple[str, ...] = TYPES, stem: bool = False) -> DataFrame:
+def rouge_score(pairs: DataFrame, types: tuple[str, ...] = TYPES, stem: bool = True) -> DataFrame:
     """Plain means over all pairs; a pair without any n-gram of an order counts as zero."""
     scores = rouge_per_example(pairs, types, stem)
     sums = scores.groupBy("rouge_type").agg(*[F.sum(p).alias(p) for p in PARTS])

@@ -15,6 +15,7 @@ from logloom.operators import documents as H
 from logloom.operators import evaluation, runs
 from logloom.operators import log_entries as L
 from logloom.operators.dataset import first_rows, split_name
+from logloom.operators.log_reports import processing_stats
 from logloom.plans import rendered
 from logloom.plans.dataset_queries import _BUCKET, documents_as_rows
 from logloom.plans.metric_queries import EDITED_SQL, LOSS_SQL, batch_losses, edited_pairs, model_scores
@@ -101,6 +102,12 @@ def _(t):
 _NS = 'xmlns:w="http://schemas.openxmlformats.org/wordprocessingml/2006/main"'
 
 
+_PICTURE_RELATION = (
+    '<Relationships xmlns="http://schemas.openxmlformats.org/package/2006/relationships"><Relationship Id="r1" '
+    'Type="http://schemas.openxmlformats.org/officeDocument/2006/relationships/image" Target="media/image1.png"/></Relationships>'
+)
+
+
 @F.pandas_udf(T.BinaryType())
 def word_package(texts: pd.Series, titles: pd.Series) -> pd.Series:
     """A minimal package: one paragraph per line, a two-cell table, a title; broken where the text is null."""
@@ -124,6 +131,8 @@ def word_package(texts: pd.Series, titles: pd.Series) -> pd.Series:
         with zipfile.ZipFile(out, "w", zipfile.ZIP_DEFLATED) as z:
             z.writestr("word/document.xml", body)
             z.writestr("docProps/core.xml", core)
+            z.writestr("word/_rels/document.xml.rels", _PICTURE_RELATION)
+            z.writestr("word/media/image1.png", f"picture of {title}".encode())
         return out.getvalue()
 
     return pd.Series([one(x, y) for x, y in zip(texts, titles)], dtype=object)
@@ -186,9 +195,32 @@ def _(t):
     return H.with_metadata(docs, "/in").select("doc_id", "metadata.filename", "metadata.category", "metadata.file_type")
 
 
+@query(
+    "document_images",
+    "SELECT doc_id, 'image1.png' AS filename, base64(encode('picture of ' || source)) AS data FROM documents WHERE doc_id % 50 NOT IN (0, 25)",
+)
+def _(t):
+    # damaged and HTML files have no pictures
+    docs = documents.extract_documents(word_files(t), extract_tables=False, extract_images=True)
+    return K.image_table(docs, "doc_id").select("doc_id", "filename", F.base64("data").alias("data"))
+
+
 # --- sinks, read back ---
 
 
+@query(
+    "stats_sink",
+    f"WITH {EVENT_SQL} SELECT count(DISTINCT source_file) AS total_files, count(*) AS total_entries, count(*) AS entries_json FROM entries",
+)
+def _(t):
+    path = new_path(t.spark, "stats")
+    lines = rendered.event_lines(t.wide("events"))
+    files = lines.select("source_file").distinct()
+    K.write_stats(processing_stats(files, L.json_entries(lines).select("source_file", "source_format")), path)
+    back = t.spark.read.schema("total_files bigint, total_entries bigint, entries_by_format map<string,bigint>").json(path)
+    return back.select("total_files", "total_entries", F.col("entries_by_format")["json"].alias("entries_json"))
+
+
 @query(
     "entry_sink",
     f"WITH {EVENT_SQL} SELECT source_file, log_type, count(*) AS entries, sum(entry_index)::BIGINT AS index_sum FROM entries GROUP BY ALL",

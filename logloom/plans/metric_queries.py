@@ -239,17 +239,17 @@ _ROUGE_ITEMS = [
 
 @query("rouge_1_2", _long(_ROUGE_ITEMS, "clipped", _ROUGE))
 def _(t):
-    return rounded(rouge.rouge_score(turn_pairs(t), ("rouge1", "rouge2")))
+    return rounded(rouge.rouge_score(turn_pairs(t), ("rouge1", "rouge2"), stem=False))
 
 
 @query("rouge_l")
 def _(t):
-    return rounded(rouge.rouge_score(turn_pairs(t), ("rougeL",)))
+    return rounded(rouge.rouge_score(turn_pairs(t), ("rougeL",), stem=False))
 
 
 @query("rouge_stemmed")
 def _(t):
-    return rounded(rouge.rouge_score(turn_pairs(t), stem=True))
+    return rounded(rouge.rouge_score(turn_pairs(t)))
 
 
 @query(
@@ -258,7 +258,7 @@ def _(t):
       round(coalesce(matched / nullif(nr, 0), 0)::DOUBLE, 6) AS recall, round((2 * matched / (nh + nr))::DOUBLE, 6) AS fmeasure FROM clipped""",
 )
 def _(t):
-    scores = rouge.rouge_per_example(turn_pairs(t), ("rouge1", "rouge2"))
+    scores = rouge.rouge_per_example(turn_pairs(t), ("rouge1", "rouge2"), stem=False)
     return scores.select("example_id", "rouge_type", *[F.round(p, 6).alias(p) for p in rouge.PARTS])
 
 

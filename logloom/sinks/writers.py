@@ -103,47 +103,48 @@ def serializable(df: DataFrame) -> DataFrame:
 
 # --- report ---
 
-_SECTIONS = {
-    "perplexity": ("Perplexity", {"perplexity": "Perplexity", "avg_loss": "Average Loss", "total_tokens": "Total Tokens"}),
-    "exact_match": ("Exact Match", {None: "Score"}),
-    "accuracy": ("Accuracy", {None: "Score"}),
-    "f1": ("F1 Score", {"f1": "F1", "precision": "Precision", "recall": "Recall"}),
-}
+# The headings and labels of the report.
+TITLE = "# Model Evaluation Report"
+SUMMARY = "## Metrics Summary"
+EXAMPLES = "## Generation Examples"
+ROUGE_TABLE = ["### ROUGE Scores", "", "| Metric | Precision | Recall | F1 |", "|--------|-----------|--------|----|"]
+SECTIONS = [
+    ("perplexity", "### Perplexity", {"perplexity": "Perplexity", "avg_loss": "Average Loss", "total_tokens": "Total Tokens"}),
+    ("bleu", "### BLEU Score", {"bleu": "BLEU", **{f"precision_{n}": f"{n}-gram" for n in range(1, 5)}}),
+    ("exact_match", "### Exact Match", {None: "Score"}),
+    ("accuracy", "### Accuracy", {None: "Score"}),
+    ("f1", "### F1 Score", {"f1": "F1", "precision": "Precision", "recall": "Recall"}),
+]
+DOMAIN = "### Domain-Specific Metrics"
+EXAMPLE_FIELDS = {"prompt": "Prompt", "reference": "Reference", "prediction": "Prediction"}
+
+
+def _number(sub: str | None, value: float) -> str:
+    return f"{value:.0f}" if sub == "total_tokens" else f"{value:.4f}"
 
 
 def render_report(scores: DataFrame, model: str, examples: DataFrame | None = None, now: dt.datetime | None = None) -> str:
     """Markdown of a scores table (a few dozen rows) and of the chosen examples."""
-    values = {(r.metric, r.sub_metric): r.value for r in scores.collect()}
+    values = {(r.metric, r.sub_metric): r.value for r in scores.collect() if r.value is not None}
     stamp = (now or dt.datetime.now()).strftime("%Y-%m-%d %H:%M:%S")
-    out = ["# Model Evaluation Report", "", f"**Model:** {model}", f"**Date:** {stamp}", "", "## Metrics Summary", ""]
-    rouge = sorted({m for m, s in values if m.startswith("rouge")})
+    blocks = [[TITLE, "", f"**Model:** {model}", f"**Date:** {stamp}"], [SUMMARY]]
+    rouge = sorted({m for m, _ in values if m.startswith("rouge")})
     if rouge:
-        out += ["### ROUGE Scores", "", "| Metric | Precision | Recall | F1 |", "|--------|-----------|--------|----|"]
-        out += [
-            "| " + " | ".join([m] + [f"{values[m, p]:.4f}" for p in ("precision", "recall", "fmeasure")]) + " |" for m in rouge
-        ] + [""]
-    if ("bleu", "bleu") in values:
-        out += ["### BLEU Score", "", f"- **BLEU:** {values['bleu', 'bleu']:.4f}", "- **N-gram Precisions:**"]
-        out += [f"  - {n}-gram: {values['bleu', f'precision_{n}']:.4f}" for n in range(1, 5)] + [""]
-    for metric, (title, names) in _SECTIONS.items():
-        lines = [
-            f"- **{label}:** {values[metric, sub]:.0f}" if sub == "total_tokens" else f"- **{label}:** {values[metric, sub]:.4f}"
-            for sub, label in names.items()
-            if (metric, sub) in values
-        ]
-        if lines:
-            out += [f"### {title}", "", *lines, ""]
-    domain = [f"- **{s}:** {v:.4f}" for (m, s), v in sorted(values.items(), key=str) if m == "domain"]
+        cells = [[m] + [_number(p, values[m, p]) for p in ("precision", "recall", "fmeasure")] for m in rouge]
+        blocks.append(ROUGE_TABLE + ["| " + " | ".join(row) + " |" for row in cells])
+    for metric, heading, labels in SECTIONS:
+        items = [f"- **{label}:** {_number(s, values[metric, s])}" for s, label in labels.items() if (metric, s) in values]
+        if items:
+            blocks.append([heading, "", *items])
+    domain = sorted((s, v) for (m, s), v in values.items() if m == "domain")
     if domain:
-        out += ["### Domain-Specific Metrics", "", *domain, ""]
+        blocks.append([DOMAIN, "", *[f"- **{s}:** {_number(s, v)}" for s, v in domain]])
     if examples is not None:
-        out += ["## Generation Examples", ""]
-        for i, r in enumerate(examples.select("prompt", "reference", "prediction").collect(), 1):
-            out += [f"### Example {i}", ""]
-            for label, text in (("Prompt", r.prompt), ("Reference", r.reference), ("Prediction", r.prediction)):
-                out += [f"**{label}:**", "```", str(text), "```", ""]
-            out += ["---", ""]
-    return "\n".join(out)
+        blocks.append([EXAMPLES])
+        for i, row in enumerate(examples.select(*EXAMPLE_FIELDS).collect(), 1):
+            shown = [line for c, label in EXAMPLE_FIELDS.items() for line in (f"**{label}:**", "```", str(row[c]), "```", "")]
+            blocks.append([f"### Example {i}", "", *shown, "---"])
+    return "\n\n".join("\n".join(block) for block in blocks) + "\n"
 
 
 def write_report(scores: DataFrame, folder: str, model: str, examples: DataFrame | None = None, now: dt.datetime | None = None) -> str:
