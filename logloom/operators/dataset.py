@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from logloom.functions.text import normalize_text, render_template, token_count, truncate_tokens
+from logloom.operators.columns import small_or_shuffled
 from logloom.operators.prefix import with_position
 from logloom.session import stage
 
@@ -59,8 +60,7 @@ def tokenized(df: DataFrame, max_tokens: int, text: str = "text", keep: list[str
 
 def with_category(df: DataFrame, categories: DataFrame, on: str, broadcast_rows: int = 100_000) -> DataFrame:
     """Left join with a category table; broadcast only if it is small, otherwise a shuffled join."""
-    small = categories.limit(broadcast_rows + 1).count() <= broadcast_rows
-    return df.join(F.broadcast(categories) if small else categories, on, "left")
+    return df.join(small_or_shuffled(categories, broadcast_rows), on, "left")
 
 
 # --- splits, caps, order ---------------------------------------------------

@@ -11,6 +11,8 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from logloom.functions.paths import suffix
+from logloom.functions.text import is_blank
+from logloom.operators.columns import small_or_shuffled
 from logloom.session import stage
 
 LOG_GLOB = "*.*"
@@ -82,11 +84,17 @@ def detect_format(name: Column, head: Column) -> Column:
 
 
 def file_formats(lines: DataFrame) -> DataFrame:
-    """``source_file, source_format, header`` from the first five lines of every file."""
-    # the rank limit runs before the shuffle, so a long file sends five lines per task
-    first = Window.partitionBy("source_file").orderBy("chunk", "seq")
+    """``source_file, source_format, header`` from the first five lines of every file.
+
+    The first position of each file comes from a pruned aggregate; only lines of
+    its first chunk are looked at after that.
+    """
+    first_chunk = lines.groupBy("source_file").agg(F.min("chunk").alias("chunk"))
+    opening = lines.join(small_or_shuffled(first_chunk), ["source_file", "chunk"], "left_semi")
+    # the rank limit runs before the shuffle: a task sends five lines per file
+    order = Window.partitionBy("source_file").orderBy("seq")
     head = (
-        lines.withColumn("__n", F.row_number().over(first))
+        opening.withColumn("__n", F.row_number().over(order))
         .where("__n <= 5")
         .groupBy("source_file")
         .agg(F.sort_array(F.collect_list(F.struct("__n", "line"))).alias("__head"))
@@ -95,5 +103,5 @@ def file_formats(lines: DataFrame) -> DataFrame:
     return head.select(
         "source_file",
         detect_format(F.col("source_file"), F.array_join("__lines", "\n")).alias("source_format"),
-        F.col("__lines")[0].alias("header"),
+        F.get(F.filter("__lines", lambda x: ~is_blank(x)), F.lit(0)).alias("header"),
     )

@@ -7,10 +7,12 @@ from pyspark.sql import functions as F
 
 from logloom.functions.paths import file_name
 from logloom.operators import log_entries as L
+from logloom.operators.columns import small_or_shuffled
 from logloom.operators.csv_quotes import join_quoted_lines
 from logloom.operators.json_texts import json_layout, json_values
 from logloom.operators.log_reports import FORMATS, union_formats
 from logloom.operators.sql_scripts import statements_from_lines
+from logloom.session import stage
 from logloom.sources import lines as S
 
 COMMON = ["source_file", "source_format", "log_type", "timestamp", "raw_content", "entry_index"]
@@ -38,11 +40,17 @@ def log_entries(lines: DataFrame, source_format: str = "auto", start=None, end=N
     if source_format != "auto":
         formats = formats.withColumn("source_format", F.lit(source_format))
     formats = formats.withColumn("layout", json_layout(F.col("header"))).drop("header")
-    # keyed on (file, chunk), so lines of one huge file are spread over its chunks
-    per_chunk = lines.select("source_file", "chunk").distinct().join(formats, "source_file")
+    # one row per file, written once: every format asks it which files it has
+    formats = stage(formats, "file-formats")
 
     def lines_of(condition: str) -> DataFrame:
-        return lines.join(per_chunk.where(condition).select("source_file", "chunk"), ["source_file", "chunk"], "left_semi")
+        wanted = formats.where(condition).select("source_file")
+        chosen = small_or_shuffled(wanted)
+        if chosen is not wanted:
+            return lines.join(chosen, "source_file", "left_semi")
+        # too many files to broadcast: keyed on (file, chunk), so one huge file is spread
+        chunks = lines.select("source_file", "chunk").distinct().join(wanted, "source_file", "left_semi")
+        return lines.join(chunks, ["source_file", "chunk"], "left_semi")
 
     json = union_formats(
         {
