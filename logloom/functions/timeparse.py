@@ -55,7 +55,7 @@ def _translate(fmt: str) -> tuple[str, str]:
 
 def _epoch(x: Column) -> Column:
     """Digits with at most one dot: seconds, or milliseconds above 1e10."""
-    number = F.expr("try_cast(NULL AS DOUBLE)") if x is None else x.try_cast("double")
+    number = x.try_cast("double")
     seconds = F.when(number > 1e10, number / 1000).otherwise(number)
     return F.when(
         x.rlike(r"^(?:\d+\.?\d*|\.\d+)$") & (seconds < _YEAR_10000),
