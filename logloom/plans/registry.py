@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import TimestampNTZType
 
-from logloom.session import use_utc
+from logloom.session import ship_package, use_utc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -18,7 +18,7 @@ class Tables:
     """The given tables of one folder as attributes."""
 
     def __init__(self, spark: SparkSession, folder: str):
-        self.spark, self.folder = use_utc(spark), folder
+        self.spark, self.folder = ship_package(use_utc(spark)), folder
 
     def __getattr__(self, name: str) -> DataFrame:
         table = self.spark.read.parquet(f"{self.folder}/{name}.parquet")

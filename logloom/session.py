@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import os
 import tempfile
 import uuid
+import zipfile
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -12,8 +14,8 @@ DEFAULTS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
-    "spark.sql.execution.arrow.maxBytesPerBatch": str(64 * 1024 * 1024),
 }
+_SHIPPED: dict[str, str] = {}
 
 
 def build_session(app: str = "logloom", master: str | None = None, **conf) -> SparkSession:
@@ -32,12 +34,24 @@ def use_utc(spark: SparkSession) -> SparkSession:
     return spark
 
 
-def bound_arrow_batches(spark: SparkSession, size: int = 64 * 1024 * 1024) -> None:
-    """Batches of file contents are limited by bytes, not only by rows."""
-    key = "spark.sql.execution.arrow.maxBytesPerBatch"
-    current = int(spark.conf.get(key))
-    if current <= 0 or current > size:
-        spark.conf.set(key, str(size))
+def ship_package(spark: SparkSession) -> SparkSession:
+    """Python workers can import this package wherever the job was started from.
+
+    The sources are sent once per application, as one zip that Spark serves.
+    """
+    context = spark.sparkContext
+    if _SHIPPED.get("application") != context.applicationId:
+        folder = tempfile.mkdtemp(prefix="logloom-code-")
+        top = os.path.dirname(os.path.abspath(__file__))
+        archive = os.path.join(folder, "logloom_code.zip")
+        with zipfile.ZipFile(archive, "w") as out:
+            for path, _, names in os.walk(top):
+                for name in sorted(n for n in names if n.endswith(".py")):
+                    full = os.path.join(path, name)
+                    out.write(full, os.path.relpath(full, os.path.dirname(top)))
+        context.addPyFile(archive)
+        _SHIPPED["application"] = context.applicationId
+    return spark
 
 
 def shared_folder(spark: SparkSession) -> str:

@@ -15,7 +15,6 @@ from pyspark.sql import functions as F
 
 from logloom.operators.dataset import TOP_LIMIT, first_rows
 from logloom.operators.documents import html_documents
-from logloom.session import bound_arrow_batches
 
 EXTENSIONS = (".docx", ".doc")
 
@@ -42,7 +41,6 @@ def find_documents(
     spark: SparkSession, path: str, recursive: bool = True, extensions: tuple[str, ...] = EXTENSIONS, max_documents: int = -1
 ) -> DataFrame:
     """``path, length, content``; a cap is taken in extension order, then by path, before any file is read."""
-    bound_arrow_batches(spark)
     glob = "*{" + ",".join(extensions) + "}"
     reader = spark.read.format("binaryFile").option("recursiveFileLookup", recursive)
     files = reader.option("pathGlobFilter", glob).load(path)
@@ -145,7 +143,6 @@ def docx_documents(files: DataFrame) -> DataFrame:
 
     The bytes go in and do not come out again.
     """
-    bound_arrow_batches(files.sparkSession)
     keep = [f"`{f.name}` {f.dataType.simpleString()}" for f in files.schema if f.name != "content"]
     names = [f.name for f in files.schema if f.name != "content"]
     fields = ["paragraphs", "tables", "images", "headers", "footers", "properties", "error"]
