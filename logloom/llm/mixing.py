@@ -70,8 +70,12 @@ def _rank() -> Column:
     return odds / (1 + odds)
 
 
-def planned(rows: DataFrame, **options) -> DataFrame:
-    """One row per source: source_size, target, __copies for every document, and the __cut of the sample."""
+def planned(rows: DataFrame, stage: Staged, **options) -> DataFrame:
+    """One row per source: source_size, target, __copies for every document, and the __cut of the sample.
+
+    Tables with a row per source are written before they are joined, so that the
+    planner knows their size and moves the documents only if it is large.
+    """
     sizes = rows.groupBy("source").agg(F.sum("__size").alias("source_size"))
     ratio = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(0.0)
     plan = (
@@ -82,6 +86,7 @@ def planned(rows: DataFrame, **options) -> DataFrame:
         .withColumn("__rest", F.col("target") - F.col("__copies") * F.col("source_size"))
         .drop("__ratio")
     )
+    plan = stage.write(plan)
     sampled = plan.where("__p > 0")
     binned = rows.join(sampled.select(F.col("source").alias("__s"), "__p", "__rest"), F.col("source").eqNullSafe(F.col("__s")))
     binned = binned.withColumn("__rank", _rank()).withColumn("__bin", F.floor(F.col("__rank") * BINS).cast("int"))
@@ -94,6 +99,7 @@ def planned(rows: DataFrame, **options) -> DataFrame:
     edge = bins.where("__before <= __rest and __before + __words > __rest").select(
         F.col("__s").alias("__edge_source"), F.col("__bin").alias("__edge_bin"), F.col("__before")
     )
+    edge = stage.write(edge)
     order = Window.partitionBy("__edge_source").orderBy("__rank", "doc_id", "__check").rowsBetween(Window.unboundedPreceding, -1)
     inside = (
         binned.join(edge, F.col("__s").eqNullSafe(F.col("__edge_source")) & (F.col("__bin") == F.col("__edge_bin")))
@@ -105,7 +111,7 @@ def planned(rows: DataFrame, **options) -> DataFrame:
     edges = edge.drop("__before").join(
         inside.select(F.col("__edge_source").alias("__t"), "__cut"), F.col("__edge_source").eqNullSafe(F.col("__t")), "left"
     )
-    return plan.join(edges.drop("__t"), F.col("source").eqNullSafe(F.col("__edge_source")), "left").drop("__edge_source")
+    return stage.write(plan.join(edges.drop("__t"), F.col("source").eqNullSafe(F.col("__edge_source")), "left").drop("__edge_source"))
 
 
 def _place() -> Column:
@@ -138,7 +144,7 @@ def mixed(docs: DataFrame, **options) -> DataFrame:
     """doc_id, source, size, source_size, target, copies, taken (words, repeats counted) for every row."""
     stage = Staged(docs.sparkSession, "mix")
     rows = stage.write(ranked(docs))
-    result = decided(rows, planned(rows, **options))
+    result = decided(rows, planned(rows, stage, **options))
     return result.select(
         "doc_id", "source", F.col("__size").alias("size"), "source_size", "target", F.col("copies").cast("int").alias("copies"),
         (F.col("copies") * F.col("__size")).cast("long").alias("taken"),
@@ -149,7 +155,7 @@ def repeated(docs: DataFrame, **options) -> DataFrame:
     """The mix itself: every row as often as it is taken, with the columns of ``docs``."""
     stage = Staged(docs.sparkSession, "mix")
     rows = stage.write(ranked(docs))
-    plan = planned(rows, **options)
+    plan = planned(rows, stage, **options)
     keys = {
         "__size": word_count("text"), "__check": F.crc32(text_of("text")),
         "__u": (uniform_key(SEED, "doc_id") + F.lit(0.5)) / F.lit(_ODDS),

@@ -11,7 +11,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from logloom.llm.common import WHITE, WORD, text_of
+from logloom.llm.common import WHITE, text_of
 
 #: Frequent function words of the four languages in the corpus.
 STOP_WORDS = (
@@ -30,6 +30,9 @@ RULES = (
     ("dup_line_ratio", None, 0.4),
 )
 
+#: White space inside a regular expression class.
+_BREAKS = r"\x20\x09-\x0D"
+
 BASE_MIN_WORDS = 50
 BASE_MAX_REPEAT_PERCENT = 50
 
@@ -43,51 +46,53 @@ def repeated_words(words: Column) -> Column:
     """
     n = F.size(words)
     hashes = F.transform(F.sequence(F.lit(1), n - 2), lambda i: F.xxhash64(*[F.element_at(words, i + k) for k in range(3)]))
-    pairs = F.array_sort(F.transform(hashes, lambda h, i: F.struct(h.alias("h"), i.alias("i"))))
+    return F.when(n < 3, 0).otherwise(_once(hashes, _covered)).cast("long")
+
 
-    def covered(sorted_pairs: Column) -> Column:
-        last = F.size(sorted_pairs) - 1
-        twice = F.filter(
-            sorted_pairs,
-            lambda p, k: ((k > 0) & (F.get(sorted_pairs, k - 1)["h"] == p["h"]))
-            | ((k < last) & (F.get(sorted_pairs, k + 1)["h"] == p["h"])),
-        )
-        starts = F.array_sort(F.transform(twice, lambda p: p["i"]))
-        lengths = F.transform(starts, lambda s, k: F.least(F.lit(3), F.coalesce(F.get(starts, k + 1) - s, F.lit(3))))
-        return F.aggregate(lengths, F.lit(0), lambda a, b: a + b)
+def _covered(hashes: Column) -> Column:
+    pairs = F.sort_array(F.transform(hashes, lambda h, i: F.struct(h.alias("h"), i.alias("i"))))
+    lengths = lambda starts: F.transform(
+        starts, lambda s, k: F.least(F.lit(3), F.coalesce(F.get(starts, k + 1) - s, F.lit(3)))
+    )
+    total = lambda starts: F.aggregate(lengths(starts), F.lit(0), lambda a, b: a + b)
+    repeats = F.size(F.array_distinct(hashes)) < F.size(hashes)
+    return F.when(repeats, _once(_once(pairs, _repeated_starts), total)).otherwise(0)
 
-    # the one-element arrays bind an intermediate result once
-    bound = F.get(F.transform(F.array(pairs), covered), F.lit(0))
-    check = F.get(F.transform(F.array(hashes), lambda h: F.size(F.array_distinct(h)) < F.size(h)), F.lit(0))
-    return F.when(n < 3, 0).when(check, bound).otherwise(0).cast("long")
+
+def _repeated_starts(pairs: Column) -> Column:
+    """Positions of windows whose hash stands in a neighbouring pair too, in text order."""
+    twice = F.filter(
+        pairs,
+        lambda p, k: (F.get(pairs, k - 1)["h"] == p["h"]) | (F.get(pairs, k + 1)["h"] == p["h"]),
+    )
+    return F.sort_array(F.transform(twice, lambda p: p["i"]))
+
+
+def _once(value: Column, use) -> Column:
+    """``use(value)``, with the value computed once however often ``use`` reads it."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
 
 
 def measured(docs: DataFrame, text: str = "text") -> DataFrame:
     """Adds the counts: n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, n_lines, n_stop_words."""
     whole = text_of(text)
-    words = F.filter(F.split(F.translate(whole, WHITE[1:], " " * 5), " "), lambda w: w != "")
-    lines = F.filter(F.split(whole, "\n"), lambda line: F.length(F.translate(line, WHITE, "")) > 0)
-    df = docs.withColumns({"__words": words, "__lines": lines})
-    return df.withColumns(
+    trimmed = F.btrim(whole, F.lit(WHITE))
+    words = F.when(F.length(trimmed) == 0, F.array().cast("array<string>")).otherwise(F.split(trimmed, f"[{_BREAKS}]+"))
+    lines = F.filter(F.split(whole, "\n"), lambda line: F.length(F.btrim(line, F.lit(WHITE))) > 0)
+    stop = F.filter(F.split(F.lower(whole), rf"[{_BREAKS}.,;:!?]+"), lambda w: w.isin(*dict.fromkeys(STOP_WORDS)))
+    return docs.withColumns({"__words": words, "__lines": lines}).withColumns(
         {
             "n_words": F.size("__words").cast("long"),
-            "word_chars": F.length(F.translate(whole, WHITE, "")).cast("long"),
-            "n_symbols": (F.length(whole) - F.length(F.translate(whole, SYMBOLS, ""))).cast("long"),
+            "word_chars": F.length(F.array_join("__words", "")).cast("long"),
+            "n_symbols": F.regexp_count(whole, F.lit(f"[{SYMBOLS}]")).cast("long"),
             "n_lines": F.size("__lines").cast("long"),
             "n_dup_lines": (F.size("__lines") - F.size(F.array_distinct("__lines"))).cast("long"),
             "n_repeat_words": repeated_words(F.col("__words")),
-            "n_stop_words": _stop_words(whole),
+            "n_stop_words": F.size(stop).cast("long"),
         }
     ).drop("__words", "__lines")
 
 
-def _stop_words(whole: Column) -> Column:
-    """Stop words among the lower-cased words, with punctuation read as white space."""
-    marks = WHITE[1:] + ".,;:!?"
-    words = F.split(F.translate(F.lower(whole), marks, " " * len(marks)), " ")
-    return F.size(F.filter(words, lambda w: w.isin(*dict.fromkeys(STOP_WORDS)))).cast("long")
-
-
 def ratios() -> dict[str, Column]:
     words, lines = F.greatest(F.col("n_words"), F.lit(1)), F.greatest(F.col("n_lines"), F.lit(1))
     return {

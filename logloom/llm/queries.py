@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
-from logloom.llm import mixing, quality_rules, sql
+from logloom.llm import mixing, packing, quality_rules, sql, token_files
 
 QUERIES = {
+    "op5_packing": packing.op5_packing,
     "op7_quality_rules": quality_rules.op7_quality_rules,
+    "op9_token_files": token_files.op9_token_files,
     "op10_mixing": mixing.op10_mixing,
 }
 
