@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
-from logloom.llm import mixing, packing, quality_rules, sql, token_files
+from logloom.llm import importance, mixing, packing, quality_rules, simhash, sql, token_files
 
 QUERIES = {
+    "op2_simhash": simhash.op2_simhash,
     "op5_packing": packing.op5_packing,
     "op7_quality_rules": quality_rules.op7_quality_rules,
+    "op8_importance": importance.op8_importance,
     "op9_token_files": token_files.op9_token_files,
     "op10_mixing": mixing.op10_mixing,
 }
