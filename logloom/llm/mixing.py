@@ -23,7 +23,7 @@ WEIGHTS = (5, 2, 1)
 SHARE = 1.5
 LIMIT = 2.0
 SEED = 42
-BINS = 1 << 16
+BINS = 1 << 12
 _ODDS = float(1 << 48)
 
 

@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from logloom.llm.common import WHITE, text_of
+from logloom.operators.columns import evaluated
 
 #: Frequent function words of the four languages in the corpus.
 STOP_WORDS = (
@@ -123,6 +124,14 @@ def judge(docs: DataFrame, rules=RULES, text: str = "text") -> DataFrame:
     return measured(docs, text).withColumn("base_failed", failed).withColumn("kept", ~F.col("base_failed") & compiled(rules))
 
 
+def passing(docs: DataFrame, rules=RULES, text: str = "text") -> DataFrame:
+    """The rows that are kept, with their own columns. The verdict is reached before the filter, not inside it."""
+    own = [F.col(c).alias(f"__own_{c}") for c in docs.columns]
+    judged = judge(docs.select(F.struct(*own).alias("__row"), F.col(text).alias(text)), rules, text)
+    kept = evaluated(judged.select("__row", "kept"), "kept").where("kept")
+    return kept.select(*[F.col(f"__row.__own_{c}").alias(c) for c in docs.columns])
+
+
 def op7_quality_rules(spark, folder) -> DataFrame:
     from logloom.llm.common import read_table
 

@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import corpus_pipeline
 from logloom.llm import importance, mixing, packing, quality_rules, simhash, sql, token_files
 
 QUERIES = {
+    "pipeline": corpus_pipeline.run,
     "op2_simhash": simhash.op2_simhash,
     "op5_packing": packing.op5_packing,
     "op7_quality_rules": quality_rules.op7_quality_rules,

@@ -115,21 +115,19 @@ def near_copies(docs: DataFrame) -> DataFrame:
 
 
 def one_of_each(docs: DataFrame) -> DataFrame:
-    """The rows of ``docs`` whose doc_id is the smallest of its component; of rows that agree in doc_id one stays."""
-    chosen = near_copies(docs).where("doc_id = component_id").select("doc_id").distinct()
-    single = docs.join(chosen.withColumnRenamed("doc_id", "__kept"), F.col("doc_id") == F.col("__kept"), "left_semi")
-    return _without_repeats(single)
-
-
-def _without_repeats(docs: DataFrame) -> DataFrame:
-    """One row per doc_id: only ids that repeat are grouped, by their smallest row."""
-    ids = docs.groupBy("doc_id").agg(F.count("*").alias("__n")).where("__n > 1").select(F.col("doc_id").alias("__id"))
-    ids = Staged(docs.sparkSession, "repeats").write(ids)
-    again = docs.join(ids, F.col("doc_id") == F.col("__id"), "left_semi")
-    row = F.struct(*docs.columns)
-    return docs.join(ids, F.col("doc_id") == F.col("__id"), "left_anti").unionByName(
-        again.groupBy("doc_id").agg(F.min(row).alias("__row")).select("__row.*")
-    )
+    """The rows of ``docs`` whose doc_id is the smallest of its component.
+
+    Of rows that agree in doc_id the smallest row stays; rows without a doc_id
+    cannot be named as copies and all stay.
+    """
+    chosen = near_copies(docs).where("doc_id = component_id").groupBy(F.col("doc_id").alias("__id")).agg(F.count("*").alias("__n"))
+    stage = Staged(docs.sparkSession, "simhash-kept")
+    chosen = stage.write(chosen)
+    several = stage.write(chosen.where("__n > 1").select("__id"))
+    same = F.col("doc_id") == F.col("__id")
+    single = docs.join(chosen.where("__n = 1"), same, "left_semi")
+    again = docs.join(several, same, "left_semi").groupBy("doc_id").agg(F.min(F.struct(*docs.columns)).alias("__row"))
+    return single.unionByName(again.select("__row.*")).unionByName(docs.where("doc_id is null"))
 
 
 def op2_simhash(spark, folder) -> DataFrame:
