@@ -3,12 +3,13 @@
 from __future__ import annotations
 
 import corpus_pipeline
-from logloom.llm import importance, mixing, packing, quality_rules, sharding, simhash, sql, token_files
+from logloom.llm import importance, mixing, packing, pstable, quality_rules, sharding, simhash, sql, token_files
 
 QUERIES = {
     "pipeline": corpus_pipeline.run,
     "op1_sharding": sharding.op1_sharding,
     "op2_simhash": simhash.op2_simhash,
+    "op4_embedding_links": pstable.op4_embedding_links,
     "op5_packing": packing.op5_packing,
     "op7_quality_rules": quality_rules.op7_quality_rules,
     "op8_importance": importance.op8_importance,
