@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import corpus_pipeline
-from logloom.llm import importance, mixing, packing, pstable, quality_rules, sharding, simhash, sql, token_files
+from logloom.llm import importance, mixing, packing, pstable, quality_rules, sharding, simhash, sql, token_files, tool_calls
 
 QUERIES = {
     "pipeline": corpus_pipeline.run,
@@ -11,6 +11,7 @@ QUERIES = {
     "op2_simhash": simhash.op2_simhash,
     "op4_embedding_links": pstable.op4_embedding_links,
     "op5_packing": packing.op5_packing,
+    "op6_tool_calls": tool_calls.op6_tool_calls,
     "op7_quality_rules": quality_rules.op7_quality_rules,
     "op8_importance": importance.op8_importance,
     "op9_token_files": token_files.op9_token_files,

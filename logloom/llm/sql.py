@@ -68,3 +68,34 @@ FROM r
 """
 
 ORACLE = {"op7_quality_rules": OP7, "op10_mixing": OP10}
+
+_ID = "'call_' || substr(md5(conv_id || ':' || ({turn})), 1, 16)"
+
+OP6 = f"""
+WITH RECURSIVE c AS (
+  SELECT conv_id, turn, role, coalesce(text, '') AS text,
+         CASE role WHEN 'user' THEN 'call' WHEN 'assistant' THEN 'result' ELSE 'message' END AS kind,
+         CASE role WHEN 'user' THEN {_ID.format(turn='turn')} WHEN 'assistant' THEN {_ID.format(turn='turn - 1')} END AS call_id
+  FROM conversations
+), w AS (
+  SELECT conv_id, turn, 0 AS waits FROM c x WHERE role = 'user'
+    AND NOT EXISTS (SELECT 1 FROM c y WHERE y.conv_id = x.conv_id AND y.turn = x.turn - 2 AND y.role = 'user')
+  UNION ALL
+  SELECT c.conv_id, c.turn, waits + 1 FROM c JOIN w ON c.conv_id = w.conv_id AND c.turn = w.turn + 2 WHERE c.role = 'user'
+), d AS (
+  SELECT c.*, CASE kind WHEN 'message' THEN 0 WHEN 'call' THEN 2 * own.waits ELSE 2 * up.waits + 1 END::BIGINT AS depth,
+         CASE kind WHEN 'message' THEN 'message'
+              WHEN 'call' THEN CASE WHEN EXISTS (SELECT 1 FROM c y WHERE y.conv_id = c.conv_id AND y.turn = c.turn + 1 AND y.role = 'assistant') THEN 'linked' ELSE 'no_result' END
+              ELSE CASE WHEN up.conv_id IS NOT NULL THEN 'linked' ELSE 'no_call' END END AS status
+  FROM c LEFT JOIN w own ON c.kind = 'call' AND own.conv_id = c.conv_id AND own.turn = c.turn
+         LEFT JOIN w up ON c.kind = 'result' AND up.conv_id = c.conv_id AND up.turn = c.turn - 1
+)
+SELECT conv_id, turn, (row_number() OVER (PARTITION BY conv_id ORDER BY depth NULLS LAST, turn) - 1)::BIGINT AS place, kind, call_id, depth, status,
+       CASE WHEN kind = 'call' AND turn % 7 = 6 THEN 'type:limit' END AS problem,
+       CASE kind WHEN 'call' THEN '{{"arguments":{{"limit":' || (CASE WHEN turn % 7 = 6 THEN '"10"' ELSE (length(text) % 50)::VARCHAR END) || ',"query":' || to_json(text)::VARCHAR
+                                  || '}},"id":"' || call_id || '","name":"' || (CASE WHEN turn % 3 = 2 THEN 'summarise' ELSE 'search' END) || '"}}'
+                 WHEN 'result' THEN '{{"content":' || to_json(text)::VARCHAR || ',"id":"' || call_id || '"}}'
+                 ELSE '{{"content":' || to_json(text)::VARCHAR || '}}' END AS json
+FROM d
+"""
+ORACLE["op6_tool_calls"] = OP6
