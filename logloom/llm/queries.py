@@ -3,12 +3,13 @@
 from __future__ import annotations
 
 import corpus_pipeline
-from logloom.llm import importance, mixing, packing, pstable, quality_rules, sharding, simhash, sql, token_files, tool_calls
+from logloom.llm import importance, mixing, packing, pstable, quality_rules, sharding, simhash, sql, token_files, tool_calls, wrappers
 
 QUERIES = {
     "pipeline": corpus_pipeline.run,
     "op1_sharding": sharding.op1_sharding,
     "op2_simhash": simhash.op2_simhash,
+    "op3_html_extraction": wrappers.op3_html_extraction,
     "op4_embedding_links": pstable.op4_embedding_links,
     "op5_packing": packing.op5_packing,
     "op6_tool_calls": tool_calls.op6_tool_calls,
