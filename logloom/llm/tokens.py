@@ -148,13 +148,14 @@ class Encoder:
     def _word(self, word: str) -> bytes:
         if self.kind == "spaces kept":
             return self._start(" " + word)
-        if word.isascii():
-            if word.isalpha():
-                return self.pieces[word]
-            if word[:-1].isalpha() and word[-1] in ",.":
-                return self.pieces[word[:-1]] + self.pieces[word[-1]]
-            return self._start(word)
-        return self._start(self.tokenizer.normalizer.normalize_str(word))
+        if not word.isascii():
+            # letters below U+0130 are in normal form and have plain lower-case letters
+            word = word.lower() if max(word) < "\u0130" else self.tokenizer.normalizer.normalize_str(word)
+        if word.isalpha():
+            return self.pieces[word]
+        if word[:-1].isalpha() and word[-1] in ",.":
+            return self.pieces[word[:-1]] + self.pieces[word[-1]]
+        return self._start(word)
 
     def _start(self, chunk: str) -> bytes:
         return b"".join(map(self.pieces.__getitem__, self.split(chunk)))
