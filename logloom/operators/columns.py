@@ -16,10 +16,3 @@ def evaluated(df: DataFrame, *names: str) -> DataFrame:
     others = [c for c in df.columns if c not in names]
     return df.select(*others, F.inline(F.array(F.struct(*names)))).select(*df.columns)
 
-
-def small_or_shuffled(df: DataFrame, max_rows: int = 200_000) -> DataFrame:
-    """A broadcast hint if the table has at most ``max_rows`` rows, otherwise as it is.
-
-    Counted first: one row per file or category is usually small, but not always.
-    """
-    return F.broadcast(df) if df.limit(max_rows + 1).count() <= max_rows else df

@@ -26,8 +26,6 @@ def join_quoted_lines(lines: DataFrame) -> DataFrame:
     Only lines of broken records are grouped.
     """
     outside, inside = _open_after(F.col("line")), _open_after(F.concat(F.lit('"'), "line"))
-    if lines.where(outside).isEmpty():
-        return lines
     maps = lines.withColumns({"__out": outside, "__in": inside})
     flips = running(maps, _KEYS, "chunk", ["seq"], __flips=("sum", (F.col("__out") & ~F.col("__in")).cast("bigint")))
     odd = F.col("__flips") % 2
@@ -45,11 +43,15 @@ def join_quoted_lines(lines: DataFrame) -> DataFrame:
     broken = states.where(F.col("__before") | F.col("__after"))
     start = F.when(~F.col("__before"), F.struct("chunk", "seq"))
     placed = running(broken, _KEYS, "chunk", ["seq"], include_current=True, __start=("max", start))
+    # a quote that is never closed joins nothing: its lines stay as they are
+    closed = placed.where(~F.col("__after")).select("source_file", "__start").distinct().withColumn("__closed", F.lit(True))
+    placed = placed.join(closed, ["source_file", "__start"], "left")
+    unclosed = placed.where("__closed is null").select("source_file", "chunk", "seq", "line")
     joined = (
-        placed.groupBy("source_file", "__start")
+        placed.where("__closed").groupBy("source_file", "__start")
         .agg(F.sort_array(F.collect_list(F.struct("chunk", "seq", "line"))).alias("__lines"))
         .select(
             "source_file", "__start.chunk", "__start.seq", F.array_join(F.transform("__lines", lambda x: x["line"]), "\n").alias("line")
         )
     )
-    return whole.unionByName(joined)
+    return whole.unionByName(unclosed).unionByName(joined)

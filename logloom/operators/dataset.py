@@ -6,7 +6,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from logloom.functions.text import normalize_text, render_template, token_count, truncate_tokens
-from logloom.operators.columns import small_or_shuffled
 from logloom.operators.prefix import with_position
 from logloom.session import stage
 
@@ -58,9 +57,9 @@ def tokenized(df: DataFrame, max_tokens: int, text: str = "text", keep: list[str
     return df.select(*(keep or []), cut.alias(text), token_count(cut).cast("bigint").alias("n_tokens"))
 
 
-def with_category(df: DataFrame, categories: DataFrame, on: str, broadcast_rows: int = 100_000) -> DataFrame:
-    """Left join with a category table; broadcast only if it is small, otherwise a shuffled join."""
-    return df.join(small_or_shuffled(categories, broadcast_rows), on, "left")
+def with_category(df: DataFrame, categories: DataFrame, on: str) -> DataFrame:
+    """Left join with a category table; the planner broadcasts it if its bytes are few enough."""
+    return df.join(categories, on, "left")
 
 
 # --- splits, caps, order ---------------------------------------------------
@@ -71,9 +70,14 @@ def hash_order(key: Column, seed: int = SEED) -> Column:
     return F.md5(F.concat(F.lit(f"{seed}:"), key.cast("string")))
 
 
+def hash32(key: Column, seed: int = SEED) -> Column:
+    """The first eight hexadecimal digits of the hash as a number."""
+    return F.conv(F.left(hash_order(key, seed), F.lit(8)), 16, 10).cast("bigint")
+
+
 def bucket(key: Column, seed: int = SEED) -> Column:
-    """0..999 from the first eight hexadecimal digits of the hash."""
-    return F.conv(F.left(hash_order(key, seed), F.lit(8)), 16, 10).cast("bigint") % 1000
+    """0..999 from the 32-bit hash."""
+    return hash32(key, seed) % 1000
 
 
 def split_name(key: Column, shares: dict[str, float] | None = None, seed: int = SEED) -> Column:
@@ -82,9 +86,12 @@ def split_name(key: Column, shares: dict[str, float] | None = None, seed: int =
     if abs(sum(shares.values()) - 1) > 1e-9:
         raise ValueError("split shares must sum to 1")
     names, edge, column = list(shares), 0.0, None
+    # shares in whole thousandths use the thousand buckets; others compare the whole 32-bit hash
+    coarse = all(abs(s * 1000 - round(s * 1000)) < 1e-9 for s in shares.values())
+    position, width = (bucket(key, seed), 1000) if coarse else (hash32(key, seed), 1 << 32)
     for name in names[:-1]:
         edge += shares[name]
-        condition = bucket(key, seed) < round(edge * 1000)
+        condition = position < round(edge * width)
         column = F.when(condition, name) if column is None else column.when(condition, name)
     return F.lit(names[-1]) if column is None else column.otherwise(names[-1])
 

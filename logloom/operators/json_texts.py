@@ -43,9 +43,11 @@ def json_values(lines: DataFrame, layout: str) -> DataFrame:
     else:
         between = F.col("__after") == 0
     # written once: the second prefix reads these rows twice
-    marked = stage(deep.withColumn("__cut", between.cast("bigint")), "json-depths")
-    grouped = running(
-        marked, keys, "chunk", ["seq"], __group=("sum", F.col("__cut"))
+    # in arrays a value may also be opened by the comma before it
+    opens = (F.col("__before") == 1) & F.startswith(strip(F.col("line")), F.lit(",")) if layout == "array" else F.lit(False)
+    marked = stage(deep.withColumns({"__cut": between.cast("bigint"), "__opens": opens.cast("bigint")}), "json-depths")
+    grouped = running(marked, keys, "chunk", ["seq"], __group=("sum", F.col("__cut") + F.col("__opens"))).withColumn(
+        "__group", F.col("__group") + F.col("__opens")
     )
     # the group may cross a chunk border, so the chunk of its first line is kept
     texts = (
@@ -66,7 +68,7 @@ def json_values(lines: DataFrame, layout: str) -> DataFrame:
     )
     if layout != "array":
         return texts.drop("__from", "__to")
-    body = F.when(F.col("__from") == 0, F.regexp_replace("line", r"^\[", "")).otherwise(F.col("line"))
+    body = F.when(F.col("__from") == 0, F.regexp_replace("line", r"^\[", "")).otherwise(F.regexp_replace("line", r"^,", ""))
     body = F.when(F.col("__to") == 0, F.regexp_replace(body, r"\]$", "")).otherwise(F.regexp_replace(body, r",$", ""))
     items = F.from_json(F.concat(F.lit("["), body, F.lit("]")), "array<variant>")
     # several values may share a line: sub-positions keep their order

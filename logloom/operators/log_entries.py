@@ -34,21 +34,25 @@ DELIMITERS = [",", ";", "\t", "|"]
 LINE_KEYS = ["source_file"]
 
 # Text in which a semicolon means nothing. What is never closed runs to the end.
-_TAG_BODY = r"\$([A-Za-z_]\w*+)\$(?s:.*?)\$\1\$"
+TAG = r"\$[A-Za-z_]\w*+\$"
 
 
-def _protected(end: str) -> str:
+def _protected(end: str, group: int = 1) -> str:
+    """``end`` lets text end while something is open; ``group`` numbers the tag of a dollar body."""
     return (
         rf"""'(?:[^'\\]++|\\(?s:.))*+(?:'{end})|"[^"]*+(?:"{end})|--[^\n]*+|/\*(?s:.*?)(?:\*/{end})"""
-        rf"|\$\$(?s:.*?)(?:\$\${end})|{_TAG_BODY}"
+        rf"|\$\$(?s:.*?)(?:\$\${end})|\$([A-Za-z_]\w*+)\$(?s:.*?)(?:\$\{group}\${end})"
     )
 
 
-_BODY = rf"""(?:{_protected(r"|\z")}|[^;'"/$-]++|[^;])*+"""
+def _body(group: int) -> str:
+    return rf"""(?:{_protected(r"|\z", group)}|[^;'"/$-]++|[^;])*+"""
+
+
 # One statement; a comment on the line of the semicolon belongs to the statement before.
-STATEMENT = rf"(?:{_BODY};[ \t]*+(?:--[^\n]*+)?)|(?:(?!\z){_BODY}\z)"
+STATEMENT = rf"(?:{_body(1)};[ \t]*+(?:--[^\n]*+)?)|(?:(?!\z){_body(2)}\z)"
 # The longest start of a text after which nothing is open.
-CLOSED_PART = rf"""^(?:{_protected("")}|[^'"/$-]++|/(?!\*)|\$(?!\$)|-)*+"""
+CLOSED_PART = rf"""^(?:{_protected("")}|[^'"/$-]++|/(?!\*)|\$(?!\$|[A-Za-z_]\w*+\$)|-)*+"""
 
 
 # --- SQL -------------------------------------------------------------------
@@ -245,6 +249,20 @@ def csv_fields(line: Column, delimiter: Column) -> Column:
     )
 
 
+def distinct_names(names: Column) -> Column:
+    """Repeated column names get a number: ``a, a.1, a.2``."""
+
+    def numbered(all_names: Column) -> Column:
+        def one(name: Column, i: Column) -> Column:
+            before = F.size(F.filter(F.slice(all_names, F.lit(1), i), lambda other: other == name))
+            return F.when(before > 0, F.concat(name, F.lit("."), before.cast("string"))).otherwise(name)
+
+        return F.transform(all_names, one)
+
+    # the one-element array binds the names once
+    return F.get(F.transform(F.array(names), numbered), F.lit(0))
+
+
 def csv_records(lines: DataFrame) -> DataFrame:
     """Line table with header rows -> ``columns, values`` and ``entry_index`` per data row.
 
@@ -266,7 +284,7 @@ def csv_records(lines: DataFrame) -> DataFrame:
     fields = delimited.select(
         *[c for c in lines.columns if c != "line"],
         (F.col("__pos") - 1).alias("entry_index"),
-        csv_fields(F.col("__header.line"), F.col("__delimiter")).alias("columns"),
+        distinct_names(csv_fields(F.col("__header.line"), F.col("__delimiter"))).alias("columns"),
         csv_fields(F.col("line"), F.col("__delimiter")).alias("__raw"),
     )
     return evaluated(fields, "columns", "__raw").withColumn("ok", F.size("__raw") <= F.size("columns"))

@@ -14,20 +14,19 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from logloom.functions.text import strip
-from logloom.operators.log_entries import CLOSED_PART, split_statements
+from logloom.operators.log_entries import CLOSED_PART, TAG, split_statements
 from logloom.operators.prefix import running
 from logloom.session import stage
 
 BLOCK_LINES = 2000
-# What is open at the start of a block: nothing, a string, a quoted name, a comment, a dollar body.
+# What may be open at the start of any block: nothing, a string, a quoted name, a comment, a dollar body.
+# A tagged dollar body is a state too; only blocks that hold its tag can change it.
 OPENERS = ["", "'", '"', "/*", "$$"]
-def _end_state(text: Column) -> Column:
-    rest = F.regexp_replace(text, CLOSED_PART, "")
-    state = F.lit(0)
-    for i, opener in enumerate(OPENERS):
-        if opener:
-            state = F.when(F.startswith(rest, F.lit(opener)), i).otherwise(state)
-    return state
+
+
+def _left_open(text: Column) -> Column:
+    """What is open at the end of a text, as the text that opens it."""
+    return F.regexp_extract(F.regexp_replace(text, CLOSED_PART, ""), rf"""^('|"|/\*|\$\$|{TAG})""", 1)
 
 
 def _blocks(lines: DataFrame) -> DataFrame:
@@ -39,9 +38,10 @@ def _blocks(lines: DataFrame) -> DataFrame:
         .agg(F.sort_array(F.collect_list(F.struct("seq", "line"))).alias("__lines"))
     )
     text = F.concat(F.array_join(F.transform("__lines", lambda x: x["line"]), "\n"), F.lit("\n"))
-    return grouped.select("source_file", "chunk", "block", text.alias("text")).withColumn(
-        "moves", F.array(*[_end_state(F.concat(F.lit(o), F.col("text"))) for o in OPENERS])
-    )
+    fixed = F.array(*[F.lit(o) for o in OPENERS])
+    openers = F.concat(fixed, F.array_distinct(F.regexp_extract_all("text", F.lit(f"(?=({TAG}))"), F.lit(1))))
+    moves = F.transform(openers, lambda o: F.struct(o.alias("opener"), _left_open(F.concat(o, F.col("text"))).alias("after")))
+    return grouped.select("source_file", "chunk", "block", text.alias("text")).withColumn("moves", moves)
 
 
 def _walk(order: str):
@@ -49,10 +49,10 @@ def _walk(order: str):
 
     def walk(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values(order)
-        state, states = int(pdf["start"].iloc[0]), []
+        state, states = pdf["start"].iloc[0], []
         for moves in pdf["moves"]:
             states.append(state)
-            state = int(moves[state])
+            state = {m["opener"]: m["after"] for m in moves}.get(state, state)
         return pdf.assign(start=states)[["source_file", "chunk", order, "start"]].loc[:, lambda d: ~d.columns.duplicated()]
 
     return walk
@@ -61,30 +61,33 @@ def _walk(order: str):
 def _block_starts(blocks: DataFrame) -> DataFrame:
     """``source_file, chunk, block, start``: functions composed per chunk, then along the chunks of a file."""
     functions = blocks.select("source_file", "chunk", "block", "moves")
-    identity = F.array(*[F.lit(i) for i in range(len(OPENERS))])
-    per_chunk = functions.groupBy("source_file", "chunk").agg(
-        F.aggregate(
-            F.sort_array(F.collect_list(F.struct("block", "moves"))),
-            identity,
-            lambda acc, x: F.transform(acc, lambda s: F.get(x["moves"], s)),
-        ).alias("moves"),
-        F.lit(0).alias("start"),
+    in_order = functions.groupBy("source_file", "chunk").agg(F.sort_array(F.collect_list(F.struct("block", "moves"))).alias("blocks"))
+    openers = F.array_distinct(F.flatten(F.transform("blocks", lambda x: F.transform(x["moves"], lambda m: m["opener"]))))
+
+    def after(moves: Column, state: Column) -> Column:
+        return F.coalesce(F.get(F.filter(moves, lambda m: m["opener"] == state), F.lit(0))["after"], state)
+
+    composed = F.aggregate(
+        "blocks",
+        F.transform(openers, lambda o: F.struct(o.alias("opener"), o.alias("after"))),
+        lambda acc, x: F.transform(acc, lambda s: F.struct(s["opener"].alias("opener"), after(x["moves"], s["after"]).alias("after"))),
     )
+    per_chunk = in_order.select("source_file", "chunk", composed.alias("moves"), F.lit("").alias("start"))
     # one row per file split here, whatever the size of the file
     chunk_start = per_chunk.groupBy("source_file").applyInPandas(
-        _walk("chunk"), "source_file string, chunk bigint, start int"
+        _walk("chunk"), "source_file string, chunk bigint, start string"
     )
     return (
         functions.join(chunk_start, ["source_file", "chunk"])
         .groupBy("source_file", "chunk")
-        .applyInPandas(_walk("block"), "source_file string, chunk bigint, block bigint, start int")
+        .applyInPandas(_walk("block"), "source_file string, chunk bigint, block bigint, start string")
     )
 
 
 def statements_from_lines(lines: DataFrame) -> DataFrame:
     """Line table -> ``source_file, entry_index, statement`` for scripts of any length."""
     blocks = stage(_blocks(lines), "sql-blocks")
-    opener = F.element_at(F.array(*[F.lit(o) for o in OPENERS]), F.col("start") + 1)
+    opener = F.col("start")
     parts = blocks.join(_block_starts(blocks), ["source_file", "chunk", "block"]).select(
         "source_file", "chunk", "block", split_statements(F.concat(opener, "text")).alias("parts"), F.length(opener).alias("skip")
     )

@@ -229,6 +229,7 @@ def _(t):
 # --- splits, caps, order, batches ---
 
 _BUCKET = _digits("'42:' || doc_id")
+_HASH32 = "('0x' || left(md5('42:' || doc_id), 8))::BIGINT"
 
 
 @query(
@@ -239,6 +240,15 @@ def _(t):
     return t.documents.select("doc_id", D.split_name(F.col("doc_id")).alias("split"))
 
 
+@query(
+    "split_small_share",
+    f"SELECT doc_id, CASE WHEN {_HASH32} < round(0.9996 * 4294967296) THEN 'train' ELSE 'val' END AS split FROM documents",
+)
+def _(t):
+    """A share below a thousandth gets its rows too."""
+    return t.documents.select("doc_id", D.split_name(F.col("doc_id"), {"train": 0.9996, "val": 0.0004}).alias("split"))
+
+
 @query(
     "hold_out_split",
     f"SELECT doc_id, CASE WHEN {_digits(chr(39) + '7:' + chr(39) + ' || doc_id')} < 900 THEN 'train' ELSE 'validation' END AS split FROM documents",

@@ -18,11 +18,11 @@ def turn_pairs(t) -> DataFrame:
     )
     asked = turns.select("conv_id", "turn", F.col("text").alias("reference"))
     return answers.join(asked, ["conv_id", "turn"]).select(
-        (F.col("conv_id") * 100000 + F.col("turn") + 1).alias("example_id"), "prediction", "reference"
+        F.concat_ws(":", F.col("conv_id").cast("string"), (F.col("turn") + 1).cast("string")).alias("example_id"), "prediction", "reference"
     )
 
 
-TURN_SQL = """pairs AS (SELECT a.conv_id * 100000 + a.turn AS example_id, a.text AS prediction, r.text AS reference
+TURN_SQL = """pairs AS (SELECT a.conv_id || ':' || a.turn AS example_id, a.text AS prediction, r.text AS reference
   FROM conversations a JOIN conversations r ON r.conv_id = a.conv_id AND r.turn = a.turn - 1 WHERE a.role = 'assistant')"""
 
 
@@ -32,7 +32,7 @@ def edited_pairs(t) -> DataFrame:
     edited = (
         F.when(kind == 0, F.concat(F.replace("text", F.lit(" "), F.lit(" - ")), F.lit("!?")))
         .when(kind == 1, F.col("text"))
-        .when(kind == 2, F.array_join(F.slice(F.split("text", " "), 2, 1000000), " "))
+        .when(kind == 2, F.array_join(F.slice(F.split("text", " "), F.lit(2), F.size(F.split("text", " "))), " "))
         .otherwise(F.col("lang"))
     )
     return t.wide("documents").select(F.col("doc_id").alias("example_id"), edited.alias("prediction"), F.col("text").alias("reference"))

@@ -12,14 +12,13 @@ from pyspark.sql import functions as F
 
 from logloom.functions.paths import suffix
 from logloom.functions.text import is_blank
-from logloom.operators.columns import small_or_shuffled
 from logloom.session import stage
 
 LOG_GLOB = "*.*"
 
 
 def read_lines(
-    spark: SparkSession, path: str | list[str], glob: str = LOG_GLOB, staged: bool = True, min_bytes: int | None = None
+    spark: SparkSession, path: str | list[str], glob: str = LOG_GLOB, staged: bool = True
 ) -> DataFrame:
     """Lines of all files, split across tasks. Names without a dot and hidden names are not read.
 
@@ -27,8 +26,6 @@ def read_lines(
     same folder may be split differently when executors come and go.
     """
     raw = spark.read.text(path, pathGlobFilter=glob)
-    if min_bytes is not None:
-        raw = raw.where(F.col("_metadata.file_size") >= min_bytes)
     lines = raw.select(
         F.col("_metadata.file_path").alias("source_file"),
         F.col("_metadata.file_block_start").alias("chunk"),
@@ -38,21 +35,12 @@ def read_lines(
     return stage(lines, "lines") if staged else lines
 
 
-def read_whole(
-    spark: SparkSession, path: str | list[str], glob: str = LOG_GLOB, max_bytes: int | None = None
-) -> DataFrame:
-    """One row per file (``source_file, text``); ``max_bytes`` leaves larger files unread."""
+def read_whole(spark: SparkSession, path: str | list[str], glob: str = LOG_GLOB) -> DataFrame:
+    """One row per file (``source_file, text``)."""
     raw = spark.read.text(path, wholetext=True, pathGlobFilter=glob)
-    if max_bytes is not None:
-        raw = raw.where(F.col("_metadata.file_size") <= max_bytes)
     return raw.select(F.col("_metadata.file_path").alias("source_file"), F.col("value").alias("text"))
 
 
-def has_files_above(spark: SparkSession, path: str | list[str], size: int, glob: str = LOG_GLOB) -> bool:
-    """Whether the folder holds a file larger than ``size``; contents are not read."""
-    return not list_files(spark, path, glob).where(F.col("size") > size).isEmpty()
-
-
 def list_files(spark: SparkSession, path: str | list[str], glob: str = LOG_GLOB) -> DataFrame:
     """``source_file, size`` of the files a log run looks at; contents are not read."""
     raw = spark.read.format("binaryFile").option("pathGlobFilter", glob).load(path)
@@ -90,7 +78,7 @@ def file_formats(lines: DataFrame) -> DataFrame:
     its first chunk are looked at after that.
     """
     first_chunk = lines.groupBy("source_file").agg(F.min("chunk").alias("chunk"))
-    opening = lines.join(small_or_shuffled(first_chunk), ["source_file", "chunk"], "left_semi")
+    opening = lines.join(first_chunk, ["source_file", "chunk"], "left_semi")
     # the rank limit runs before the shuffle: a task sends five lines per file
     order = Window.partitionBy("source_file").orderBy("seq")
     head = (

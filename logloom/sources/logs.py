@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 
 from logloom.functions.paths import file_name
 from logloom.operators import log_entries as L
-from logloom.operators.columns import small_or_shuffled
 from logloom.operators.csv_quotes import join_quoted_lines
 from logloom.operators.json_texts import json_layout, json_values
 from logloom.operators.log_reports import FORMATS, union_formats
@@ -16,20 +15,11 @@ from logloom.session import stage
 from logloom.sources import lines as S
 
 COMMON = ["source_file", "source_format", "log_type", "timestamp", "raw_content", "entry_index"]
-LARGE_SCRIPT = 64 * 1024 * 1024
 
 
 def read_sql_statements(spark: SparkSession, path: str | list[str], glob: str = S.LOG_GLOB) -> DataFrame:
-    """Statements of every script in a folder.
-
-    Scripts up to ``LARGE_SCRIPT`` bytes are split as one text without a shuffle;
-    larger ones go through the line table, which no single task holds whole.
-    """
-    small = L.sql_statements(S.read_whole(spark, path, glob, max_bytes=LARGE_SCRIPT))
-    if not S.has_files_above(spark, path, LARGE_SCRIPT, glob):
-        return small
-    large = statements_from_lines(S.read_lines(spark, path, glob, staged=False, min_bytes=LARGE_SCRIPT + 1))
-    return small.unionByName(large)
+    """Statements of every script in a folder, through the line table whatever its size."""
+    return statements_from_lines(S.read_lines(spark, path, glob, staged=False))
 
 
 def log_entries(lines: DataFrame, source_format: str = "auto", start=None, end=None, policy: str = "skip") -> dict[str, DataFrame]:
@@ -45,12 +35,8 @@ def log_entries(lines: DataFrame, source_format: str = "auto", start=None, end=N
 
     def lines_of(condition: str) -> DataFrame:
         wanted = formats.where(condition).select("source_file")
-        chosen = small_or_shuffled(wanted)
-        if chosen is not wanted:
-            return lines.join(chosen, "source_file", "left_semi")
-        # too many files to broadcast: keyed on (file, chunk), so one huge file is spread
-        chunks = lines.select("source_file", "chunk").distinct().join(wanted, "source_file", "left_semi")
-        return lines.join(chunks, ["source_file", "chunk"], "left_semi")
+        # the written table tells its size: it is broadcast, or large files are split as skewed partitions
+        return lines.join(wanted, "source_file", "left_semi")
 
     json = union_formats(
         {

@@ -50,6 +50,21 @@ def windowed_counts(entries: DataFrame, width: str = "1 hour", lateness: str = "
     )
 
 
+#: Log type and time of the line that ends a finished stream.
+END_TYPE, END_TIME = "__end_of_stream__", "9999-12-30T00:00:00"
+
+
+def close_stream(spark: SparkSession, source: str) -> None:
+    """Adds the line that moves the watermark past every window; run the stream once more after it.
+
+    An append-mode aggregation holds back windows the watermark has not passed.
+    For a finished stream nothing can be late any more, so a last line far ahead
+    brings them out; its own window never closes and is never written.
+    """
+    line = F.to_json(F.struct(F.lit(END_TYPE).alias("type"), F.lit(END_TIME).alias("time")))
+    spark.range(1).select(line.alias("value")).coalesce(1).write.mode("append").text(source)
+
+
 def run_to_end(stream: DataFrame, path: str, checkpoint: str) -> None:
     """Process what is there, append it as parquet, and stop."""
     query = (

@@ -59,7 +59,7 @@ def test_folder_scan(spark, tmp_path):
 
 def test_statements_from_lines_match_whole_text(spark):
     rng = random.Random(7)
-    bits = ["select 'a;b", "'", '"', "; ", "\n", "-- c; '\n", "/* ; ' \n", "*/", "$$", "x", "it''s", ";\n", "\\'", "a/b-c "]
+    bits = ["select 'a;b", "'", '"', "; ", "\n", "-- c; '\n", "/* ; ' \n", "*/", "$$", "$a$", "$b$ ", "x", "it''s", ";\n", "\\'", "a/b-c "]
     texts = {f"f{i}.sql": "".join(rng.choice(bits) for _ in range(rng.randint(1, 60))) for i in range(60)}
     # \z differs from $ here: a text without a final newline must give the same statements
     whole = L.sql_statements(spark.createDataFrame(list(texts.items()), "source_file string, text string"))
@@ -77,13 +77,31 @@ def test_statements_from_lines_match_whole_text(spark):
     assert got == want
 
 
-def test_large_script_path(spark, tmp_path, monkeypatch):
-    path = write(tmp_path, a__sql="select 1;\nselect ';\n' from b;", b__sql="drop table x;")
-    want = sorted(map(tuple, G.read_sql_statements(spark, path).collect()))
-    assert len(want) == 3
-    monkeypatch.setattr(G, "LARGE_SCRIPT", 20)
-    got = sorted(map(tuple, G.read_sql_statements(spark, path).collect()))
-    assert got == want
+def test_tagged_bodies_across_blocks(spark, tmp_path, monkeypatch):
+    body = "create function f() as $fn$\nbegin;\n select 1;\nend;\n$fn$ language sql;\nselect 2;\n"
+    path = write(tmp_path, a__sql=body * 20, b__sql="drop table x;\r\nselect ';\r\n' from b;")
+    monkeypatch.setattr(sql_scripts, "BLOCK_LINES", 3)
+    got = G.read_sql_statements(spark, path).orderBy("source_file", "entry_index").collect()
+    assert [r.statement for r in got[:2]] == [body[: body.index("select 2")].strip(), "select 2;"] and len(got) == 42
+    assert [r.statement for r in got[40:]] == ["drop table x;", "select ';\n' from b;"]
+
+
+def test_comma_first_arrays_are_cut_by_value(spark):
+    lines = [("a.json", (i // 4) * 4, i, ("[" if i == 0 else ", ") + '{"k": %d}' % i) for i in range(30)] + [("a.json", 28, 30, "]")]
+    values = json_values(spark.createDataFrame(lines, "source_file string, chunk bigint, seq bigint, line string"), "array")
+    found = [r.line for r in values.orderBy("chunk", "seq").collect()]
+    assert [x for x in found if x != "null"][:30] == ['{"k":%d}' % i for i in range(30)]
+
+
+def test_stray_quote_keeps_the_other_rows(spark):
+    text = 'x,y\n1,2\n"3,4\n' + "\n".join(f"{k},ok" for k in range(50))
+    rows = L.csv_records(join_quoted_lines(lines_of(spark, {"a.csv": text}))).collect()
+    assert sum(r["__raw"][-1] == "ok" for r in rows) == 50
+
+
+def test_repeated_header_names(spark):
+    r = L.csv_entries(lines_of(spark, {"a.csv": "a,b,a,a\n1,2,3,4"})).first()
+    assert r["columns"] == ["a", "b", "a.1", "a.2"] and r.payload["a.2"] == "4"
 
 
 def test_json_values_across_chunks(spark):

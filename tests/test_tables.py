@@ -80,9 +80,8 @@ def test_duplicates_with_hot_text(spark):
 def test_category_join(spark):
     df = spark.range(10).withColumn("k", F.col("id") % 3)
     names = spark.createDataFrame([(0, "a"), (1, "b")], "k bigint, name string")
-    for limit in (100, 1):
-        got = D.with_category(df, names, "k", broadcast_rows=limit)
-        assert got.count() == 10 and got.where("name is null").count() == 3
+    got = D.with_category(df, names, "k")
+    assert got.count() == 10 and got.where("name is null").count() == 3
 
 
 def test_errors(spark):
