@@ -110,11 +110,13 @@ EXAMPLES = "## Generation Examples"
 ROUGE_TABLE = ["### ROUGE Scores", "", "| Metric | Precision | Recall | F1 |", "|--------|-----------|--------|----|"]
 SECTIONS = [
     ("perplexity", "### Perplexity", {"perplexity": "Perplexity", "avg_loss": "Average Loss", "total_tokens": "Total Tokens"}),
-    ("bleu", "### BLEU Score", {"bleu": "BLEU", **{f"precision_{n}": f"{n}-gram" for n in range(1, 5)}}),
+    ("rouge", None, {}),
+    ("bleu", "### BLEU Score", {"bleu": "BLEU"}),
     ("exact_match", "### Exact Match", {None: "Score"}),
     ("accuracy", "### Accuracy", {None: "Score"}),
     ("f1", "### F1 Score", {"f1": "F1", "precision": "Precision", "recall": "Recall"}),
 ]
+PRECISIONS = "- **N-gram Precisions:**"
 DOMAIN = "### Domain-Specific Metrics"
 EXAMPLE_FIELDS = {"prompt": "Prompt", "reference": "Reference", "prediction": "Prediction"}
 
@@ -123,17 +125,22 @@ def _number(sub: str | None, value: float) -> str:
     return f"{value:.0f}" if sub == "total_tokens" else f"{value:.4f}"
 
 
-def render_report(scores: DataFrame, model: str, examples: DataFrame | None = None, now: dt.datetime | None = None) -> str:
-    """Markdown of a scores table (a few dozen rows) and of the chosen examples."""
+def render_report(
+    scores: DataFrame, model: str, examples: DataFrame | None = None, now: dt.datetime | None = None, n_examples: int = 5
+) -> str:
+    """Markdown of a scores table (a few dozen rows) and of at most ``n_examples`` examples."""
     values = {(r.metric, r.sub_metric): r.value for r in scores.collect() if r.value is not None}
     stamp = (now or dt.datetime.now()).strftime("%Y-%m-%d %H:%M:%S")
     blocks = [[TITLE, "", f"**Model:** {model}", f"**Date:** {stamp}"], [SUMMARY]]
     rouge = sorted({m for m, _ in values if m.startswith("rouge")})
-    if rouge:
-        cells = [[m] + [_number(p, values[m, p]) for p in ("precision", "recall", "fmeasure")] for m in rouge]
-        blocks.append(ROUGE_TABLE + ["| " + " | ".join(row) + " |" for row in cells])
+    orders = [(n, values["bleu", f"precision_{n}"]) for n in range(1, 5) if ("bleu", f"precision_{n}") in values]
     for metric, heading, labels in SECTIONS:
+        if metric == "rouge" and rouge:
+            cells = [[m] + [_number(p, values[m, p]) for p in ("precision", "recall", "fmeasure")] for m in rouge]
+            blocks.append(ROUGE_TABLE + ["| " + " | ".join(row) + " |" for row in cells])
         items = [f"- **{label}:** {_number(s, values[metric, s])}" for s, label in labels.items() if (metric, s) in values]
+        if metric == "bleu" and orders:
+            items += [PRECISIONS, *[f"  - {n}-gram: {p:.4f}" for n, p in orders]]
         if items:
             blocks.append([heading, "", *items])
     domain = sorted((s, v) for (m, s), v in values.items() if m == "domain")
@@ -141,7 +148,7 @@ def render_report(scores: DataFrame, model: str, examples: DataFrame | None = No
         blocks.append([DOMAIN, "", *[f"- **{s}:** {_number(s, v)}" for s, v in domain]])
     if examples is not None:
         blocks.append([EXAMPLES])
-        for i, row in enumerate(examples.select(*EXAMPLE_FIELDS).collect(), 1):
+        for i, row in enumerate(examples.select(*EXAMPLE_FIELDS).limit(n_examples).collect(), 1):
             shown = [line for c, label in EXAMPLE_FIELDS.items() for line in (f"**{label}:**", "```", str(row[c]), "```", "")]
             blocks.append([f"### Example {i}", "", *shown, "---"])
     return "\n\n".join("\n".join(block) for block in blocks) + "\n"
