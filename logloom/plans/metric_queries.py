@@ -263,6 +263,11 @@ def _(t):
 
 
 def _bleu_sql(pairs_sql: str, words_of, smoothing: str) -> str:
+    clipped = gram_sql(pairs_sql, words_of("prediction"), words_of("reference"), 4)
+    return _bleu_totals(f"{clipped}, lengths AS (SELECT sum(len(h)) AS hyp_len, sum(len(r)) AS ref_len FROM split_words)", smoothing)
+
+
+def _bleu_totals(clipped_sql: str, smoothing: str) -> str:
     totals = ", ".join(
         f"coalesce(sum(matched) FILTER (n = {n}), 0) AS m{n}, coalesce(sum(nh) FILTER (n = {n}), 0) AS t{n}" for n in range(1, 5)
     )
@@ -271,9 +276,8 @@ def _bleu_sql(pairs_sql: str, words_of, smoothing: str) -> str:
         zeros = " + ".join(f"CASE WHEN m{k} = 0 AND t{k} > 0 THEN 1 ELSE 0 END" for k in range(1, n + 1))
         zero = f"1.0 / (pow(2, {zeros}) * t{n})" if smoothing == "exp" else "0.0"
         precisions.append(f"CASE WHEN t{n} = 0 THEN 0.0 WHEN m{n} = 0 THEN {zero} ELSE m{n} / t{n} END::DOUBLE AS p{n}")
-    with_sql = f"""{gram_sql(pairs_sql, words_of('prediction'), words_of('reference'), 4)},
+    with_sql = f"""{clipped_sql},
     totals AS (SELECT {totals} FROM clipped),
-    lengths AS (SELECT sum(len(h)) AS hyp_len, sum(len(r)) AS ref_len FROM split_words),
     parts AS (SELECT {', '.join(precisions)}, CASE WHEN hyp_len >= ref_len THEN 1.0 ELSE exp(1 - ref_len / hyp_len) END AS bp FROM totals, lengths)"""
     items = [("bleu", "bleu", "CASE WHEN least(p1, p2, p3, p4) > 0 THEN bp * exp((ln(p1) + ln(p2) + ln(p3) + ln(p4)) / 4) ELSE 0 END")]
     items += [("bleu", f"precision_{n}", f"p{n}") for n in range(1, 5)]
@@ -302,6 +306,26 @@ def _(t):
     return rounded(bleu.bleu_score(turn_pairs(t)))
 
 
+_SECOND = "substr(prediction, instr(prediction, ' ') + 1)"
+_SEVERAL = f"""{TURN_SQL},
+    split_words AS (SELECT example_id, {_words_13a("prediction")} AS h, [{_words_13a("reference")}, {_words_13a(_SECOND)}] AS rs FROM pairs),
+    sides AS (SELECT example_id, 0 AS side, h AS w FROM split_words UNION ALL SELECT example_id, 1, rs[1] FROM split_words UNION ALL SELECT example_id, 2, rs[2] FROM split_words),
+    grams AS (SELECT example_id, side, n, array_to_string(w[i:i + n - 1], ' ') AS g
+      FROM (SELECT *, unnest(generate_series(1, len(w) - n + 1)) AS i FROM (SELECT *, unnest([1, 2, 3, 4]) AS n FROM sides))),
+    counts AS (SELECT example_id, n, g, side, count(*) AS c FROM grams GROUP BY ALL),
+    per_gram AS (SELECT example_id, n, g, coalesce(max(c) FILTER (side = 0), 0) AS h, coalesce(max(c) FILTER (side > 0), 0) AS r FROM counts GROUP BY example_id, n, g),
+    clipped AS (SELECT example_id, n, sum(least(h, r)) AS matched, sum(h) AS nh FROM per_gram GROUP BY example_id, n),
+    lengths AS (SELECT sum(len(h)) AS hyp_len, sum(CASE WHEN abs(len(rs[1]) - len(h)) < abs(len(rs[2]) - len(h)) OR
+      (abs(len(rs[1]) - len(h)) = abs(len(rs[2]) - len(h)) AND len(rs[1]) < len(rs[2])) THEN len(rs[1]) ELSE len(rs[2]) END) AS ref_len FROM split_words)"""
+
+
+@query("bleu_multi_reference", _bleu_totals(_SEVERAL, "exp"))
+def _(t):
+    """Two references: the turn before, and the prediction without its first word."""
+    second = F.expr("substr(prediction, instr(prediction, ' ') + 1)")
+    return rounded(bleu.bleu_score(turn_pairs(t).select("example_id", "prediction", F.array("reference", second).alias("references"))))
+
+
 # --- perplexity: one event = one batch with a loss and a token count ---
 
 LOSS_SQL = "losses AS (SELECT value / 50.0 AS loss, user_id + 1 AS n_tokens FROM events)"
