@@ -51,6 +51,7 @@ ASIDE_WORDS = frozenset(
     "cookie cookies consent gdpr notice notices notification alert popup modal overlay newsletter subscribe subscription signup login paywall "
     "share sharing social comment comments commentlist discussion disqus reply replies respond skiplink copyright".split()
 )
+LAYOUT_WORDS = frozenset("has have with without no not hide show open closed enabled disabled".split())
 HEADER_WORDS = frozenset("header head siteheader pageheader".split())
 
 DEPTH = 64
@@ -164,15 +165,25 @@ def _name(tag: str, attrs) -> tuple[str, bool]:
         if not value:
             continue
         if name in ("class", "id"):
-            found = _WORDS.findall(_CAMEL.sub(" ", value).lower())
-            words += found
-            marked = marked or not ASIDE_WORDS.isdisjoint(found) or (tag != "article" and bool(found) and set(found) <= HEADER_WORDS)
+            for token in value.split():
+                found = _WORDS.findall(_CAMEL.sub(" ", token).lower())
+                words += found
+                marked = marked or _marks(tag, found)
         elif name == "role":
             words.append(value.lower())
             marked = marked or value.lower() in ASIDE_ROLES
     return " ".join([tag, *sorted(set(words))]), marked
 
 
+def _marks(tag: str, words: list[str]) -> bool:
+    """Whether one class or id says so. ``has-sidebar`` and the like describe a layout; an article is a comment only by its whole name."""
+    if tag in ("body", "main") or not LAYOUT_WORDS.isdisjoint(words) or not words:
+        return False
+    if tag == "article":
+        return ASIDE_WORDS.issuperset(words)
+    return not ASIDE_WORDS.isdisjoint(words) or HEADER_WORDS.issuperset(words)
+
+
 def parsed(html: str) -> Node:
     tree = _Tree()
     tree.feed(html)

@@ -328,6 +328,8 @@ def test_extraction_of_one_page():
     article = "<article><h1>Head &amp; tail</h1><p><b>One\n two<br>three<p>Four &lt;5&gt;<ul><li>six<li>seven</ul><aside>ad</aside></article>"
     want = "Head & tail\nOne two three\nFour <5>\nsix\nseven"
     assert wrappers.extracted(PAGE % article) == want
+    layout = '<body class="has-sidebar"><div class="wrap no-comments"><article class="post comments-open"><p>a<div class="ad-slot">x</div><p>b</article></div>'
+    assert wrappers.extracted(layout + '<article class="comment">c</article>') == "a\nb"
     assert wrappers.extracted(None) == wrappers.extracted("") == ""
     deep = "<div>" * 5000 + "end" + "</div>" * 5000
     assert wrappers.extracted(deep) == "end"
