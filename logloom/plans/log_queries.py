@@ -10,6 +10,8 @@ from logloom.functions.text import preview
 from logloom.functions.timeparse import iso_text, parse_timestamp, time_filter
 from logloom.operators import log_entries as L
 from logloom.operators import log_reports as R
+from logloom.operators.csv_quotes import join_quoted_lines
+from logloom.operators.json_texts import json_values
 from logloom.plans import rendered
 from logloom.plans.registry import query
 from logloom.plans.rendered import CUSTOMER_SQL, EVENT_SQL, ORDER_SQL
@@ -100,6 +102,26 @@ def _(t):
     )
 
 
+@query(
+    "json_array_comma_first",
+    "SELECT 'user_' || user_id || '.json' AS source_file, event_type AS log_type, "
+    "row_number() OVER (PARTITION BY user_id ORDER BY event_id) AS entry_index FROM events "
+    "UNION ALL SELECT DISTINCT 'user_' || user_id || '.json', 'open', 0 FROM events",
+)
+def _(t):
+    """One array file per user with the commas at the start of the lines."""
+    name = F.concat(F.lit("user_"), F.col("user_id").cast("string"), F.lit(".json")).alias("source_file")
+    value = F.to_json(F.struct(F.col("event_type").alias("level")))
+    items = t.events.select(name, F.col("event_id").alias("seq"), F.concat(F.lit(", "), value).alias("line"))
+    frame = F.array(*[
+        F.struct(F.lit(n).cast("bigint").alias("seq"), F.lit(x).alias("line"))
+        for n, x in ((-2, "["), (-1, '{"level":"open"}'), ((1 << 62), "]"))
+    ])
+    lines = items.unionByName(t.events.select("user_id").distinct().select(name, F.inline(frame)))
+    lines = lines.withColumn("chunk", F.floor(F.col("seq") / 1000))
+    return L.json_entries(json_values(lines, "array")).select("source_file", "log_type", "entry_index")
+
+
 # --- SQL ---
 
 _SQL_COLUMNS = (
@@ -197,6 +219,36 @@ def _(t):
     return entries.select("source_file", "entry_index", "log_type", "timestamp")
 
 
+_STRAY = 100
+
+
+@query(
+    "csv_stray_quote",
+    f"SELECT CASE WHEN c_custkey = {_STRAY} THEN '\"' ELSE '' END || c_custkey AS id, 'nation_' || c_nationkey AS nation FROM customer",
+)
+def _(t):
+    """A quote that is never closed costs no other row."""
+    number = F.col("c_custkey").cast("string")
+    line = F.concat(F.when(F.col("c_custkey") == _STRAY, '"').otherwise(""), number, F.lit(",nation_"), F.col("c_nationkey").cast("string"))
+    entries = L.csv_entries(join_quoted_lines(_one_file(t.customer, "id,nation", line)))
+    return entries.select(F.col("payload")["id"].alias("id"), F.col("payload")["nation"].alias("nation"))
+
+
+@query("csv_duplicate_header", "SELECT c_custkey::VARCHAR AS first, 'nation_' || c_nationkey AS second FROM customer")
+def _(t):
+    line = F.concat(F.col("c_custkey").cast("string"), F.lit(",nation_"), F.col("c_nationkey").cast("string"))
+    entries = L.csv_entries(_one_file(t.customer, "id,id", line))
+    return entries.select(F.col("payload")["id"].alias("first"), F.col("payload")["id.1"].alias("second"))
+
+
+def _one_file(customer: DataFrame, header: str, line: Column) -> DataFrame:
+    rows = customer.select(F.lit("x.csv").alias("source_file"), F.floor(F.col("c_custkey") / 1000).alias("chunk"), F.col("c_custkey").alias("seq"), line.alias("line"))
+    first = customer.sparkSession.range(1).select(
+        F.lit("x.csv").alias("source_file"), F.lit(-1).cast("bigint").alias("chunk"), F.lit(-1).cast("bigint").alias("seq"), F.lit(header).alias("line")
+    )
+    return first.unionByName(rows)
+
+
 # --- detection, dispatch, envelope ---
 
 
@@ -431,6 +483,23 @@ def _(t):
     )
 
 
+_TAGGED = "'create function f_' || o_orderkey || '() as $b$' || chr(10) || 'begin; select ' || o_orderkey || ';' || chr(10) || 'end;' || chr(10) || '$b$;'"
+
+
+@query(
+    "scan_sql_tagged_bodies",
+    f"SELECT 'CREATE' AS log_type, count(*) AS entries, sum(length({_TAGGED}))::BIGINT AS chars FROM orders",
+)
+def _(t):
+    """Function bodies between tags, over many blocks of lines, stay whole statements."""
+    path = new_path(t.spark, "tagged-log")
+    key = F.col("o_orderkey").cast("string")
+    statement = F.concat(F.lit("create function f_"), key, F.lit("() as $b$\nbegin; select "), key, F.lit(";\nend;\n$b$;"))
+    t.orders.select(statement.alias("value")).write.text(path)
+    entries = L.sql_entries(G.read_sql_statements(t.spark, path))
+    return entries.groupBy("log_type").agg(F.count("*").alias("entries"), F.sum("query_length").alias("chars"))
+
+
 @query(
     "scan_csv_files",
     f"""WITH {CUSTOMER_SQL} SELECT log_type, count(*) AS entries, count("timestamp") AS dated, count(status) AS with_status
