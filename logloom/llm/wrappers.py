@@ -59,6 +59,8 @@ KEPT_TEXTS = 8
 CONSTANT = 0.8
 LINKS = 0.8
 MIN_PAGES = 5
+#: The first merge of a host's trees is dealt over so many groups, the second merges their results.
+PARTS = 1024
 _WORDS = re.compile(r"[a-z]+")
 _CAMEL = re.compile(r"(?<=[a-z])(?=[A-Z])")
 
@@ -376,7 +378,7 @@ def _induce(batches):
             hosts[host] = merged(hosts[host], page) if host in hosts else page
     part = TaskContext.get().partitionId()
     yield pa.RecordBatch.from_arrays(
-        [pa.array(list(hosts), pa.string()), pa.array([part % 32] * len(hosts), pa.int32()), pa.array([json.dumps(w) for w in hosts.values()], pa.string())],
+        [pa.array(list(hosts), pa.string()), pa.array([part % PARTS] * len(hosts), pa.int32()), pa.array([json.dumps(w) for w in hosts.values()], pa.string())],
         ["host", "part", "wrapper"],
     )
 
