@@ -12,6 +12,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from logloom.session import stage
+
 _AGGREGATES = {"sum": F.sum, "max": F.max, "min": F.min, "first": F.min}
 
 
@@ -62,7 +64,9 @@ def chunk_totals(df: DataFrame, keys: list[str], chunk: str, **totals: tuple[str
     per_chunk = df.groupBy(*keys, chunk).agg(
         *[_AGGREGATES[how](col).alias(f"__total_{n}") for n, (how, col) in totals.items()]
     )
-    group = Window.partitionBy(*(keys or [F.lit(0)]))
+    if not keys:
+        return _whole_table_totals(per_chunk, chunk, totals)
+    group = Window.partitionBy(*keys)
     before = group.orderBy(chunk).rowsBetween(Window.unboundedPreceding, -1)
     return per_chunk.select(
         *keys,
@@ -74,6 +78,35 @@ def chunk_totals(df: DataFrame, keys: list[str], chunk: str, **totals: tuple[str
     )
 
 
+def _whole_table_totals(per_chunk: DataFrame, chunk: str, totals: dict) -> DataFrame:
+    """Without keys the chunks themselves are many: they are dealt into ranges, and only ranges meet in one window."""
+    ranged = stage(per_chunk.repartitionByRange(chunk).withColumn("__range", F.spark_partition_id()), "chunk-ranges")
+    every = Window.partitionBy(F.lit(0))
+    earlier = every.orderBy("__range").rowsBetween(Window.unboundedPreceding, -1)
+    ranges = ranged.groupBy("__range").agg(
+        *[_AGGREGATES[how](F.col(f"__total_{n}")).alias(f"__sum_{n}") for n, (how, _) in totals.items()]
+    )
+    ranges = ranges.select(
+        "__range",
+        *[
+            _AGGREGATES[how](F.col(f"__sum_{n}")).over(every if how == "first" else earlier).alias(f"__far_{n}")
+            for n, (how, _) in totals.items()
+        ],
+    )
+    inside = Window.partitionBy("__range").orderBy(chunk).rowsBetween(Window.unboundedPreceding, -1)
+    near = ranged.withColumns(
+        {f"__near_{n}": _AGGREGATES[how](F.col(f"__total_{n}")).over(inside) for n, (how, _) in totals.items()}
+    )
+    return near.join(ranges, "__range").select(
+        chunk,
+        *[
+            # the first row of all has nothing before it
+            F.coalesce(_combine(how, F.col(f"__far_{n}"), F.col(f"__near_{n}")), F.col(f"__far_{n}"), F.col(f"__near_{n}")).alias(f"__carry_{n}")
+            for n, (how, _) in totals.items()
+        ],
+    )
+
+
 def with_position(
     df: DataFrame, keys: list[str], chunk: str, order: list[str], name: str = "position", counted: Column | None = None
 ) -> DataFrame:
