@@ -48,9 +48,12 @@ def _projections(size: int, tables: int, hashes: int, width: float) -> tuple[np.
     return random.standard_normal((size, tables * hashes)), random.uniform(0, width, tables * hashes)
 
 
-def _keys(unit: np.ndarray, tables: int, hashes: int, width: float) -> np.ndarray:
-    """A 64-bit key for each vector and table."""
-    directions, shifts = _projections(unit.shape[1], tables, hashes, width)
+def _keys(unit: np.ndarray, tables: int, hashes: int, width: float, memory: dict) -> np.ndarray:
+    """A 64-bit key for each vector and table; ``memory`` keeps the projections of a task."""
+    size = unit.shape[1]
+    if size not in memory:
+        memory[size] = _projections(size, tables, hashes, width)
+    directions, shifts = memory[size]
     cells = np.floor((unit @ directions + shifts) / width).astype(np.int64).astype(np.uint64).reshape(len(unit), tables, hashes)
     mixed = np.zeros(cells.shape[:2], np.uint64)
     for k in range(hashes):
@@ -70,13 +73,14 @@ def _matrix(vectors: pa.Array) -> np.ndarray:
 
 def _bucket_rows(tables: int, hashes: int, width: float):
     def run(batches):
+        memory: dict = {}
         for batch in batches:
             sizes = np.asarray(batch.column("vector").value_lengths())
             for size in np.unique(sizes):
                 some = batch.filter(pa.array(sizes == size))
                 for k in range(0, some.num_rows, 2048):
                     part = some.slice(k, 2048)
-                    keys = _keys(_matrix(part.column("vector")), tables, hashes, width)
+                    keys = _keys(_matrix(part.column("vector")), tables, hashes, width, memory)
                     yield pa.RecordBatch.from_arrays(
                         [
                             pa.array(np.repeat(np.asarray(part.column("node")), tables)), pa.array(np.repeat(np.asarray(part.column("label")), tables)),
@@ -91,19 +95,21 @@ def _bucket_rows(tables: int, hashes: int, width: float):
 def _verify(threshold: float, tables: int, hashes: int, width: float):
     """Rows sorted by (label, size, table, key, low, high); each such group is compared and summed up."""
 
-    def compare(rows: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    def compare(rows: pa.RecordBatch, memory: dict) -> tuple[np.ndarray, np.ndarray, np.ndarray] | None:
         node, copies, block = (np.asarray(rows.column(c)) for c in ("node", "copies", "block"))
         table, low, high = rows.column("table")[0].as_py(), rows.column("low")[0].as_py(), rows.column("high")[0].as_py()
         unit = _matrix(rows.column("vector"))
         a, b = np.flatnonzero(block == low), np.flatnonzero(block == high)
         linked = unit[a] @ unit[b].T >= threshold
+        if low == high:
+            np.fill_diagonal(linked, False)
+        if not linked.any():
+            return None
         if table:
             # a pair counts in the first table where it meets
-            keys = _keys(unit, tables, hashes, width)[:, :table]
+            keys = _keys(unit, tables, hashes, width, memory)[:, :table]
             for k in range(table):
                 linked &= keys[a, k][:, None] != keys[b, k][None, :]
-        if low == high:
-            np.fill_diagonal(linked, False)
         counts = np.zeros(len(node), np.int64)
         np.add.at(counts, a, linked @ copies[b])
         root = node.copy()
@@ -121,7 +127,7 @@ def _verify(threshold: float, tables: int, hashes: int, width: float):
         return node[some], counts[some], root[some]
 
     def run(batches):
-        held = None
+        held, memory = None, {}
         keys = ["label", "size", "table", "key", "low", "high"]
         for batch in batches:
             if held is not None:
@@ -131,13 +137,14 @@ def _verify(threshold: float, tables: int, hashes: int, width: float):
             marks = np.stack([np.asarray(batch.column(k), np.int64) for k in keys])
             cuts = np.flatnonzero((marks[:, 1:] != marks[:, :-1]).any(axis=0)) + 1
             borders = [0, *cuts.tolist()]
-            found = [compare(batch.slice(a, b - a)) for a, b in zip(borders[:-1], borders[1:])]
+            found = [compare(batch.slice(a, b - a), memory) for a, b in zip(borders[:-1], borders[1:])]
             held = batch.slice(borders[-1])
             yield from _out(found)
         if held is not None and held.num_rows:
-            yield from _out([compare(held)])
+            yield from _out([compare(held, memory)])
 
     def _out(found):
+        found = [x for x in found if x is not None]
         if found:
             columns = [np.concatenate(x) for x in zip(*found)]
             yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["node", "links", "root"])
