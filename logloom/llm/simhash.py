@@ -114,13 +114,14 @@ def near_copies(docs: DataFrame) -> DataFrame:
     )
 
 
-def one_of_each(docs: DataFrame) -> DataFrame:
-    """The rows of ``docs`` whose doc_id is the smallest of its component.
+def one_of_each(docs: DataFrame, named: DataFrame | None = None) -> DataFrame:
+    """The rows of ``docs`` whose doc_id is the smallest of its component, by ``near_copies`` or by ``named`` (doc_id, component_id).
 
     Of rows that agree in doc_id the smallest row stays; rows without a doc_id
     cannot be named as copies and all stay.
     """
-    chosen = near_copies(docs).where("doc_id = component_id").groupBy(F.col("doc_id").alias("__id")).agg(F.count("*").alias("__n"))
+    named = near_copies(docs) if named is None else named
+    chosen = named.where("doc_id = component_id").groupBy(F.col("doc_id").alias("__id")).agg(F.count("*").alias("__n"))
     stage = Staged(docs.sparkSession, "simhash-kept")
     chosen = stage.write(chosen)
     several = stage.write(chosen.where("__n > 1").select("__id"))
