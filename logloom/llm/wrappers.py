@@ -40,6 +40,9 @@ VOID = frozenset("area base br col embed hr img input link meta param source tra
 HIDDEN = frozenset("audio canvas datalist head iframe math noembed noframes noscript object rp script style svg template textarea title video".split())
 #: An opening element on the left ends open elements on the right.
 ENDS = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}}
+#: The same for hidden elements, where also a part of a table ends the rows before it; elements that may stand in a head.
+HIDDEN_ENDS = {**ENDS, **dict.fromkeys(("tbody", "thead", "tfoot"), {"tr", "td", "th", "tbody", "thead", "tfoot"})}
+HEAD = frozenset("base basefont bgsound link meta noframes noscript script style template title".split())
 SCOPES = {"ul", "ol", "menu", "table", "dl", "select", "td", "th", "article", "section", "div", "body"}
 #: Elements, roles and words in class or id that mark a part as not being the article.
 ASIDE_TAGS = frozenset("nav footer aside form menu select button dialog search fieldset option".split())
@@ -81,6 +84,8 @@ class _Tree(HTMLParser):
         self.open, self.hidden, self.links = [self.root], [], 0
 
     def handle_starttag(self, tag, attrs):
+        if self.hidden:
+            self._end_hidden(tag)
         if self.hidden:
             if tag not in VOID:
                 self.hidden.append(tag)
@@ -123,9 +128,14 @@ class _Tree(HTMLParser):
             if tag in self.hidden:
                 while self.hidden.pop() != tag:
                     pass
-            elif tag in ("body", "html"):
+                return
+            if tag in ("body", "html"):
                 self.hidden = []
-            return
+                return
+            # the end of a block around a hidden element ends that too
+            if self.hidden[0] in HIDDEN or tag not in BLOCKS or all(n.tag != tag for n in self.open):
+                return
+            self.hidden = []
         if tag == "a":
             self.links = 0
         if tag in BLOCKS:
@@ -133,9 +143,24 @@ class _Tree(HTMLParser):
             self._close(tag)
 
     def handle_data(self, data):
+        if self.hidden == ["head"] and data.strip():
+            self.hidden = []
         if not self.hidden:
             self.open[-1].items.append((data, self.links > 0))
 
+    def _end_hidden(self, tag):
+        """Ends hidden elements whose end tags may be left out where ``tag`` opens."""
+        if self.hidden == ["head"] and tag not in HEAD:
+            self.hidden = []
+        for tags in ([{"p"}] if tag in BLOCKS else []) + ([HIDDEN_ENDS[tag]] if tag in HIDDEN_ENDS else []):
+            k = len(self.hidden) - 1
+            while k >= 0:
+                if self.hidden[k] in tags:
+                    del self.hidden[k:]
+                elif self.hidden[k] in SCOPES:
+                    break
+                k -= 1
+
     def _close(self, tag):
         for k in range(len(self.open) - 1, 0, -1):
             if self.open[k].tag == tag:
