@@ -12,8 +12,9 @@ If a page marks its article, the article is the slot, and only parts marked
 otherwise are cut out of it.
 
 Null or empty html gives the empty text. A url without a host, or null, belongs
-to the host "". Long pages are read whole; nesting deeper than DEPTH is flattened
-into its ancestor without losing text. Repeated rows are pages of their own. An
+to the host "". Long pages are read whole; blocks deeper than DEPTH are
+flattened into their ancestor as blocks of text, except for the first article or
+marked part there. Repeated rows are pages of their own. An
 empty table gives an empty result. Extra columns are ignored.
 """
 
@@ -58,6 +59,8 @@ LAYOUT_WORDS = frozenset("has have with without no not hide show open closed ena
 HEADER_WORDS = frozenset("header head siteheader pageheader".split())
 
 DEPTH = 64
+#: Stands where a flattened block starts or ends.
+BREAK = ("\n", False)
 KEPT_TEXTS = 8
 CONSTANT = 0.8
 LINKS = 0.8
@@ -69,10 +72,12 @@ _CAMEL = re.compile(r"(?<=[a-z])(?=[A-Z])")
 
 
 class Node:
-    __slots__ = ("tag", "label", "marked", "items")
+    __slots__ = ("tag", "label", "marked", "items", "within")
 
-    def __init__(self, tag: str, label: str, marked: bool):
+    def __init__(self, tag: str, label: str, marked: bool, within: frozenset = frozenset()):
         self.tag, self.label, self.marked, self.items = tag, label, marked, []
+        own = {"marked"} if marked else {tag} if tag in ("article", "main") else None
+        self.within = within | own if own else within
 
 
 class _Tree(HTMLParser):
@@ -112,11 +117,13 @@ class _Tree(HTMLParser):
             self.hidden.append(tag)
             return
         label, marked = _name(tag, attrs)
-        node = Node(tag, label, marked)
-        if len(self.open) > DEPTH and not marked:
-            self.open[-1].items.append((" ", False))
-            return
-        self.open[-1].items.append(node)
+        node = Node(tag, label, marked, self.open[-1].within)
+        if len(self.open) > DEPTH and not self._is_new(tag, marked):
+            # flattened: the tag is open as any other, but its items are its parent's
+            node.items = self.open[-1].items
+            node.items.append(BREAK)
+        else:
+            self.open[-1].items.append(node)
         if tag not in VOID:
             self.open.append(node)
 
@@ -161,16 +168,27 @@ class _Tree(HTMLParser):
                     break
                 k -= 1
 
+    def _is_new(self, tag, marked) -> bool:
+        """Whether a deep element starts a marked part or an article, and none is open."""
+        within = self.open[-1].within
+        return "marked" not in within and (marked or tag in ("article", "main") and tag not in within)
+
+    def _cut(self, k):
+        flat = self.open[k].items is self.open[k - 1].items
+        del self.open[k:]
+        if flat:
+            self.open[-1].items.append(BREAK)
+
     def _close(self, tag):
         for k in range(len(self.open) - 1, 0, -1):
             if self.open[k].tag == tag:
-                del self.open[k:]
+                self._cut(k)
                 return
 
     def _end_open(self, tags):
         for k in range(len(self.open) - 1, 0, -1):
             if self.open[k].tag in tags:
-                del self.open[k:]
+                self._cut(k)
                 return
             if self.open[k].tag in SCOPES:
                 return
@@ -365,6 +383,9 @@ def _blocks(node: Node, dropped: set, in_article: bool, out: list[str]) -> None:
         run.clear()
 
     for item in node.items:
+        if item is BREAK:
+            flush()
+            continue
         if isinstance(item, tuple):
             run.append(item[0])
             continue

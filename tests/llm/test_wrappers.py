@@ -14,3 +14,12 @@ def test_hidden_elements_end_without_end_tags():
     assert wrappers.extracted("<table><tr hidden><td>x<td>y<tr><td hidden>z<td>a</table>b") == "a\nb"
     assert wrappers.extracted("<dl><dt hidden>x<dd>a<dd hidden>y</dl><p>b") == "a\nb"
     assert wrappers.extracted("<div hidden><ul><li>x</ul><p>y</div>a") == "a"
+
+
+def test_deep_blocks_close_nothing_else():
+    deep = "<div>" * 70
+    page = "<body><div>out<div><article>%s" + deep + "<p>in<p>two" + "</div>" * 70 + "<p>rest</article></div>out</div>"
+    assert wrappers.extracted(page % "") == "in\ntwo\nrest"
+    assert wrappers.extracted(deep + "a<div>b</div>c" + "</div>" * 70 + "<p>d") == "a\nb\nc\nd"
+    assert wrappers.extracted(deep + "x<article>a<nav>y<nav>y</nav>y</nav>b</article>z" + "</div>" * 70 + "z") == "a\nb"
+    assert wrappers.extracted("a" + "<nav>" * 5000 + "x" + "</nav>" * 5000 + "b") == "a\nb"
