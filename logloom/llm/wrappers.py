@@ -8,8 +8,9 @@ moves a few small trees and no page. Nodes whose text is the same on most
 (different) pages are template; varying nodes are slots. A slot is content
 unless its name or role marks it as navigation, header, footer, sidebar, notice,
 advert, form or reader comments, or nearly all its text on the host is links.
-If a page marks its article, the article is the slot, and only parts marked
-otherwise are cut out of it.
+The host's decisions hold on every page. An article (or main) that a page marks is
+evidence: where it has at least half of the text that is left, it is the content,
+else all content slots are.
 
 Null or empty html gives the empty text. A url without a host, or null, belongs
 to the host "". Long pages are read whole; blocks deeper than DEPTH are
@@ -401,16 +402,18 @@ def extracted(html: str | None, decision: list | None = None) -> str:
     if not html:
         return ""
     root = parsed(html)
-    found = _articles(root, "article") or _articles(root, "main")
-    out: list[str] = []
-    if found:
-        for node in found:
-            _blocks(node, set(), True, out)
-        return "\n".join(out)
     dropped: set = set()
     if decision is not None:
         _dropped(_bare(root), _shape(decision), dropped)
+    out: list[str] = []
     _blocks(root, dropped, False, out)
+    found = _articles(root, "article") or _articles(root, "main")
+    inside: list[str] = []
+    for node in found:
+        _blocks(node, dropped, True, inside)
+    # the mark is evidence: it holds unless more of the page's own text lies outside
+    if inside and 2 * sum(map(len, inside)) >= sum(map(len, out)):
+        return "\n".join(inside)
     return "\n".join(out)
 
 

@@ -21,5 +21,24 @@ def test_deep_blocks_close_nothing_else():
     page = "<body><div>out<div><article>%s" + deep + "<p>in<p>two" + "</div>" * 70 + "<p>rest</article></div>out</div>"
     assert wrappers.extracted(page % "") == "in\ntwo\nrest"
     assert wrappers.extracted(deep + "a<div>b</div>c" + "</div>" * 70 + "<p>d") == "a\nb\nc\nd"
-    assert wrappers.extracted(deep + "x<article>a<nav>y<nav>y</nav>y</nav>b</article>z" + "</div>" * 70 + "z") == "a\nb"
+    assert wrappers.extracted(deep + "x<article>long one<nav>y<nav>y</nav>y</nav>b</article>z" + "</div>" * 70 + "z") == "long one\nb"
     assert wrappers.extracted("a" + "<nav>" * 5000 + "x" + "</nav>" * 5000 + "b") == "a\nb"
+
+
+def _words(pick, n):
+    return " ".join(f"w{pick.randrange(10**6)}" for _ in range(n))
+
+
+def test_the_wrapper_decides_inside_articles(spark):
+    pick = random.Random(1)
+    rows, want = [], {}
+    for k in range(20):
+        body = [_words(pick, 12) for _ in range(3)]
+        html = "<body><div>Site</div><article><div class='q'>Buy our paper today</div>" + "".join(f"<p>{b}</p>" for b in body) + "<div class='r'>All rights</div></article></body>"
+        rows.append((k, f"http://h.example/{k}", html))
+        want[k] = "\n".join(body)
+        text = _words(pick, 60)
+        rows.append((100 + k, f"http://g.example/{k}", f"<body><article>{_words(pick, 3)}</article><div>{text}</div></body>"))
+        want[100 + k] = rows[-1][2][15:].split("</article>")[0] + "\n" + text
+    got = {r.page_id: r.text for r in wrappers.extract(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    assert got == want
