@@ -15,8 +15,8 @@ else all content slots are.
 Null or empty html gives the empty text. A url without a host, or null, belongs
 to the host "". Long pages are read whole; blocks deeper than DEPTH are
 flattened into their ancestor as blocks of text, except for the first article or
-marked part there. Repeated rows are pages of their own. An
-empty table gives an empty result. Extra columns are ignored.
+marked part there. Repeated rows are pages of their own
+but count once in their host's wrapper. An empty table gives an empty result. Extra columns are ignored.
 """
 
 from __future__ import annotations
@@ -319,7 +319,7 @@ def decided(wrapper: list, varied: bool | None = None) -> list:
     label, pages, chars, links, texts, children, marked = wrapper
     share = max(texts.values(), default=0) / max(pages, 1)
     if varied is None:
-        # where most pages are copies of one, equal texts say nothing about the template
+        # where most different pages have one text, equal texts say nothing about the template
         varied = share < 0.5 and pages >= MIN_PAGES
         share = 0.0
     template = varied and pages >= MIN_PAGES and chars > 0 and share >= CONSTANT
@@ -455,8 +455,13 @@ def host_of(url: str) -> Column:
 
 def wrappers(pages: DataFrame) -> DataFrame:
     """host, decision (json) from all pages."""
-    rows = pages.where("html is not null").select(host_of("url").alias("host"), F.col("html").cast("string"))
-    partial = rows.mapInArrow(_induce, "host string, part int, wrapper string")
+    rows = pages.where("html is not null").select(host_of("url").alias("host"), F.col("html").cast("string").alias("html"))
+    # copies of a page are one page here; only pages that have copies move
+    hashed = rows.withColumn("hash", F.xxhash64("html"))
+    copied = Staged(pages.sparkSession, "copied-pages").write(hashed.groupBy("host", "hash").count().where("count > 1").drop("count"))
+    single = hashed.join(copied, ["host", "hash"], "left_anti").select("host", "html")
+    one = hashed.join(copied, ["host", "hash"], "left_semi").groupBy("host", "hash").agg(F.first("html").alias("html")).select("host", "html")
+    partial = single.unionByName(one).mapInArrow(_induce, "host string, part int, wrapper string")
     halfway = partial.groupBy("host", "part").applyInPandas(_merge(["host", "part"]), "host string, part int, wrapper string")
     whole = halfway.groupBy("host").applyInPandas(_merge(["host"]), "host string, wrapper string")
     return whole.mapInArrow(_decide, "host string, decision string")

@@ -42,3 +42,12 @@ def test_the_wrapper_decides_inside_articles(spark):
         want[100 + k] = rows[-1][2][15:].split("</article>")[0] + "\n" + text
     got = {r.page_id: r.text for r in wrappers.extract(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
     assert got == want
+
+
+def test_copies_do_not_turn_the_template_off(spark):
+    pick = random.Random(2)
+    texts = [_words(pick, 10) for _ in range(10)]
+    page = "<body><div class='x'>Site menu</div><div class='z'>%s</div></body>"
+    rows = [(k, "http://h.example/", page % texts[k]) for k in range(10)] + [(100 + k, "http://h.example/", page % texts[0]) for k in range(90)]
+    got = {r.page_id: r.text for r in wrappers.extract(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    assert got == {k: texts[k] if k < 10 else texts[0] for k in got} and len(got) == 100
