@@ -27,6 +27,21 @@ def _depth(line: Column) -> Column:
     return (F.regexp_count(code, F.lit(r"[\[{]")) - F.regexp_count(code, F.lit(r"[\]}]"))).cast("bigint")
 
 
+def json_layouts(lines: DataFrame, formats: DataFrame) -> DataFrame:
+    """``formats`` with ``layout`` in place of ``header``.
+
+    A file is also one object if its first filled line leaves brackets open that
+    the whole file closes; a broken first line of a file of lines leaves them open.
+    """
+    formats = stage(formats.withColumn("layout", json_layout(F.col("header"))), "json-headers")
+    unsure = (F.col("source_format") == "json") & (F.col("layout") == "lines")
+    unsure &= F.startswith(strip(F.col("header")), F.lit("{")) & (_depth(F.col("header")) > 0)
+    depths = lines.join(formats.where(unsure).select("source_file"), "source_file", "left_semi")
+    closed = depths.groupBy("source_file").agg(F.sum(_depth(F.col("line"))).alias("__depth")).where("__depth = 0")
+    layout = F.when(F.col("__depth") == 0, "object").otherwise(F.col("layout"))
+    return formats.join(closed, "source_file", "left").withColumn("layout", layout).drop("header", "__depth")
+
+
 def json_values(lines: DataFrame, layout: str) -> DataFrame:
     """Line table of ``array`` or ``object`` files -> line table with one value per line.
 

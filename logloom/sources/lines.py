@@ -72,10 +72,10 @@ def detect_format(name: Column, head: Column) -> Column:
 
 
 def file_formats(lines: DataFrame) -> DataFrame:
-    """``source_file, source_format, header`` from the first five lines of every file.
+    """``source_file, source_format`` from the first five lines of every file, ``header`` from its first filled one.
 
-    The first position of each file comes from a pruned aggregate; only lines of
-    its first chunk are looked at after that.
+    The first positions of each file come from pruned aggregates; only lines of
+    its first chunk, or the one line, are looked at after that.
     """
     first_chunk = lines.groupBy("source_file").agg(F.min("chunk").alias("chunk"))
     opening = lines.join(first_chunk, ["source_file", "chunk"], "left_semi")
@@ -91,5 +91,13 @@ def file_formats(lines: DataFrame) -> DataFrame:
     return head.select(
         "source_file",
         detect_format(F.col("source_file"), F.array_join("__lines", "\n")).alias("source_format"),
-        F.get(F.filter("__lines", lambda x: ~is_blank(x)), F.lit(0)).alias("header"),
-    )
+    ).join(_first_filled(lines), "source_file", "left")
+
+
+def _first_filled(lines: DataFrame) -> DataFrame:
+    """``source_file, header``: the first line of each file that is not blank, however far down."""
+    filled = lines.where(~is_blank(F.col("line")))
+    chunks = filled.groupBy("source_file", "chunk").agg(F.min("seq").alias("seq"))
+    first = chunks.groupBy("source_file").agg(F.min(F.struct("chunk", "seq")).alias("__at"))
+    at = first.select("source_file", "__at.chunk", "__at.seq")
+    return lines.join(at, ["source_file", "chunk", "seq"]).select("source_file", F.col("line").alias("header"))

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from logloom.functions.paths import file_name
 from logloom.operators import log_entries as L
 from logloom.operators.csv_quotes import join_quoted_lines
-from logloom.operators.json_texts import json_layout, json_values
+from logloom.operators.json_texts import json_layouts, json_values
 from logloom.operators.log_reports import FORMATS, union_formats
 from logloom.operators.sql_scripts import statements_from_lines
 from logloom.session import stage
@@ -29,7 +29,7 @@ def log_entries(lines: DataFrame, source_format: str = "auto", start=None, end=N
     formats = S.file_formats(lines)
     if source_format != "auto":
         formats = formats.withColumn("source_format", F.lit(source_format))
-    formats = formats.withColumn("layout", json_layout(F.col("header"))).drop("header")
+    formats = json_layouts(lines, formats)
     # one row per file, written once: every format asks it which files it has
     formats = stage(formats, "file-formats")
 
