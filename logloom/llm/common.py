@@ -108,6 +108,34 @@ def components(edges: DataFrame, stage: Staged, rounds: int = 60) -> DataFrame:
     return current.groupBy(F.col("u").alias("node")).agg(F.min("v").alias("component")).unionByName(roots)
 
 
+def groups(batches, keys: list[str]):
+    """Arrow batches sorted by ``keys`` (none null) -> one batch per group. Groups must be of bounded size."""
+    import numpy as np
+    import pyarrow as pa
+    import pyarrow.compute as pc
+
+    held = []
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        if held and any(held[-1].column(k)[-1] != batch.column(k)[0] for k in keys):
+            yield pa.concat_batches(held)
+            held = []
+        rows = batch.num_rows
+        new = np.zeros(rows - 1, bool)
+        for k in keys:
+            column = batch.column(k)
+            new |= np.asarray(pc.not_equal(column.slice(1), column.slice(0, rows - 1)))
+        borders = [0, *(np.flatnonzero(new) + 1).tolist(), rows]
+        for a, b in zip(borders[:-1], borders[1:]):
+            held.append(batch.slice(a, b - a))
+            if b < rows:
+                yield pa.concat_batches(held)
+                held = []
+    if held:
+        yield pa.concat_batches(held)
+
+
 def _signature(edges: DataFrame) -> tuple:
     row = edges.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
     return row[0], row[1]
