@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import corpus_pipeline
-from logloom.llm import importance, mixing, packing, pstable, quality_rules, sharding, simhash, sql, token_files, tool_calls, wrappers
+from logloom.llm import (
+    block_search, hard_negatives, importance, merkle, mixing, packing, pstable, quality_rules, sharding, simhash, sql, token_files, tool_calls, wrappers,
+)
 
 QUERIES = {
     "pipeline": corpus_pipeline.run,
@@ -17,6 +19,9 @@ QUERIES = {
     "op8_importance": importance.op8_importance,
     "op9_token_files": token_files.op9_token_files,
     "op10_mixing": mixing.op10_mixing,
+    "op11_merkle": merkle.op11_merkle,
+    "op12_hard_negatives": hard_negatives.op12_hard_negatives,
+    "op13_block_search": block_search.op13_block_search,
 }
 
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from logloom.llm import mixing, quality_rules
+from logloom.llm import block_search, hard_negatives, mixing, quality_rules
 
 _STOP = ", ".join(f"'{w}'" for w in dict.fromkeys(quality_rules.STOP_WORDS))
 _WHITE = "' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
@@ -99,3 +99,84 @@ SELECT conv_id, turn, (row_number() OVER (PARTITION BY conv_id ORDER BY depth NU
 FROM d
 """
 ORACLE["op6_tool_calls"] = OP6
+
+# crc32 bit by bit: the digits of the id, each as eight bits from the lowest on
+_CRC = """xor(list_reduce(
+    flatten(list_transform(string_split(doc_id::VARCHAR, ''), lambda ch: list_transform(range(8), lambda k: ((ascii(ch) >> k::INT) & 1)::BIGINT))),
+    lambda c, b: xor(c >> 1, CASE WHEN xor(c, b) & 1 = 1 THEN 3988292384 ELSE 0 END), 4294967295::BIGINT), 4294967295)"""
+
+
+def _field(value: str) -> str:
+    return f"CASE WHEN {value} IS NULL THEN '-' ELSE octet_length(encode({value}::VARCHAR))::VARCHAR || ':' || {value}::VARCHAR END"
+
+
+def _leaf(text: str) -> str:
+    return "sha256(" + " || ".join(_field(v) for v in ("doc_id", "source", "lang", "n_chars", text)) + ")"
+
+
+_TREE = """
+  SELECT tree, 0 AS lvl, pos, digest, count(*) OVER (PARTITION BY tree) AS width FROM {leaves}
+  UNION ALL
+  SELECT tree, lvl + 1, pos // 3, sha256(string_agg(digest, '' ORDER BY pos)), any_value((width + 2) // 3) FROM {tree} WHERE width > 1 GROUP BY tree, lvl, pos // 3
+"""
+_SIDES = """
+  SELECT a.tree, a.lvl, a.pos, coalesce(string_agg(b.digest, '' ORDER BY b.pos) FILTER (WHERE b.pos < a.pos), '') AS l,
+         coalesce(string_agg(b.digest, '' ORDER BY b.pos) FILTER (WHERE b.pos > a.pos), '') AS r
+  FROM {tree} a JOIN {tree} b ON a.tree = b.tree AND a.lvl = b.lvl AND a.pos // 3 = b.pos // 3 WHERE a.width > 1 GROUP BY a.tree, a.lvl, a.pos
+"""
+
+OP11 = f"""
+WITH RECURSIVE d AS (
+  SELECT *, {_leaf('text')} AS leaf, CASE WHEN {_CRC} % 2 = 0 THEN {_leaf("replace(text, chr(10), '')")} END AS changed,
+         CASE WHEN source IS NULL THEN '0' ELSE '1' || source END AS tree FROM documents
+), leaves AS MATERIALIZED (
+  SELECT tree, row_number() OVER (PARTITION BY tree ORDER BY doc_id NULLS FIRST, leaf) - 1 AS pos, leaf AS digest, coalesce(changed, leaf) AS version, doc_id FROM d
+), low AS ({_TREE.format(leaves='leaves', tree='low')}
+), subroots AS MATERIALIZED (
+  SELECT '' AS tree, row_number() OVER (ORDER BY encode(tree)) - 1 AS pos, digest, tree AS name FROM low WHERE width = 1
+), high AS ({_TREE.format(leaves='subroots', tree='high')}
+), sides AS MATERIALIZED ({_SIDES.format(tree='low')}), above AS MATERIALIZED ({_SIDES.format(tree='high')}
+), climb AS (
+  SELECT doc_id, digest AS leaf, tree, pos AS place, 0 AS lvl, pos, version AS folded, '' AS siblings FROM leaves
+  UNION ALL
+  SELECT doc_id, leaf, c.tree, place, c.lvl + 1, c.pos // 3, sha256(l || folded || r), siblings || l || r FROM climb c JOIN sides s ON c.tree = s.tree AND c.lvl = s.lvl AND c.pos = s.pos
+), climbed AS (SELECT * FROM climb QUALIFY row_number() OVER (PARTITION BY tree, place ORDER BY lvl DESC) = 1
+), further AS (
+  SELECT doc_id, leaf, c.tree, place, s.digest AS subroot, 0 AS lvl, s.pos, folded, siblings FROM climbed c JOIN subroots s ON c.tree = s.name
+  UNION ALL
+  SELECT doc_id, leaf, f.tree, place, subroot, f.lvl + 1, f.pos // 3, sha256(l || folded || r), siblings || l || r FROM further f JOIN above s ON f.lvl = s.lvl AND f.pos = s.pos
+), top AS (SELECT * FROM further QUALIFY row_number() OVER (PARTITION BY tree, place ORDER BY lvl DESC) = 1)
+SELECT doc_id, leaf, subroot, h.digest AS root, sha256(siblings) AS proof_sha256, folded AS folded_root, folded = h.digest AS verified
+FROM top JOIN high h ON h.width = 1
+"""
+
+_USABLE = "vec_id IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR isnan(x) OR isinf(x))) = 0"
+
+OP12 = f"""
+WITH e AS (
+  SELECT vec_id, CASE WHEN vec_id % {hard_negatives.SHIFTED_EVERY} = 0 THEN (label + 1) % {hard_negatives.LABELS} ELSE label END AS label,
+         list_transform(embedding, lambda x: floor({hard_negatives.SCALE} * x::DOUBLE)) AS v
+  FROM embeddings WHERE label IS NOT NULL AND {_USABLE}
+), s AS (
+  SELECT a.vec_id AS anchor_id, e.vec_id, a.label = e.label AS same, list_inner_product(a.v, e.v)::BIGINT AS score
+  FROM e a JOIN e ON a.vec_id <> e.vec_id AND len(a.v) = len(e.v) WHERE a.vec_id % {hard_negatives.ANCHOR_EVERY} = 0
+), p AS (
+  SELECT * FROM s WHERE same QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= {hard_negatives.POSITIVES}
+)
+SELECT p.anchor_id, p.vec_id AS positive_id, row_number() OVER (PARTITION BY p.anchor_id, p.vec_id ORDER BY s.score DESC, s.vec_id)::INT AS rank,
+       s.vec_id AS negative_id, p.score AS positive_score, s.score AS negative_score
+FROM p JOIN s ON p.anchor_id = s.anchor_id AND NOT s.same AND {hard_negatives.SHARE} * p.score <= 100 * s.score AND s.score <= p.score
+QUALIFY rank <= {hard_negatives.NEGATIVES}
+"""
+
+OP13 = f"""
+WITH e AS (
+  SELECT vec_id, embedding::DOUBLE[] AS v FROM embeddings WHERE {_USABLE} AND len(list_filter(embedding, lambda x: x <> 0)) > 0
+)
+SELECT q.vec_id AS query_id, row_number() OVER (PARTITION BY q.vec_id ORDER BY list_inner_product(q.v, e.v) DESC, e.vec_id)::INT AS rank,
+       e.vec_id, list_inner_product(q.v, e.v) AS score
+FROM e q JOIN e ON q.vec_id <> e.vec_id AND len(q.v) = len(e.v) WHERE q.vec_id % {block_search.QUERY_EVERY} = 0
+QUALIFY rank <= {block_search.NEAREST}
+"""
+
+ORACLE |= {"op11_merkle": OP11, "op12_hard_negatives": OP12, "op13_block_search": OP13}
