@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from logloom.llm import importance, mixing, near_sets, packing, quality_rules, simhash
+from logloom.llm import importance, mixing, packing, quality_rules, simhash
 from logloom.llm.common import Staged, read_table
 from logloom.session import ship_package, use_utc
 
@@ -23,8 +23,7 @@ def quality_classifier_stage(spark: SparkSession, docs: DataFrame, sf_dir: str)
 
 
 def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    ship_package(spark)
-    return simhash.one_of_each(docs, near_sets.near_duplicates(docs))
+    return simhash.one_of_each(docs)
 
 
 def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -39,8 +38,8 @@ def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 STAGES = [
     ("quality rules", quality_rule_stage),
     ("quality classifier", quality_classifier_stage),
-    ("near duplicates", near_duplicate_stage),
-    ("mixing", mixing_stage),
+    ("SimHash near-dedup", near_duplicate_stage),
+    ("mixing sources", mixing_stage),
     ("packing", packing_stage),
 ]
 
