@@ -11,8 +11,9 @@ its members only below that size, so the work per fingerprint is bounded and no
 pair in reach is lost.
 
 Nulls: a null text has no words (fingerprint zero, linked like any other); a
-row with a null doc_id counts as the largest id. Repeated rows are one more
-copy. An empty table gives an empty result. Extra columns are dropped by
+row with a null doc_id links like any other but names no component, so a
+component of such rows alone has a null component_id. Repeated rows are one more
+copy; rows that share a doc_id but not a text are documents of their own. An empty table gives an empty result. Extra columns are dropped by
 ``near_copies`` and kept by ``one_of_each``.
 """
 
@@ -26,11 +27,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from logloom.llm.common import Staged, components, read_table
+from logloom.session import ship_package
 
 BITS, REACH, BLOCKS, FINE = 64, 2, 5, 8
 CROWD = 128
 SHINGLE = 3
-_NO_ID = (1 << 63) - 1
 
 
 def fingerprint(text: str | None, size: int = SHINGLE) -> int:
@@ -100,28 +101,27 @@ def links(classes: DataFrame, stage: Staged) -> DataFrame:
 
 def near_copies(docs: DataFrame) -> DataFrame:
     """doc_id, fingerprint (hex), component_id: the smallest doc_id reachable by links, one row per row of ``docs``."""
+    ship_package(docs.sparkSession)
     stage = Staged(docs.sparkSession, "simhash")
     rows = stage.write(fingerprints(docs))
-    node = F.coalesce(F.min("doc_id"), F.lit(_NO_ID)).alias("node")
-    classes = stage.write(rows.groupBy("fp").agg(node))
+    # a class is its own node, whether its rows have ids or not
+    classes = stage.write(rows.groupBy("fp").agg(F.min("doc_id").alias("first")).withColumn("node", F.col("fp")))
     pairs = links(classes, Staged(docs.sparkSession, "simhash-links"))
     joined = components(pairs, Staged(docs.sparkSession, "simhash-components"))
-    roots = classes.join(joined, "node", "left").select("fp", F.coalesce("component", "node").alias("component"))
-    return rows.join(roots, "fp").select(
-        "doc_id",
-        F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"),
-        F.when(F.col("component") != _NO_ID, F.col("component")).alias("component_id"),
+    parts = stage.write(classes.join(joined, "node", "left").select("fp", "first", F.coalesce("component", "node").alias("part")))
+    names = parts.groupBy("part").agg(F.min("first").alias("component_id"))
+    return rows.join(parts.join(names, "part").select("fp", "component_id"), "fp").select(
+        "doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id"
     )
 
 
-def one_of_each(docs: DataFrame, named: DataFrame | None = None) -> DataFrame:
-    """The rows of ``docs`` whose doc_id is the smallest of its component, by ``near_copies`` or by ``named`` (doc_id, component_id).
+def one_of_each(docs: DataFrame) -> DataFrame:
+    """The rows of ``docs`` whose doc_id is the smallest of its component by ``near_copies``.
 
     Of rows that agree in doc_id the smallest row stays; rows without a doc_id
     cannot be named as copies and all stay.
     """
-    named = near_copies(docs) if named is None else named
-    chosen = named.where("doc_id = component_id").groupBy(F.col("doc_id").alias("__id")).agg(F.count("*").alias("__n"))
+    chosen = near_copies(docs).where("doc_id = component_id").groupBy(F.col("doc_id").alias("__id")).agg(F.count("*").alias("__n"))
     stage = Staged(docs.sparkSession, "simhash-kept")
     chosen = stage.write(chosen)
     several = stage.write(chosen.where("__n > 1").select("__id"))

@@ -120,6 +120,13 @@ def test_simhash(spark, docs, texts, empty):
     assert simhash.one_of_each(empty).count() == 0
 
 
+def test_simhash_of_rows_without_ids(spark):
+    one, two = "one two three four five six seven", "an entirely different text of some other words"
+    rows = [(None, one, "a"), (5, one, "a"), (None, two, "a"), (9, two, "a"), (None, "alone and without a name", "a"), (None, "alone and without a name", "a")]
+    got = sorted((str(r["doc_id"]), r["component_id"] or 0) for r in rows_of(simhash.near_copies(docs_of(spark, rows))))
+    assert got == [("5", 5), ("9", 9), ("None", 0), ("None", 0), ("None", 5), ("None", 9)]
+
+
 def test_simhash_links_in_crowded_buckets(spark, monkeypatch):
     monkeypatch.setattr(simhash, "CROWD", 8)
     pick = random.Random(1)
