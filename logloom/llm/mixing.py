@@ -1,15 +1,22 @@
 """Mixing sources to target weights: Pareto order sampling.
 
 Every source gets a target in words. Whole copies that are certain are given to
-all its documents; what is left is a fixed-size sample, drawn in Pareto order:
-documents are ranked by random odds u/(1-u) over inclusion odds p/(1-p), and
-taken from the smallest rank on until their words come nearest to the rest.
-
-The cut of a source is found from a histogram of ranks and the one bin it lies
-in, so no task sorts a source, and is applied to every row by a comparison.
-Nulls: a null source is a source of its own, a null text has size 0. Rows that
-agree in doc_id and text share their rank and are taken together. An empty
-table gives an empty result. Extra columns pass through ``repeated``.
+all its documents. For the words that are left each document has its own
+inclusion probability, in proportion to its words; documents for which it would
+be 1 or more are certain as well and are taken first, the others share what
+then remains. Of these a fixed-size sample is drawn in Pareto order: they are
+ranked by random odds u/(1-u) over inclusion odds p/(1-p), and taken from the
+smallest rank on until their words come nearest to the rest.
+
+Probabilities come from a table of sizes per source, which has at most as many
+rows as the longest text has words. The cut of a source is found from two
+histograms of ranks, the second of the one bin in which the first is cut, so no
+task sorts a source; it is applied to every row by a comparison.
+
+Nulls: a null source is a source of its own, a null text has size 0 and is never
+drawn. Rows that agree in doc_id and text share their rank and are taken
+together. An empty table gives an empty result. Extra columns pass through
+``repeated``.
 """
 
 from __future__ import annotations
@@ -64,54 +71,86 @@ def targets(sizes: DataFrame, weights=WEIGHTS, share: float = SHARE, limit: floa
     )
 
 
+def chances(sizes: DataFrame) -> DataFrame:
+    """(source, __size, __n, __rest) -> per source: __certain (the size from which on documents are certain), __factor, __open.
+
+    p = __factor * size for smaller documents and sum(p * size) is __open, the
+    words that the certain ones leave. From the largest size down, a size is
+    certain while its share of what is left would be a whole document or more.
+    """
+    larger = Window.partitionBy("source").orderBy(F.col("__size").desc()).rowsBetween(Window.unboundedPreceding, -1)
+    smaller = Window.partitionBy("source").orderBy(F.col("__size").desc()).rowsBetween(0, Window.unboundedFollowing)
+    words = F.col("__n") * F.col("__size")
+    left = F.col("__rest") - F.coalesce(F.sum(words).over(larger), F.lit(0))
+    factor = left / F.sum(words * F.col("__size")).over(smaller)
+    shared = sizes.where("__size > 0 and __rest > 0").withColumns({"__open": left, "__factor": factor})
+    return (
+        shared.where(F.col("__factor") * F.col("__size") < 1)
+        .groupBy("source")
+        .agg(F.max(F.struct("__size", "__factor", "__open")).alias("__top"))
+        .select("source", (F.col("__top.__size") + 1).alias("__certain"), "__top.__factor", "__top.__open")
+    )
+
+
 def _rank() -> Column:
     """Random odds over inclusion odds, mapped to (0, 1) so that bins can be counted."""
-    odds = (F.col("__u") / (1 - F.col("__u"))) / (F.col("__p") / (1 - F.col("__p")))
+    p = F.col("__factor") * F.col("__size")
+    odds = (F.col("__u") / (1 - F.col("__u"))) / (p / (1 - p))
     return odds / (1 + odds)
 
 
+def _drawable() -> Column:
+    return (F.col("__size") > 0) & (F.col("__size") < F.col("__certain"))
+
+
+def _fine() -> Column:
+    return F.floor(F.col("__rank") * (BINS * BINS)).cast("long")
+
+
+def _cut_bin(rows: DataFrame, bin_: str, start: str) -> DataFrame:
+    """The bin of each source in which its words pass __open; ``start`` counts the words before the rows given."""
+    earlier = Window.partitionBy("__s").orderBy(bin_).rowsBetween(Window.unboundedPreceding, -1)
+    bins = rows.groupBy("__s", bin_, "__open", start).agg(F.sum("__size").alias("__words"))
+    bins = bins.withColumn("__before", F.col(start) + F.coalesce(F.sum("__words").over(earlier), F.lit(0)))
+    cut = bins.where("__before <= __open and __before + __words > __open")
+    return cut.select(F.col("__s").alias("__t"), F.col(bin_).alias(f"{bin_}_cut"), F.col("__before").alias(f"{bin_}_before"))
+
+
 def planned(rows: DataFrame, stage: Staged, **options) -> DataFrame:
-    """One row per source: source_size, target, __copies for every document, and the __cut of the sample.
+    """One row per source: source_size, target, __copies for every document, its __factor and __certain size, and the __cut of the sample.
 
     Tables with a row per source are written before they are joined, so that the
     planner knows their size and moves the documents only if it is large.
     """
-    sizes = rows.groupBy("source").agg(F.sum("__size").alias("source_size"))
+    sizes = stage.write(rows.groupBy("source", "__size").agg(F.count("*").alias("__n")))
+    whole = sizes.groupBy("source").agg(F.sum(F.col("__size") * F.col("__n")).alias("source_size"))
     ratio = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(0.0)
-    plan = (
-        targets(sizes, **options)
-        .withColumn("__ratio", ratio)
-        .withColumn("__copies", F.floor("__ratio"))
-        .withColumn("__p", F.col("__ratio") - F.col("__copies"))
+    plan = stage.write(
+        targets(whole, **options)
+        .withColumn("__copies", F.floor(ratio))
         .withColumn("__rest", F.col("target") - F.col("__copies") * F.col("source_size"))
-        .drop("__ratio")
     )
-    plan = stage.write(plan)
-    sampled = plan.where("__p > 0")
-    binned = rows.join(sampled.select(F.col("source").alias("__s"), "__p", "__rest"), F.col("source").eqNullSafe(F.col("__s")))
-    binned = binned.withColumn("__rank", _rank()).withColumn("__bin", F.floor(F.col("__rank") * BINS).cast("int"))
-    by_source = Window.partitionBy("__s").orderBy("__bin").rowsBetween(Window.unboundedPreceding, -1)
-    bins = (
-        binned.groupBy("__s", "__bin", "__rest")
-        .agg(F.sum("__size").alias("__words"))
-        .withColumn("__before", F.coalesce(F.sum("__words").over(by_source), F.lit(0)))
-    )
-    edge = bins.where("__before <= __rest and __before + __words > __rest").select(
-        F.col("__s").alias("__edge_source"), F.col("__bin").alias("__edge_bin"), F.col("__before")
-    )
-    edge = stage.write(edge)
-    order = Window.partitionBy("__edge_source").orderBy("__rank", "doc_id", "__check").rowsBetween(Window.unboundedPreceding, -1)
-    inside = (
-        binned.join(edge, F.col("__s").eqNullSafe(F.col("__edge_source")) & (F.col("__bin") == F.col("__edge_bin")))
-        .withColumn("__at", F.col("__before") + F.coalesce(F.sum("__size").over(order), F.lit(0)))
-        .where(F.col("__at") + F.col("__size") / 2 <= F.col("__rest"))
-        .groupBy("__edge_source", "__edge_bin")
+    same = lambda a, b: F.col(a).eqNullSafe(F.col(b))
+    rest = plan.select(F.col("source").alias("__s"), "__rest")
+    chosen = chances(sizes.join(rest, same("source", "__s")).drop("__s"))
+    plan = stage.write(plan.join(chosen.withColumnRenamed("source", "__s"), same("source", "__s"), "left").drop("__s", "__rest"))
+
+    sampled = plan.where("__factor is not null").select(F.col("source").alias("__s"), "__certain", "__factor", "__open")
+    ranks = rows.join(sampled, same("source", "__s")).where(_drawable()).withColumn("__rank", _rank()).withColumn("__fine", _fine())
+    ranks = ranks.withColumns({"__bin": F.floor(F.col("__fine") / BINS).cast("long"), "__zero": F.lit(0).cast("long")})
+    coarse = stage.write(_cut_bin(ranks, "__bin", "__zero"))
+    near = ranks.join(coarse, same("__s", "__t") & (F.col("__bin") == F.col("__bin_cut"))).drop("__t")
+    fine = stage.write(_cut_bin(near, "__fine", "__bin_before"))
+    order = Window.partitionBy("__s").orderBy("__rank", "doc_id", "__check").rowsBetween(Window.unboundedPreceding, -1)
+    last = (
+        near.join(fine, same("__s", "__t") & (F.col("__fine") == F.col("__fine_cut")))
+        .withColumn("__at", F.col("__fine_before") + F.coalesce(F.sum("__size").over(order), F.lit(0)))
+        .where(F.col("__at") + F.col("__size") / 2 <= F.col("__open"))
+        .groupBy("__t")
         .agg(F.max(_place()).alias("__cut"))
     )
-    edges = edge.drop("__before").join(
-        inside.select(F.col("__edge_source").alias("__t"), "__cut"), F.col("__edge_source").eqNullSafe(F.col("__t")), "left"
-    )
-    return stage.write(plan.join(edges.drop("__t"), F.col("source").eqNullSafe(F.col("__edge_source")), "left").drop("__edge_source"))
+    cuts = fine.select(F.col("__t").alias("__s"), "__fine_cut").join(last, same("__s", "__t"), "left").drop("__t")
+    return stage.write(plan.join(cuts, same("source", "__s"), "left").drop("__s", "__open"))
 
 
 def _place() -> Column:
@@ -119,24 +158,23 @@ def _place() -> Column:
 
 
 def _copies() -> Column:
-    """Whole copies plus one for the rows in the sample; without an edge the whole rest fits."""
-    drawn = (F.col("__p") > 0) & (
-        F.col("__edge_bin").isNull() | (F.col("__bin") < F.col("__edge_bin"))
-        | ((F.col("__bin") == F.col("__edge_bin")) & F.coalesce(_place() <= F.col("__cut"), F.lit(False)))
+    """Whole copies, plus one for rows that are certain or in the sample; without a cut everything drawable fits."""
+    drawn = _drawable() & (
+        F.col("__fine_cut").isNull() | (F.col("__fine") < F.col("__fine_cut"))
+        | ((F.col("__fine") == F.col("__fine_cut")) & F.coalesce(_place() <= F.col("__cut"), F.lit(False)))
     )
-    return F.col("__copies") + F.when(drawn, 1).otherwise(0)
+    return F.col("__copies") + F.when((F.col("__size") >= F.col("__certain")) | drawn, 1).otherwise(0)
 
 
 def decided(rows: DataFrame, plan: DataFrame) -> DataFrame:
     """Rows with the columns of ``ranked`` -> adds source_size, target and copies."""
     plan = plan.withColumnRenamed("source", "__plan_source")
-    rank = F.when(F.col("__p") > 0, _rank())
     return (
         rows.join(plan, F.col("source").eqNullSafe(F.col("__plan_source")))
-        .withColumn("__rank", rank)
-        .withColumn("__bin", F.floor(F.col("__rank") * BINS).cast("int"))
+        .withColumn("__rank", F.when(_drawable(), _rank()))
+        .withColumn("__fine", _fine())
         .withColumn("copies", _copies())
-        .drop("__plan_source", "__p", "__rest", "__copies", "__edge_bin", "__cut", "__rank", "__bin")
+        .drop("__plan_source", "__copies", "__certain", "__factor", "__fine_cut", "__cut", "__rank", "__fine")
     )
 
 

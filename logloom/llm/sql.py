@@ -55,15 +55,26 @@ WITH RECURSIVE d AS (
   SELECT source, source_size, CASE WHEN source_size * 2.0::DOUBLE <= level * w THEN source_size * 2.0::DOUBLE
          ELSE w * (SELECT level FROM l WHERE source_size * 2.0::DOUBLE > level * w ORDER BY k LIMIT 1) END AS target FROM l
 ), p AS (
-  SELECT *, CASE WHEN source_size > 0 THEN floor(target / source_size) ELSE 0 END AS c,
-         CASE WHEN source_size > 0 THEN target / source_size ELSE 0 END AS ratio FROM t
+  SELECT *, CASE WHEN source_size > 0 THEN floor(target / source_size) ELSE 0 END AS c FROM t
+), z AS (
+  SELECT d.source, d.size, target - c * source_size AS rest, count(*) AS n FROM d JOIN p ON d.source IS NOT DISTINCT FROM p.source WHERE d.size > 0 GROUP BY ALL
+), f AS (
+  SELECT *, rest - coalesce(sum(n * size) OVER (PARTITION BY source ORDER BY size DESC ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT AS room,
+         sum(n * size * size) OVER (PARTITION BY source ORDER BY size DESC ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING)::BIGINT AS squares
+  FROM z WHERE rest > 0
+), k AS (
+  SELECT source, max(size) + 1 AS certain, arg_max(room / squares, size) AS factor, arg_max(room, size) AS room FROM f WHERE room / squares * size < 1 GROUP BY source
+), q AS (
+  SELECT doc_id, d.source, size, source_size, target, c, certain, room,
+         CASE WHEN size > 0 AND size < certain THEN (u / (1 - u)) / ((factor * size) / (1 - factor * size)) END AS odds
+  FROM d JOIN p ON d.source IS NOT DISTINCT FROM p.source LEFT JOIN k ON d.source IS NOT DISTINCT FROM k.source
 ), r AS (
-  SELECT doc_id, size, d.source, source_size, target, c, ratio - c AS p, target - c * source_size AS rest,
-         coalesce(sum(size) OVER (PARTITION BY d.source ORDER BY u, doc_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before
-  FROM d JOIN p ON d.source IS NOT DISTINCT FROM p.source
+  SELECT *, coalesce(sum(size) FILTER (WHERE odds IS NOT NULL) OVER (
+           PARTITION BY source ORDER BY odds / (1 + odds) NULLS LAST, doc_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before
+  FROM q
 )
 SELECT doc_id, size, source_size, target, source,
-       ((c + CASE WHEN p > 0 AND before + size / 2.0::DOUBLE <= rest THEN 1 ELSE 0 END) * size)::BIGINT AS taken
+       ((c + CASE WHEN size >= certain OR odds IS NOT NULL AND before + size / 2.0::DOUBLE <= room THEN 1 ELSE 0 END) * size)::BIGINT AS taken
 FROM r
 """
 

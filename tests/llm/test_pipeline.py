@@ -69,11 +69,22 @@ def mixed(rows):
     target |= {s: level * weight[s] for s in open_}
     copies = {}
     for s in sources:
-        ratio = target[s] / whole[s]
-        certain, at = int(ratio), 0
-        left = target[s] - certain * whole[s]
-        for i in sorted((i for i, _, x in rows if x == s), key=lambda i: u_of(42, i)):
-            copies[i] = certain + (1 if ratio > certain and at + size[i] / 2 <= left else 0)
+        mine = [i for i, _, x in rows if x == s]
+        certain, left = int(target[s] / whole[s]), target[s] - int(target[s] / whole[s]) * whole[s]
+        copies |= {i: certain for i in mine}
+        # probabilities in proportion to size; whoever reaches 1 is taken, and the others share what is left
+        open_ = {i for i in mine if size[i]}
+        while open_ and left > 0:
+            factor = left / sum(size[i] ** 2 for i in open_)
+            full = {i for i in open_ if size[i] == max(size[j] for j in open_)}
+            if factor * max(size[i] for i in open_) < 1:
+                break
+            open_ -= full
+            left -= sum(size[i] for i in full)
+            copies |= {i: certain + 1 for i in full}
+        at, odds = 0, {i: u_of(42, i) / (1 - u_of(42, i)) / (factor * size[i] / (1 - factor * size[i])) for i in open_} if left > 0 else {}
+        for i in sorted(odds, key=odds.get):
+            copies[i] = certain + (at + size[i] / 2 <= left)
             at += size[i]
     return copies
 
@@ -83,7 +94,7 @@ def test_every_stage(spark, sf_dir):
     docs = spark.read.parquet(f"{folder}/documents.parquet")
     known = [r[0] for r in importance.labelled(spark.read.parquet(f"{folder}/labels.parquet")).collect()]
     stages = dict(corpus_pipeline.STAGES)
-    assert list(stages) == ["quality rules", "quality classifier", "near duplicates", "mixing", "packing"]
+    assert list(stages) == ["quality rules", "quality classifier", "SimHash near-dedup", "mixing sources", "packing"]
 
     def take(name, before):
         after = stages[name](spark, before, folder).cache()
@@ -98,13 +109,13 @@ def test_every_stage(spark, sf_dir):
     kept = sampled([r[:2] for r in rows], known)
     assert got == Counter(kept) and len(kept) < len(rows)
     rows = [r for r in rows if r[0] in kept]
-    three, got = take("near duplicates", two)
+    three, got = take("SimHash near-dedup", two)
     prints = {r[0]: brute_fingerprint(r[1]) for r in rows}
     pairs = [(a, b) for a in prints for b in prints if a < b and (prints[a] ^ prints[b]).bit_count() <= 2]
     component = reachable(prints, pairs)
     assert got == Counter(i for i in prints if component[i] == i) and len(pairs) > 0
     rows = [r for r in rows if component[r[0]] == r[0]]
-    four, got = take("mixing", three)
+    four, got = take("mixing sources", three)
     assert got == Counter({i: n for i, n in mixed(rows).items() if n})
     packed = stages["packing"](spark, four, folder).collect()
     assert Counter(r.doc_id for r in packed if r.start == 0) == got
