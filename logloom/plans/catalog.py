@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from logloom.plans import dataset_queries, doc_queries, log_queries, metric_queries, run_queries  # noqa: F401
+from logloom.plans import dataset_queries, doc_queries, log_queries, metric_queries, run_queries, text_queries  # noqa: F401
 from logloom.plans.registry import ORACLE, QUERIES
 
 
