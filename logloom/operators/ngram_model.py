@@ -58,9 +58,15 @@ def staged_words(df: DataFrame, key: str, text: str = "text") -> DataFrame:
 
 def grams_of(words: Column, order: int) -> Column:
     """One n-gram for every word, which is its last; start marks fill up what is before the text."""
+    if order == 1:
+        return words
     padded = F.concat(F.array_repeat(F.lit(START), order - 1), words)
-    each = F.transform(F.sequence(F.lit(1), F.size(words)), lambda i: F.array_join(F.slice(padded, i, F.lit(order)), " "))
-    return words if order == 1 else F.when(F.size(words) > 0, each).otherwise(F.array().cast("array<string>"))
+    # the one-element array binds the padded words once, not once for every place
+    each = F.transform(
+        F.array(padded),
+        lambda p: F.transform(F.sequence(F.lit(1), F.size(p) - order + 1), lambda i: F.array_join(F.slice(p, i, F.lit(order)), " ")),
+    )
+    return F.when(F.size(words) > 0, F.get(each, F.lit(0))).otherwise(F.array().cast("array<string>"))
 
 
 def _ending(gram: str) -> Column:
