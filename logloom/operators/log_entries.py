@@ -114,6 +114,13 @@ def _json_items(line: Column) -> Column:
     return F.from_json(F.concat(F.lit("["), line, F.lit("]")), "array<map<string,variant>>")
 
 
+def _last_values(record: Column) -> Column:
+    """A record in which a repeated key keeps its first place and its last value."""
+    keys = F.array_distinct(F.map_keys(record))
+    last = F.transform(keys, lambda k: F.element_at(F.filter(F.map_entries(record), lambda e: e["key"] == k), -1)["value"])
+    return F.when(F.size(keys) < F.size(F.map_keys(record)), F.map_from_arrays(keys, last)).otherwise(record)
+
+
 def _json_object(line: Column) -> Column:
     items = _json_items(line)
     return F.when(F.size(items) == 1, items[0])
@@ -155,9 +162,9 @@ def json_columns(lines: DataFrame, formats: list[str] | None = None) -> DataFram
     """Filled lines with ``__ok, __found`` and the typed columns; works on streams as well."""
     record = F.col("__record")
     filled = lines.where(~is_blank(F.col("line")))
-    parsed = evaluated(filled.withColumn("__record", _json_items(F.col("line"))), "__record").withColumn(
-        "__record", F.when(F.size("__record") == 1, record[0])
-    )
+    items = evaluated(filled.withColumn("__record", _json_items(F.col("line"))), "__record")
+    # the values are settled here, once for all columns that look at them
+    parsed = evaluated(items.withColumn("__record", F.when(F.size("__record") == 1, _last_values(record[0]))), "__record")
     found = _first_dated([(n, F.element_at(record, n).cast("string")) for n in TIME_FIELDS], formats)
     return parsed.select(
         *[c for c in lines.columns if c != "line"],
@@ -250,12 +257,14 @@ def csv_fields(line: Column, delimiter: Column) -> Column:
 
 
 def distinct_names(names: Column) -> Column:
-    """Repeated column names get a number: ``a, a.1, a.2``."""
+    """Repeated column names get the next free number: ``a, a`` become ``a, a.1``; with ``a.1`` in the header, ``a.2``."""
 
     def numbered(all_names: Column) -> Column:
         def one(name: Column, i: Column) -> Column:
             before = F.size(F.filter(F.slice(all_names, F.lit(1), i), lambda other: other == name))
-            return F.when(before > 0, F.concat(name, F.lit("."), before.cast("string"))).otherwise(name)
+            tries = F.transform(F.sequence(F.lit(1), F.size(all_names)), lambda k: F.concat(name, F.lit("."), k.cast("string")))
+            free = F.filter(tries, lambda x: ~F.array_contains(all_names, x))
+            return F.when(before > 0, F.get(free, before - 1)).otherwise(name)
 
         return F.transform(all_names, one)
 
@@ -343,8 +352,8 @@ def _variant(**fields: str) -> Column:
     return F.to_variant_object(F.struct(*[F.col(c).alias(n) for n, c in fields.items()]))
 
 
-def to_log_entry(entries: DataFrame, source_format: str) -> DataFrame:
-    """Typed entries of one format -> the common envelope (``dict`` fields as VARIANT)."""
+def to_log_entry(entries: DataFrame, source_format: str, keep: list[str] | None = None) -> DataFrame:
+    """Typed entries of one format -> the common envelope (``dict`` fields as VARIANT); ``keep=["path"]`` adds the whole path."""
     if source_format == "sql":
         payload = _variant(formatted_query="formatted_query", tables="tables", schema="schema")
         metadata = _variant(query_length="query_length", tables_referenced="tables_count")
@@ -368,11 +377,12 @@ def to_log_entry(entries: DataFrame, source_format: str) -> DataFrame:
         payload.alias("processed_content"),
         metadata.alias("metadata"),
         info.alias("processing_info"),
+        *[F.col("source_file").alias(c) for c in keep or []],
     )
 
 
-def entry_json(entry: DataFrame) -> DataFrame:
-    """One JSON text per entry, null fields kept and the time in ISO form."""
+def entry_json(entry: DataFrame, keep: list[str] | None = None) -> DataFrame:
+    """One JSON text per entry, null fields kept and the time in ISO form; the columns of ``keep`` stay beside it."""
     shown = entry.withColumn("timestamp", iso_text(F.col("timestamp")))
     body = F.to_json(F.struct(*[F.col(c) for c in ENTRY_COLUMNS]), {"ignoreNullFields": "false"})
-    return shown.select("source_format", "source_file", body.alias("value"))
+    return shown.select("source_format", "source_file", body.alias("value"), *(keep or []))

@@ -16,6 +16,7 @@ from logloom.plans import rendered
 from logloom.plans.registry import query
 from logloom.plans.rendered import CUSTOMER_SQL, EVENT_SQL, ORDER_SQL
 from logloom.session import new_path
+from logloom.sinks.log_run import by_format, run_logs
 from logloom.sources import lines as S
 from logloom.sources import logs as G
 
@@ -544,3 +545,68 @@ def _(t):
     return found.agg(
         F.count("*").alias("files"), F.count_if(F.startswith(file_name(F.col("source_file")), F.lit("."))).alias("hidden")
     )
+
+
+# One call for a folder: entries written, every file counted, one of them without entries.
+@query(
+    "log_run_stats",
+    f"""WITH {_ALL_SQL}, files AS (SELECT DISTINCT source_file FROM rendered UNION SELECT DISTINCT source_file FROM csv_rows
+      UNION SELECT DISTINCT 'script ' || (regexp_extract(source_file, '[0-9]+')::BIGINT % 8) FROM statements)
+    SELECT (SELECT count(*) FROM files) + 1 AS total_files, (SELECT count(*) FROM files) AS processed_files, count(*) AS total_entries,
+      count(*) FILTER (source_format = 'sql') AS entries_sql, count(*) FILTER (source_format = 'json') AS entries_json,
+      count(*) FILTER (source_format = 'csv') AS entries_csv, 1::BIGINT AS errors, true AS timed, count(*) AS lines_written FROM all_entries""",
+)
+def _(t):
+    path, out = new_path(t.spark, "run-log"), new_path(t.spark, "run-out")
+
+    def write(folder, df, part, order):
+        # one file for each part
+        placed = df.withColumn("part", part).repartition("part").sortWithinPartitions("part", order)
+        placed.select("part", "line").write.partitionBy("part").text(f"{path}/{folder}")
+
+    number = F.regexp_extract("source_file", "[0-9]+", 0).cast("bigint") % 8
+    write("sql", rendered.order_scripts(t.orders).withColumnRenamed("text", "line"), number, "source_file")
+    write("json", rendered.event_lines(t.wide("events")), F.col("source_file"), "seq")
+    write("csv", rendered.customer_lines(t.wide("customer"), comma_only=True), F.col("source_file"), "seq")
+    write("bad", t.spark.range(1).withColumn("line", F.lit("{broken}")), F.lit("one"), "id")
+    stats = by_format(run_logs(t.spark, [f"{path}/{x}/*" for x in ("sql", "json", "csv", "bad")], out))
+    timed = (F.col("duration_seconds") >= 0) & (F.col("start_time") <= F.col("end_time"))
+    lines = F.lit(t.spark.read.text(f"{out}/entries").count())
+    return stats.withColumns({"timed": timed, "lines_written": lines}).drop("start_time", "end_time", "duration_seconds")
+
+
+# --- repeated keys, clashing names ---
+
+
+@query(
+    "json_repeated_keys",
+    """SELECT event_id AS entry_index, event_type || '!' AS log_type, 'z' || event_id AS name, 3::BIGINT AS field_count,
+      '{"type":"' || event_type || '!","name":"z' || event_id || '","n":[' || event_id || ']}' AS raw_content FROM events""",
+)
+def _(t):
+    id_ = F.col("event_id").cast("string")
+    line = F.concat(
+        F.lit('{"type":"'), F.col("event_type"), F.lit('","name":1,"n":['), id_, F.lit('],"name":null,"type":"'), F.col("event_type"), F.lit('!","name":"z'), id_, F.lit('"}')
+    )
+    lines = t.wide("events").select(F.lit("events.jsonl").alias("source_file"), rendered.chunk_of(F.col("event_id")).alias("chunk"), F.col("event_id").alias("seq"), line.alias("line"))
+    entries = L.json_entries(lines)
+    return entries.select("entry_index", "log_type", F.get_json_object("raw_content", "$.name").alias("name"), "field_count", "raw_content")
+
+
+@query(
+    "csv_clashing_header",
+    """SELECT k AS entry_index, c_name AS id, c_mktsegment AS second, 'x' AS third, c_custkey::VARCHAR AS fourth, 'id,id.2,id.1,id.3,n' AS columns
+    FROM (SELECT *, row_number() OVER (ORDER BY c_custkey) - 1 AS k FROM customer)""",
+)
+def _(t):
+    key = F.col("c_custkey")
+    rows = t.wide("customer").select(
+        rendered.chunk_of(key).alias("chunk"), key.alias("seq"), F.concat_ws(",", "c_name", "c_mktsegment", F.lit("x"), key.cast("string"), F.lit("1")).alias("line")
+    )
+    header = t.spark.range(1).select(F.lit(-1).cast("bigint").alias("chunk"), F.lit(-1).cast("bigint").alias("seq"), F.lit("id,id,id.1,id,n").alias("line"))
+    lines = header.unionByName(rows).withColumn("source_file", F.lit("clash.csv"))
+    entries = L.csv_entries(lines)
+    value = lambda name: F.col("payload")[name]
+    return entries.select(
+        "entry_index", value("id").alias("id"), value("id.2").alias("second"), value("id.1").alias("third"), value("id.3").alias("fourth"), _joined("columns")
+    )

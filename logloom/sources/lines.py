@@ -7,6 +7,8 @@ lines of a file and a chunk is one file split, so no step needs a whole file.
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -47,6 +49,17 @@ def list_files(spark: SparkSession, path: str | list[str], glob: str = LOG_GLOB)
     return raw.select(F.col("path").alias("source_file"), F.col("length").alias("size"))
 
 
+def all_files(spark: SparkSession, path: str | list[str], glob: str = LOG_GLOB) -> DataFrame:
+    """``source_file`` of every file, empty ones too, named as the line table names them.
+
+    Scans leave empty files out. The names are those that Spark's own file index
+    holds for any scan of the folder; they are dealt out again as rows.
+    """
+    names = spark.read.format("text").option("pathGlobFilter", glob).load(path).inputFiles()
+    # a scheme without a host is written with one slash in the columns of a scan
+    return spark.createDataFrame([(re.sub("^([a-z0-9]+):///", r"\1:/", n),) for n in names], "source_file string")
+
+
 # File suffixes and content patterns of the three formats.
 SQL_SUFFIXES = [".sql"]
 JSON_SUFFIXES = [".json", ".jsonl"]

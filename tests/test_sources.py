@@ -146,3 +146,41 @@ def test_quoted_line_breaks(spark):
         assert got.get(name, []) == rows, name
     odd = lines_of(spark, {"a.csv": 'x,y\n5" pipe,1\nz,2'})
     assert join_quoted_lines(odd).count() == 3
+
+
+def test_names_that_clash_with_numbered_ones(spark):
+    from logloom.operators.log_entries import distinct_names
+
+    cases = {"id,id,id.1": "id,id.2,id.1", "a,a,a": "a,a.1,a.2", "a.1,a,a,a": "a.1,a,a.2,a.3", "a,b": "a,b", "a,a,a.1,a.1,a.2": "a,a.3,a.1,a.1.1,a.2"}
+    df = spark.createDataFrame(list(cases.items()), "names string, want string")
+    got = df.select("want", F.array_join(distinct_names(F.split("names", ",")), ",").alias("got")).collect()
+    assert all(r["got"] == r["want"] for r in got), got
+
+
+def test_repeated_json_keys_keep_the_last_value(spark):
+    from logloom.operators.log_entries import json_entries
+
+    lines = ['{"type":"a","x":1,"type":"b","x":{"y":2}}', '{"type":"only"}', '{"x":1,"x":null}']
+    df = spark.createDataFrame([("f.jsonl", 0, k, x) for k, x in enumerate(lines)], "source_file string, chunk long, seq long, line string")
+    got = {r["entry_index"]: r for r in json_entries(df).collect()}
+    assert (got[0]["log_type"], got[0]["raw_content"], got[0]["field_count"], got[0]["has_nested_objects"]) == ("b", '{"type":"b","x":{"y":2}}', 2, True)
+    assert got[1]["log_type"] == "only" and got[2]["field_count"] == 1
+
+
+def test_a_log_run_counts_and_times(spark, tmp_path):
+    import datetime as dt
+    import json
+
+    from logloom.sinks.log_run import by_format, run_logs
+
+    (tmp_path / "in").mkdir()
+    for name, text in {"a.sql": "SELECT 1;\nDELETE FROM t;", "b.jsonl": '{"x":1}\n{"x":', "c.csv": "id,n\n1,2\n3,4\n", "d.json": "{broken}", "e.log": ""}.items():
+        (tmp_path / "in" / name).write_text(text)
+    ticks = iter([dt.datetime(2024, 1, 1, 10), dt.datetime(2024, 1, 1, 10, 0, 5)])
+    row = by_format(run_logs(spark, str(tmp_path / "in"), str(tmp_path / "out"), now=lambda: next(ticks))).first()
+    assert (row["total_files"], row["processed_files"], row["total_entries"], row["errors"]) == (5, 3, 5, 2)
+    assert (row["entries_sql"], row["entries_json"], row["entries_csv"]) == (2, 1, 2)
+    assert row["duration_seconds"] == 5 and row["start_time"] == "2024-01-01T10:00:00"
+    lines = [json.loads(r[0]) for r in spark.read.text(str(tmp_path / "out" / "entries")).select("value").collect()]
+    assert sorted(x["source_file"] for x in lines) == ["a.sql", "a.sql", "b.jsonl", "c.csv", "c.csv"] and all("path" not in x for x in lines)
+    assert spark.read.json(str(tmp_path / "out" / "stats")).first()["total_entries"] == 5
