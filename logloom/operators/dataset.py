@@ -6,13 +6,14 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from logloom.functions.text import normalize_text, render_template, token_count, truncate_tokens
-from logloom.operators.prefix import with_position
+from logloom.operators.prefix import numbered, with_position
 from logloom.session import stage
 
 SPLITS = {"train": 0.8, "val": 0.1, "test": 0.1}
 SEED = 42
-TOP_LIMIT = 10_000
 SALTS = 32
+#: More than the values that are left of a 32-bit hash after the thousand buckets.
+FINE = 4_294_968
 
 # --- rows ------------------------------------------------------------------
 
@@ -86,12 +87,11 @@ def split_name(key: Column, shares: dict[str, float] | None = None, seed: int =
     if abs(sum(shares.values()) - 1) > 1e-9:
         raise ValueError("split shares must sum to 1")
     names, edge, column = list(shares), 0.0, None
-    # shares in whole thousandths use the thousand buckets; others compare the whole 32-bit hash
-    coarse = all(abs(s * 1000 - round(s * 1000)) < 1e-9 for s in shares.values())
-    position, width = (bucket(key, seed), 1000) if coarse else (hash32(key, seed), 1 << 32)
+    # the thousand buckets come first, the rest of the hash cuts them finer: close shares give close splits
+    position = bucket(key, seed) * FINE + F.floor(hash32(key, seed) / 1000)
     for name in names[:-1]:
         edge += shares[name]
-        condition = position < round(edge * width)
+        condition = position < round(edge * 1000 * FINE)
         column = F.when(condition, name) if column is None else column.when(condition, name)
     return F.lit(names[-1]) if column is None else column.otherwise(names[-1])
 
@@ -106,30 +106,47 @@ def with_validation(train: DataFrame, validation: DataFrame | None = None) -> Da
     return train.withColumn("split", F.lit("train")).unionByName(held.withColumn("split", F.lit("validation")))
 
 
-def first_rows(df: DataFrame, n: int, order: list[str], chunk: Column | None = None) -> DataFrame:
+def cap_bound(keys: DataFrame, n: int, order: list[str]) -> tuple[DataFrame, int] | None:
+    """The key of the ``n``-th row as a table of one row, and how many rows up to and with it are one row too many.
+
+    Only the keys are sorted, over all tasks. None if there are no more than ``n`` rows.
+    """
+    placed = numbered(keys.select(*order).orderBy(*order), "__position")
+    bound = stage(placed.where(F.col("__position") == n - 1).select(*order), "cap")
+    if bound.isEmpty():
+        return None
+    upto = placed.where(F.struct(*order) <= _only(bound, order))
+    return bound, upto.count() - n
+
+
+def _only(bound: DataFrame, order: list[str]) -> Column:
+    return bound.select(F.struct(*order).alias("bound")).scalar()
+
+
+def first_rows(df: DataFrame, n: int, order: list[str]) -> DataFrame:
     """The first ``n`` rows; ``n <= 0`` keeps all.
 
-    Small caps are a top-k. Large ones are counted per ``chunk`` (which follows
-    the order) and cut by position, so no task sorts or holds ``n`` rows. Without
-    a chunk column the ranges of a distributed sort are used, written once so
-    that they stay the same.
+    One plan for every cap: the key of the last row to keep is found from the keys
+    alone, then rows are kept where they are, by comparison with it. Rows that tie
+    with it and are too many are numbered. Nulls come first.
     """
     if n <= 0:
         return df
-    if n <= TOP_LIMIT:
-        return df.orderBy(*order).limit(n)
-    if chunk is None:
-        cut = stage(df.orderBy(*order).withColumn("__chunk", F.spark_partition_id()), "sorted-rows")
-    else:
-        cut = df.withColumn("__chunk", chunk)
-    placed = with_position(cut, [], "__chunk", order, "__position")
-    return placed.where(F.col("__position") < n).select(*df.columns)
+    found = cap_bound(df, n, order)
+    if found is None:
+        return df
+    (bound, surplus), key = found, F.struct(*order)
+    if not surplus:
+        return df.where(key <= _only(bound, order))
+    ties = numbered(df.where(key == _only(bound, order)), "__position")
+    left = ties.count() - surplus
+    return df.where(key < _only(bound, order)).unionByName(ties.where(F.col("__position") < left).drop("__position"))
 
 
 def random_rows(df: DataFrame, n: int, key: str, seed: int = SEED) -> DataFrame:
     """A seeded sample without replacement."""
     hashed = df.withColumn("__hash", hash_order(F.col(key), seed))
-    return first_rows(hashed, n, ["__hash", key], F.left("__hash", F.lit(3))).drop("__hash")
+    return first_rows(hashed, n, ["__hash", key]).drop("__hash")
 
 
 def shuffled(df: DataFrame, key: str, seed: int = SEED) -> DataFrame:
@@ -138,9 +155,8 @@ def shuffled(df: DataFrame, key: str, seed: int = SEED) -> DataFrame:
 
 
 def shuffle_position(df: DataFrame, key: str, seed: int = SEED) -> DataFrame:
-    """The place of each row in the shuffled order, without one global sort task."""
-    hashed = df.withColumn("__hash", hash_order(F.col(key), seed)).withColumn("__chunk", F.left("__hash", F.lit(3)))
-    return with_position(hashed, [], "__chunk", ["__hash", key], "position").drop("__hash", "__chunk")
+    """The place of each row in the shuffled order."""
+    return numbered(shuffled(df, key, seed))
 
 
 def micro_batches(df: DataFrame, batch: int, micro: int, order: str, chunk: Column, shards: list[str] | None = None) -> DataFrame:

@@ -242,7 +242,7 @@ def _(t):
 
 @query(
     "split_small_share",
-    f"SELECT doc_id, CASE WHEN {_HASH32} < round(0.9996 * 4294967296) THEN 'train' ELSE 'val' END AS split FROM documents",
+    f"SELECT doc_id, CASE WHEN {_BUCKET} * {D.FINE}::BIGINT + {_HASH32} // 1000 < round(0.9996 * 1000 * {D.FINE}) THEN 'train' ELSE 'val' END AS split FROM documents",
 )
 def _(t):
     """A share below a thousandth gets its rows too."""
@@ -283,12 +283,21 @@ def _(t):
     "ORDER BY l_orderkey, l_linenumber LIMIT 20000) GROUP BY l_orderkey",
 )
 def _(t):
-    # above the top-k limit: cut by position, not by one sorted task
     rows = t.lineitem.select("l_orderkey", "l_linenumber").distinct()
-    kept = D.first_rows(rows, 20000, ["l_orderkey", "l_linenumber"], chunk_of(F.col("l_orderkey")))
+    kept = D.first_rows(rows, 20000, ["l_orderkey", "l_linenumber"])
     return kept.groupBy("l_orderkey").agg(F.count("*").alias("n"))
 
 
+@query(
+    "row_cap_ties",
+    "SELECT l_shipdate, count(*) AS n FROM (SELECT l_shipdate FROM lineitem ORDER BY l_shipdate NULLS FIRST LIMIT 5003) GROUP BY l_shipdate",
+)
+def _(t):
+    """The last day of the cap has more rows than are left for it."""
+    kept = D.first_rows(t.lineitem.select("l_shipdate", "l_orderkey"), 5003, ["l_shipdate"])
+    return kept.groupBy("l_shipdate").agg(F.count("*").alias("n"))
+
+
 @query(
     "shuffled_order",
     "SELECT doc_id, row_number() OVER (ORDER BY md5('42:' || doc_id), doc_id) - 1 AS position FROM documents",

@@ -4,7 +4,6 @@ from __future__ import annotations
 
 import io
 import posixpath
-import re
 import xml.etree.ElementTree as ET
 import zipfile
 from collections.abc import Iterator
@@ -13,7 +12,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from logloom.operators.dataset import TOP_LIMIT, first_rows
+from logloom.operators.dataset import cap_bound
 from logloom.operators.documents import html_documents
 
 EXTENSIONS = (".docx", ".doc")
@@ -40,21 +39,25 @@ DOCX_FIELDS = (
 def find_documents(
     spark: SparkSession, path: str, recursive: bool = True, extensions: tuple[str, ...] = EXTENSIONS, max_documents: int = -1
 ) -> DataFrame:
-    """``path, length, content``; a cap is taken in extension order, then by path, before any file is read."""
+    """``path, length, content``; a cap is taken in extension order, then by path, before any file is read.
+
+    The cap is one name, found from the listing; Spark leaves out files beyond it
+    when it lists the folder again, so their bytes are not opened.
+    """
     glob = "*{" + ",".join(extensions) + "}"
     reader = spark.read.format("binaryFile").option("recursiveFileLookup", recursive)
     files = reader.option("pathGlobFilter", glob).load(path)
     if max_documents <= 0:
         return files.select("path", "length", "content")
+    name = F.col("_metadata.file_path")
     rank = F.lit(len(extensions))
     for i, extension in enumerate(extensions):
-        rank = F.when(F.endswith("path", F.lit(extension)), i).otherwise(rank)
-    chosen = first_rows(files.select("path", rank.alias("rank")), max_documents, ["rank", "path"])
-    if max_documents <= TOP_LIMIT:
-        # a bounded list of names, so that only these files are opened
-        names = [re.sub(r"([\[\]{}*?\\])", r"\\\1", r.path) for r in chosen.select("path").collect()]
-        return reader.load(names).select("path", "length", "content") if names else files.limit(0).select("path", "length", "content")
-    return files.join(chosen.select("path"), "path", "left_semi").select("path", "length", "content")
+        rank = F.when(F.endswith(name, F.lit(extension)), i).otherwise(rank)
+    found = cap_bound(files.select(rank.alias("rank"), name.alias("name")), max_documents, ["rank", "name"])
+    if found is None:
+        return files.select("path", "length", "content")
+    last = found[0].first()
+    return files.where((rank < last.rank) | ((rank == last.rank) & (name <= last.name))).select("path", "length", "content")
 
 
 def _paragraph(p: ET.Element) -> str:

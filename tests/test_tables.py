@@ -1,3 +1,4 @@
+import hashlib
 import random
 
 import pytest
@@ -46,11 +47,34 @@ def test_caps(spark):
     df = spark.range(30000).withColumn("c", F.col("id") - F.col("id") % 1000)
     assert D.first_rows(df, 0, ["id"]).count() == 30000
     assert [r.id for r in D.first_rows(df, 3, ["id"]).collect()] == [0, 1, 2]
-    big = D.first_rows(df, 12345, ["id"], F.col("c"))
+    big = D.first_rows(df, 12345, ["id"])
     assert (big.count(), big.agg(F.max("id")).first()[0]) == (12345, 12344)
     by_sort = D.first_rows(df.select("id").repartition(5), 12345, ["id"])
     assert (by_sort.count(), by_sort.agg(F.max("id")).first()[0]) == (12345, 12344)
     assert D.random_rows(df, 12000, "id").distinct().count() == 12000
+    assert D.first_rows(df, 30000, ["id"]).count() == D.first_rows(df, 40000, ["id"]).count() == 30000
+    assert D.first_rows(df.where("id < 0"), 5, ["id"]).count() == 0
+
+
+@pytest.mark.parametrize("n", [1, 2, 3, 7, 11, 400, 999, 1000, 1001])
+def test_caps_with_ties_and_nulls(spark, n):
+    rows = [(None if i % 5 == 0 else i % 3, "b" if i % 2 else None, i) for i in range(1000)]
+    df = spark.createDataFrame(rows, "a int, b string, i int").repartition(7)
+    kept = [(r.a, r.b) for r in D.first_rows(df, n, ["a", "b"]).collect()]
+    small = lambda r: (r[0] is not None, r[0] or 0, r[1] is not None, r[1] or "")
+    assert sorted(kept, key=small) == sorted([r[:2] for r in rows], key=small)[:n]
+
+
+def test_shuffle_position(spark):
+    rows = D.shuffle_position(spark.range(500).repartition(9), "id").collect()
+    ranked = sorted(range(500), key=lambda i: (hashlib.md5(f"{D.SEED}:{i}".encode()).hexdigest(), i))
+    assert {r.id: r.position for r in rows} == {i: k for k, i in enumerate(ranked)}
+
+
+def test_close_shares_give_close_splits(spark):
+    names = [D.split_name(F.col("id"), {"a": s, "b": 1 - s}) for s in (0.8, 0.8001)]
+    moved = spark.range(50000).where(names[0] != names[1]).count()
+    assert 0 < moved < 30
 
 
 def test_micro_batches(spark):
