@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import datetime as dt
-
 import io
 import zipfile
 
@@ -104,10 +103,12 @@ def _(t):
 _NS = 'xmlns:w="http://schemas.openxmlformats.org/wordprocessingml/2006/main"'
 
 
-_PICTURE_RELATION = (
-    '<Relationships xmlns="http://schemas.openxmlformats.org/package/2006/relationships"><Relationship Id="r1" '
-    'Type="http://schemas.openxmlformats.org/officeDocument/2006/relationships/image" Target="media/image1.png"/></Relationships>'
-)
+_KIND = "http://schemas.openxmlformats.org/officeDocument/2006/relationships"
+_PICTURE_RELATION = '<Relationships xmlns="http://schemas.openxmlformats.org/package/2006/relationships">' + "".join(
+    f'<Relationship Id="r{n}" Type="{_KIND}/{kind}" Target="{target}"/>'
+    for n, (kind, target) in enumerate([("image", "media/image1.png"), ("header", "header1.xml"), ("footer", "footer1.xml")], 1)
+) + "</Relationships>"
+_SECTION = f'<w:sectPr xmlns:r="{_KIND}"><w:headerReference w:type="default" r:id="r2"/><w:footerReference w:type="default" r:id="r3"/></w:sectPr>'
 
 
 @F.pandas_udf(T.BinaryType())
@@ -124,7 +125,7 @@ def word_package(texts: pd.Series, titles: pd.Series) -> pd.Series:
         cell = '<w:tc><w:p><w:r><w:t xml:space="preserve"> {} </w:t></w:r></w:p></w:tc>'
         lines = "".join(f'<w:p><w:r><w:t xml:space="preserve">{escape(x)}</w:t></w:r></w:p>' for x in text.split("\n"))
         table = f"<w:tbl><w:tr>{cell.format('title')}{cell.format(escape(title))}</w:tr></w:tbl>"
-        body = f"<w:document {_NS}><w:body>{lines}{table}</w:body></w:document>"
+        body = f"<w:document {_NS}><w:body>{lines}{table}{_SECTION}</w:body></w:document>"
         core = (
             '<cp:coreProperties xmlns:cp="http://schemas.openxmlformats.org/package/2006/metadata/core-properties" '
             f'xmlns:dc="http://purl.org/dc/elements/1.1/"><dc:title>{escape(title)}</dc:title></cp:coreProperties>'
@@ -134,6 +135,8 @@ def word_package(texts: pd.Series, titles: pd.Series) -> pd.Series:
             z.writestr("word/document.xml", body)
             z.writestr("docProps/core.xml", core)
             z.writestr("word/_rels/document.xml.rels", _PICTURE_RELATION)
+            z.writestr("word/header1.xml", f'<w:hdr {_NS}><w:p><w:r><w:t>Collection {escape(title)}</w:t></w:r></w:p><w:p/></w:hdr>')
+            z.writestr("word/footer1.xml", f'<w:ftr {_NS}><w:p><w:r><w:t>End of {escape(title)}</w:t></w:r></w:p></w:ftr>')
             z.writestr("word/media/image1.png", f"picture of {title}".encode())
         return out.getvalue()
 
@@ -175,6 +178,37 @@ def _(t):
     )
 
 
+@query(
+    "word_headers_footers",
+    """SELECT doc_id, 'Collection ' || source AS headers, 'End of ' || source AS footers FROM documents WHERE doc_id % 50 NOT IN (0, 25)
+    UNION ALL SELECT doc_id, '', '' FROM documents WHERE doc_id % 50 IN (0, 25)""",
+)
+def _(t):
+    """Damaged and HTML files have neither."""
+    docs = documents.extract_documents(word_files(t), extract_tables=False, extract_metadata=False)
+    return docs.select("doc_id", F.array_join("headers", "|").alias("headers"), F.array_join("footers", "|").alias("footers"))
+
+
+@query(
+    "find_documents_capped",
+    """WITH files AS (SELECT 'part=' || lpad((page_id % 23)::VARCHAR, 2, '0') AS file, count(*) AS pages, sum(page_id)::BIGINT AS id_sum FROM pages GROUP BY ALL)
+    SELECT * FROM files ORDER BY file LIMIT 7""",
+)
+def _(t):
+    """A folder of HTML files named .doc; the first seven by path are opened."""
+    path = new_path(t.spark, "doc-files")
+    page = F.concat(F.lit("<p>"), F.col("page_id").cast("string"), F.lit("</p>"))
+    part = F.lpad((F.col("page_id") % 23).cast("string"), 2, "0")
+    rows = t.pages.select(page.alias("page"), part.alias("part")).repartition("part")
+    rows.write.partitionBy("part").option("extension", "doc").csv(path)
+    docs = documents.process_documents(t.spark, path, min_text_length=0, max_documents=7)
+    return docs.select(
+        F.regexp_extract("path", "(part=[0-9]+)/[^/]*$", 1).alias("file"),
+        F.size("paragraphs").cast("bigint").alias("pages"),
+        F.aggregate("paragraphs", F.lit(0).cast("bigint"), lambda a, x: a + x.cast("bigint")).alias("id_sum"),
+    )
+
+
 @query(
     "word_run_summary",
     f"""SELECT count(*) AS total, count(*) FILTER (ok) AS succeeded, count(*) FILTER (NOT ok) AS failed,
@@ -352,7 +386,5 @@ def _(t):
     line = F.to_json(F.struct(F.col("event_type").alias("type"), iso_text(F.col("ts")).alias("time")))
     t.events.select(line.alias("value")).write.text(source)
     counts = log_stream.windowed_counts(log_stream.stream_entries(log_stream.stream_lines(t.spark, source)))
-    log_stream.run_to_end(counts, out, state)
-    log_stream.close_stream(t.spark, source)
-    log_stream.run_to_end(counts, out, state)
-    return t.spark.read.parquet(out)
+    log_stream.run_windows_to_end(counts, out, state)
+    return log_stream.last_windows(t.spark, out)

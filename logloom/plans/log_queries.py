@@ -320,6 +320,21 @@ def _(t):
     return R.union_formats({k: L.entry_json(L.to_log_entry(df, k)) for k, df in _all_formats(t).items()})
 
 
+@query(
+    "log_entry_json_fields",
+    f"""WITH {_ALL_SQL} SELECT regexp_replace(source_file, '^.*/', '') AS source_file, source_format, log_type,
+      strftime("timestamp", '%Y-%m-%d %H:%M:%S.%f') AS time, entry_index FROM all_entries""",
+)
+def _(t):
+    """The JSON texts read back, field by field."""
+    texts = R.union_formats({k: L.entry_json(L.to_log_entry(df, k)) for k, df in _all_formats(t).items()})
+    entry = F.from_json("value", "source_file string, source_format string, log_type string, timestamp timestamp, processing_info struct<index: bigint>")
+    return texts.select(entry.alias("e")).select(
+        "e.source_file", "e.source_format", "e.log_type", F.date_format("e.timestamp", "yyyy-MM-dd HH:mm:ss.SSSSSS").alias("time"),
+        F.col("e.processing_info.index").alias("entry_index"),
+    )
+
+
 # Files are counted with the entries they gave; a file without entries is an error.
 @query(
     "log_processing_stats",

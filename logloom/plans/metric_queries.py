@@ -242,7 +242,23 @@ def _(t):
     return rounded(rouge.rouge_score(turn_pairs(t), ("rouge1", "rouge2"), stem=False))
 
 
-@query("rouge_l")
+def _common_sql(pairs_sql: str) -> str:
+    """Longest common subsequences as longest increasing runs of match places (a reference word's places in falling order)."""
+    places = "flatten(list_transform(r, lambda w: list_reverse(list_filter(range(1, len(h) + 1), lambda p: h[p] = w))))"
+    below = "len(list_filter(ends, lambda e: e < p[1]))"
+    return f"""{pairs_sql},
+    split_words AS (SELECT example_id, {_rouge_words("prediction")} AS h, {_rouge_words("reference")} AS r FROM pairs),
+    matches AS (SELECT example_id, len(h) AS nh, len(r) AS nr, list_prepend([]::BIGINT[], list_transform({places}, lambda p: [p])) AS steps FROM split_words),
+    clipped AS (SELECT nh, nr, len(list_reduce(steps, lambda ends, p: ends[1:{below}] || p || ends[{below} + 2:])) AS matched FROM matches)"""
+
+
+_ROUGE_L_ITEMS = [
+    ("rougeL", part, f"coalesce(sum(CASE WHEN {bottom} > 0 THEN {top} / ({bottom}) END), 0) / {_TOTAL}")
+    for part, top, bottom in (("precision", "matched", "nh"), ("recall", "matched", "nr"), ("fmeasure", "2 * matched", "(nh + nr)"))
+]
+
+
+@query("rouge_l", _long(_ROUGE_L_ITEMS, "clipped", _common_sql(TURN_SQL)))
 def _(t):
     return rounded(rouge.rouge_score(turn_pairs(t), ("rougeL",), stem=False))
 
@@ -391,6 +407,24 @@ def _(t):
     )
 
 
+@query(
+    "custom_domain_metric",
+    f"""WITH {TURN_SQL} SELECT 'domain' AS metric, 'length_ratio' AS sub_metric,
+      round((sum(length(prediction)) / sum(length(reference)))::DOUBLE, 6) AS value FROM pairs
+    UNION ALL SELECT 'domain', 'shorter', round(avg(CASE WHEN length(prediction) < length(reference) THEN 1.0 ELSE 0.0 END), 6) FROM pairs""",
+)
+def _(t):
+    """A domain that the caller adds."""
+
+    def brevity(given: DataFrame) -> DataFrame:
+        p, r = F.length("prediction"), F.length("reference")
+        measures = given.agg((F.sum(p) / F.sum(r)).alias("length_ratio"), F.avg(F.when(p < r, 1.0).otherwise(0.0)).alias("shorter"))
+        return pairs.long_table(measures, {m: ("domain", m) for m in measures.columns})
+
+    evaluation.register_domain("brevity", brevity)
+    return rounded(evaluation.domain_metrics(turn_pairs(t), "brevity"))
+
+
 @query("headline_summary")
 def _(t):
     scores = evaluation.calculate_metrics(turn_pairs(t), ["exact_match", "f1", "bleu", "rouge"])

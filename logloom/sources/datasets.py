@@ -15,16 +15,24 @@ READERS = {"csv": "csv", "json": "json", "jsonl": "json", "parquet": "parquet"}
 
 
 def load_dataset(
-    spark: SparkSession, path: str, required: list[str] | None = None, schema: StructType | str | None = None
+    spark: SparkSession,
+    path: str,
+    required: list[str] | None = None,
+    schema: StructType | str | None = None,
+    multi_line: bool = True,
 ) -> DataFrame:
-    """csv, json, jsonl or parquet by extension, otherwise json; checks the required columns."""
+    """csv, json, jsonl or parquet by extension, otherwise json; checks the required columns.
+
+    A csv value may hold line breaks; then one task reads a whole file. Without
+    ``multi_line`` large csv files are split. With a schema nothing is read ahead.
+    """
     extension = os.path.splitext(path.rstrip("/"))[1].lstrip(".").lower()
     fmt = READERS.get(extension, "json")
     reader = spark.read.format(fmt)
     if schema is not None:
         reader = reader.schema(schema)
     if fmt == "csv":
-        reader = reader.option("header", True).option("multiLine", True).option("escape", '"')
+        reader = reader.option("header", True).option("multiLine", multi_line).option("escape", '"')
         if schema is None:
             reader = reader.option("inferSchema", True)
     return require_columns(reader.load(path), required or [])

@@ -50,21 +50,6 @@ def windowed_counts(entries: DataFrame, width: str = "1 hour", lateness: str = "
     )
 
 
-#: Log type and time of the line that ends a finished stream.
-END_TYPE, END_TIME = "__end_of_stream__", "9999-12-30T00:00:00"
-
-
-def close_stream(spark: SparkSession, source: str) -> None:
-    """Adds the line that moves the watermark past every window; run the stream once more after it.
-
-    An append-mode aggregation holds back windows the watermark has not passed.
-    For a finished stream nothing can be late any more, so a last line far ahead
-    brings them out; its own window never closes and is never written.
-    """
-    line = F.to_json(F.struct(F.lit(END_TYPE).alias("type"), F.lit(END_TIME).alias("time")))
-    spark.range(1).select(line.alias("value")).coalesce(1).write.mode("append").text(source)
-
-
 def run_to_end(stream: DataFrame, path: str, checkpoint: str) -> None:
     """Process what is there, append it as parquet, and stop."""
     query = (
@@ -76,3 +61,28 @@ def run_to_end(stream: DataFrame, path: str, checkpoint: str) -> None:
         .start()
     )
     query.awaitTermination()
+
+
+def run_windows_to_end(windows: DataFrame, path: str, checkpoint: str) -> None:
+    """Process what is there and write every window that changed, per batch, without waiting for the watermark.
+
+    An append-mode aggregation holds back windows the watermark has not passed, so
+    the last ones of a finished stream never come out. Here each batch writes its
+    windows as they stand into a folder of its own; a batch that is run again
+    replaces that folder. ``last_windows`` reads the result.
+    """
+    empty = windows.sparkSession.createDataFrame([], windows.schema)
+    empty.write.mode("ignore").parquet(f"{path}/batch=-1")
+
+    def write(batch: DataFrame, number: int) -> None:
+        batch.write.mode("overwrite").parquet(f"{path}/batch={number}")
+
+    query = windows.writeStream.option("checkpointLocation", checkpoint).outputMode("update").trigger(availableNow=True).foreachBatch(write).start()
+    query.awaitTermination()
+
+
+def last_windows(spark: SparkSession, path: str) -> DataFrame:
+    """Every window as its last batch left it; windows of late rows stay as they were when they were dropped."""
+    written = spark.read.parquet(path)
+    keys = [c for c in written.columns if c not in ("entries", "batch")]
+    return written.groupBy(*keys).agg(F.max_by("entries", "batch").alias("entries"))

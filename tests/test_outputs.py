@@ -110,6 +110,24 @@ def test_stream_drops_repeats_and_closes_windows(spark, tmp_path):
     assert got == [("2024-01-01 01:00:00", 2), ("2024-01-01 02:00:00", 2)]
 
 
+def test_last_windows_need_no_later_line(spark, tmp_path):
+    source = tmp_path / "in"
+    source.mkdir()
+    out, state = str(tmp_path / "w"), str(tmp_path / "ws")
+    counts = log_stream.windowed_counts(log_stream.stream_entries(log_stream.stream_lines(spark, str(source), max_files=1)), lateness="3 hours")
+    log_stream.run_windows_to_end(counts, out, state)
+    assert log_stream.last_windows(spark, out).count() == 0
+    want = {}
+    for part, hours in enumerate([(1, 1, 2), (2, 3), (3, 1), (0, 9)]):
+        (source / f"p{part}.jsonl").write_text("\n".join(json.dumps({"type": "a", "time": f"2024-01-01T{h:02d}:30:00"}) for h in hours) + "\n")
+        log_stream.run_windows_to_end(counts, out, state)
+        for h in hours:
+            want[h] = want.get(h, 0) + 1
+        got = {r.window_start.hour: r.entries for r in log_stream.last_windows(spark, out).collect()}
+        assert got == want
+    assert len(list(source.iterdir())) == 4
+
+
 def test_serializable(spark):
     df = spark.sql("select cast(1 as int) a, cast(1.5 as float) b, array(1) c, 'x' d")
     assert [t for _, t in K.serializable(df).dtypes] == ["bigint", "double", "string", "string"]

@@ -184,3 +184,18 @@ def test_a_log_run_counts_and_times(spark, tmp_path):
     lines = [json.loads(r[0]) for r in spark.read.text(str(tmp_path / "out" / "entries")).select("value").collect()]
     assert sorted(x["source_file"] for x in lines) == ["a.sql", "a.sql", "b.jsonl", "c.csv", "c.csv"] and all("path" not in x for x in lines)
     assert spark.read.json(str(tmp_path / "out" / "stats")).first()["total_entries"] == 5
+
+
+def test_csv_without_line_breaks_is_split(spark, tmp_path):
+    from logloom.sources.datasets import load_dataset
+
+    path = tmp_path / "rows.csv"
+    path.write_text("id,text\n" + "".join(f'{i},"a, ""{i}"""\n' for i in range(20000)))
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "65536")
+    try:
+        whole, split = (load_dataset(spark, str(path), schema="id long, text string", multi_line=m) for m in (True, False))
+        assert whole.rdd.getNumPartitions() == 1 and split.rdd.getNumPartitions() > 3
+        assert whole.exceptAll(split).count() == split.exceptAll(whole).count() == 0
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
