@@ -20,6 +20,7 @@ are split off into a broadcast table and their positions are dealt by document.
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -152,6 +153,76 @@ def score(words: DataFrame, key: str, model: NgramModel, counted: bool = False)
     )
 
 
+def own_scores(words: DataFrame, key: str, top: int, discount: float = DISCOUNT) -> DataFrame:
+    """``key, ngram_order, n_tokens, log_prob, perplexity`` of every text under the models of order 1 to ``top`` counted from these very texts.
+
+    Equal to ``count_model`` and ``score`` of each order. All orders come from one count:
+    grams of order k and their continuations are sums over those of order k + 1, and
+    the continuations of an order are the same in every model above it. The levels
+    are tables of words (``g0`` the last one, ``g1`` before it, ...), and every gram of the
+    highest order carries its logarithms of all orders, so positions move once.
+    """
+    grams = [f"g{n}" for n in range(top)]
+    shifted = [F.concat(F.array_repeat(F.lit(START), n), F.col("words")) if n else F.col("words") for n in range(top)]
+    places = words.select(key, F.inline(F.arrays_zip(*shifted)).alias(*grams)).where(F.col("g0").isNotNull())
+    levels = {top: stage(places.groupBy(*grams).agg(F.count("*").alias("raw")).withColumn("kept", F.lit(None).cast("bigint")), f"grams-{top}")}
+    for k in range(top - 1, 0, -1):
+        levels[k] = stage(levels[k + 1].groupBy(*grams[:k]).agg(F.sum("raw").alias("raw"), F.count("*").alias("kept")), f"grams-{k}")
+    known, total, kept = levels[1].agg(F.count("*"), F.sum("raw"), F.sum("kept")).first()
+    if not known:
+        empty = F.lit(None).cast("double")
+        orders = F.explode(F.sequence(F.lit(1), F.lit(top))).alias("ngram_order")
+        return words.select(key).distinct().select(key, orders).select("*", F.lit(0).cast("bigint").alias("n_tokens"), empty.alias("log_prob"), empty.alias("perplexity"))
+
+    def single(c: str, all_: int | None):
+        return (F.greatest(F.col(c) - discount, F.lit(0.0)) + F.lit(discount * known / (known + 1))) / F.lit(float(all_ or 1))
+
+    level = stage(levels[1].select("g0", "raw", "kept", single("kept", kept).alias("lower"), F.ln(single("raw", total)).alias("s1")), "logs-1")
+    for k in range(2, top + 1):
+        sums = levels[k].groupBy(*grams[1:k]).agg(F.sum("raw").alias("raws"), F.sum("kept").alias("kepts"), F.count("*").alias("kinds"))
+        rows = levels[k].count()
+        met = _met(levels[k], stage(sums, f"sums-{k}"), grams[1:k], F.col("kinds") * FREQUENT > rows, ["raws", "kepts", "kinds"], F.xxhash64(*grams[:k]))
+        scores = [f"s{n}" for n in range(1, k)]
+        met = _met(met, level.withColumnsRenamed({"kept": "__hot"}), grams[: k - 1], F.col("__hot") * FREQUENT > rows, ["lower", *scores], F.xxhash64(*grams[:k]))
+
+        def p(c: str) -> Column:
+            return (F.greatest(F.col(c) - discount, F.lit(0.0)) + F.col("kinds") * discount * F.col("lower")) / F.col(f"{c}s")
+
+        level = stage(met.select(*grams[:k], "raw", "kept", p("kept").alias("__lower"), *scores, F.ln(p("raw")).alias(f"s{k}")).withColumnRenamed("__lower", "lower"), f"logs-{k}")
+    scores = [f"s{n}" for n in range(1, top + 1)]
+    # 128 bits stand for a gram: among 10^13 different ones two would meet with a chance of 10^-13
+    hashed = [F.xxhash64(*grams).alias("h0"), F.xxhash64(F.lit(1), *grams).alias("h1")]
+    table = level.select(*hashed, "raw", *scores)
+    found = _met(places.select(key, *hashed), table, ["h0", "h1"], F.col("raw") * FREQUENT > total, scores, F.xxhash64(F.monotonically_increasing_id()))
+    none = words.where(F.size("words") == 0).select(key, F.lit(0).alias("n"), *[F.lit(None).cast("double").alias(x) for x in scores])
+    each = found.select(key, F.lit(1).alias("n"), *scores).unionByName(none).groupBy(key).agg(F.sum("n").alias("n_tokens"), *[F.sum(x).alias(x) for x in scores])
+    orders = F.inline(F.array(*[F.struct(F.lit(n).alias("ngram_order"), F.col(x).alias("log_prob")) for n, x in enumerate(scores, 1)]))
+    return each.select(key, "n_tokens", orders).select(
+        key, "ngram_order", "n_tokens", "log_prob", F.exp(-F.col("log_prob") / F.col("n_tokens")).alias("perplexity")
+    )
+
+
+def _met(rows: DataFrame, table: DataFrame, keys: list[str], hot: Column, values: list[str], deal: Column) -> DataFrame:
+    """``rows`` with the ``values`` that ``table`` has for their keys; every row has its match.
+
+    ``hot`` marks keys that hold more than 1 / FREQUENT of the rows, so they are few:
+    they are broadcast, and their rows are dealt by ``deal`` in the shuffle of the others.
+    """
+    def side(which: Column, mark: str) -> DataFrame:
+        return table.where(which).select(*[F.col(k).alias(f"{mark}{k}") for k in keys], *[F.col(v).alias(f"{mark}{v}") for v in values])
+
+    def equal(pairs) -> Column:
+        return reduce(lambda a, b: a & b, [F.col(x) == F.col(y) for x, y in pairs])
+
+    near = rows.join(F.broadcast(side(hot, "__n_")), equal([(k, f"__n_{k}") for k in keys]), "left")
+    first, known = keys[0], F.col(f"__n_{keys[0]}").isNotNull()
+    kind = rows.schema[first].dataType.simpleString()
+    salt = deal if kind == "bigint" else F.concat(F.lit("\u0000"), deal.cast("string"))
+    near = near.withColumn("__first", F.when(known, salt).otherwise(F.col(first)))
+    both = near.join(side(~hot, "__f_"), equal([("__first", f"__f_{first}"), *[(k, f"__f_{k}") for k in keys[1:]]]), "left")
+    return both.select(*rows.columns, *[F.coalesce(f"__n_{v}", f"__f_{v}").alias(v) for v in values])
+
+
 def corpus_perplexity(scored: DataFrame) -> DataFrame:
     """One row over all texts: tokens, log probability, perplexity."""
     return scored.agg(F.sum("n_tokens").alias("n_tokens"), F.sum("log_prob").alias("log_prob")).withColumn(

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import functions as F
 
 from logloom.functions import anonymise as A
@@ -50,8 +48,7 @@ def _ngram_sql(orders: tuple[int, ...]) -> str:
 @query("ngram_perplexity", _ngram_sql((1, 2, 3)))
 def _(t):
     words = M.staged_words(t.wide("documents"), "doc_id")
-    scored = [M.score(words, "doc_id", M.count_model(words, n), counted=True).withColumn("ngram_order", F.lit(n)) for n in (1, 2, 3)]
-    return reduce(lambda a, b: a.unionByName(b), scored).select(
+    return M.own_scores(words, "doc_id", 3).select(
         "doc_id", "ngram_order", "n_tokens", F.round(F.col("log_prob") / F.col("n_tokens"), 8).alias("mean_log_prob"), F.round("perplexity", 3).alias("perplexity")
     )
 

@@ -74,6 +74,28 @@ def test_perplexity(spark, sentences, order):
     assert whole["n_tokens"] == sum(map(len, sentences))
 
 
+@pytest.mark.parametrize("top", [1, 2, 4])
+def test_all_orders_from_one_count(spark, sentences, top):
+    got = {(r["id"], r["ngram_order"]): r for r in M.own_scores(table(spark, sentences), "id", top).collect()}
+    assert len(got) == top * len(sentences)
+    for order in range(1, top + 1):
+        brute = Brute(sentences, order)
+        for k, ws in enumerate(sentences):
+            assert got[k, order]["n_tokens"] == len(ws)
+            if ws:
+                assert got[k, order]["log_prob"] == pytest.approx(brute.log(ws), rel=1e-9)
+                assert got[k, order]["perplexity"] == pytest.approx(math.exp(-brute.log(ws) / len(ws)), rel=1e-9)
+            else:
+                assert got[k, order]["perplexity"] is None
+
+
+def test_own_scores_of_nothing_and_of_repeated_keys(spark):
+    assert M.own_scores(table(spark, []), "id", 2).count() == 0
+    assert [tuple(r) for r in M.own_scores(table(spark, [[]]), "id", 2).orderBy("ngram_order").collect()] == [(0, 1, 0, None, None), (0, 2, 0, None, None)]
+    twice = spark.createDataFrame([(None, ["a", "b"]), (None, ["b"]), (1, ["a"])], "id long, words array<string>")
+    assert {(r["id"], r["n_tokens"]) for r in M.own_scores(twice, "id", 2).collect()} == {(None, 3), (1, 1)}
+
+
 def test_probabilities_sum_to_one(spark, sentences):
     brute = Brute(sentences, 2)
     known = [g[0] for g in brute.counts[1]]
