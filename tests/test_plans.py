@@ -10,7 +10,7 @@ QUERIES, ORACLE = catalog.queries(), catalog.oracle_sql()
 # queries that parse files or write before they read; their plans are not built here
 EAGER = re.compile("scan_|sink|stream_|run_catalogue|evaluation_report")
 # Python workers are expected only where a file format is parsed, in stemming and in the subsequence length
-PYTHON = re.compile("html_|word_|document_metadata|document_images|rouge_l|rouge_stemmed|domain_summarization|headline_summary")
+PYTHON = re.compile("html_|word_|find_documents_capped|document_metadata|document_images|rouge_l|rouge_stemmed|domain_summarization|headline_summary")
 
 
 def plan(spark, sf_dir, name):
