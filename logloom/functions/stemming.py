@@ -1,13 +1,15 @@
-"""Stemming of word lists after Porter (1980), with the usual later additions, as a vectorised helper."""
+"""Stemming of word lists after Porter (1980), with the usual later additions, as column expressions.
 
-from __future__ import annotations
+A word is read as runs of consonants and vowels; the number of vowel-consonant
+runs of a stem, on which most rules depend, becomes a prefix of a pattern. Each
+step is a list of rules ``(guard, pattern, replacement)``: the first rule whose
+guard fits decides, and its pattern replaces or leaves the word.
+"""
 
-import re
-from functools import lru_cache
+from __future__ import annotations
 
-import pandas as pd
+from pyspark.sql import Column
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 # Suffix tables of steps 2, 3 and 4.
 STEP2 = {
@@ -27,90 +29,68 @@ STEP4 = (
 ).split()
 
 
-def _shape(stem: str) -> str:
-    """The word as ``c`` and ``v`` letters; ``y`` after a consonant is a vowel."""
-    shape = ""
-    for i, ch in enumerate(stem):
-        vowel = ch in "aeiou" or (ch == "y" and i > 0 and shape[-1] == "c")
-        shape += "v" if vowel else "c"
-    return shape
-
-
-def _measure(stem: str) -> int:
-    return len(re.findall("v+c+", _shape(stem)))
+# y is a vowel after a consonant, elsewhere a consonant; runs can be read in one way only
+_C = "[^aeiou][^aeiouy]*"
+_V = "[aeiouy][aeiou]*"
+_HAS_VOWEL = f"(?:{_C}{_V}|[aeiou]+)"
+_ONCE = f"{_HAS_VOWEL}{_C}"  # at least one vowel-consonant run
+_TWICE = f"{_ONCE}{_V}{_C}"
+_ENDS_IN_C = f"(?:{_C}|{_ONCE}(?:{_V}{_C})*)"
+# one run, short: consonant, vowel, consonant other than w, x, y; or vowel and consonant alone
+_SHORT = f"(?:{_C}[aeiouy][^aeiouwxy]|[aeiou][^aeiou])"
+_DOUBLE = "|".join(c + c for c in "bcdfghjkmnpqrtvwx0123456789")
 
+Rule = tuple[str, str, str]
 
-def _short_end(stem: str) -> bool:
-    """consonant-vowel-consonant, the last one not w, x or y; or just vowel-consonant"""
-    shape = _shape(stem)
-    return (shape.endswith("cvc") and stem[-1] not in "wxy") or shape == "vc"
 
+def _suffixes(table: dict[str, str], stem: str) -> list[Rule]:
+    return [(f"{s}$", f"^({stem}.*){s}$", f"$1{table[s]}") for s in sorted(table, key=len, reverse=True)]
 
-def _replace(word: str, table: dict[str, str], least: int) -> str:
-    for suffix in sorted((s for s in table if word.endswith(s)), key=len, reverse=True)[:1]:
-        stem = word[: -len(suffix)]
-        if _measure(stem) >= least:
-            return stem + table[suffix]
-    return word
 
-
-@lru_cache(maxsize=200_000)
-def stem(word: str) -> str:
-    """Porter's algorithm; words of up to two letters stay."""
-    if word in IRREGULAR:
-        return IRREGULAR[word]
-    if len(word) <= 2:
-        return word
+# a bar marks a word that lost -ed or -ing
+STEPS: list[list[Rule]] = [
     # 1a plurals
-    if word.endswith("ies"):
-        word = word[:-1] if len(word) == 4 else word[:-2]
-    elif word.endswith("sses"):
-        word = word[:-2]
-    elif word.endswith("s") and not word.endswith("ss"):
-        word = word[:-1]
+    [("^.ies$", "s$", ""), ("ies$", "es$", ""), ("sses$", "es$", ""), ("ss$", "^$", ""), ("s$", "s$", "")],
     # 1b past and progressive
-    ending = re.search("(eed|ed|ing)$", word)
-    if word.endswith("ied"):
-        word = word[:-1] if len(word) == 4 else word[:-2]
-    elif ending:
-        base = word[: ending.start()]
-        if ending.group() == "eed":
-            word = base + "ee" if _measure(base) > 0 else word
-        elif "v" in _shape(base):
-            word = base
-            if word.endswith(("at", "bl", "iz")):
-                word += "e"
-            elif len(word) > 1 and word[-1] == word[-2] and _shape(word)[-1] == "c" and word[-1] not in "lsz":
-                word = word[:-1]
-            elif _measure(word) == 1 and _short_end(word):
-                word += "e"
+    [
+        ("^.ied$", "d$", ""), ("ied$", "ed$", ""), ("eed$", f"^({_ONCE}.*)eed$", "$1ee"),
+        ("ed$", f"^({_HAS_VOWEL}.*)ed$", "$1|"), ("ing$", f"^({_HAS_VOWEL}.*)ing$", "$1|"),
+    ],
+    [
+        ("(?:at|bl|iz)\\|$", "\\|$", "e"), (f"(?:{_DOUBLE})\\|$", ".\\|$", ""), (f"^{_ENDS_IN_C}yy\\|$", ".\\|$", ""),
+        (f"^{_SHORT}\\|$", "\\|$", "e"), ("\\|$", "\\|$", ""),
+    ],
     # 1c final y
-    if word.endswith("y") and len(word) > 2 and _shape(word[:-1])[-1] == "c":
-        word = word[:-1] + "i"
+    [("..y$", f"^({_ENDS_IN_C})y$", "$1i")],
     # 2: -alli is cut first and the rest looked at again; -logi keeps its l when measured
-    if word.endswith("alli") and _measure(word[:-4]) > 0:
-        word = word[:-2]
-    if word.endswith("logi"):
-        word = word[:-1] if _measure(word[:-3]) > 0 else word
-    else:
-        word = _replace(word, STEP2, 1)
-    word = _replace(word, STEP3, 1)
+    [("alli$", f"^({_ONCE}.*)alli$", "$1al")],
+    [("logi$", f"^({_ONCE}.*|{_HAS_VOWEL}l)ogi$", "$1og"), *_suffixes(STEP2, _ONCE)],
+    # 3
+    _suffixes(STEP3, _ONCE),
     # 4: -ion needs s or t before it
-    for suffix in sorted((s for s in STEP4 if word.endswith(s)), key=len, reverse=True)[:1]:
-        cut = 3 if suffix in ("sion", "tion") else len(suffix)
-        if _measure(word[:-cut]) > 1:
-            word = word[:-cut]
+    [("[st]ion$", f"^({_TWICE}.*)ion$", "$1")] + _suffixes({s: "" for s in STEP4 if s not in ("sion", "tion")}, _TWICE),
     # 5 final e and double l
-    if word.endswith("e"):
-        base = word[:-1]
-        if _measure(base) > 1 or (_measure(base) == 1 and not _short_end(base)):
-            word = base
-    if word.endswith("ll") and _measure(word[:-1]) > 1:
-        word = word[:-1]
-    return word
+    [(f"^{_TWICE}.*e$", "e$", ""), (f"^{_SHORT}e$", "^$", ""), ("e$", f"^({_ONCE}.*)e$", "$1")],
+    [("ll$", f"^({_TWICE}.*)l$", "$1")],
+]
+
+
+def _step(rules: list[Rule]):
+    def applied(word: Column) -> Column:
+        chosen = F.when(F.lit(False), word)
+        for guard, pattern, replacement in rules:
+            plain = guard[:-1]
+            fits = F.endswith(word, F.lit(plain)) if plain.isalpha() else word.rlike(guard)
+            chosen = chosen.when(fits, F.regexp_replace(word, pattern, replacement))
+        return chosen.otherwise(word)
+
+    return applied
 
 
-@F.pandas_udf(T.ArrayType(T.StringType()))
-def stem_words(words: pd.Series) -> pd.Series:
+def stem_words(words: Column) -> Column:
     """Words longer than three letters are stemmed."""
-    return words.map(lambda ws: None if ws is None else [stem(w) if len(w) > 3 else w for w in ws])
+    stems = words
+    for rules in STEPS:
+        stems = F.transform(stems, _step(rules))
+    fixed = F.create_map(*[F.lit(x) for pair in IRREGULAR.items() for x in pair])
+    return F.zip_with(words, stems, lambda w, s: F.when(F.length(w) <= 3, w).otherwise(F.coalesce(F.try_element_at(fixed, w), s)))

@@ -1,4 +1,4 @@
-"""Control over where costly columns are evaluated."""
+"""Control over where costly columns are evaluated, and the long form of one-row results."""
 
 from __future__ import annotations
 
@@ -16,3 +16,13 @@ def evaluated(df: DataFrame, *names: str) -> DataFrame:
     others = [c for c in df.columns if c not in names]
     return df.select(*others, F.inline(F.array(F.struct(*names)))).select(*df.columns)
 
+
+def long_table(row: DataFrame, names: dict[str, tuple[str, str | None]]) -> DataFrame:
+    """One-row aggregate -> ``metric, sub_metric, value``; ``names`` maps a column to its two names."""
+    items = [
+        F.struct(
+            F.lit(metric).alias("metric"), F.lit(sub).cast("string").alias("sub_metric"), F.col(c).cast("double").alias("value")
+        )
+        for c, (metric, sub) in names.items()
+    ]
+    return row.select(F.inline(F.array(*items)))

@@ -8,39 +8,46 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from logloom.operators.bleu import bleu_score
+from logloom.operators.bleu import bleu_measure
 from logloom.operators.label_scores import label_f1_score
-from logloom.operators.pairs import accuracy_score, exact_match_score, token_f1_score
+from logloom.operators.measures import Measure, renamed, score
+from logloom.operators.pairs import accuracy_score, match_measure, token_f1_measure
 from logloom.operators.perplexity import perplexity_score
-from logloom.operators.rouge import rouge_score
-
-METRICS: dict[str, Callable[[DataFrame], DataFrame]] = {
-    "exact_match": exact_match_score,
-    "f1": token_f1_score,
-    "accuracy": lambda pairs: accuracy_score(pairs, normalize=True),
-    "bleu": bleu_score,
-    "rouge": rouge_score,
+from logloom.operators.rouge import rouge_measure
+
+# columns exist only with a session, so measures are made when they are asked for
+METRICS: dict[str, Callable[[], Measure]] = {
+    "exact_match": lambda: match_measure("exact_match", normalize=True),
+    "f1": token_f1_measure,
+    "accuracy": lambda: match_measure("accuracy", normalize=True),
+    "bleu": bleu_measure,
+    "rouge": rouge_measure,
 }
 
 
-def _renamed(scores: DataFrame, name) -> DataFrame:
-    return scores.select(F.lit("domain").alias("metric"), name.alias("sub_metric"), "value")
+def qa_measures() -> list[Measure]:
+    return [renamed(METRICS[m](), lambda metric, sub: ("domain", sub or metric)) for m in ("exact_match", "f1")]
+
+
+def summarization_measures() -> list[Measure]:
+    return [
+        renamed(rouge_measure(), lambda metric, sub: ("domain", f"{metric}_f1") if sub == "fmeasure" else None),
+        renamed(bleu_measure(), lambda metric, sub: ("domain", metric) if sub == "bleu" else None),
+    ]
 
 
 def qa_bundle(pairs: DataFrame) -> DataFrame:
-    f1 = token_f1_score(pairs)
-    return _renamed(exact_match_score(pairs), F.col("metric")).unionByName(_renamed(f1, F.col("sub_metric")))
+    return score(pairs, qa_measures())
 
 
 def summarization_bundle(pairs: DataFrame) -> DataFrame:
-    rouge = rouge_score(pairs).where("sub_metric = 'fmeasure'")
-    bleu = bleu_score(pairs).where("sub_metric = 'bleu'")
-    return _renamed(rouge, F.concat("metric", F.lit("_f1"))).unionByName(_renamed(bleu, F.col("metric")))
+    return score(pairs, summarization_measures())
 
 
 def classification_bundle(pairs: DataFrame) -> DataFrame:
-    f1 = label_f1_score(pairs)
-    return _renamed(accuracy_score(pairs), F.col("metric")).unionByName(_renamed(f1, F.col("sub_metric")))
+    """Accuracy and macro F1; scores per label need a grouping of their own."""
+    scores = accuracy_score(pairs).unionByName(label_f1_score(pairs))
+    return scores.select(F.lit("domain").alias("metric"), F.coalesce("sub_metric", "metric").alias("sub_metric"), "value")
 
 
 DOMAINS: dict[str, Callable[[DataFrame], DataFrame]] = {
@@ -48,13 +55,22 @@ DOMAINS: dict[str, Callable[[DataFrame], DataFrame]] = {
     "summarization": summarization_bundle,
     "classification": classification_bundle,
 }
+# domains made of measures alone join the aggregation of the chosen metrics
+DOMAIN_MEASURES: dict[str, Callable[[], list[Measure]]] = {"qa": qa_measures, "summarization": summarization_measures}
 
 
 def register_domain(name: str, bundle: Callable[[DataFrame], DataFrame]) -> None:
     """Add a domain: a function from pairs to ``metric, sub_metric, value``."""
+    DOMAIN_MEASURES.pop(name, None)
     DOMAINS[name] = bundle
 
 
+def register_measures(name: str, measures: Callable[[], list[Measure]]) -> None:
+    """Add a domain made of measures; they are scored together with the chosen metrics."""
+    DOMAIN_MEASURES[name] = measures
+    DOMAINS[name] = lambda pairs: score(pairs, measures())
+
+
 def domain_metrics(pairs: DataFrame, domain: str) -> DataFrame:
     """The bundle of a domain; an unknown domain has no metrics."""
     empty = pairs.sparkSession.createDataFrame([], "metric string, sub_metric string, value double")
@@ -64,11 +80,19 @@ def domain_metrics(pairs: DataFrame, domain: str) -> DataFrame:
 def calculate_metrics(
     pairs: DataFrame, metrics: list[str], domain: str | None = None, losses: DataFrame | None = None
 ) -> DataFrame:
-    """``metric, sub_metric, value`` of the chosen metrics; names nobody knows are left out."""
-    parts = [METRICS[m](pairs) for m in metrics if m in METRICS]
+    """``metric, sub_metric, value`` of the chosen metrics; names nobody knows are left out.
+
+    All measures over pairs, those of the domain too, share one aggregation;
+    losses are another table, and a domain given as a function plans for itself.
+    """
+    chosen = [METRICS[m]() for m in metrics if m in METRICS]
+    fused = domain in DOMAIN_MEASURES
+    if fused:
+        chosen += DOMAIN_MEASURES[domain]()
+    parts = [score(pairs, chosen)] if chosen else []
     if "perplexity" in metrics and losses is not None:
         parts.append(perplexity_score(losses))
-    if domain:
+    if domain and not fused:
         parts.append(domain_metrics(pairs, domain))
     if not parts:
         raise ValueError(f"no known metric in {metrics}")

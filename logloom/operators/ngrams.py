@@ -17,27 +17,39 @@ def ngrams(words: Column, n: int) -> Column:
     ).otherwise(F.array().cast("array<string>"))
 
 
-def clipped_counts(pairs: DataFrame, hypothesis: Column, references: Column, orders: tuple[int, ...]) -> DataFrame:
-    """``example_id, n, matched, in_hypothesis, in_reference`` from word arrays.
+def clipped(hypothesis: Column, references: Column, n: int) -> Column:
+    """``struct<matched, in_hypothesis>``: n-grams of one row's word list that its references hold too.
 
-    ``references`` is an array of word arrays; a gram counts at most as often as
-    in the reference that has it most. The pairs are shuffled once by example, as
-    whole word lists; all later groupings keep that partitioning, so the exploded
-    grams are never shuffled.
+    ``references`` is an array of word lists; a gram counts at most as often as
+    in the reference that has it most. All grams of the row are sorted with the
+    side they come from, the hypothesis last, and folded once: nothing leaves the
+    row, so nothing is shuffled and a hot example loads no other task.
     """
-    placed = pairs.select("example_id", hypothesis.alias("__hyp"), references.alias("__refs")).repartition("example_id")
-    sides = placed.select(
-        "example_id",
-        F.posexplode(F.concat(F.array("__hyp"), "__refs")).alias("side", "words"),
-    )
-    grams = sides.select("example_id", "side", F.explode(F.array(*[
-        F.struct(F.lit(n).alias("n"), ngrams(F.col("words"), n).alias("grams")) for n in orders
-    ])).alias("__g")).select("example_id", "side", F.col("__g.n").alias("n"), F.explode("__g.grams").alias("gram"))
-    counts = grams.groupBy("example_id", "n", "gram", "side").agg(F.count("*").alias("c"))
-    per_gram = counts.groupBy("example_id", "n", "gram").agg(
-        F.coalesce(F.max(F.when(F.col("side") == 0, F.col("c"))), F.lit(0)).alias("h"),
-        F.coalesce(F.max(F.when(F.col("side") > 0, F.col("c"))), F.lit(0)).alias("r"),
-    )
-    return per_gram.groupBy("example_id", "n").agg(
-        F.sum(F.least("h", "r")).alias("matched"), F.sum("h").alias("in_hypothesis"), F.sum("r").alias("in_reference")
+    last = F.size(references)
+
+    def side(words: Column, number: Column) -> Column:
+        return F.transform(ngrams(words, n), lambda g: F.struct(g.alias("gram"), number.alias("side")))
+
+    grams = F.array_sort(F.concat(F.flatten(F.transform(references, side)), side(hypothesis, last)))
+    start = F.struct(
+        F.lit(None).cast("string").alias("gram"), F.lit(-1).alias("side"),
+        F.lit(0).alias("run"), F.lit(0).alias("left"), F.lit(0).alias("matched"),
     )
+
+    def step(done: Column, x: Column) -> Column:
+        same = done["gram"].eqNullSafe(x["gram"])
+        left = F.when(same, done["left"]).otherwise(0)
+        run = F.when(same & (done["side"] == x["side"]), done["run"] + 1).otherwise(1)
+        hit = (x["side"] == last) & (left > 0)
+        return F.struct(
+            x["gram"].alias("gram"), x["side"].alias("side"), run.alias("run"),
+            F.when(hit, left - 1).when(x["side"] == last, left).otherwise(F.greatest(left, run)).alias("left"),
+            (done["matched"] + F.when(hit, 1).otherwise(0)).alias("matched"),
+        )
+
+    matched = F.aggregate(grams, start, step, lambda done: done["matched"])
+    return F.struct(matched.cast("bigint").alias("matched"), n_grams(hypothesis, n).alias("in_hypothesis"))
+
+
+def n_grams(words: Column, n: int) -> Column:
+    return F.greatest(F.size(words) - (n - 1), F.lit(0)).cast("bigint")

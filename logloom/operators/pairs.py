@@ -6,6 +6,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from logloom.functions.text import normalize_text
+from logloom.operators.columns import long_table  # noqa: F401
+from logloom.operators.measures import Measure, score
 
 
 def align(predictions: DataFrame, references: DataFrame, on: str = "example_id", keep_unmatched: bool = True) -> DataFrame:
@@ -56,32 +58,31 @@ def example_metrics(pairs: DataFrame, domain: str | None = None) -> DataFrame:
     return pairs.withColumn("metrics", F.create_map(*entries))
 
 
-def long_table(row: DataFrame, names: dict[str, tuple[str, str | None]]) -> DataFrame:
-    """One-row aggregate -> ``metric, sub_metric, value``; ``names`` maps a column to its two names."""
-    items = [
-        F.struct(
-            F.lit(metric).alias("metric"), F.lit(sub).cast("string").alias("sub_metric"), F.col(c).cast("double").alias("value")
-        )
-        for c, (metric, sub) in names.items()
-    ]
-    return row.select(F.inline(F.array(*items)))
+def match_measure(metric: str, normalize: bool) -> Measure:
+    """Mean over all predictions; no rows give null."""
+    name = f"match_{'normalized' if normalize else 'raw'}"
+    hit = exact_match(F.col("prediction"), F.col("reference"), normalize)
+    return Measure({name: hit}, {f"mean_{name}": F.avg(name)}, [(metric, None, F.col(f"mean_{name}"))])
+
+
+def token_f1_measure(metric: str = "f1") -> Measure:
+    """Mean token-set precision, recall and F1 over rows that have a reference."""
+    scores = F.when(F.col("reference").isNotNull(), token_scores(F.col("prediction"), F.col("reference")))
+    parts = ("precision", "recall", "f1")
+    return Measure(
+        {"tokens": scores},
+        {f"tokens_{p}": F.avg(F.col("tokens")[p]) for p in parts},
+        [(metric, p, F.col(f"tokens_{p}")) for p in parts],
+    )
 
 
 def exact_match_score(pairs: DataFrame, normalize: bool = True) -> DataFrame:
-    """Mean over all predictions; no rows give null."""
-    row = pairs.agg(F.avg(exact_match(F.col("prediction"), F.col("reference"), normalize)).alias("em"))
-    return long_table(row, {"em": ("exact_match", None)})
+    return score(pairs, [match_measure("exact_match", normalize)])
 
 
 def accuracy_score(pairs: DataFrame, normalize: bool = False) -> DataFrame:
-    row = pairs.agg(F.avg(exact_match(F.col("prediction"), F.col("reference"), normalize)).alias("acc"))
-    return long_table(row, {"acc": ("accuracy", None)})
+    return score(pairs, [match_measure("accuracy", normalize)])
 
 
 def token_f1_score(pairs: DataFrame, metric: str = "f1") -> DataFrame:
-    """Mean token-set precision, recall and F1 over rows that have a reference."""
-    scores = pairs.where(F.col("reference").isNotNull()).select(
-        token_scores(F.col("prediction"), F.col("reference")).alias("s")
-    )
-    row = scores.agg(*[F.avg(F.col("s")[k]).alias(k) for k in ("precision", "recall", "f1")])
-    return long_table(row, {k: (metric, k) for k in ("precision", "recall", "f1")})
+    return score(pairs, [token_f1_measure(metric)])

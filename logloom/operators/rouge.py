@@ -2,16 +2,14 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from logloom.functions.stemming import stem_words
-from logloom.operators.ngrams import clipped_counts
-from logloom.operators.pairs import long_table
+from logloom.operators.measures import Measure, measured, score
+from logloom.operators.ngrams import clipped, n_grams
 
 TYPES = ("rouge1", "rouge2", "rougeL")
 PARTS = ("precision", "recall", "fmeasure")
@@ -52,41 +50,39 @@ def _parts(matched: Column, in_hypothesis: Column, in_reference: Column) -> list
     ]
 
 
+def rouge_measure(types: tuple[str, ...] = TYPES, stem: bool = True) -> Measure:
+    """Plain means over all pairs; a pair without any n-gram of an order counts as zero."""
+    kind = "stemmed" if stem else "plain"
+    hyp, ref = f"rouge_{kind}_hyp", f"rouge_{kind}_ref"
+
+    def lists(text: str) -> Column:
+        return F.coalesce(rouge_words(F.col(text), stem), F.array().cast("array<string>"))
+
+    row, totals, scores = {}, {}, []
+    for t in types:
+        n = 1 if t == "rougeL" else int(t[5:])
+        matched = lcs_length(hyp, ref) if t == "rougeL" else clipped(F.col(hyp), F.array(ref), n)["matched"]
+        name = f"{t}_{kind}"
+        row[name] = F.struct(*_parts(matched, n_grams(F.col(hyp), n), n_grams(F.col(ref), n)))
+        for p in PARTS:
+            totals[f"{name}_{p}"] = F.avg(F.col(name)[p])
+            scores.append((t, p, F.col(f"{name}_{p}")))
+    return Measure(row, totals, scores, {hyp: lists("prediction"), ref: lists("reference")})
+
+
 def rouge_per_example(pairs: DataFrame, types: tuple[str, ...] = TYPES, stem: bool = True) -> DataFrame:
-    """``example_id, rouge_type, precision, recall, fmeasure``."""
-    words = pairs.select(
-        "example_id", rouge_words(F.col("prediction"), stem).alias("hyp"), rouge_words(F.col("reference"), stem).alias("ref")
-    )
-    parts = []
-    orders = tuple(int(t[5:]) for t in types if t != "rougeL")
-    if orders:
-        counts = clipped_counts(words, F.col("hyp"), F.array("ref"), orders)
-        scored = counts.select(
-            "example_id",
-            F.concat(F.lit("rouge"), F.col("n").cast("string")).alias("rouge_type"),
-            *_parts(F.col("matched"), F.col("in_hypothesis"), F.col("in_reference")),
-        )
-        parts.append(scored)
-    if "rougeL" in types:
-        common = words.select("example_id", lcs_length("hyp", "ref").alias("lcs"), F.size("hyp").alias("h"), F.size("ref").alias("r"))
-        parts.append(
-            common.select("example_id", F.lit("rougeL").alias("rouge_type"), *_parts(F.col("lcs"), F.col("h"), F.col("r")))
-        )
-    return reduce(DataFrame.unionByName, parts)
+    """``example_id, rouge_type, precision, recall, fmeasure``; no row for an order that neither text has n-grams of."""
+    measure = rouge_measure(types, stem)
+    kind = "stemmed" if stem else "plain"
+    longest = F.greatest(F.size(f"rouge_{kind}_hyp"), F.size(f"rouge_{kind}_ref"))
+    sized = Measure({**measure.row, "longest": longest}, {}, [], measure.words)
+    each = F.array(*[
+        F.struct(F.lit(t).alias("rouge_type"), F.lit(0 if t == "rougeL" else int(t[5:])).alias("least"), F.col(f"{t}_{kind}").alias("parts"))
+        for t in types
+    ])
+    rows = measured(pairs, [sized], ["example_id"]).select("example_id", "longest", F.inline(each))
+    return rows.where("longest >= least").select("example_id", "rouge_type", "parts.*")
 
 
 def rouge_score(pairs: DataFrame, types: tuple[str, ...] = TYPES, stem: bool = True) -> DataFrame:
-    """Plain means over all pairs; a pair without any n-gram of an order counts as zero."""
-    scores = rouge_per_example(pairs, types, stem)
-    sums = scores.groupBy("rouge_type").agg(*[F.sum(p).alias(p) for p in PARTS])
-    # the number of pairs travels as one more row, so two one-row tables need no join
-    count = pairs.agg(F.count("*").cast("double").alias("precision")).select(
-        F.lit("pairs").alias("rouge_type"), "precision", F.lit(0.0).alias("recall"), F.lit(0.0).alias("fmeasure")
-    )
-
-    def total(kind: str, part: str) -> Column:
-        return F.coalesce(F.sum(F.when(F.col("rouge_type") == kind, F.col(part))), F.lit(0.0))
-
-    n = F.nullif(total("pairs", "precision"), F.lit(0.0))
-    means = sums.unionByName(count).agg(*[(total(t, p) / n).alias(f"{t}_{p}") for t in types for p in PARTS])
-    return long_table(means, {f"{t}_{p}": (t, p) for t in types for p in PARTS})
+    return score(pairs, [rouge_measure(types, stem)])

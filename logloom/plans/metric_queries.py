@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from logloom.functions import stemming
 from logloom.functions.text import normalize_text
 from logloom.operators import bleu, evaluation, label_scores, pairs, perplexity, rouge
 from logloom.plans.registry import query
@@ -242,14 +243,38 @@ def _(t):
     return rounded(rouge.rouge_score(turn_pairs(t), ("rouge1", "rouge2"), stem=False))
 
 
+def _stem_sql(pairs_sql: str) -> str:
+    """Word lists ``h`` and ``r`` with stems: every distinct word is stemmed once, step by step, and looked up."""
+    steps = []
+    for k, rules in enumerate(stemming.STEPS):
+        cases = " ".join(
+            "WHEN regexp_matches(x, '{}') THEN regexp_replace(x, '{}', '{}')".format(g, p, r.replace("$1", "\\1")) for g, p, r in rules
+        )
+        steps.append(f"stem_{k + 1} AS MATERIALIZED (SELECT w, CASE {cases} ELSE x END AS x FROM stem_{k})")
+    fixed = " ".join(f"WHEN '{w}' THEN '{s}'" for w, s in stemming.IRREGULAR.items())
+    return f"""{pairs_sql},
+    raw_words AS (SELECT example_id, {_rouge_words("prediction")} AS h, {_rouge_words("reference")} AS r FROM pairs),
+    stem_0 AS (SELECT DISTINCT w, w AS x FROM (SELECT unnest(list_concat(h, r)) AS w FROM raw_words)),
+    {", ".join(steps)},
+    stems AS (SELECT w, CASE WHEN length(w) <= 3 THEN w ELSE CASE w {fixed} ELSE x END END AS s FROM stem_{len(stemming.STEPS)}),
+    places AS (SELECT example_id, 'h' AS side, unnest(h) AS w, generate_subscripts(h, 1) AS i FROM raw_words UNION ALL
+      SELECT example_id, 'r', unnest(r), generate_subscripts(r, 1) FROM raw_words),
+    stemmed AS (SELECT example_id, list(s ORDER BY i) FILTER (side = 'h') AS h, list(s ORDER BY i) FILTER (side = 'r') AS r
+      FROM places JOIN stems USING (w) GROUP BY example_id),
+    rouge_words AS (SELECT example_id, coalesce(s.h, []) AS h, coalesce(s.r, []) AS r FROM raw_words LEFT JOIN stemmed s USING (example_id))"""
+
+
 def _common_sql(pairs_sql: str) -> str:
     """Longest common subsequences as longest increasing runs of match places (a reference word's places in falling order)."""
+    split_words = f"split_words AS (SELECT example_id, {_rouge_words('prediction')} AS h, {_rouge_words('reference')} AS r FROM pairs)"
+    return f"{pairs_sql}, {split_words}, {_common_of('split_words', 'clipped')}"
+
+
+def _common_of(lists: str, name: str) -> str:
     places = "flatten(list_transform(r, lambda w: list_reverse(list_filter(range(1, len(h) + 1), lambda p: h[p] = w))))"
     below = "len(list_filter(ends, lambda e: e < p[1]))"
-    return f"""{pairs_sql},
-    split_words AS (SELECT example_id, {_rouge_words("prediction")} AS h, {_rouge_words("reference")} AS r FROM pairs),
-    matches AS (SELECT example_id, len(h) AS nh, len(r) AS nr, list_prepend([]::BIGINT[], list_transform({places}, lambda p: [p])) AS steps FROM split_words),
-    clipped AS (SELECT nh, nr, len(list_reduce(steps, lambda ends, p: ends[1:{below}] || p || ends[{below} + 2:])) AS matched FROM matches)"""
+    return f"""matches AS (SELECT example_id, len(h) AS nh, len(r) AS nr, list_prepend([]::BIGINT[], list_transform({places}, lambda p: [p])) AS steps FROM {lists}),
+    {name} AS (SELECT nh, nr, len(list_reduce(steps, lambda ends, p: ends[1:{below}] || p || ends[{below} + 2:])) AS matched FROM matches)"""
 
 
 _ROUGE_L_ITEMS = [
@@ -263,7 +288,27 @@ def _(t):
     return rounded(rouge.rouge_score(turn_pairs(t), ("rougeL",), stem=False))
 
 
-@query("rouge_stemmed")
+def _stemmed_rouge_sql(pairs_sql: str) -> str:
+    """``stemmed_rouge (rouge_type, precision, recall, fmeasure)`` with stems, all three types."""
+    grams = gram_sql(_stem_sql(pairs_sql), "h", "r", 2).replace("AS r FROM pairs),\n    orders", "AS r FROM rouge_words),\n    orders")
+    means = ", ".join(
+        f"coalesce(sum(CASE WHEN {bottom} > 0 THEN {top} / ({bottom}) END), 0) / {_TOTAL} AS \"{part}\""
+        for part, top, bottom in (("precision", "matched", "nh"), ("recall", "matched", "nr"), ("fmeasure", "2 * matched", "(nh + nr)"))
+    )
+    return f"""{grams}, {_common_of('rouge_words', 'common')},
+    stemmed_rouge AS (SELECT 'rouge' || n AS rouge_type, {means} FROM clipped GROUP BY n UNION ALL SELECT 'rougeL', {means} FROM common)"""
+
+
+_STEMMED = _stemmed_rouge_sql(TURN_SQL)
+
+
+@query(
+    "rouge_stemmed",
+    f"WITH {_STEMMED} "
+    + " UNION ALL ".join(
+        f"SELECT rouge_type AS metric, '{p}' AS sub_metric, round(\"{p}\"::DOUBLE, 6) AS value FROM stemmed_rouge" for p in rouge.PARTS
+    ),
+)
 def _(t):
     return rounded(rouge.rouge_score(turn_pairs(t)))
 
@@ -385,7 +430,15 @@ def _(t):
     return rounded(evaluation.domain_metrics(label_pairs(t), "classification"))
 
 
-@query("domain_summarization")
+# BLEU as one more table beside the stemmed ROUGE
+_BLEU_VALUE = f"(SELECT value FROM ({_bleu_sql(TURN_SQL, _words_13a, 'exp')}) WHERE sub_metric = 'bleu')"
+
+
+@query(
+    "domain_summarization",
+    f"""WITH {_STEMMED} SELECT 'domain' AS metric, rouge_type || '_f1' AS sub_metric, round(fmeasure::DOUBLE, 6) AS value FROM stemmed_rouge
+      UNION ALL SELECT 'domain', 'bleu', {_BLEU_VALUE}""",
+)
 def _(t):
     return rounded(evaluation.domain_metrics(turn_pairs(t), "summarization"))
 
@@ -425,7 +478,14 @@ def _(t):
     return rounded(evaluation.domain_metrics(turn_pairs(t), "brevity"))
 
 
-@query("headline_summary")
+_F1_VALUE = f"(WITH {token_sql(TURN_SQL)} SELECT round(avg(tf)::DOUBLE, 6) FROM scored)"
+
+
+@query(
+    "headline_summary",
+    f"""WITH {_STEMMED} SELECT (SELECT round(({_EM})::DOUBLE, 6) FROM pairs) AS exact_match, {_F1_VALUE} AS f1, {_BLEU_VALUE} AS bleu,
+      (SELECT round(fmeasure::DOUBLE, 6) FROM stemmed_rouge WHERE rouge_type = 'rougeL') AS rouge_l""",
+)
 def _(t):
     scores = evaluation.calculate_metrics(turn_pairs(t), ["exact_match", "f1", "bleu", "rouge"])
     row = evaluation.headline(scores)

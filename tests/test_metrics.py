@@ -3,9 +3,9 @@ import math
 import pytest
 from pyspark.sql import functions as F
 
-from logloom.functions.stemming import stem
 from logloom.operators import bleu, evaluation, label_scores, pairs, perplexity, rouge
 from logloom.functions.text import normalize_text
+from tests.porter import stem
 
 
 def make(spark, rows):
@@ -176,3 +176,73 @@ def test_compare_models(spark):
         "model string, metric string, sub_metric string, value double",
     )
     assert [tuple(r) for r in evaluation.compare_models(scores, ["a", "b"]).collect()] == [("f1", "f1", 0.1, 0.2)]
+
+
+def test_stems_equal_the_letterwise_stemmer(spark):
+    import random
+
+    from logloom.functions import stemming
+
+    rng = random.Random(11)
+    endings = [*stemming.STEP2, *stemming.STEP3, *stemming.STEP4, *"s es ies ied eed y e ll yyed yying ed ing".split(), ""]
+    words = {
+        "".join(rng.choice("aeiouybcdlstxyz9w") for _ in range(rng.randint(1, 7))) + rng.choice(endings) + rng.choice(["", "s", "ed", "ing", "ly"])
+        for _ in range(4000)
+    } | set(stemming.IRREGULAR) | {"", "a", "ss", "yes"}
+    row = spark.createDataFrame([(sorted(words),)], "ws array<string>").select("ws", stemming.stem_words(F.col("ws")).alias("s")).first()
+    assert [(w, s) for w, s in zip(row.ws, row.s) if s != (stem(w) if len(w) > 3 else w)] == []
+
+
+def test_clipped_counts_against_counters(spark):
+    import random
+    from collections import Counter
+
+    from logloom.operators.ngrams import clipped
+
+    rng = random.Random(7)
+
+    def some(limit):
+        return [rng.choice("abc") for _ in range(rng.randint(0, limit))]
+
+    rows = [(some(30), [some(25) for _ in range(rng.randint(0, 3))]) for _ in range(60)] + [([], []), (["a"] * 5000, [["a"] * 4000])]
+    df = spark.createDataFrame(rows, "h array<string>, rs array<array<string>>")
+    got = df.select("h", "rs", *[clipped(F.col("h"), F.col("rs"), n).alias(f"c{n}") for n in (1, 2, 4)]).collect()
+    for row in got:
+        for n in (1, 2, 4):
+            def count(ws):
+                return Counter(tuple(ws[i : i + n]) for i in range(len(ws) - n + 1))
+
+            most = Counter()
+            for r in row.rs:
+                most |= count(r)
+            have = count(row.h)
+            assert tuple(row[f"c{n}"]) == ((have & most).total(), have.total()), (n, row)
+
+
+def test_fused_metrics_read_the_pairs_once(spark, tmp_path):
+    make(spark, [CAT, ("running dogs", "runs dog"), ("", "x"), (None, "y"), ("z", None)]).write.parquet(str(tmp_path / "p"))
+    df = spark.read.parquet(str(tmp_path / "p"))
+    names = ["exact_match", "f1", "accuracy", "bleu", "rouge"]
+    together = evaluation.calculate_metrics(df, names, domain="summarization")
+    plan = together._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan") == 1 and plan.count("Exchange") == 1, plan
+    alone = {}
+    for name in names:
+        alone |= values(evaluation.calculate_metrics(df, [name]))
+    alone |= values(evaluation.domain_metrics(df, "summarization"))
+    assert values(together) == pytest.approx(alone)
+    assert alone["rouge1", "fmeasure"] == pytest.approx((5 / 6 + 1) / 5)
+    empty = values(evaluation.calculate_metrics(df.limit(0), names))
+    assert empty["exact_match", None] is None and empty["rouge1", "recall"] is None and empty["bleu", "bleu"] == 0
+
+
+def test_registered_measures_share_the_aggregation(spark):
+    from logloom.operators.measures import Measure
+
+    def shorter():
+        return [Measure({"short": (F.length("prediction") < F.length("reference")).cast("double")}, {"short_mean": F.avg("short")},
+                        [("domain", "shorter", F.col("short_mean"))])]
+
+    evaluation.register_measures("brief", shorter)
+    got = values(evaluation.calculate_metrics(make(spark, [("a", "bb"), ("cc", "d")]), ["exact_match"], domain="brief"))
+    assert got == {("exact_match", None): 0.0, ("domain", "shorter"): 0.5}
