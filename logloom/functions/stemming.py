@@ -2,8 +2,9 @@
 
 A word is read as runs of consonants and vowels; the number of vowel-consonant
 runs of a stem, on which most rules depend, becomes a prefix of a pattern. Each
-step is a list of rules ``(guard, pattern, replacement)``: the first rule whose
-guard fits decides, and its pattern replaces or leaves the word.
+step is a list of rules ``(suffix, guard, pattern, replacement)``: the first rule
+whose suffix and guard (if any) fit decides, and its pattern replaces or leaves
+the word.
 """
 
 from __future__ import annotations
@@ -40,48 +41,59 @@ _ENDS_IN_C = f"(?:{_C}|{_ONCE}(?:{_V}{_C})*)"
 _SHORT = f"(?:{_C}[aeiouy][^aeiouwxy]|[aeiou][^aeiou])"
 _DOUBLE = "|".join(c + c for c in "bcdfghjkmnpqrtvwx0123456789")
 
-Rule = tuple[str, str, str]
+Rule = tuple[str, str, str, str]
 
 
 def _suffixes(table: dict[str, str], stem: str) -> list[Rule]:
-    return [(f"{s}$", f"^({stem}.*){s}$", f"$1{table[s]}") for s in sorted(table, key=len, reverse=True)]
+    return [(s, "", f"^({stem}.*){s}$", f"$1{table[s]}") for s in sorted(table, key=len, reverse=True)]
 
 
 # a bar marks a word that lost -ed or -ing
 STEPS: list[list[Rule]] = [
     # 1a plurals
-    [("^.ies$", "s$", ""), ("ies$", "es$", ""), ("sses$", "es$", ""), ("ss$", "^$", ""), ("s$", "s$", "")],
+    [("ies", "^.ies$", "s$", ""), ("ies", "", "es$", ""), ("sses", "", "es$", ""), ("ss", "", "^$", ""), ("s", "", "s$", "")],
     # 1b past and progressive
     [
-        ("^.ied$", "d$", ""), ("ied$", "ed$", ""), ("eed$", f"^({_ONCE}.*)eed$", "$1ee"),
-        ("ed$", f"^({_HAS_VOWEL}.*)ed$", "$1|"), ("ing$", f"^({_HAS_VOWEL}.*)ing$", "$1|"),
+        ("ied", "^.ied$", "d$", ""), ("ied", "", "ed$", ""), ("eed", "", f"^({_ONCE}.*)eed$", "$1ee"),
+        ("ed", "", f"^({_HAS_VOWEL}.*)ed$", "$1|"), ("ing", "", f"^({_HAS_VOWEL}.*)ing$", "$1|"),
     ],
     [
-        ("(?:at|bl|iz)\\|$", "\\|$", "e"), (f"(?:{_DOUBLE})\\|$", ".\\|$", ""), (f"^{_ENDS_IN_C}yy\\|$", ".\\|$", ""),
-        (f"^{_SHORT}\\|$", "\\|$", "e"), ("\\|$", "\\|$", ""),
+        *[(f"{s}|", "", "\\|$", "e") for s in ("at", "bl", "iz")], ("|", f"(?:{_DOUBLE})\\|$", ".\\|$", ""),
+        ("yy|", f"^{_ENDS_IN_C}yy\\|$", ".\\|$", ""), ("|", f"^{_SHORT}\\|$", "\\|$", "e"), ("|", "", "\\|$", ""),
     ],
     # 1c final y
-    [("..y$", f"^({_ENDS_IN_C})y$", "$1i")],
+    [("y", "..y$", f"^({_ENDS_IN_C})y$", "$1i")],
     # 2: -alli is cut first and the rest looked at again; -logi keeps its l when measured
-    [("alli$", f"^({_ONCE}.*)alli$", "$1al")],
-    [("logi$", f"^({_ONCE}.*|{_HAS_VOWEL}l)ogi$", "$1og"), *_suffixes(STEP2, _ONCE)],
+    [("alli", "", f"^({_ONCE}.*)alli$", "$1al")],
+    [("logi", "", f"^({_ONCE}.*|{_HAS_VOWEL}l)ogi$", "$1og"), *_suffixes(STEP2, _ONCE)],
     # 3
     _suffixes(STEP3, _ONCE),
     # 4: -ion needs s or t before it
-    [("[st]ion$", f"^({_TWICE}.*)ion$", "$1")] + _suffixes({s: "" for s in STEP4 if s not in ("sion", "tion")}, _TWICE),
+    [(s, "", f"^({_TWICE}.*)ion$", "$1") for s in ("sion", "tion")]
+    + _suffixes({s: "" for s in STEP4 if s not in ("sion", "tion")}, _TWICE),
     # 5 final e and double l
-    [(f"^{_TWICE}.*e$", "e$", ""), (f"^{_SHORT}e$", "^$", ""), ("e$", f"^({_ONCE}.*)e$", "$1")],
-    [("ll$", f"^({_TWICE}.*)l$", "$1")],
+    [("e", f"^{_TWICE}.*e$", "e$", ""), ("e", f"^{_SHORT}e$", "^$", ""), ("e", "", f"^({_ONCE}.*)e$", "$1")],
+    [("ll", "", f"^({_TWICE}.*)l$", "$1")],
 ]
 
 
 def _step(rules: list[Rule]):
+    last: dict[str, list[Rule]] = {}
+    for rule in rules:
+        last.setdefault(rule[0][-1], []).append(rule)
+
+    def decided(word: Column, among: list[Rule]) -> Column:
+        chosen = F.when(F.lit(False), word)
+        for suffix, guard, pattern, replacement in among:
+            fits = F.endswith(word, F.lit(suffix))
+            chosen = chosen.when(fits & word.rlike(guard) if guard else fits, F.regexp_replace(word, pattern, replacement))
+        return chosen.otherwise(word)
+
     def applied(word: Column) -> Column:
+        # rules of other last letters cannot fit
         chosen = F.when(F.lit(False), word)
-        for guard, pattern, replacement in rules:
-            plain = guard[:-1]
-            fits = F.endswith(word, F.lit(plain)) if plain.isalpha() else word.rlike(guard)
-            chosen = chosen.when(fits, F.regexp_replace(word, pattern, replacement))
+        for letter, among in last.items():
+            chosen = chosen.when(F.endswith(word, F.lit(letter)), decided(word, among))
         return chosen.otherwise(word)
 
     return applied

@@ -30,7 +30,7 @@ def clipped(hypothesis: Column, references: Column, n: int) -> Column:
     def side(words: Column, number: Column) -> Column:
         return F.transform(ngrams(words, n), lambda g: F.struct(g.alias("gram"), number.alias("side")))
 
-    grams = F.array_sort(F.concat(F.flatten(F.transform(references, side)), side(hypothesis, last)))
+    grams = F.sort_array(F.concat(F.flatten(F.transform(references, side)), side(hypothesis, last)))
     start = F.struct(
         F.lit(None).cast("string").alias("gram"), F.lit(-1).alias("side"),
         F.lit(0).alias("run"), F.lit(0).alias("left"), F.lit(0).alias("matched"),

@@ -248,7 +248,9 @@ def _stem_sql(pairs_sql: str) -> str:
     steps = []
     for k, rules in enumerate(stemming.STEPS):
         cases = " ".join(
-            "WHEN regexp_matches(x, '{}') THEN regexp_replace(x, '{}', '{}')".format(g, p, r.replace("$1", "\\1")) for g, p, r in rules
+            f"WHEN ends_with(x, '{suffix}')" + (f" AND regexp_matches(x, '{guard}')" if guard else "")
+            + " THEN regexp_replace(x, '{}', '{}')".format(pattern, replacement.replace("$1", "\\1"))
+            for suffix, guard, pattern, replacement in rules
         )
         steps.append(f"stem_{k + 1} AS MATERIALIZED (SELECT w, CASE {cases} ELSE x END AS x FROM stem_{k})")
     fixed = " ".join(f"WHEN '{w}' THEN '{s}'" for w, s in stemming.IRREGULAR.items())
