@@ -7,9 +7,10 @@ itself: a BPE model never merges across the borders of its pre-tokenizer, so
 texts are cut at such borders, the ids of recurring words are kept per worker
 and only new pieces go through the library's model.
 
-Both give ``Tokenizer.encode(text, add_special_tokens=False).ids`` with
-``encode_special_tokens`` on: strings that look like special tokens are
-ordinary text. Files of another shape are encoded by the library text by text.
+Both give ``Tokenizer.encode(text, add_special_tokens=False).ids`` as the library
+is set by default: an added token of the file that a text spells out
+(``<|endoftext|>``) is one id. Texts that hold one, and all texts under files of
+another shape, are encoded by the library text by text.
 """
 
 from __future__ import annotations
@@ -54,12 +55,23 @@ def _file(path: str):
     from tokenizers import Tokenizer
 
     tokenizer = Tokenizer.from_file(path)
-    tokenizer.encode_special_tokens = True
     spec = json.loads(tokenizer.to_str())
     plain = spec["model"]["type"] == "BPE" and not spec["model"].get("dropout") and not spec.get("post_processor")
+    # added tokens that are looked for in normalised text cannot be found in the text as it is
+    plain = plain and not any(t["normalized"] for t in spec["added_tokens"])
     return tokenizer, spec, plain
 
 
+def _added(spec: dict):
+    """``holds(text)``: whether the library would find an added token in the text."""
+    contents = [t["content"] for t in spec["added_tokens"]]
+    return lambda text: any(c in text for c in contents)
+
+
+def _by_library(tokenizer, text: str) -> bytes:
+    return array("I", tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
+
+
 def _is_byte_level(spec: dict) -> bool:
     pre = spec["pre_tokenizer"] or {}
     return not spec["normalizer"] and pre.get("type") == "ByteLevel" and pre.get("use_regex") and not pre.get("add_prefix_space")
@@ -86,10 +98,14 @@ def _fast(path: str):
     vocabulary = {bytes(letters[c] for c in token): k for token, k in model["vocab"].items() if token not in special}
     make = lambda pattern: tiktoken.Encoding("file", pat_str=pattern, mergeable_ranks=vocabulary, special_tokens={})
     single, exact = make(SINGLE_SPACES_PATTERN).encode_ordinary, make(BYTE_LEVEL_PATTERN).encode_ordinary
+    holds = _added(spec)
 
     def encode(texts: list[str]) -> list[bytes]:
         out = []
         for text in texts:
+            if holds(text):
+                out.append(_by_library(tokenizer, text))
+                continue
             rare = RARE_ASCII if text.isascii() else RARE
             runs = any(p in text for p in PAIRS) or any(c in text for c in rare)
             out.append(array("I", (exact if runs else single)(text)).tobytes())
@@ -116,7 +132,7 @@ class Encoder:
 
         self.tokenizer, spec, plain = _file(path)
         pre, norm = spec["pre_tokenizer"] or {}, spec["normalizer"] or {}
-        self.kind, pattern = None, None
+        self.kind, pattern, self.holds = None, None, _added(spec)
         if plain and _is_byte_level(spec):
             self.kind, pattern = "spaces kept", BYTE_LEVEL_PATTERN
         steps = pre.get("pretokenizers", [])
@@ -137,13 +153,15 @@ class Encoder:
         for memory, most in ((self.words, WORDS_KEPT), (self.starts, WORDS_KEPT), (self.pieces, PIECES_KEPT)):
             if len(memory) > most:
                 memory.clear()
+        return [_by_library(self.tokenizer, t) if self.holds(t) else self._by_words(t) for t in texts]
+
+    def _by_words(self, text: str) -> bytes:
         known = self.words.__getitem__
         if self.kind == "spaces dropped":
             # only ASCII letters are lowered here: this commutes with the file's own normalisation
-            lowered = (t.encode().lower().decode().replace("\n", " ") for t in texts)
-            return [b"".join(map(known, t.split(" "))) for t in lowered]
-        split = [self.cut(t) for t in texts]
-        return [self.starts[words[0]] + b"".join(map(known, words[1:])) for words in split]
+            return b"".join(map(known, text.encode().lower().decode().replace("\n", " ").split(" ")))
+        words = self.cut(text)
+        return self.starts[words[0]] + b"".join(map(known, words[1:]))
 
     def _word(self, word: str) -> bytes:
         if self.kind == "spaces kept":
