@@ -8,6 +8,9 @@ moves a few small trees and no page. Nodes whose text is the same on most
 (different) pages are template; varying nodes are slots. A slot is content
 unless its name or role marks it as navigation, header, footer, sidebar, notice,
 advert, form or reader comments, or nearly all its text on the host is links.
+Names that also occur in articles (``menu-item``, ``related-work``, ``alert-level``)
+are only a prior: such a part goes if at least half of its pages agree on its text
+or half of its text is links, else it stays. Advert words on inline elements hide these.
 The host's decisions hold on every page. An article (or main) that a page marks is
 evidence: where it has at least half of the text that is left, it is the content,
 else all content slots are.
@@ -17,6 +20,13 @@ to the host "". Long pages are read whole; blocks deeper than DEPTH are
 flattened into their ancestor as blocks of text, except for the first article or
 marked part there. Repeated rows are pages of their own
 but count once in their host's wrapper. An empty table gives an empty result. Extra columns are ignored.
+
+Alignment numbers equal subtrees, matches each pair of different ones once, leaves
+equal ends of two child lists out and divides the rest, so two lists of m and n
+children take m times n steps of vectors and memory for m plus n. Nodes met on fewer
+than one in ``RARE`` of a host's pages leave the wrapper; what they hold is content.
+A node keeps its ``KEPT_TEXTS`` most frequent texts; one is only lost where it is on
+at most one in nine of the pages merged so far.
 """
 
 from __future__ import annotations
@@ -26,6 +36,7 @@ import re
 import zlib
 from html.parser import HTMLParser
 
+import numpy as np
 import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
@@ -54,10 +65,20 @@ ASIDE_WORDS = frozenset(
     "nav navbar navigation menu submenu breadcrumb breadcrumbs pagination pager toolbar "
     "masthead topbar footer bottombar sidebar aside widget related recommended trending "
     "cookie cookies consent gdpr notice notices notification alert popup modal overlay newsletter subscribe subscription signup login paywall "
-    "share sharing social comment comments commentlist discussion disqus reply replies respond skiplink copyright".split()
+    "share sharing social comment comments commentlist disqus reply replies respond skiplink copyright".split()
 )
 LAYOUT_WORDS = frozenset("has have with without no not hide show open closed enabled disabled".split())
 HEADER_WORDS = frozenset("header head siteheader pageheader".split())
+#: Words that name parts of articles too, words that name a part's place or kind, advert words for inline elements.
+PRIOR_WORDS = frozenset(
+    "menu related recommended trending alert notice notices notification social share sharing reply replies respond copyright login discussion promotion".split()
+)
+PART_WORDS = frozenset(
+    "site page main global top bottom left right center box block section area container wrapper wrap inner outer body content list links link "
+    "post posts article articles story stories news unit slot bar panel primary secondary button buttons icon icons media toggle label text title "
+    "message info warning success danger form mobile desktop sticky fixed".split()
+)
+INLINE_ADVERTS = frozenset("ad ads adv advert adverts advertisement advertising adsense sponsor sponsored promo".split())
 
 DEPTH = 64
 #: Stands where a flattened block starts or ends.
@@ -65,7 +86,9 @@ BREAK = ("\n", False)
 KEPT_TEXTS = 8
 CONSTANT = 0.8
 LINKS = 0.8
+PRIOR = 0.5
 MIN_PAGES = 5
+RARE = 1000
 #: The first merge of a host's trees is dealt over so many groups, the second merges their results.
 PARTS = 1024
 _WORDS = re.compile(r"[a-z]+")
@@ -73,10 +96,11 @@ _CAMEL = re.compile(r"(?<=[a-z])(?=[A-Z])")
 
 
 class Node:
-    __slots__ = ("tag", "label", "marked", "items", "within")
+    __slots__ = ("tag", "label", "marked", "prior", "items", "within")
 
-    def __init__(self, tag: str, label: str, marked: bool, within: frozenset = frozenset()):
-        self.tag, self.label, self.marked, self.items = tag, label, marked, []
+    def __init__(self, tag: str, label: str, mark: int, within: frozenset = frozenset()):
+        marked = mark == 2
+        self.tag, self.label, self.marked, self.prior, self.items = tag, label, marked, mark == 1, []
         own = {"marked"} if marked else {tag} if tag in ("article", "main") else None
         self.within = within | own if own else within
 
@@ -86,7 +110,7 @@ class _Tree(HTMLParser):
 
     def __init__(self):
         super().__init__(convert_charrefs=True)
-        self.root = Node("#", "#", False)
+        self.root = Node("#", "#", 0)
         self.open, self.hidden, self.links = [self.root], [], 0
 
     def handle_starttag(self, tag, attrs):
@@ -104,8 +128,9 @@ class _Tree(HTMLParser):
         if tag == "br":
             self.open[-1].items.append((" ", False))
         if tag not in BLOCKS:
-            if tag not in VOID and _is_hidden(attrs):
+            if tag not in VOID and (_is_hidden(attrs) or _is_inline_advert(attrs)):
                 self.hidden.append(tag)
+                self.links -= tag == "a"
             return
         self.links = 0
         if self.open[-1].tag == "p" or (any(n.tag == "p" for n in self.open[-4:]) and tag != "p"):
@@ -117,9 +142,9 @@ class _Tree(HTMLParser):
         if tag not in VOID and _is_hidden(attrs):
             self.hidden.append(tag)
             return
-        label, marked = _name(tag, attrs)
-        node = Node(tag, label, marked, self.open[-1].within)
-        if len(self.open) > DEPTH and not self._is_new(tag, marked):
+        label, mark = _name(tag, attrs)
+        node = Node(tag, label, mark, self.open[-1].within)
+        if len(self.open) > DEPTH and not self._is_new(tag, node.marked):
             # flattened: the tag is open as any other, but its items are its parent's
             node.items = self.open[-1].items
             node.items.append(BREAK)
@@ -204,30 +229,40 @@ def _is_hidden(attrs) -> bool:
     return False
 
 
-def _name(tag: str, attrs) -> tuple[str, bool]:
-    """A label for matching, without numbers, and whether the element is marked as not being the article."""
-    words, marked = [], tag in ASIDE_TAGS
-    for name, value in attrs:
-        if not value:
-            continue
-        if name in ("class", "id"):
-            for token in value.split():
-                found = _WORDS.findall(_CAMEL.sub(" ", token).lower())
-                words += found
-                marked = marked or _marks(tag, found)
-        elif name == "role":
-            words.append(value.lower())
-            marked = marked or value.lower() in ASIDE_ROLES
-    return " ".join([tag, *sorted(set(words))]), marked
-
-
-def _marks(tag: str, words: list[str]) -> bool:
-    """Whether one class or id says so. ``has-sidebar`` and the like describe a layout; an article is a comment only by its whole name."""
+def _tokens(attrs) -> list[list[str]]:
+    """The words of each class and id."""
+    tokens = (token for name, value in attrs if value and name in ("class", "id") for token in value.split())
+    return [_WORDS.findall(_CAMEL.sub(" ", token).lower()) for token in tokens]
+
+
+def _is_inline_advert(attrs) -> bool:
+    return any(not INLINE_ADVERTS.isdisjoint(words) and all(w in INLINE_ADVERTS or w in PART_WORDS for w in words) for words in _tokens(attrs))
+
+
+def _name(tag: str, attrs) -> tuple[str, int]:
+    """A label for matching, without numbers, and how surely the element is not the article: 2 marked, 1 prior, 0 not at all."""
+    words, mark = [], 2 * (tag in ASIDE_TAGS)
+    for found in _tokens(attrs):
+        words += found
+        mark = max(mark, _marks(tag, found))
+    for role in (value.lower() for name, value in attrs if value and name == "role"):
+        words.append(role)
+        mark = max(mark, 2 * (role in ASIDE_ROLES))
+    return " ".join([tag, *sorted(set(words))]), mark
+
+
+def _marks(tag: str, words: list[str]) -> int:
+    """What one class or id says. ``has-sidebar`` and the like describe a layout; an article is a comment only by its whole name."""
     if tag in ("body", "main") or not LAYOUT_WORDS.isdisjoint(words) or not words:
-        return False
+        return 0
     if tag == "article":
-        return ASIDE_WORDS.issuperset(words)
-    return not ASIDE_WORDS.isdisjoint(words) or HEADER_WORDS.issuperset(words)
+        return 2 * ASIDE_WORDS.issuperset(words)
+    if HEADER_WORDS.issuperset(words) or any(w in ASIDE_WORDS and w not in PRIOR_WORDS for w in words):
+        return 2
+    if PRIOR_WORDS.isdisjoint(words):
+        return 0
+    # the whole name: nothing but such words and places, and not of a section that articles have themselves
+    return 2 if all(w in ASIDE_WORDS or w in PART_WORDS for w in words) else 1
 
 
 def parsed(html: str) -> Node:
@@ -237,7 +272,7 @@ def parsed(html: str) -> Node:
     return tree.root
 
 
-# A wrapper node is a list: label, pages, chars, link chars, {text hash: pages}, children, marked.
+# A wrapper node is a list: label, pages, chars, link chars, {text hash: pages}, children, whether its name is a prior.
 
 
 def as_wrapper(node: Node, inside: bool = False) -> list:
@@ -256,53 +291,126 @@ def as_wrapper(node: Node, inside: bool = False) -> list:
     chars += sum(c[2] for c in children)
     links += sum(c[3] for c in children)
     check = zlib.crc32(repr((own, [sorted(c[4]) for c in children])).encode("utf-8", "surrogatepass"))
-    return [node.label, 1, chars, links, {str(check): 1}, children, node.marked]
+    return [node.label, 1, chars, links, {str(check): 1}, children, node.prior]
 
 
-def matching(a: list, b: list) -> int:
-    """Simple tree matching: the largest number of aligned pairs of nodes that keeps order and ancestry."""
-    if a[0] != b[0]:
-        return 0
-    return 1 + _table(a[5], b[5])[-1][-1]
+class Shapes:
+    """Numbers for equal subtrees and the sizes of their simple tree matchings, for the trees of one merge."""
+
+    def __init__(self):
+        self.numbers: dict[tuple, int] = {}
+        self.labels: list[str] = []
+        self.children: list[np.ndarray] = []
+        self.sizes: list[int] = []
+        self.seen: dict[int, tuple[int, list]] = {}
+        self.scores: dict[tuple[int, int], int] = {}
+
+    def number(self, node: list) -> int:
+        if id(node) not in self.seen:
+            children = tuple(map(self.number, node[5]))
+            shape = self.numbers.setdefault((node[0], children), len(self.labels))
+            if shape == len(self.labels):
+                self.labels.append(node[0])
+                self.children.append(np.array(children, np.int64))
+                self.sizes.append(1 + sum(self.sizes[c] for c in children))
+            # the node is held, so no other node takes its id
+            self.seen[id(node)] = shape, node
+        return self.seen[id(node)][0]
+
+    def all(self, nodes: list) -> np.ndarray:
+        return np.array([self.number(n) for n in nodes], np.int64)
+
+    def score(self, x: int, y: int) -> int:
+        """The largest number of aligned pairs of nodes that keeps order and ancestry."""
+        if x == y:
+            return self.sizes[x]
+        if self.labels[x] != self.labels[y]:
+            return 0
+        if (x, y) not in self.scores:
+            left, right = self.children[x], self.children[y]
+            start, end = equal_ends(left, right)
+            ends = sum(self.sizes[c] for c in (*left[:start], *left[len(left) - end :]))
+            middle = self.totals(left[start : len(left) - end], right[start : len(right) - end])[-1]
+            self.scores[x, y] = 1 + ends + int(middle)
+        return self.scores[x, y]
+
+    def weights(self, left: np.ndarray, right: np.ndarray):
+        """For each of ``left`` its scores with all of ``right``."""
+        shapes, place = np.unique(right, return_inverse=True)
+        by_label: dict[str, list[int]] = {}
+        for k, y in enumerate(shapes.tolist()):
+            by_label.setdefault(self.labels[y], []).append(k)
+        for x in left.tolist():
+            row = np.zeros(len(shapes), np.int64)
+            for k in by_label.get(self.labels[x], ()):
+                row[k] = self.score(x, int(shapes[k]))
+            yield row[place]
+
+    def totals(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+        """The best totals of ``left`` with the first 0, 1, 2 … of ``right``."""
+        best = np.zeros(len(right) + 1, np.int64)
+        if len(right):
+            for row in self.weights(left, right):
+                best[1:] = np.maximum.accumulate(np.maximum(best[1:], best[:-1] + row))
+        return best
+
+    def pairs(self, left: np.ndarray, right: np.ndarray, i: int = 0, j: int = 0):
+        """Aligned positions in order; ``i`` and ``j`` are the positions of the first of each list."""
+        start, end = equal_ends(left, right)
+        yield from ((i + k, j + k) for k in range(start))
+        m, n = len(left) - end, len(right) - end
+        inner, other = left[start:m], right[start:n]
+        if not len(inner) or not len(other):
+            yield from ((i + k, None) for k in range(start, m))
+            yield from ((None, j + k) for k in range(start, n))
+        elif len(inner) == 1:
+            row = next(self.weights(inner, other))
+            at = int(row.argmax())
+            if row[at] == 0:
+                yield i + start, None
+            for k in range(len(other)):
+                yield (i + start if k == at and row[at] else None), j + start + k
+        else:
+            half = len(inner) // 2
+            both = self.totals(inner[:half], other) + self.totals(inner[half:][::-1], other[::-1])[::-1]
+            cut = int(both.argmax())
+            yield from self.pairs(inner[:half], other[:cut], i + start, j + start)
+            yield from self.pairs(inner[half:], other[cut:], i + start + half, j + start + cut)
+        yield from ((i + m + k, j + n + k) for k in range(end))
 
 
-def _table(left: list, right: list) -> list[list[int]]:
-    table = [[0] * (len(right) + 1)]
-    for x in left:
-        row, above = [0], table[-1]
-        for j, y in enumerate(right):
-            best = max(above[j + 1], row[j])
-            if x[0] == y[0]:
-                best = max(best, above[j] + matching(x, y))
-            row.append(best)
-        table.append(row)
-    return table
+def equal_ends(left: np.ndarray, right: np.ndarray) -> tuple[int, int]:
+    """How many shapes two lists share at their start and, after that, at their end; a best matching pairs them."""
+    most = min(len(left), len(right))
+    same = left[:most] == right[:most]
+    start = most if same.all() else int(same.argmin())
+    rest = most - start
+    same = left[len(left) - rest :][::-1] == right[len(right) - rest :][::-1]
+    return start, rest if same.all() else int(same.argmin())
 
 
-def aligned(left: list, right: list) -> list[tuple[int | None, int | None]]:
+def matching(a: list, b: list) -> int:
+    """Simple tree matching of two trees."""
+    shapes = Shapes()
+    return shapes.score(shapes.number(a), shapes.number(b))
+
+
+def aligned(left: list, right: list, shapes: Shapes | None = None) -> list[tuple[int | None, int | None]]:
     """Pairs of child positions in order; None on one side where a child has no partner."""
+    if not left or not right:
+        return [(k, None) for k in range(len(left))] + [(None, k) for k in range(len(right))]
     if [x[0] for x in left] == [y[0] for y in right] and len({x[0] for x in left}) == len(left):
         return [(k, k) for k in range(len(left))]
-    table, i, j, pairs = _table(left, right), len(left), len(right), []
-    while i and j:
-        if table[i][j] == table[i - 1][j]:
-            i -= 1
-            pairs.append((i, None))
-        elif table[i][j] == table[i][j - 1]:
-            j -= 1
-            pairs.append((None, j))
-        else:
-            i, j = i - 1, j - 1
-            pairs.append((i, j))
-    pairs += [(k, None) for k in range(i - 1, -1, -1)] + [(None, k) for k in range(j - 1, -1, -1)]
-    return pairs[::-1]
+    shapes = shapes or Shapes()
+    return list(shapes.pairs(shapes.all(left), shapes.all(right)))
 
 
-def merged(a: list, b: list, same_page: bool = False) -> list:
+def merged(a: list, b: list, same_page: bool = False, shapes: Shapes | None = None) -> list:
     """Two trees with equal root labels as one, counts added."""
     children = []
-    for i, j in aligned(a[5], b[5]):
-        children.append(b[5][j] if i is None else a[5][i] if j is None else merged(a[5][i], b[5][j], same_page))
+    shapes = shapes or (Shapes() if a[5] and b[5] else None)
+    for i, j in aligned(a[5], b[5], shapes):
+        children.append(b[5][j] if i is None else a[5][i] if j is None else merged(a[5][i], b[5][j], same_page, shapes))
     texts = dict(a[4])
     if same_page:
         texts = {str(zlib.crc32(("+".join(sorted(a[4])) + "|" + "+".join(sorted(b[4]))).encode())): 1}
@@ -311,20 +419,25 @@ def merged(a: list, b: list, same_page: bool = False) -> list:
             texts[k] = texts.get(k, 0) + n
         if len(texts) > KEPT_TEXTS:
             texts = dict(sorted(texts.items(), key=lambda kv: (-kv[1], kv[0]))[:KEPT_TEXTS])
-    return [a[0], max(a[1], b[1]) if same_page else a[1] + b[1], a[2] + b[2], a[3] + b[3], texts, children, a[6]]
+    return [a[0], max(a[1], b[1]) if same_page else a[1] + b[1], a[2] + b[2], a[3] + b[3], texts, children, a[6] and b[6]]
+
+
+def common(wrapper: list, pages: int) -> list:
+    """The wrapper without nodes that fewer than one in ``RARE`` of the host's pages have."""
+    return [*wrapper[:5], [common(c, pages) for c in wrapper[5] if c[1] * RARE >= pages], wrapper[6]]
 
 
 def decided(wrapper: list, varied: bool | None = None) -> list:
     """label, dropped, children: what extraction needs of a wrapper."""
-    label, pages, chars, links, texts, children, marked = wrapper
+    label, pages, chars, links, texts, children, prior = wrapper
     share = max(texts.values(), default=0) / max(pages, 1)
     if varied is None:
         # where most different pages have one text, equal texts say nothing about the template
         varied = share < 0.5 and pages >= MIN_PAGES
         share = 0.0
-    template = varied and pages >= MIN_PAGES and chars > 0 and share >= CONSTANT
-    linked = pages >= MIN_PAGES and links >= LINKS * chars > 0
-    return [label, int(marked or template or linked), [decided(c, varied) for c in children]]
+    template = varied and pages >= MIN_PAGES and chars > 0 and share >= (PRIOR if prior else CONSTANT)
+    linked = pages >= MIN_PAGES and links >= (PRIOR if prior else LINKS) * chars > 0
+    return [label, int(template or linked), [decided(c, varied) for c in children]]
 
 
 def _bare(node: Node) -> list:
@@ -340,14 +453,15 @@ def _bare(node: Node) -> list:
     return [node.label, 1, 0, 0, {}, children, [node]]
 
 
-def _joined(left: list, right: list) -> list:
+def _joined(left: list, right: list, shapes: Shapes | None = None) -> list:
     out = []
-    for i, j in aligned(left, right):
+    shapes = shapes or Shapes()
+    for i, j in aligned(left, right, shapes):
         if i is None:
             out.append(right[j])
         else:
             if j is not None:
-                left[i] = [*left[i][:5], _joined(left[i][5], right[j][5]), left[i][6] + right[j][6]]
+                left[i] = [*left[i][:5], _joined(left[i][5], right[j][5], shapes), left[i][6] + right[j][6]]
             out.append(left[i])
     return out
 
@@ -356,13 +470,14 @@ def _shape(decision: list) -> list:
     return [decision[0], 1, 0, 0, {}, [_shape(c) for c in decision[2]], decision[1]]
 
 
-def _dropped(page: list, wrapper: list, out: set) -> None:
-    for i, j in aligned(page[5], wrapper[5]):
+def _dropped(page: list, wrapper: list, out: set, shapes: Shapes | None = None) -> None:
+    shapes = shapes or Shapes()
+    for i, j in aligned(page[5], wrapper[5], shapes):
         if i is not None and j is not None:
             if wrapper[5][j][6]:
                 out.update(id(n) for n in page[5][i][6])
             else:
-                _dropped(page[5][i], wrapper[5][j], out)
+                _dropped(page[5][i], wrapper[5][j], out, shapes)
 
 
 def _articles(node: Node, tag: str) -> list[Node]:
@@ -424,7 +539,8 @@ def _induce(batches):
     for batch in batches:
         for host, html in zip(batch.column(0).to_pylist(), batch.column(1)):
             page = as_wrapper(parsed(html.as_py()))
-            hosts[host] = merged(hosts[host], page) if host in hosts else page
+            whole = merged(hosts[host], page) if host in hosts else page
+            hosts[host] = common(whole, whole[1]) if whole[1] % RARE == 0 else whole
     part = TaskContext.get().partitionId()
     yield pa.RecordBatch.from_arrays(
         [pa.array(list(hosts), pa.string()), pa.array([part % PARTS] * len(hosts), pa.int32()), pa.array([json.dumps(w) for w in hosts.values()], pa.string())],
@@ -438,6 +554,7 @@ def _merge(keys: list[str]):
         for text in sorted(rows["wrapper"]):
             tree = json.loads(text)
             whole = tree if whole is None else merged(whole, tree)
+            whole = common(whole, whole[1])
         return pd.DataFrame({**{k: [rows[k].iloc[0]] for k in keys}, "wrapper": [json.dumps(whole)]})
 
     return run
