@@ -22,8 +22,10 @@ from logloom.plans.dataset_queries import _BUCKET, documents_as_rows
 from logloom.plans.metric_queries import EDITED_SQL, LOSS_SQL, batch_losses, edited_pairs, model_scores
 from logloom.plans.registry import query
 from logloom.plans.rendered import EVENT_SQL
-from logloom.session import new_path
+from logloom.session import new_path, stage
+from logloom.sinks import catalogue
 from logloom.sinks import writers as K
+from logloom.sinks.images import read_images, write_images
 from logloom.sources import datasets, documents
 from logloom.streaming import log_stream
 
@@ -239,6 +241,18 @@ def _(t):
     return K.image_table(docs, "doc_id").select("doc_id", "filename", F.base64("data").alias("data"))
 
 
+@query(
+    "image_files",
+    """SELECT doc_id, 'image1.png' AS filename, 'files/' || left(h, 2) || '/' || h || '.png' AS file, base64(encode(picture)) AS data
+    FROM (SELECT doc_id, 'picture of ' || source AS picture, sha256('picture of ' || source) AS h FROM documents WHERE doc_id % 50 NOT IN (0, 25))""",
+)
+def _(t):
+    """Every picture written as a file and read back through the index."""
+    path = new_path(t.spark, "image-files")
+    write_images(documents.extract_documents(word_files(t), extract_tables=False, extract_images=True), path, "doc_id")
+    return read_images(t.spark, path).select("doc_id", "filename", "file", F.base64("data").alias("data"))
+
+
 # --- sinks, read back ---
 
 
@@ -269,6 +283,24 @@ def _(t):
     )
 
 
+@query(
+    "entry_sink_files",
+    f"WITH {EVENT_SQL} SELECT source_file, count(*) AS entries, sum(entry_index)::BIGINT AS index_sum, true AS files_fit FROM entries GROUP BY ALL",
+)
+def _(t):
+    """Entries of each source file in as many files as its bytes need: no more than that, and no task writes one of its own."""
+    path, file_bytes = new_path(t.spark, "entry-files"), 1 << 20
+    envelopes = L.to_log_entry(L.json_entries(rendered.event_lines(t.wide("events"))), "json")
+    K.write_entries(envelopes, path, file_bytes=file_bytes)
+    back = t.spark.read.text(path).select("source_file", "value", F.col("_metadata.file_path").alias("file"))
+    index = F.get_json_object("value", "$.processing_info.index").cast("bigint")
+    # one row per file first, so no distinct count moves the names of all entries
+    files = back.groupBy("source_file", "file").agg(F.count("*").alias("n"), F.sum(index).alias("s"), F.sum(F.octet_length("value") + 1).alias("b"))
+    return files.groupBy("source_file").agg(
+        F.sum("n").alias("entries"), F.sum("s").alias("index_sum"), (F.count("*") <= F.ceil(F.sum("b") / file_bytes)).alias("files_fit")
+    )
+
+
 for _fmt in ("jsonl", "csv", "parquet"):
 
     @query(
@@ -338,6 +370,25 @@ def _(t):
     return runs.telemetry_summary(back, ["event_id"]).select("run", F.col("tracked_steps").alias("samples"), F.col("peak_value").alias("peak"))
 
 
+@query(
+    "catalogue_rerun",
+    """SELECT 'samples' AS kind, user_id AS run, count(*) AS n_rows, max(value) AS peak FROM events GROUP BY user_id
+    UNION ALL SELECT 'checkpoints', user_id, count(*), max(peak) FROM (SELECT user_id, date_trunc('day', ts) AS d, max(value) AS peak FROM events GROUP BY ALL) GROUP BY user_id""",
+)
+def _(t):
+    """Two kinds of run tables; one commit is made twice, one attempt stops before it is published."""
+    path = new_path(t.spark, "catalogue")
+    samples = t.events.select(F.col("user_id").alias("run"), "event_id", "value")
+    samples = catalogue.clustered(stage(samples, "samples"), ["run"], F.lit(24))
+    for _ in range(2):
+        catalogue.commit_run(samples, path, "samples", "first")
+    checkpoints = t.events.groupBy(F.col("user_id").alias("run"), F.date_trunc("day", "ts").alias("day")).agg(F.max("value").alias("value"))
+    catalogue.write_attempt(checkpoints, path, "checkpoints")
+    catalogue.commit_run(checkpoints, path, "checkpoints", "first")
+    kinds = [catalogue.read_kind(t.spark, path, k).select(F.lit(k).alias("kind"), F.col("run").cast("bigint").alias("run"), "value") for k in ("samples", "checkpoints")]
+    return kinds[0].unionByName(kinds[1]).groupBy("kind", "run").agg(F.count("*").alias("n_rows"), F.max("value").alias("peak"))
+
+
 @query(
     "serializable_casts",
     "SELECT c_custkey, c_nationkey::BIGINT AS c_nationkey, '{\"name\":\"' || c_name || '\"}' AS info FROM customer",

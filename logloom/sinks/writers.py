@@ -8,17 +8,26 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from logloom.operators.log_entries import entry_json
+from logloom.session import stage
+from logloom.sinks.catalogue import clustered
 
 DATASET_FORMATS = {"jsonl": "json", "json": "json", "csv": "csv", "parquet": "parquet"}
 
 
-def write_entries(envelopes: DataFrame, path: str, mode: str = "errorifexists") -> None:
+def write_entries(envelopes: DataFrame, path: str, mode: str = "errorifexists", file_bytes: int | None = None) -> None:
     """One JSON object per line under ``source_format=/source_file=``.
 
     The file name keeps its suffix, so ``a.sql`` and ``a.csv`` do not overwrite
-    each other. One huge source file is still written by many tasks.
+    each other. One huge source file is still written by many tasks. Without
+    ``file_bytes`` nothing is moved and each task writes a file per source file it
+    holds; with it the entries are written once more and dealt so that a source
+    file has about as many files as its bytes need.
     """
-    entry_json(envelopes).write.mode(mode).partitionBy("source_format", "source_file").text(path)
+    entries = entry_json(envelopes)
+    if file_bytes:
+        keys, size = ["source_format", "source_file"], F.octet_length("value") + 1
+        entries = clustered(stage(entries, "entries-to-cluster"), keys, size, file_bytes)
+    entries.write.mode(mode).partitionBy("source_format", "source_file").text(path)
 
 
 def write_stats(stats: DataFrame, path: str, mode: str = "overwrite") -> None:

@@ -1,4 +1,5 @@
 import datetime as dt
+import hashlib
 import json
 import os
 
@@ -8,7 +9,10 @@ from pyspark.sql import functions as F
 from logloom.operators import evaluation
 from logloom.operators import log_entries as L
 from logloom.operators.log_reports import processing_stats
+from logloom.session import stage
+from logloom.sinks import catalogue
 from logloom.sinks import writers as K
+from logloom.sinks.images import read_images, write_images
 from logloom.sources import datasets as S
 from logloom.streaming import log_stream
 from tests.test_logs import lines_of
@@ -131,3 +135,60 @@ def test_last_windows_need_no_later_line(spark, tmp_path):
 def test_serializable(spark):
     df = spark.sql("select cast(1 as int) a, cast(1.5 as float) b, array(1) c, 'x' d")
     assert [t for _, t in K.serializable(df).dtypes] == ["bigint", "double", "string", "string"]
+
+
+def test_a_retried_commit_adds_nothing(spark, tmp_path):
+    rows = spark.createDataFrame([("a", 1), ("a", 2), (None, 3)], "run string, step int")
+    path = str(tmp_path / "runs")
+    assert catalogue.write_attempt(rows, path, "samples") < catalogue.write_attempt(rows, path, "samples")
+    first = catalogue.write_attempt(rows, path, "samples")
+    late = catalogue.write_attempt(rows.where("step = 1"), path, "samples")
+    # published in the other order: the earlier attempt counts
+    catalogue.publish(spark, path, "samples", "one", late)
+    catalogue.publish(spark, path, "samples", "one", first)
+    catalogue.commit_run(rows.limit(0), path, "samples", "empty")
+    catalogue.commit_run(rows.withColumn("step", F.col("step") + 10), path, "samples", "two")
+    catalogue.commit_run(rows, path, "trials", "one")
+    got = sorted((r.commit, r.run or "", r.step) for r in catalogue.read_kind(spark, path, "samples").collect())
+    assert got == [("one", "", 3), ("one", "a", 1), ("one", "a", 2), ("two", "", 13), ("two", "a", 11), ("two", "a", 12)]
+    assert {(r.kind, r.commit): r.n_rows for r in catalogue.manifest(spark, path).collect()} == {
+        ("samples", "one"): 3, ("samples", "two"): 3, ("samples", "empty"): 0, ("trials", "one"): 3,
+    }
+
+
+def test_clustered_files_follow_the_bytes(spark, tmp_path):
+    rows = spark.range(20_000).repartition(16).select(F.when(F.col("id") < 18_000, "hot").when(F.col("id") < 19_990, "cold").alias("name"), F.col("id").cast("string").alias("value"))
+    written = stage(rows, "rows")
+    dealt = catalogue.clustered(written, ["name"], F.lit(100), 200_000)
+    # small tasks are not put together here, so that the dealing shows
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        dealt.write.partitionBy("name").text(str(tmp_path / "out"))
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    files = {}
+    for f in (tmp_path / "out").glob("name=*/*.txt"):
+        files.setdefault(f.parent.name, []).append(f)
+    assert 2 <= len(files["name=hot"]) <= 9 and len(files["name=cold"]) == 1 and len(files["name=__HIVE_DEFAULT_PARTITION__"]) == 1
+    assert dealt.count() == 20_000 and dealt.exceptAll(written).count() == 0
+    assert dealt.groupBy("name").agg(F.count_distinct("value")).count() == 3
+
+
+def test_image_files(spark, tmp_path):
+    picture = "struct<filename:string,content_type:string,data:binary>"
+    rows = [("a", [("x.PNG", "image/png", b"one"), ("y", None, b"")]), ("b", [("x.PNG", "image/png", b"one"), ("z.gif", "image/gif", None)]), ("c", []), (None, [("q.png", None, b"two")])]
+    docs = spark.createDataFrame(rows, f"path string, images array<{picture}>").repartition(3)
+    path = str(tmp_path / "images")
+    write_images(docs, path)
+    got = {(r.path, r.filename): (r.file, r.n_bytes, None if r.data is None else bytes(r.data)) for r in read_images(spark, path).collect()}
+    assert {k: v[1:] for k, v in got.items()} == {("a", "x.PNG"): (3, b"one"), ("a", "y"): (0, b""), ("b", "x.PNG"): (3, b"one"), ("b", "z.gif"): (None, None), (None, "q.png"): (3, b"two")}
+    name = hashlib.sha256(b"one").hexdigest()
+    assert got["a", "x.PNG"][0] == got["b", "x.PNG"][0] == f"files/{name[:2]}/{name}.png" and got["b", "z.gif"][0] is None
+    stored = lambda: sorted(f.name for f in (tmp_path / "images" / "files").glob("*/*") if not f.name.startswith("."))
+    before = stored()
+    assert len(before) == 3
+    # written again: the same names, nothing besides them
+    write_images(docs, path, mode="append")
+    assert stored() == before
+    write_images(docs.limit(0), str(tmp_path / "none"))
+    assert read_images(spark, str(tmp_path / "none")).count() == 0
