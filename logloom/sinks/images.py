@@ -33,15 +33,17 @@ def _writer(path: str):
 
         store, root = _place(path)
         for rows in batches:
-            for name, data in zip(rows["file"], rows["data"]):
+            for name, data in zip(rows.column("file"), rows.column("data")):
+                if not data.is_valid:
+                    continue
                 target = f"{root}/{name}"
                 if store.get_file_info(target).type == fs.FileType.NotFound:
                     store.create_dir(target.rsplit("/", 1)[0], recursive=True)
                     part = f"{target}.{uuid.uuid4().hex}.part"
                     with store.open_output_stream(part) as out:
-                        out.write(bytes(data))
+                        out.write(data.as_buffer())
                     store.move(part, target)
-            yield rows.drop(columns=["data"])
+            yield rows.select([c for c in rows.schema.names if c != "data"])
 
     return write
 
@@ -57,14 +59,12 @@ def write_images(documents: DataFrame, path: str, key: str = "path", mode: str =
     hashed = F.sha2("data", 256)
     named = pictures.withColumn("file", F.concat(F.lit("files/"), F.left(hashed, F.lit(2)), F.lit("/"), hashed, F.lower(suffix(F.col("filename")))))
     rows = named.select(key, "filename", "content_type", F.octet_length("data").cast("bigint").alias("n_bytes"), "file", "data")
-    kept = rows.where("data is not null")
     fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.drop("data").schema)
     ship_package(documents.sparkSession)
     # documents without pictures leave an empty folder
     store, root = _place(path)
     store.create_dir(f"{root}/files", recursive=True)
-    written = kept.mapInPandas(_writer(path), fields)
-    written.unionByName(rows.where("data is null").drop("data")).write.mode(mode).parquet(f"{path}/index")
+    rows.mapInArrow(_writer(path), fields).write.mode(mode).parquet(f"{path}/index")
 
 
 def read_images(spark, path: str) -> DataFrame:
