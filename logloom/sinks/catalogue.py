@@ -4,6 +4,10 @@ Every write goes to a folder of its own; a row in the manifest makes it visible.
 Readers take one attempt per commit, the earliest one published, so an attempt
 that failed before its manifest row, or that ran twice, adds nothing. Nothing is
 renamed, so the same holds on stores without an atomic rename.
+
+The run is a column of the files, not a folder: runs grow with the data, and a
+folder for each costs a file, a rename and a listing. Rows are sorted by run, so
+readers of one run skip the files and row groups that do not hold it.
 """
 
 from __future__ import annotations
@@ -35,13 +39,13 @@ def clustered(rows: DataFrame, keys: list[str], size: Column, file_bytes: int =
 def write_attempt(table: DataFrame, path: str, kind: str, run: str = "run") -> str:
     """Write rows as an attempt no reader sees yet; returns its name. Later attempts have later names."""
     attempt = f"{time.time_ns():020d}-{uuid.uuid4().hex}"
-    table.write.partitionBy(run).parquet(f"{path}/{kind}/attempt={attempt}")
+    table.sortWithinPartitions(run).write.parquet(f"{path}/{kind}/attempt={attempt}")
     return attempt
 
 
 def publish(spark: SparkSession, path: str, kind: str, commit: str, attempt: str) -> None:
     """Make an attempt visible, with its number of rows as read back."""
-    # rows are counted, no column is read; an attempt without rows has no file to take a schema from
+    # rows are counted, no column is read
     written = spark.read.schema("__none int").parquet(f"{path}/{kind}/attempt={attempt}")
     row = written.agg(F.count("*").alias("n_rows")).select(
         F.lit(kind).alias("kind"), F.lit(commit).alias("commit"), F.lit(attempt).alias("attempt"), "n_rows"
