@@ -93,8 +93,8 @@ def write_scores(scores: DataFrame, path: str, mode: str = "overwrite") -> None:
 
 
 def append_run(table: DataFrame, path: str, run: str = "run") -> None:
-    """Add a run's samples, checkpoints or trials to its catalogue."""
-    table.write.mode("append").partitionBy(run).parquet(path)
+    """Add a run's samples, checkpoints or trials to its catalogue; the run is a column, sorted in every file (no folder per run)."""
+    table.sortWithinPartitions(run).write.mode("append").parquet(path)
 
 
 def serializable(df: DataFrame) -> DataFrame:

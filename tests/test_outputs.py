@@ -156,6 +156,17 @@ def test_a_retried_commit_adds_nothing(spark, tmp_path):
     }
 
 
+def test_catalogue_files_do_not_grow_with_the_runs(spark, tmp_path):
+    rows = spark.range(0, 3000, 1, 4).select((F.col("id") % 1000).alias("run"), F.col("id").alias("step"))
+    catalogue.commit_run(rows, str(tmp_path / "c"), "samples", "one")
+    K.append_run(rows, str(tmp_path / "r"))
+    for folder in ("c/samples", "r"):
+        assert len(list((tmp_path / folder).rglob("*.parquet"))) <= 4
+    back = catalogue.read_kind(spark, str(tmp_path / "c"), "samples")
+    assert back.where("run = 7").count() == 3 and back.select("run").distinct().count() == 1000
+    assert spark.read.parquet(str(tmp_path / "r")).exceptAll(rows).count() == 0
+
+
 def test_clustered_files_follow_the_bytes(spark, tmp_path):
     rows = spark.range(20_000).repartition(16).select(F.when(F.col("id") < 18_000, "hot").when(F.col("id") < 19_990, "cold").alias("name"), F.col("id").cast("string").alias("value"))
     written = stage(rows, "rows")
