@@ -5,6 +5,7 @@ from __future__ import annotations
 import datetime as dt
 import io
 import zipfile
+from collections.abc import Iterator
 
 import pandas as pd
 from pyspark.sql import DataFrame
@@ -114,7 +115,7 @@ _SECTION = f'<w:sectPr xmlns:r="{_KIND}"><w:headerReference w:type="default" r:i
 
 
 @F.pandas_udf(T.BinaryType())
-def word_package(texts: pd.Series, titles: pd.Series) -> pd.Series:
+def word_package(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series]:
     """A minimal package: one paragraph per line, a two-cell table, a title; broken where the text is null."""
 
     def escape(x):
@@ -142,7 +143,11 @@ def word_package(texts: pd.Series, titles: pd.Series) -> pd.Series:
             z.writestr("word/media/image1.png", f"picture of {title}".encode())
         return out.getvalue()
 
-    return pd.Series([one(x, y) for x, y in zip(texts, titles)], dtype=object)
+    # packages leave the worker slice by slice
+    for texts, titles in batches:
+        for at in range(0, len(texts), documents.SLICE):
+            some = slice(at, at + documents.SLICE)
+            yield pd.Series([one(x, y) for x, y in zip(texts.iloc[some], titles.iloc[some])], dtype=object)
 
 
 def word_files(t) -> DataFrame:

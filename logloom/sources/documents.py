@@ -8,7 +8,7 @@ import xml.etree.ElementTree as ET
 import zipfile
 from collections.abc import Iterator
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -141,29 +141,43 @@ def read_docx(content: bytes) -> dict:
         }
 
 
+# Documents whose parts are held as Python objects at one time.
+SLICE = 64
+
+
 def docx_documents(files: DataFrame) -> DataFrame:
     """``content`` -> the extracted parts, or ``error``; all other columns stay.
 
-    The bytes go in and do not come out again.
+    The bytes go in and do not come out again. A batch is parsed slice by slice,
+    so a worker holds the parts of ``SLICE`` documents, however many a batch has.
     """
     keep = [f"`{f.name}` {f.dataType.simpleString()}" for f in files.schema if f.name != "content"]
     names = [f.name for f in files.schema if f.name != "content"]
-    fields = ["paragraphs", "tables", "images", "headers", "footers", "properties", "error"]
 
-    def extract(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def parts_of(content: bytes | None) -> dict:
+        try:
+            return read_docx(bytes(content))
+        except Exception as e:  # any broken file becomes an error row
+            return {"error": f"{type(e).__name__}: {e}"}
+
+    def extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        text, texts = pa.string(), pa.list_(pa.string())
+        types = {
+            "paragraphs": texts, "tables": pa.list_(pa.list_(texts)),
+            "images": pa.list_(pa.struct([("filename", text), ("content_type", text), ("data", pa.binary())])),
+            "headers": texts, "footers": texts, "properties": pa.map_(text, text), "error": text,
+        }
         for batch in batches:
-            parts = []
-            for content in batch["content"]:
-                try:
-                    parts.append(read_docx(bytes(content)))
-                except Exception as e:  # any broken file becomes an error row
-                    parts.append({"error": f"{type(e).__name__}: {e}"})
-            out = batch[names].reset_index(drop=True)
-            for field in fields:
-                out[field] = [p.get(field) for p in parts]
-            yield out
-
-    return files.mapInPandas(extract, ", ".join([*keep, DOCX_FIELDS]))
+            for start in range(0, batch.num_rows, SLICE):
+                rows = batch.slice(start, SLICE)
+                parts = [parts_of(content.as_py()) for content in rows.column("content")]
+                for p in parts:
+                    if p.get("properties") is not None:
+                        p["properties"] = list(p["properties"].items())
+                fields = [pa.array([p.get(field) for p in parts], kind) for field, kind in types.items()]
+                yield pa.RecordBatch.from_arrays([*[rows.column(n) for n in names], *fields], names=[*names, *types])
+
+    return files.mapInArrow(extract, ", ".join([*keep, DOCX_FIELDS]))
 
 
 def extract_documents(

@@ -2,6 +2,7 @@ import io
 import zipfile
 from html.parser import HTMLParser
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -152,3 +153,18 @@ def test_pages_against_parser(spark, sf_dir):
         parser.close_p()
         want = [x for x in parser.found if x.strip()]
         assert [x.replace("\xa0", " ") for x in got[row.page_id]] == [x.replace("\xa0", " ") for x in want], row.page_id
+
+
+def test_packages_are_parsed_slice_by_slice(spark, monkeypatch):
+    """A batch of many packages comes out in small ones, so the parsed parts of a whole batch are never held."""
+    seen = {}
+    files = spark.createDataFrame([(1, bytearray(b"x"))], "doc_id long, content binary")
+    monkeypatch.setattr(type(files), "mapInArrow", lambda self, fn, schema: seen.update(fn=fn), raising=True)
+    S.docx_documents(files)
+    good = package(p("text"))
+    batch = pa.record_batch({"doc_id": pa.array([None, *range(2**60, 2**60 + 199)], pa.int64()), "content": pa.array([None, *[good] * 198, b"PK broken"], pa.binary())})
+    out = list(seen["fn"](iter([batch])))
+    assert max(b.num_rows for b in out) <= S.SLICE
+    rows = pa.Table.from_batches(out).to_pylist()
+    assert [r["doc_id"] for r in rows] == batch.column("doc_id").to_pylist()
+    assert all(r["error"] is None and r["paragraphs"] for r in rows[1:-1]) and rows[0]["error"] and rows[-1]["error"]
