@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -20,17 +22,18 @@ KEYWORDS = (
     "DEFAULT ASC DESC BEGIN COMMIT ROLLBACK"
 ).split()
 
-# comments, quoted text, words, blanks, then any single character
-TOKEN = r"""--[^\n]*|/\*(?s:.*?)\*/|'[^']*'|"[^"]*"|\w+|\s+|[^\w\s]"""
+# words, blanks, comments, quoted text, then any single character
+TOKEN = r"""\w+|\s+|--[^\n]*|/\*(?s:.*?)\*/|'[^']*'|"[^"]*"|[^\w\s]"""
 
 _COMMENT = r"--[^\n]*|/\*(?s:.*?)\*/"
 _LEADING = r"^(?:\s++|--[^\n]*+|/\*(?s:.*?)\*/)*+"
 _NAME = r"""[\w."`]+"""
+# a look at the first letter spares the costlier word border
 _TABLE_LIST = (
-    r"(?i)\b(?:from|join|into|update|table)\s+(?:if\s+(?:not\s+)?exists\s+)?"
+    r"(?i)(?=[fjiut])\b(?:from|join|into|update|table)\s+(?:if\s+(?:not\s+)?exists\s+)?"
     rf"((?:{_NAME}(?:\s+(?:as\s+)?\w+)?\s*,\s*)*{_NAME})"
 )
-_FROM_IN_CALL = r"(?i)\b(?:extract|substring|trim|overlay)\s*\([^()]*\)|\bdistinct\s+from\b"
+_FROM_IN_CALL = r"(?i)(?=[estod])(?:\b(?:extract|substring|trim|overlay)\s*\([^()]*\)|\bdistinct\s+from\b)"
 _CTE_NAME = r"(?i)(?:\bwith|,)\s*(?:recursive\s+)?(\w+)\s*(?:\([^()]*\)\s*)?\bas\s*(?:(?:not\s+)?materialized\s*)?\("
 
 
@@ -40,36 +43,43 @@ def comment_timestamp_text(stmt: Column) -> Column:
     return F.nullif(found, F.lit(""))
 
 
+def _once(value: Column, fn: Callable[[Column], Column]) -> Column:
+    """``fn`` of a value that is worked out once, however often ``fn`` looks at it."""
+    return F.get(F.transform(F.array(value), fn), F.lit(0))
+
+
 def statement_type(stmt: Column) -> Column:
-    body = F.regexp_replace(stmt, _LEADING, "")
-    first = F.upper(F.regexp_extract(body, r"^(\w+)", 1))
-    after_with = F.upper(
-        F.regexp_extract(_code_only(body), r"(?i)\)\s*(SELECT|INSERT|UPDATE|DELETE|MERGE)\b", 1)
-    )
-    return (
-        F.when(body.rlike(r"(?i)^create\s+or\s+replace\b"), "CREATE OR REPLACE")
-        .when(first.isin(STATEMENT_TYPES), first)
-        .when((first == "WITH") & (after_with != ""), after_with)
-        .otherwise("UNKNOWN")
-    )
+    def typed(first: Column) -> Column:
+        after_with = _code_only(F.regexp_replace(stmt, _LEADING, ""))
+        after_with = F.upper(F.regexp_extract(after_with, r"(?i)\)\s*(SELECT|INSERT|UPDATE|DELETE|MERGE)\b", 1))
+        return (
+            F.when((first == "CREATE") & stmt.rlike(rf"{_LEADING}(?i:create\s+or\s+replace)\b"), "CREATE OR REPLACE")
+            .when(first.isin(STATEMENT_TYPES), first)
+            .when(first == "WITH", F.coalesce(F.nullif(after_with, F.lit("")), F.lit("UNKNOWN")))
+            .otherwise("UNKNOWN")
+        )
+
+    return _once(F.upper(F.regexp_extract(stmt, rf"{_LEADING}(\w+)", 1)), typed)
 
 
 def _code_only(stmt: Column) -> Column:
     """The statement with quoted text and comments blanked, whichever starts first."""
-    return F.regexp_replace(stmt, rf"'[^']*'|{_COMMENT}", " ")
+    return F.regexp_replace(stmt, rf"(?=['/-])(?:'[^']*'|{_COMMENT})", " ")
 
 
 def qualified_tables(stmt: Column) -> Column:
     """Names after FROM / JOIN / INTO / UPDATE / TABLE in order, with their qualifier."""
-    code = F.regexp_replace(_code_only(stmt), _FROM_IN_CALL, " ")
-    lists = F.regexp_extract_all(code, F.lit(_TABLE_LIST), F.lit(1))
-    names = F.transform(
-        F.flatten(F.transform(lists, lambda x: F.split(x, r"\s*,\s*"))),
-        lambda x: F.regexp_replace(F.regexp_extract(x, rf"^({_NAME})", 1), '["`]', ""),
-    )
-    ctes = F.when(code.rlike(r"(?i)\bwith\b"), F.regexp_extract_all(code, F.lit(_CTE_NAME), F.lit(1)))
-    kept = F.filter(names, lambda x: ~F.upper(x).isin("SELECT", "LATERAL", "VALUES", "SET", "ONLY"))
-    return F.array_except(kept, F.coalesce(ctes, F.array().cast("array<string>")))
+    def found(code: Column) -> Column:
+        lists = F.regexp_extract_all(code, F.lit(_TABLE_LIST), F.lit(1))
+        names = F.transform(
+            F.flatten(F.transform(lists, lambda x: F.when(F.contains(x, F.lit(",")), F.split(x, r"\s*,\s*")).otherwise(F.array(x)))),
+            lambda x: F.translate(F.regexp_extract(x, rf"^({_NAME})", 1), '"`', ""),
+        )
+        ctes = F.when(code.rlike(r"(?i)(?=w)\bwith\b"), F.regexp_extract_all(code, F.lit(_CTE_NAME), F.lit(1)))
+        kept = F.filter(names, lambda x: ~F.upper(x).isin("SELECT", "LATERAL", "VALUES", "SET", "ONLY"))
+        return F.array_except(kept, F.coalesce(ctes, F.array().cast("array<string>")))
+
+    return _once(F.regexp_replace(_code_only(stmt), _FROM_IN_CALL, " "), found)
 
 
 def table_names(qualified: Column) -> Column:
@@ -85,26 +95,29 @@ def first_schema(qualified: Column) -> Column:
 
 def format_query(stmt: Column) -> Column:
     """Key words upper, other names lower, a line break before each clause; quotes and comments kept."""
-    def shown(parts: Column) -> Column:
-        def breaks(i: Column) -> Column:
-            # a join is broken before its first word: LEFT OUTER JOIN stays together
-            word, before = F.upper(F.get(parts, i)), F.upper(F.get(parts, i - 2))
-            joined = (word == "JOIN") & F.coalesce(before.isin(JOIN_WORDS), F.lit(False))
-            return F.coalesce(word.isin(CLAUSES) & ~joined, F.lit(False))
-
+    def shown(parts: Column, uppers: Column, breaks: Column) -> Column:
         def show(part: Column, i: Column) -> Column:
+            word, next_breaks = F.get(uppers, i), F.get(breaks, i + 1)
             blank = F.trim(F.translate(part, "\t\r\n", "   ")) == ""
+            # the commonest kinds of token come first; each is of one kind only
             return (
-                F.when(blank & breaks(i + 1), "")
-                .when(blank, F.when(F.contains(part, F.lit("\n")), "\n").otherwise(" "))
-                .when(~part.rlike(r"^\w"), part)
-                .when(breaks(i), F.concat(F.lit("\n"), F.upper(part)))
-                .when(F.upper(part).isin(KEYWORDS), F.upper(part))
-                .otherwise(F.lower(part))
+                F.when(part == " ", F.when(next_breaks, "").otherwise(" "))
+                .when(F.get(breaks, i), F.concat(F.lit("\n"), word))
+                .when(word.isin(KEYWORDS), word)
+                .when(part.rlike(r"^\w"), F.lower(part))
+                .when(blank, F.when(next_breaks, "").when(F.contains(part, F.lit("\n")), "\n").otherwise(" "))
+                .otherwise(part)
             )
 
         return F.array_join(F.transform(parts, show), "")
 
-    # bound once: the token list is looked at from every token
-    tokens = F.array(F.regexp_extract_all(stmt, F.lit(TOKEN), F.lit(0)))
-    return strip(F.transform(tokens, shown)[0])
+    def breaks(uppers: Column) -> Column:
+        # a join is broken before its first word: LEFT OUTER JOIN stays together
+        def one(word: Column, i: Column) -> Column:
+            return word.isin(CLAUSES) & ((word != "JOIN") | ~F.coalesce(F.get(uppers, i - 2).isin(JOIN_WORDS), F.lit(False)))
+
+        return F.transform(uppers, one)
+
+    # each list is bound once: it is looked at from every token
+    tokens = F.regexp_extract_all(stmt, F.lit(TOKEN), F.lit(0))
+    return strip(_once(tokens, lambda p: _once(F.transform(p, F.upper), lambda u: _once(breaks(u), lambda b: shown(p, u, b)))))

@@ -43,3 +43,29 @@ def test_scans_read_only_what_is_used(spark, sf_dir):
     text = plan(spark, sf_dir, "train_val_test_split")
     assert "ReadSchema: struct<doc_id:bigint>" in text
     assert re.search(r"PushedFilters: \[.*\(role,assistant\)", plan(spark, sf_dir, "pair_alignment").replace("EqualTo", ""))
+
+
+def test_sql_columns_look_at_a_statement_once(spark):
+    from pyspark.sql import functions as F
+
+    from logloom.functions import sqltext
+
+    stmt = F.col("s")
+    shown = lambda c: spark.createDataFrame([], "s string").select(c.alias("x"))._jdf.queryExecution().optimizedPlan().toString()
+    names, kind, text = (shown(f(stmt)) for f in (sqltext.qualified_tables, sqltext.statement_type, sqltext.format_query))
+    assert names.count("extract|substring") == 1
+    assert kind.count("CREATE OR REPLACE") == 1 and kind.count(r"(\w+)") == 1
+    assert text.count("upper(") == 1
+
+
+def test_common_times_are_cast_with_the_same_result(spark):
+    from pyspark.sql import functions as F
+
+    from logloom.functions.timeparse import DEFAULT_FORMATS, parse_timestamp
+
+    texts = ["2024-01-05T10:11:12", "2024-01-05 10:11:12", "2024-01-05 10:11:12.123456", "2024-01-05T10:11:12.000001", "2024-02-30 10:11:12",
+             "2024-01-05 24:00:00", "2024-01-05 10:11:60", "2024-1-5 1:1:1", "2024-01-05", "05/01/2024 10:11:12", "1700000000", "0000-01-01 00:00:00", None]
+    x = F.col("x")
+    rows = spark.createDataFrame([(t,) for t in texts], "x string").select("x", parse_timestamp(x).cast("string").alias("now"), parse_timestamp(x, DEFAULT_FORMATS).cast("string").alias("parsed"))
+    assert all(r.now == r.parsed for r in rows.collect())
+    assert "cast(" in rows.select("now")._jdf.queryExecution().optimizedPlan().toString()
