@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from logloom.functions.text import is_blank, strip
-from logloom.operators.prefix import running
+from logloom.operators.prefix import dealt, running
 from logloom.session import stage
 
 
@@ -46,11 +46,12 @@ def json_values(lines: DataFrame, layout: str) -> DataFrame:
     """Line table of ``array`` or ``object`` files -> line table with one value per line.
 
     Lines are grouped up to the next point between two values, so the largest
-    group is one value (or one line), never the file.
+    group is one value (or one line), never the file. The values are written once,
+    as positions read them twice.
     """
-    keys = ["source_file"]
+    keys, rows = ["source_file"], lines.count()
     filled = lines.where(~is_blank(F.col("line"))).withColumn("__step", _depth(F.col("line")))
-    deep = running(filled, keys, "chunk", ["seq"], __before=("sum", F.col("__step"))).withColumn(
+    deep = running(filled, keys, "chunk", ["seq"], rows=rows, __before=("sum", F.col("__step"))).withColumn(
         "__after", F.col("__before") + F.col("__step")
     )
     if layout == "array":
@@ -61,12 +62,13 @@ def json_values(lines: DataFrame, layout: str) -> DataFrame:
     # in arrays a value may also be opened by the comma before it
     opens = (F.col("__before") == 1) & F.startswith(strip(F.col("line")), F.lit(",")) if layout == "array" else F.lit(False)
     marked = stage(deep.withColumns({"__cut": between.cast("bigint"), "__opens": opens.cast("bigint")}), "json-depths")
-    grouped = running(marked, keys, "chunk", ["seq"], __group=("sum", F.col("__cut") + F.col("__opens"))).withColumn(
+    grouped = running(marked, keys, "chunk", ["seq"], rows=rows, __group=("sum", F.col("__cut") + F.col("__opens"))).withColumn(
         "__group", F.col("__group") + F.col("__opens")
     )
     # the group may cross a chunk border, so the chunk of its first line is kept
     texts = (
-        grouped.groupBy("source_file", "__group")
+        dealt(grouped, rows, "source_file", "__group")
+        .groupBy("source_file", "__group")
         .agg(
             F.sort_array(F.collect_list(F.struct("chunk", "seq", "line"))).alias("__lines"),
             F.min("__before").alias("__from"),
@@ -82,12 +84,12 @@ def json_values(lines: DataFrame, layout: str) -> DataFrame:
         )
     )
     if layout != "array":
-        return texts.drop("__from", "__to")
+        return stage(texts.drop("__from", "__to"), "json-values")
     body = F.when(F.col("__from") == 0, F.regexp_replace("line", r"^\[", "")).otherwise(F.regexp_replace("line", r"^,", ""))
     body = F.when(F.col("__to") == 0, F.regexp_replace(body, r"\]$", "")).otherwise(F.regexp_replace(body, r",$", ""))
     items = F.from_json(F.concat(F.lit("["), body, F.lit("]")), "array<variant>")
     # several values may share a line: sub-positions keep their order
-    return texts.select(
+    values = texts.select(
         "source_file", "chunk", F.col("seq").alias("__seq"), F.posexplode(F.coalesce(items, F.array(F.lit(None).cast("variant")))).alias("__i", "__v"), "line"
     ).select(
         "source_file",
@@ -95,3 +97,4 @@ def json_values(lines: DataFrame, layout: str) -> DataFrame:
         F.struct(F.col("__seq").alias("line"), F.col("__i").alias("item")).alias("seq"),
         F.coalesce(F.to_json("__v"), F.col("line")).alias("line"),
     )
+    return stage(values, "json-values")

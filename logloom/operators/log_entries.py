@@ -185,11 +185,12 @@ def json_entries(
     keep_undated: bool = True,
     policy: str = "skip",
     formats: list[str] | None = None,
+    rows: int | None = None,
 ) -> DataFrame:
-    """Line table -> typed JSON entries, one per readable line."""
+    """Line table -> typed JSON entries, one per readable line; ``rows`` says about how many lines there are."""
     typed = json_columns(lines, formats)
     indexed = evaluated(
-        with_position(typed, LINE_KEYS, "chunk", ["seq"], "entry_index", counted=F.col("__ok")), "__found"
+        with_position(typed, LINE_KEYS, "chunk", ["seq"], "entry_index", counted=F.col("__ok"), rows=rows), "__found"
     )
     good = apply_policy(
         indexed, F.col("__ok"), policy, F.concat(F.lit("cannot read JSON line: "), preview(F.col("__head")))

@@ -9,11 +9,16 @@ that only ever spans one chunk. The result equals the plain window.
 
 from __future__ import annotations
 
+from math import ceil
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from logloom.session import stage
 
+#: A task that sorts rows gets so many on average, whatever the size of the table.
+TASK_ROWS = 250_000
+
 _AGGREGATES = {"sum": F.sum, "max": F.max, "min": F.min, "first": F.min}
 
 
@@ -25,12 +30,23 @@ def _combine(how: str, carried: Column, local: Column) -> Column:
     return F.greatest(carried, local) if how == "max" else F.least(carried, local)
 
 
+def dealt(df: DataFrame, rows: int | None, *keys: str) -> DataFrame:
+    """``df`` dealt by ``keys`` over as many tasks as ``rows`` rows need, all cores at least; without ``rows`` the planner decides.
+
+    The planner's number of partitions is fixed, so a task's sort would grow with the table.
+    """
+    if rows is None:
+        return df
+    return df.repartition(max(ceil(rows / TASK_ROWS), df.sparkSession.sparkContext.defaultParallelism), *keys)
+
+
 def running(
     df: DataFrame,
     keys: list[str],
     chunk: str,
     order: list[str],
     include_current: bool = False,
+    rows: int | None = None,
     **totals: tuple[str, Column],
 ) -> DataFrame:
     """Add prefix aggregates per group: ``name=("sum" | "max" | "min", column)``.
@@ -38,7 +54,8 @@ def running(
     ``("first", struct)`` gives every row the smallest struct of its whole group.
 
     ``chunk`` must not decrease along ``order`` inside a group. Without
-    ``include_current`` a row sees only the rows before it.
+    ``include_current`` a row sees only the rows before it. ``rows`` says about how
+    many rows there are, so that no task sorts more than its share.
     """
     carried = chunk_totals(df, keys, chunk, **totals)
     within = (
@@ -46,7 +63,7 @@ def running(
         .orderBy(*order)
         .rowsBetween(Window.unboundedPreceding, 0 if include_current else -1)
     )
-    local = df.withColumns(
+    local = dealt(df, rows, *keys, chunk).withColumns(
         {
             f"__{n}": _AGGREGATES[how](col).over(within) if how != "first" else F.lit(None)
             for n, (how, col) in totals.items()
@@ -108,11 +125,11 @@ def _whole_table_totals(per_chunk: DataFrame, chunk: str, totals: dict) -> DataF
 
 
 def with_position(
-    df: DataFrame, keys: list[str], chunk: str, order: list[str], name: str = "position", counted: Column | None = None
+    df: DataFrame, keys: list[str], chunk: str, order: list[str], name: str = "position", counted: Column | None = None, rows: int | None = None
 ) -> DataFrame:
     """Zero-based position in the group; rows where ``counted`` is false use no number."""
     one = F.lit(1) if counted is None else F.when(counted, 1).otherwise(0)
-    return running(df, keys, chunk, order, **{name: ("sum", one.cast("bigint"))})
+    return running(df, keys, chunk, order, rows=rows, **{name: ("sum", one.cast("bigint"))})
 
 
 def numbered(df: DataFrame, name: str = "position") -> DataFrame:

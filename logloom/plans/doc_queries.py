@@ -269,7 +269,7 @@ def _(t):
     path = new_path(t.spark, "stats")
     lines = rendered.event_lines(t.wide("events"))
     files = lines.select("source_file").distinct()
-    K.write_stats(processing_stats(files, L.json_entries(lines).select("source_file", "source_format")), path)
+    K.write_stats(processing_stats(files, L.json_entries(lines, rows=t.events.count()).select("source_file", "source_format")), path)
     back = t.spark.read.schema("total_files bigint, total_entries bigint, entries_by_format map<string,bigint>").json(path)
     return back.select("total_files", "total_entries", F.col("entries_by_format")["json"].alias("entries_json"))
 
@@ -280,7 +280,7 @@ def _(t):
 )
 def _(t):
     path = new_path(t.spark, "entries")
-    K.write_entries(L.to_log_entry(L.json_entries(rendered.event_lines(t.wide("events"))), "json"), path)
+    K.write_entries(L.to_log_entry(L.json_entries(rendered.event_lines(t.wide("events")), rows=t.events.count()), "json"), path)
     back = t.spark.read.text(path)
     parsed = back.withColumn("v", F.parse_json("value"))
     return parsed.groupBy("source_file", F.variant_get("v", "$.log_type", "string").alias("log_type")).agg(
@@ -295,7 +295,7 @@ def _(t):
 def _(t):
     """Entries of each source file in as many files as its bytes need: no more than that, and no task writes one of its own."""
     path, file_bytes = new_path(t.spark, "entry-files"), 1 << 20
-    envelopes = L.to_log_entry(L.json_entries(rendered.event_lines(t.wide("events"))), "json")
+    envelopes = L.to_log_entry(L.json_entries(rendered.event_lines(t.wide("events")), rows=t.events.count()), "json")
     K.write_entries(envelopes, path, file_bytes=file_bytes)
     back = t.spark.read.text(path).select("source_file", "value", F.col("_metadata.file_path").alias("file"))
     index = F.get_json_object("value", "$.processing_info.index").cast("bigint")

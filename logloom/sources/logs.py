@@ -38,15 +38,10 @@ def log_entries(lines: DataFrame, source_format: str = "auto", start=None, end=N
         # the written table tells its size: it is broadcast, or large files are split as skewed partitions
         return lines.join(wanted, "source_file", "left_semi")
 
-    json = union_formats(
-        {
-            "lines": L.json_entries(lines_of("source_format = 'json' and layout = 'lines'"), start, end, policy=policy),
-            **{
-                x: L.json_entries(json_values(lines_of(f"source_format = 'json' and layout = '{x}'"), x), start, end, policy=policy)
-                for x in ("array", "object")
-            },
-        }
-    )
+    values = {"lines": lines_of("source_format = 'json' and layout = 'lines'")}
+    for x in ("array", "object"):
+        values[x] = json_values(lines_of(f"source_format = 'json' and layout = '{x}'"), x)
+    json = union_formats({x: L.json_entries(v, start, end, policy=policy, rows=v.count()) for x, v in values.items()})
     return {
         "sql": L.sql_entries(statements_from_lines(lines_of("source_format = 'sql'")), start, end),
         "json": json,

@@ -1,10 +1,11 @@
 import random
+from collections import Counter
 
 from pyspark.sql import functions as F
 
 from logloom.operators import log_entries as L
 from logloom.operators import log_reports as R
-from logloom.operators import sql_scripts
+from logloom.operators import prefix, sql_scripts
 from logloom.operators.csv_quotes import join_quoted_lines
 from logloom.operators.json_texts import json_layout, json_values
 from logloom.sources import lines as S
@@ -93,6 +94,16 @@ def test_comma_first_arrays_are_cut_by_value(spark):
     assert [x for x in found if x != "null"][:30] == ['{"k":%d}' % i for i in range(30)]
 
 
+def test_tasks_over_json_values_do_not_grow_with_the_table(spark, monkeypatch):
+    monkeypatch.setattr(prefix, "TASK_ROWS", 25)
+    rows = [(f"f{f}.json", (i // 8) * 8, i, line) for f in range(50) for i, line in enumerate(["[", '{"k": 0}'] + [', {"k": %d}' % k for k in range(1, 20)] + ["]"])]
+    values = json_values(spark.createDataFrame(rows, "source_file string, chunk bigint, seq bigint, line string"), "array")
+    entries = L.json_entries(values, rows=values.count())
+    found = entries.select("source_file", "entry_index", "raw_content", F.spark_partition_id().alias("task")).collect()
+    assert {(r.source_file, r.entry_index, r.raw_content) for r in found} == {(f"f{f}.json", k, '{"k":%d}' % k) for f in range(50) for k in range(20)}
+    assert max(Counter(r.task for r in found).values()) < 100
+
+
 def test_stray_quote_keeps_the_other_rows(spark):
     text = 'x,y\n1,2\n"3,4\n' + "\n".join(f"{k},ok" for k in range(50))
     rows = L.csv_records(join_quoted_lines(lines_of(spark, {"a.csv": text}))).collect()
