@@ -17,18 +17,47 @@ def ngrams(words: Column, n: int) -> Column:
     ).otherwise(F.array().cast("array<string>"))
 
 
+def repeats(grams: Column) -> Column:
+    """The list without the first occurrence of each gram, sorted."""
+    return F.transform(F.array(F.sort_array(grams)), lambda s: F.filter(s, lambda g, i: g == F.get(s, i - 1)))[0]
+
+
 def clipped(hypothesis: Column, references: Column, n: int) -> Column:
     """``struct<matched, in_hypothesis>``: n-grams of one row's word list that its references hold too.
 
     ``references`` is an array of word lists; a gram counts at most as often as
-    in the reference that has it most. All grams of the row are sorted with the
-    side they come from, the hypothesis last, and folded once: nothing leaves the
-    row, so nothing is shuffled and a hot example loads no other task.
+    in the reference that has it most. Nothing leaves the row, so nothing is
+    shuffled and a hot example loads no other task.
+    """
+    matched = _met(ngrams(hypothesis, n), F.transform(references, lambda r: ngrams(r, n)))
+    return F.struct(matched.cast("bigint").alias("matched"), n_grams(hypothesis, n).alias("in_hypothesis"))
+
+
+def _met(hypothesis: Column, references: Column, sets: int = 2) -> Column:
+    """Grams of a list that its references hold too, each clipped.
+
+    First occurrences meet as a set, second ones (one less of every gram on both sides) as the next; the rest is folded.
     """
-    last = F.size(references)
+    if not sets:
+        return _folded(hypothesis, references)
 
-    def side(words: Column, number: Column) -> Column:
-        return F.transform(ngrams(words, n), lambda g: F.struct(g.alias("gram"), number.alias("side")))
+    def met(s: Column) -> Column:
+        again = _met(repeats(s["hyp"]), F.transform(s["refs"], repeats), sets - 1)
+        return F.size(F.array_intersect(s["hyp"], F.flatten(s["refs"]))) + again
+
+    # the one-element array binds both sides once
+    return F.transform(F.array(F.struct(hypothesis.alias("hyp"), references.alias("refs"))), met)[0]
+
+
+def _folded(hypothesis: Column, references: Column) -> Column:
+    """The same by one fold.
+
+    All grams are sorted with the side they come from, the hypothesis last, and folded once.
+    """
+    last = F.lit((1 << 31) - 1)
+
+    def side(grams: Column, number: Column) -> Column:
+        return F.transform(grams, lambda g: F.struct(g.alias("gram"), number.alias("side")))
 
     grams = F.sort_array(F.concat(F.flatten(F.transform(references, side)), side(hypothesis, last)))
     start = F.struct(
@@ -47,8 +76,7 @@ def clipped(hypothesis: Column, references: Column, n: int) -> Column:
             (done["matched"] + F.when(hit, 1).otherwise(0)).alias("matched"),
         )
 
-    matched = F.aggregate(grams, start, step, lambda done: done["matched"])
-    return F.struct(matched.cast("bigint").alias("matched"), n_grams(hypothesis, n).alias("in_hypothesis"))
+    return F.aggregate(grams, start, step, lambda done: done["matched"])
 
 
 def n_grams(words: Column, n: int) -> Column:

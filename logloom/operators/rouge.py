@@ -63,7 +63,8 @@ def rouge_measure(types: tuple[str, ...] = TYPES, stem: bool = True) -> Measure:
         n = 1 if t == "rougeL" else int(t[5:])
         matched = lcs_length(hyp, ref) if t == "rougeL" else clipped(F.col(hyp), F.array(ref), n)["matched"]
         name = f"{t}_{kind}"
-        row[name] = F.struct(*_parts(matched, n_grams(F.col(hyp), n), n_grams(F.col(ref), n)))
+        # the one-element array binds the matches, which all parts use
+        row[name] = F.transform(F.array(matched), lambda m: F.struct(*_parts(m, n_grams(F.col(hyp), n), n_grams(F.col(ref), n))))[0]
         for p in PARTS:
             totals[f"{name}_{p}"] = F.avg(F.col(name)[p])
             scores.append((t, p, F.col(f"{name}_{p}")))

@@ -1,10 +1,13 @@
 import math
+import random
+from collections import Counter
 
 import pytest
 from pyspark.sql import functions as F
 
 from logloom.operators import bleu, evaluation, label_scores, pairs, perplexity, rouge
 from logloom.functions.text import normalize_text
+from logloom.operators.ngrams import clipped, repeats
 from tests.porter import stem
 
 
@@ -246,3 +249,22 @@ def test_registered_measures_share_the_aggregation(spark):
     evaluation.register_measures("brief", shorter)
     got = values(evaluation.calculate_metrics(make(spark, [("a", "bb"), ("cc", "d")]), ["exact_match"], domain="brief"))
     assert got == {("exact_match", None): 0.0, ("domain", "shorter"): 0.5}
+
+
+def test_grams_are_clipped_by_sets_and_repeats(spark):
+    pick = random.Random(3)
+
+    def words():
+        return [pick.choice("abcde") for _ in range(pick.randint(0, 30))]
+
+    lists = [(k, words(), [words() for _ in range(pick.randint(1, 3))]) for k in range(60)]
+    df = spark.createDataFrame(lists, "id int, h array<string>, rs array<array<string>>")
+    row = df.select("id", *[clipped(F.col("h"), F.col("rs"), n).alias(f"n{n}") for n in (1, 2, 3)], repeats(F.col("h")).alias("again")).collect()
+    grams = lambda ws, n: Counter(tuple(ws[i : i + n]) for i in range(len(ws) - n + 1))
+    for got, (_, h, rs) in zip(sorted(row, key=lambda r: r.id), lists):
+        for n in (1, 2, 3):
+            most = Counter()
+            for r in rs:
+                most |= grams(r, n)
+            assert tuple(got[f"n{n}"]) == (sum((grams(h, n) & most).values()), max(len(h) - n + 1, 0))
+        assert got.again == sorted((Counter(h) - Counter(set(h))).elements())
