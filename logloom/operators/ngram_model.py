@@ -20,13 +20,15 @@ are split off into a broadcast table and their positions are dealt by document.
 from __future__ import annotations
 
 from dataclasses import dataclass
-from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
+from pyspark.sql.types import DoubleType, LongType, StructField, StructType
 
 from logloom.functions.text import normalize_text, tokens
-from logloom.session import stage
+from logloom.operators.gram_blocks import BLOCK, BUCKET, COUNTED, block_fields, counted, scored, to_blocks, to_buckets, to_texts
+from logloom.session import ship_package, stage
 
 DISCOUNT = 0.75
 #: A gram with more than 1 / FREQUENT of all counts is frequent; there can't be more than FREQUENT of them.
@@ -53,8 +55,26 @@ def word_table(df: DataFrame, key: str, text: str = "text") -> DataFrame:
 
 
 def staged_words(df: DataFrame, key: str, text: str = "text") -> DataFrame:
-    """The same, written once: a model of several orders and its scores read the words again, not the texts."""
-    return stage(word_table(df, key, text), "words")
+    """The same, written once as blocks (``gram_blocks``): a model of several orders and its scores read the words again, not the texts.
+
+    ``count_model``, ``score`` and ``own_scores`` take blocks as they take ``key, words``.
+    """
+    return _packed(word_table(df, key, text), key)
+
+
+def _packed(words: DataFrame, key: str) -> DataFrame:
+    ship_package(words.sparkSession)
+    if "codes" in words.columns:
+        return words
+    packed = words.select(key, "words").mapInArrow(to_blocks(BLOCK), block_fields(words.schema[key].dataType.simpleString()))
+    return stage(packed, "words")
+
+
+def _texts(words: DataFrame, key: str = "key") -> DataFrame:
+    if "codes" not in words.columns:
+        return words
+    kind = words.schema["keys"].dataType.elementType.simpleString()
+    return words.mapInArrow(to_texts(key), f"`{key}` {kind}, words array<string>")
 
 
 def grams_of(words: Column, order: int) -> Column:
@@ -82,8 +102,8 @@ def _context(gram: str) -> Column:
 
 def count_model(words: DataFrame, order: int, discount: float = DISCOUNT) -> NgramModel:
     """Counts ``words`` (any key, words) into a model; every level is written once."""
-    counted = words.select(F.explode(grams_of(F.col("words"), order)).alias("gram")).groupBy("gram").agg(F.count("*").alias("c"))
-    counts = [stage(counted, f"grams-{order}")]
+    grams = _texts(words).select(F.explode(grams_of(F.col("words"), order)).alias("gram")).groupBy("gram").agg(F.count("*").alias("c"))
+    counts = [stage(grams, f"grams-{order}")]
     for k in range(order - 1, 0, -1):
         counts.append(stage(counts[-1].groupBy(_ending("gram").alias("gram")).agg(F.count("*").alias("c")), f"grams-{k}"))
     counts.reverse()
@@ -130,7 +150,7 @@ def score(words: DataFrame, key: str, model: NgramModel, counted: bool = False)
     down through the contexts. Texts without words have no perplexity. Rows that
     share a key are one text.
     """
-    positions = words.select(key, F.posexplode_outer(grams_of(F.col("words"), model.order)).alias("__at", "gram"))
+    positions = _texts(words, key).select(key, F.posexplode_outer(grams_of(F.col("words"), model.order)).alias("__at", "gram"))
     state = positions.withColumns({"__p": F.lit(None).cast("double"), "__weight": F.lit(1.0)})
     deal = F.struct(key, "__at")
     for k in range(model.order, 0, -1):
@@ -156,73 +176,56 @@ def score(words: DataFrame, key: str, model: NgramModel, counted: bool = False)
 def own_scores(words: DataFrame, key: str, top: int, discount: float = DISCOUNT) -> DataFrame:
     """``key, ngram_order, n_tokens, log_prob, perplexity`` of every text under the models of order 1 to ``top`` counted from these very texts.
 
-    Equal to ``count_model`` and ``score`` of each order. All orders come from one count:
-    grams of order k and their continuations are sums over those of order k + 1, and
-    the continuations of an order are the same in every model above it. The levels
-    are tables of words (``g0`` the last one, ``g1`` before it, ...), and every gram of the
-    highest order carries its logarithms of all orders, so positions move once.
+    Equal to ``count_model`` and ``score`` of each order. All orders come from one move of
+    the positions to buckets by the word before (``gram_blocks``): grams of order k and their
+    continuations are sums over those of order k + 1, and the continuations of an
+    order are the same in every model above it. Buckets are read twice, for the counts of single
+    words and for the logarithms; both steps stand in one plan, so Spark moves them once.
     """
-    grams = [f"g{n}" for n in range(top)]
-    shifted = [F.concat(F.array_repeat(F.lit(START), n), F.col("words")) if n else F.col("words") for n in range(top)]
-    places = words.select(key, F.inline(F.arrays_zip(*shifted)).alias(*grams)).where(F.col("g0").isNotNull())
-    levels = {top: stage(places.groupBy(*grams).agg(F.count("*").alias("raw")).withColumn("kept", F.lit(None).cast("bigint")), f"grams-{top}")}
-    for k in range(top - 1, 0, -1):
-        levels[k] = stage(levels[k + 1].groupBy(*grams[:k]).agg(F.sum("raw").alias("raw"), F.count("*").alias("kept")), f"grams-{k}")
-    known, total, kept = levels[1].agg(F.count("*"), F.sum("raw"), F.sum("kept")).first()
-    if not known:
-        empty = F.lit(None).cast("double")
-        orders = F.explode(F.sequence(F.lit(1), F.lit(top))).alias("ngram_order")
-        return words.select(key).distinct().select(key, orders).select("*", F.lit(0).cast("bigint").alias("n_tokens"), empty.alias("log_prob"), empty.alias("perplexity"))
-
-    def single(c: str, all_: int | None):
-        return (F.greatest(F.col(c) - discount, F.lit(0.0)) + F.lit(discount * known / (known + 1))) / F.lit(float(all_ or 1))
-
-    level = stage(levels[1].select("g0", "raw", "kept", single("kept", kept).alias("lower"), F.ln(single("raw", total)).alias("s1")), "logs-1")
-    for k in range(2, top + 1):
-        sums = levels[k].groupBy(*grams[1:k]).agg(F.sum("raw").alias("raws"), F.sum("kept").alias("kepts"), F.count("*").alias("kinds"))
-        rows = levels[k].count()
-        met = _met(levels[k], stage(sums, f"sums-{k}"), grams[1:k], F.col("kinds") * FREQUENT > rows, ["raws", "kepts", "kinds"], F.xxhash64(*grams[:k]))
-        scores = [f"s{n}" for n in range(1, k)]
-        met = _met(met, level.withColumnsRenamed({"kept": "__hot"}), grams[: k - 1], F.col("__hot") * FREQUENT > rows, ["lower", *scores], F.xxhash64(*grams[:k]))
-
-        def p(c: str) -> Column:
-            return (F.greatest(F.col(c) - discount, F.lit(0.0)) + F.col("kinds") * discount * F.col("lower")) / F.col(f"{c}s")
-
-        level = stage(met.select(*grams[:k], "raw", "kept", p("kept").alias("__lower"), *scores, F.ln(p("raw")).alias(f"s{k}")).withColumnRenamed("__lower", "lower"), f"logs-{k}")
+    packed = _packed(words, key)
+    total = packed.agg(F.sum("n")).first()[0] or 0
+    # Counts of words that take half of a bucket's share of a block: what is left out of a word's count is less than half a bucket,
+    # so every word that fills one is found. Words found are few: two for each bucket at most.
+    shares = packed.select("n", F.explode(F.filter(F.arrays_zip("words", "counts"), lambda x: x["counts"] * (2.0 * max(total, 1)) > F.col("n") * BUCKET)).alias("x"))
+    shares = shares.groupBy(F.col("x.words").alias("word")).agg(F.sum("x.counts").alias("c"))
+    large = {r["word"]: r["c"] for r in shares.where(F.col("c") * 2 > BUCKET).collect()}
+    marks = packed.agg(F.sum(F.size("keys"))).first()[0] or 0
+    if marks > BUCKET:
+        large[START] = marks + large.get(START, 0)
+    buckets = parts = max(1, -(-(total - sum(c for w, c in large.items() if w != START)) // BUCKET))
+    split = {}
+    for w in sorted(large):
+        split[w] = (buckets, -(-2 * large[w] // BUCKET))
+        buckets += split[w][1]
+
+    width, kind = max(top, 3), packed.schema["keys"].dataType.elementType
+    rows = f"bucket int, keys array<{kind.simpleString()}>, n bigint, n_words bigint, words binary, places binary"
+    moved = packed.mapInArrow(to_buckets(width, parts, split, START), rows)
+    counts = moved.groupBy("bucket").applyInArrow(counted(width, parts), COUNTED).repartition("word")
+    # A row without a word before stands for all words that are not split. A split word's pairs come from several buckets and count once.
+    pair, word, every = Window.partitionBy("word", "before"), Window.partitionBy("word"), Window.partitionBy("all")
+    pairs = counts.withColumn("befores", F.when(F.col("before").isNull(), F.col("kept")).otherwise((F.row_number().over(pair.orderBy("bucket")) == 1).cast("bigint")))
+    # ``sums`` has a row for each split word and one for the others; it uses all columns of ``counts``, so both share their shuffle
+    sums = pairs.withColumn("new", F.row_number().over(word.orderBy("before", "bucket")) == 1).groupBy("before").agg(
+        F.sum("raw").alias("raws"), F.sum("kept").alias("kepts"), F.sum("befores").alias("kinds"), F.count_if("new").alias("news"), F.min(F.lit(0)).alias("all")
+    ).withColumns({"known": F.sum("news").over(every), "total_kept": F.sum("kinds").over(every)})
+    sums = sums.select(F.col("before").alias("__before"), "raws", "kepts", "kinds", "known", "total_kept")
+    stats = pairs.withColumns({"raw": F.sum("raw").over(pair), "kept": F.sum("kept").over(pair), "word_raw": F.sum("raw").over(word), "word_kept": F.sum("befores").over(word)})
+    stats = stats.join(F.broadcast(sums), F.col("before").eqNullSafe(F.col("__before")))
+    of_split = [F.when(F.col("before").isNotNull(), F.col(c)).otherwise(0).alias(c) for c in ("raw", "kept", "raws", "kepts", "kinds")]
+    stats = stats.select("bucket", "word", "word_raw", "word_kept", "known", "total_kept", *of_split)
     scores = [f"s{n}" for n in range(1, top + 1)]
-    # 128 bits stand for a gram: among 10^13 different ones two would meet with a chance of 10^-13
-    hashed = [F.xxhash64(*grams).alias("h0"), F.xxhash64(F.lit(1), *grams).alias("h1")]
-    table = level.select(*hashed, "raw", *scores)
-    found = _met(places.select(key, *hashed), table, ["h0", "h1"], F.col("raw") * FREQUENT > total, scores, F.xxhash64(F.monotonically_increasing_id()))
-    none = words.where(F.size("words") == 0).select(key, F.lit(0).alias("n"), *[F.lit(None).cast("double").alias(x) for x in scores])
-    each = found.select(key, F.lit(1).alias("n"), *scores).unionByName(none).groupBy(key).agg(F.sum("n").alias("n_tokens"), *[F.sum(x).alias(x) for x in scores])
+    fields = StructType([StructField(key, kind), StructField("n", LongType()), *[StructField(x, DoubleType()) for x in scores]])
+    found = moved.groupBy("bucket").cogroup(stats.groupBy("bucket")).applyInArrow(scored(width, top, parts, total, discount, to_arrow_schema(fields)), fields)
+    # every text has a row, also one without words
+    none = packed.select(F.explode("keys").alias(key), F.lit(0).cast("bigint").alias("n"), *[F.lit(None).cast("double").alias(x) for x in scores])
+    each = found.unionByName(none).groupBy(key).agg(F.sum("n").alias("n_tokens"), *[F.sum(x).alias(x) for x in scores])
     orders = F.inline(F.array(*[F.struct(F.lit(n).alias("ngram_order"), F.col(x).alias("log_prob")) for n, x in enumerate(scores, 1)]))
     return each.select(key, "n_tokens", orders).select(
         key, "ngram_order", "n_tokens", "log_prob", F.exp(-F.col("log_prob") / F.col("n_tokens")).alias("perplexity")
     )
 
 
-def _met(rows: DataFrame, table: DataFrame, keys: list[str], hot: Column, values: list[str], deal: Column) -> DataFrame:
-    """``rows`` with the ``values`` that ``table`` has for their keys; every row has its match.
-
-    ``hot`` marks keys that hold more than 1 / FREQUENT of the rows, so they are few:
-    they are broadcast, and their rows are dealt by ``deal`` in the shuffle of the others.
-    """
-    def side(which: Column, mark: str) -> DataFrame:
-        return table.where(which).select(*[F.col(k).alias(f"{mark}{k}") for k in keys], *[F.col(v).alias(f"{mark}{v}") for v in values])
-
-    def equal(pairs) -> Column:
-        return reduce(lambda a, b: a & b, [F.col(x) == F.col(y) for x, y in pairs])
-
-    near = rows.join(F.broadcast(side(hot, "__n_")), equal([(k, f"__n_{k}") for k in keys]), "left")
-    first, known = keys[0], F.col(f"__n_{keys[0]}").isNotNull()
-    kind = rows.schema[first].dataType.simpleString()
-    salt = deal if kind == "bigint" else F.concat(F.lit("\u0000"), deal.cast("string"))
-    near = near.withColumn("__first", F.when(known, salt).otherwise(F.col(first)))
-    both = near.join(side(~hot, "__f_"), equal([("__first", f"__f_{first}"), *[(k, f"__f_{k}") for k in keys[1:]]]), "left")
-    return both.select(*rows.columns, *[F.coalesce(f"__n_{v}", f"__f_{v}").alias(v) for v in values])
-
-
 def corpus_perplexity(scored: DataFrame) -> DataFrame:
     """One row over all texts: tokens, log probability, perplexity."""
     return scored.agg(F.sum("n_tokens").alias("n_tokens"), F.sum("log_prob").alias("log_prob")).withColumn(

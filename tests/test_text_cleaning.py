@@ -201,3 +201,47 @@ def test_anonymised(spark):
     counts = {r["kind"]: (r["documents"], r["matches"], r["different"]) for r in A.span_counts(A.with_spans(df, "key").select("spans")).collect()}
     assert counts["CARD"] == (1, 2, 1) and counts["EMAIL"][2] < counts["EMAIL"][1] and set(counts) == set(A.KINDS)
     assert A.anonymised(df.limit(0), "key").count() == 0
+
+
+@pytest.mark.parametrize("top", [1, 2, 3, 4])
+def test_own_scores_of_split_words_and_many_blocks(spark, sentences, top, monkeypatch):
+    monkeypatch.setattr(M, "BUCKET", 40)
+    monkeypatch.setattr(M, "BLOCK", 25)
+    texts = [*sentences, ["the"] * 60, ["<s>", "the"], [], ["the", "w1", "the", "été"]]
+    got = {(r["id"], r["ngram_order"]): r for r in M.own_scores(table(spark, texts), "id", top).collect()}
+    assert len(got) == top * len(texts)
+    for order in range(1, top + 1):
+        brute = Brute(texts, order)
+        for k, ws in enumerate(texts):
+            assert got[k, order]["n_tokens"] == len(ws)
+            assert (got[k, order]["log_prob"] is None) if not ws else got[k, order]["log_prob"] == pytest.approx(brute.log(ws), rel=1e-9)
+
+
+def test_own_scores_move_positions_packed_and_once(spark):
+    """A position took more than 14 bytes of shuffle for its hashes alone, and grams of every order were written."""
+    r = random.Random(7)
+    texts = [[f"word{int(r.paretovariate(0.6)) % 3000}" for _ in range(200)] for _ in range(400)]
+    scores = M.own_scores(table(spark, texts), "id", 3)
+    scores.collect()
+    plan = scores._jdf.queryExecution().executedPlan().toString()
+    final = plan.split("== Initial Plan ==")[0]
+    moves = [x for x in final.splitlines() if "Exchange hashpartitioning(bucket" in x]
+    assert len([x for x in moves if "ReusedExchange" not in x]) == 2
+    assert not re.search(r"hashpartitioning\((h0|g0)", plan)
+    assert "BroadcastNestedLoopJoin" not in plan and len(moves) > 2
+    blocks = M._packed(table(spark, texts), "id")
+    moved = blocks.mapInArrow(M.to_buckets(3, 1, {}, M.START), "bucket int, keys array<bigint>, n bigint, n_words bigint, words binary, places binary")
+    size, n = moved.agg(F.sum(F.length("places") + F.length("words")), F.sum("n")).first()
+    assert n == 80_000 and size / n < 8
+
+
+def test_blocks_are_taken_like_words(spark):
+    docs = spark.createDataFrame([(1, "The cat, the dog"), (2, None), (3, "the été"), (None, "a cat")], "id long, text string")
+    blocks, words = M.staged_words(docs, "id"), M.word_table(docs, "id")
+    for n in (1, 2):
+        a, b = ({r["id"]: r for r in M.score(w, "id", M.count_model(w, n), True).collect()} for w in (blocks, words))
+        assert a.keys() == b.keys() == {1, 2, 3, None}
+        own = {r["id"]: r for r in M.own_scores(blocks, "id", n).where(F.col("ngram_order") == n).collect()}
+        for k in a:
+            assert a[k]["n_tokens"] == b[k]["n_tokens"] == own[k]["n_tokens"]
+            assert a[k]["log_prob"] == pytest.approx(b[k]["log_prob"]) == pytest.approx(own[k]["log_prob"])
