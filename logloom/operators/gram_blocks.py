@@ -22,8 +22,8 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 #: Words of a block, and positions a bucket gets on average.
-BLOCK = 4_000_000
-BUCKET = 4_000_000
+BLOCK = 3_500_000
+BUCKET = 3_000_000
 CODEC = "zstd"
 COUNTED = "bucket int, before string, word string, raw bigint, kept bigint"
 
@@ -34,11 +34,13 @@ def block_fields(kind: str) -> str:
 
 
 def to_blocks(most: int):
-    """``key, words`` -> blocks of ``most`` words and more, at least a text."""
+    """``key, words`` -> blocks of ``most`` words and more, at least a text. Words may be a list or parted by single spaces."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         waiting, n = [], 0
         for batch in batches:
+            if not pa.types.is_list(batch.column(1).type):
+                batch = pa.RecordBatch.from_arrays([batch.column(0), _parted(batch.column(1))], ["key", "words"])
             sizes = _sizes(batch.column(1))
             first, until = 0, np.cumsum(sizes)
             while first < len(sizes):
@@ -56,6 +58,14 @@ def to_blocks(most: int):
     return run
 
 
+def _parted(texts: pa.Array) -> pa.Array:
+    """Lists of words; the empty text has none."""
+    lists = pc.split_pattern(texts, " ")
+    sizes = np.where(pc.equal(texts, "").to_numpy(zero_copy_only=False), 0, _sizes(lists))
+    values = lists.flatten()
+    return pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(sizes)]), pa.int32()), values.filter(pc.not_equal(values, "")))
+
+
 def _sizes(lists: pa.Array) -> np.ndarray:
     return pc.fill_null(pc.list_value_length(lists), 0).to_numpy(zero_copy_only=False).astype(np.int64)
 
@@ -66,7 +76,7 @@ def _block(texts: pa.Table) -> pa.RecordBatch:
     codes = found.indices.to_numpy()
     counts = np.bincount(codes, minlength=len(found.dictionary))
     order = np.argsort(-counts, kind="stable")
-    rank = np.empty(len(order), np.int64)
+    rank = np.empty(len(order), np.int32)
     rank[order] = np.arange(len(order))
     return pa.RecordBatch.from_pydict({
         "keys": _list(keys),
@@ -89,9 +99,9 @@ def pack(columns: list[np.ndarray]) -> bytes:
 
 def unpack(packed: pa.Scalar, many: int, n: int) -> list[np.ndarray]:
     if not n:
-        return [np.zeros(0, np.int64)] * many
+        return [np.zeros(0, np.int32)] * many
     planes = np.frombuffer(pa.decompress(packed.as_buffer(), n * 4 * many, CODEC), np.uint8).reshape(many, 4, n)
-    return [np.ascontiguousarray(p.T).view("<u4").ravel().astype(np.int64) for p in planes]
+    return [np.ascontiguousarray(p.T).view("<i4").ravel() for p in planes]
 
 
 def pack_words(words: pa.Array) -> bytes:
@@ -141,21 +151,23 @@ def _dealt(block: list[pa.Scalar], width: int, parts: int, split: dict, start: s
     mark = words.index(pa.scalar(start, words.type)).as_py()
     if mark < 0:
         mark, words = len(words), pa.concat_arrays([words, pa.array([start], words.type)])
-    doc = np.repeat(np.arange(len(sizes)), sizes)
-    place = np.arange(len(codes)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+    doc = np.repeat(np.arange(len(sizes), dtype=np.int32), sizes)
+    starts = (np.cumsum(sizes) - sizes)[sizes > 0]
     grams = [codes]
     for k in range(1, width):
-        before = np.full(len(codes), mark, np.int64)
-        before[k:] = codes[: max(len(codes) - k, 0)]
-        before[place < k] = mark
+        before = np.full(len(codes), mark, np.int32)
+        before[1:] = grams[-1][:-1]
+        before[starts] = mark
         grams.append(before)
     names = words.to_pylist()
     crc = np.array([zlib.crc32(x.encode()) for x in names], np.int64)
-    base, pieces = (np.array([split.get(x, (0, 0))[i] for x in names], np.int64) for i in (0, 1))
-    bucket, many = (crc % parts)[grams[1]], pieces[grams[1]]
-    of_split = many > 0
-    bucket[of_split] = base[grams[1][of_split]] + crc[grams[2][of_split]] % many[of_split]
-    order = _order(bucket * len(words) + grams[1])
+    bucket = (crc % parts).astype(np.int32)[grams[1]]
+    for number, name in enumerate(names):
+        if name in split:
+            first, many = split[name]
+            of_split = np.flatnonzero(grams[1] == number)
+            bucket[of_split] = first + crc[grams[2][of_split]] % many
+    order = _order(bucket.astype(np.int64) * len(words) + grams[1])
     bucket, doc, grams = bucket[order], doc[order], [g[order] for g in grams]
     cuts = [0, *(np.flatnonzero(np.diff(bucket)) + 1).tolist(), len(bucket)]
     for a, b in zip(cuts, cuts[1:]):
@@ -193,7 +205,7 @@ def _used(columns: list[np.ndarray], n: int) -> tuple[np.ndarray, list[np.ndarra
     seen = np.zeros(n, bool)
     for c in columns:
         seen[c] = True
-    place = np.cumsum(seen) - 1
+    place = np.cumsum(seen, dtype=np.int32) - 1
     return np.flatnonzero(seen), [place[c] for c in columns]
 
 
@@ -206,7 +218,7 @@ def _ids(columns: list[np.ndarray], n: int) -> tuple[np.ndarray, np.ndarray]:
             most = len(key) + 1
         key, most = key * n + c, most * n
     _, first, which = np.unique(key, return_index=True, return_inverse=True)
-    return first, which
+    return first, which.astype(np.int32)
 
 
 class Bucket:
@@ -226,12 +238,13 @@ class Bucket:
             grams = [last, np.cumsum(mid), *others]
             first, which = _ids(grams, many_words[i])
             place = places[ends[i] : ends[i + 1]]
-            parts.append([place[g[first]] for g in grams] + [np.bincount(which)])
-            self.rows.append((doc.astype(np.int32), which.astype(np.int32), many))
+            parts.append([place[g[first]] for g in grams] + [np.bincount(which).astype(np.int32)])
+            self.rows.append((doc.astype(np.int32), which, many))
             many += len(first)
         *grams, counts = (np.concatenate(x) for x in zip(*parts))
+        del parts
         first, self.which = _ids(grams, len(self.words))
-        self.grams = [g[first].astype(np.int64) for g in grams]
+        self.grams = [g[first] for g in grams]
         self.counts = np.bincount(self.which, weights=counts)
 
     def level(self, k: int) -> tuple[np.ndarray, np.ndarray]:

@@ -59,7 +59,8 @@ def staged_words(df: DataFrame, key: str, text: str = "text") -> DataFrame:
 
     ``count_model``, ``score`` and ``own_scores`` take blocks as they take ``key, words``.
     """
-    return _packed(word_table(df, key, text), key)
+    # normalised words are parted by single spaces: texts go to the tasks as they are, not as lists
+    return _packed(df.select(key, normalize_text(F.coalesce(F.col(text), F.lit(""))).alias("words")), key)
 
 
 def _packed(words: DataFrame, key: str) -> DataFrame:
