@@ -31,13 +31,13 @@ def join_quoted_lines(lines: DataFrame) -> DataFrame:
     odd = F.col("__flips") % 2
     forgets = F.col("__out") == F.col("__in")
     left = F.when(forgets, F.struct("chunk", "seq", F.col("__out").cast("bigint").bitwiseXOR(odd).alias("state")))
-    first = stage(flips.withColumns({"__odd": odd, "__left": left}).drop("__flips", "__in"), "csv-flips")
+    first = stage(flips.withColumns({"__odd": odd, "__left": left}).drop("__flips", "__in"), "csv-flips", packed=True)
     second = running(first, _KEYS, "chunk", ["seq"], __last=("max", F.col("__left")))
     before = F.coalesce(F.col("__last.state"), F.lit(0).cast("bigint")).bitwiseXOR(F.col("__odd"))
     # a line after which quotes are open, or before which they are, is part of a broken record
     after = F.when(F.col("__left").isNotNull(), F.col("__out")).otherwise((before == 1) != F.col("__out"))
     states = stage(
-        second.select("source_file", "chunk", "seq", "line", (before == 1).alias("__before"), after.alias("__after")), "csv-states"
+        second.select("source_file", "chunk", "seq", "line", (before == 1).alias("__before"), after.alias("__after")), "csv-states", packed=True
     )
     whole = states.where(~F.col("__before") & ~F.col("__after")).select("source_file", "chunk", "seq", "line")
     broken = states.where(F.col("__before") | F.col("__after"))

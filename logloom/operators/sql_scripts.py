@@ -15,13 +15,14 @@ from pyspark.sql import functions as F
 
 from logloom.functions.text import strip
 from logloom.operators.log_entries import CLOSED_PART, TAG, split_statements
-from logloom.operators.prefix import running
+from logloom.operators.prefix import dealt, running
 from logloom.session import stage
 
 BLOCK_LINES = 2000
 # What may be open at the start of any block: nothing, a string, a quoted name, a comment, a dollar body.
 # A tagged dollar body is a state too; only blocks that hold its tag can change it.
 OPENERS = ["", "'", '"', "/*", "$$"]
+BLOCK = ["source_file", "chunk", "block"]
 
 
 def _left_open(text: Column) -> Column:
@@ -29,8 +30,13 @@ def _left_open(text: Column) -> Column:
     return F.regexp_extract(F.regexp_replace(text, CLOSED_PART, ""), rf"""^('|"|/\*|\$\$|{TAG})""", 1)
 
 
+def _ends(text: Column) -> Column:
+    """Statements that end in a block; its last part has no semicolon yet."""
+    return (F.size(split_statements(text)) - 1).cast("bigint")
+
+
 def _blocks(lines: DataFrame) -> DataFrame:
-    """Lines joined into texts of a bounded number of lines, with their state functions."""
+    """Lines joined into texts of a bounded number of lines, with their state functions and the statements they end if nothing is open."""
     row = F.col("seq").bitwiseAND(F.lit((1 << 33) - 1))
     grouped = (
         lines.withColumn("block", F.floor(row / BLOCK_LINES))
@@ -41,7 +47,7 @@ def _blocks(lines: DataFrame) -> DataFrame:
     fixed = F.array(*[F.lit(o) for o in OPENERS])
     openers = F.concat(fixed, F.array_distinct(F.regexp_extract_all("text", F.lit(f"(?=({TAG}))"), F.lit(1))))
     moves = F.transform(openers, lambda o: F.struct(o.alias("opener"), _left_open(F.concat(o, F.col("text"))).alias("after")))
-    return grouped.select("source_file", "chunk", "block", text.alias("text")).withColumn("moves", moves)
+    return grouped.select(*BLOCK, text.alias("text")).withColumns({"moves": moves, "ends": _ends(F.col("text"))})
 
 
 def _walk(order: str):
@@ -84,24 +90,33 @@ def _block_starts(blocks: DataFrame) -> DataFrame:
     )
 
 
+def _numbered(blocks: DataFrame) -> DataFrame:
+    """``source_file, chunk, block, start, ends, before``: start state, statements ended here and in earlier blocks of the file.
+
+    One short row per block, written, so that texts stay where they are while it
+    is worked out. Only blocks that start inside something are split for it.
+    """
+    starts = stage(_block_starts(blocks), "sql-starts")
+    outside = blocks.select(*BLOCK, "ends").join(starts.where("start = ''"), BLOCK)
+    inside = blocks.select(*BLOCK, "text").join(starts.where("start <> ''"), BLOCK)
+    counts = outside.unionByName(inside.withColumn("ends", _ends(F.concat("start", "text"))).drop("text"))
+    counts = stage(counts.select(*BLOCK, "start", "ends"), "sql-counts")
+    return stage(running(counts, ["source_file"], "chunk", ["block"], before=("sum", F.col("ends"))), "sql-numbers")
+
+
 def statements_from_lines(lines: DataFrame) -> DataFrame:
     """Line table -> ``source_file, entry_index, statement`` for scripts of any length."""
-    blocks = stage(_blocks(lines), "sql-blocks")
-    opener = F.col("start")
-    parts = blocks.join(_block_starts(blocks), ["source_file", "chunk", "block"]).select(
-        "source_file", "chunk", "block", split_statements(F.concat(opener, "text")).alias("parts"), F.length(opener).alias("skip")
-    )
-    # the last part of a block has no semicolon yet, so a block ends size - 1 statements
-    numbered = running(parts, ["source_file"], "chunk", ["block"], before=("sum", (F.size("parts") - 1).cast("bigint")))
-    each = numbered.select(
-        "source_file", "chunk", "block", "before", "skip", F.size("parts").alias("n"), F.posexplode("parts").alias("i", "part")
+    blocks = stage(_blocks(lines), "sql-blocks", packed=True)
+    numbered = _numbered(blocks)
+    # a block is a text of many lines: tasks get their share of lines
+    texts = dealt(blocks.select(*BLOCK, "text"), blocks.count() * BLOCK_LINES, *BLOCK)
+    each = texts.join(numbered, BLOCK).select(
+        *BLOCK, "before", "start", "ends", F.posexplode(split_statements(F.concat("start", "text"))).alias("i", "part")
     ).select(
-        "source_file",
-        "chunk",
-        "block",
+        *BLOCK,
         (F.col("before") + F.col("i")).alias("entry_index"),
-        F.when(F.col("i") == 0, F.substr("part", F.col("skip") + 1)).otherwise(F.col("part")).alias("part"),
-        ((F.col("i") == 0) | (F.col("i") == F.col("n") - 1)).alias("edge"),
+        F.when(F.col("i") == 0, F.substr("part", F.length("start") + 1)).otherwise(F.col("part")).alias("part"),
+        ((F.col("i") == 0) | (F.col("i") == F.col("ends"))).alias("edge"),
     )
     inner = each.where(~F.col("edge")).select("source_file", "entry_index", F.col("part").alias("statement"))
     edges = (

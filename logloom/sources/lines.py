@@ -34,7 +34,7 @@ def read_lines(
         F.monotonically_increasing_id().alias("seq"),
         F.regexp_replace("value", "\r$", "").alias("line"),
     )
-    return stage(lines, "lines") if staged else lines
+    return stage(lines, "lines", packed=True) if staged else lines
 
 
 def read_whole(spark: SparkSession, path: str | list[str], glob: str = LOG_GLOB) -> DataFrame:
@@ -88,9 +88,10 @@ def file_formats(lines: DataFrame) -> DataFrame:
     """``source_file, source_format`` from the first five lines of every file, ``header`` from its first filled one.
 
     The first positions of each file come from pruned aggregates; only lines of
-    its first chunk, or the one line, are looked at after that.
+    its first chunk, or the one line, are looked at after that. The positions are
+    written first: their size is known, so the lines are not moved to meet them.
     """
-    first_chunk = lines.groupBy("source_file").agg(F.min("chunk").alias("chunk"))
+    first_chunk = stage(lines.groupBy("source_file").agg(F.min("chunk").alias("chunk")), "first-chunks")
     opening = lines.join(first_chunk, ["source_file", "chunk"], "left_semi")
     # the rank limit runs before the shuffle: a task sends five lines per file
     order = Window.partitionBy("source_file").orderBy("seq")
@@ -112,5 +113,5 @@ def _first_filled(lines: DataFrame) -> DataFrame:
     filled = lines.where(~is_blank(F.col("line")))
     chunks = filled.groupBy("source_file", "chunk").agg(F.min("seq").alias("seq"))
     first = chunks.groupBy("source_file").agg(F.min(F.struct("chunk", "seq")).alias("__at"))
-    at = first.select("source_file", "__at.chunk", "__at.seq")
+    at = stage(first.select("source_file", "__at.chunk", "__at.seq"), "first-filled")
     return lines.join(at, ["source_file", "chunk", "seq"]).select("source_file", F.col("line").alias("header"))

@@ -203,3 +203,44 @@ def test_image_files(spark, tmp_path):
     assert stored() == before
     write_images(docs.limit(0), str(tmp_path / "none"))
     assert read_images(spark, str(tmp_path / "none")).count() == 0
+
+
+def test_a_log_run_writes_less_than_twice_its_input(spark, tmp_path):
+    import json
+    import os
+
+    from logloom.session import shared_folder
+    from logloom.sinks.log_run import run_logs
+
+    def size(folder):
+        return sum(os.path.getsize(os.path.join(d, f)) for d, _, names in os.walk(folder) for f in names)
+
+    folder, n = tmp_path / "in", 8000
+    folder.mkdir()
+    (folder / "a.sql").write_text("".join(f"-- 2024-01-01 10:00:{k % 60:02d}\nselect o.*, c.name from sales.orders o join customer c on c.id = o.cust where o.id = {k};\n" for k in range(n)))
+    (folder / "b.jsonl").write_text("".join(json.dumps({"type": "click", "time": f"2024-01-01T10:00:{k % 60:02d}", "user_id": k, "props": {"k": k % 97}}) + "\n" for k in range(n)))
+    (folder / "c.csv").write_text("id,name,date\n" + "".join(f"{k},name {k},2024-01-{k % 28 + 1:02d}\n" for k in range(n)))
+    shared = shared_folder(spark).removeprefix("file:")
+    before = size(shared)
+    row = run_logs(spark, str(folder), str(tmp_path / "out")).first()
+    # staged tables and the output together
+    assert size(shared) - before + size(tmp_path / "out") < 2 * size(folder)
+    assert (row.total_entries, row.errors, row.entries_by_format) == (3 * n, 0, {"sql": n, "json": n, "csv": n})
+    run_logs(spark, str(folder), str(tmp_path / "plain"), compression="none")
+    packed, plain = (spark.read.text(str(tmp_path / x / "entries")) for x in ("out", "plain"))
+    assert packed.count() == 3 * n and packed.exceptAll(plain).count() == plain.exceptAll(packed).count() == 0
+    assert all(x.endswith(".txt") for x in plain.inputFiles())
+
+
+def test_tables_read_no_more_are_deleted(spark, tmp_path):
+    import os
+
+    from logloom.session import discard, stage
+
+    staged, other = stage(spark.range(3), "gone"), str(tmp_path / "kept")
+    spark.range(3).write.parquet(other)
+    folder = staged.inputFiles()[0].removeprefix("file://").rsplit("/", 1)[0]
+    assert os.path.isdir(folder)
+    discard(staged)
+    discard(spark.read.parquet(other))
+    assert not os.path.exists(folder) and spark.read.parquet(other).count() == 3

@@ -70,3 +70,27 @@ def test_common_times_are_cast_with_the_same_result(spark):
     assert all(r.now == r.parsed for r in rows.collect())
     # one cast for these shapes, one for the ISO shapes after the formats
     assert rows.select("now")._jdf.queryExecution().optimizedPlan().toString().count("as timestamp)") == 2
+
+
+def test_lines_and_script_texts_are_not_moved_to_meet_small_tables(spark, tmp_path):
+    import random
+
+    from logloom.operators.sql_scripts import statements_from_lines
+    from logloom.sources import lines as S
+
+    rng = random.Random(3)
+    (tmp_path / "a.sql").write_text("".join(f"select {rng.getrandbits(300)};\nselect ';\n';\n" for _ in range(2000)))
+    (tmp_path / "b.csv").write_text("id\n1\n")
+    lines = S.read_lines(spark, str(tmp_path))
+    shown = lambda df: df._jdf.queryExecution().executedPlan().toString()
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    # the lines are many times this, a row per file or block is less
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "16k")
+    try:
+        formats, statements = S.file_formats(lines), statements_from_lines(lines.where("source_file like '%.sql'"))
+        # the one join left is that of both results, which have a row per file
+        assert shown(formats).count("SortMergeJoin") == 1
+        assert "SortMergeJoin" not in shown(statements) and "Window" not in shown(statements)
+        assert statements.count() == 4000 and formats.count() == 2
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
